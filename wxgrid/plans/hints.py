@@ -1,0 +1,26 @@
+"""Join strategy helpers.
+
+A dimension is broadcast only after its size has been checked; beyond the
+bound the plain join is left to Catalyst/AQE (shuffle hash or sort-merge,
+with AQE skew splitting).  Nothing here forces a broadcast blindly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bound for a broadcast dimension.  A grid->region mapping is bounded by
+# the grid (4.2M cells, ~0.4M mapped) and is a few narrow columns, so it fits;
+# anything larger takes the shuffle path.
+MAX_BROADCAST_ROWS = 8_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` when a row count proves it small, else return it as is.
+
+    The count is one cheap job over a dimension table; fact tables never go
+    through here.
+    """
+    n = df.count()
+    return F.broadcast(df) if n <= max_rows else df
