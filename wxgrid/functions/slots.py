@@ -34,6 +34,26 @@ def slot_label(var: Column, hour: Column, variables) -> Column:
     return expr if expr is not None else F.lit(None).cast("string")
 
 
+def slot_index(var: Column, hour: Column, variables) -> Column:
+    """Integer slot id: position of the slot in ``specs(variables)`` order.
+
+    Same on-grid rule as ``slot_label``; integers keep the dedupe shuffle key
+    narrow and make the per-slot conditional aggregates int comparisons.
+    """
+    expr = None
+    base = 0
+    for s in specs(variables):
+        if s.three_hourly:
+            on_grid = hour.isin(*s.slot_hours())
+        else:
+            on_grid = hour.between(0, 23)
+        branch = F.when(on_grid, F.lit(base) + (hour / F.lit(s.step)).cast("int"))
+        cond = var == F.lit(s.name)
+        expr = F.when(cond, branch) if expr is None else expr.when(cond, branch)
+        base += s.slots_per_day
+    return expr if expr is not None else F.lit(None).cast("int")
+
+
 def time_key(date: Column, hour: Column) -> Column:
     """Request time key ``{YYYYMMDD}{hh}00``."""
     return F.format_string("%s%02d00", date, hour)

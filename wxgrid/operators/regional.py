@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ..catalogue import (SNOW_OFF_MONTHS, SNOW_START_YEAR, SNOW_VAR,
                          ordered_slot_columns, region_id_columns, specs)
-from ..functions.slots import slot_label, slot_label_for
+from ..functions.slots import slot_index, slot_label_for
 from ..plans.hints import broadcast_if_small
 
 METHODS = ("mean", "sum", "median")
@@ -69,6 +69,7 @@ def cell_first_values(obs: DataFrame, mapping: DataFrame, variables,
                       id_cols=None, season_filter: bool = True) -> tuple[DataFrame, list[str]]:
     """Steps 1-3: one value per (date, codes, cell, var, slot).
 
+    ``slot`` is the integer slot index (``functions.slots.slot_index``).
     Off-grid hours keep ``slot = NULL``: they carry no value into any column
     but still mark the cell as reporting that variable that day.
     """
@@ -78,7 +79,7 @@ def cell_first_values(obs: DataFrame, mapping: DataFrame, variables,
         F.col("value").isNotNull() & F.col("var").isin(*variables))
     if season_filter:
         o = o.where(season_ok(F.col("var"), F.col("date")))
-    o = o.withColumn("slot", slot_label(F.col("var"), F.col("hour"), variables))
+    o = o.withColumn("slot", slot_index(F.col("var"), F.col("hour"), variables))
     m = broadcast_if_small(mapped_cells(mapping, id_cols))
     joined = o.join(m, "grid_idx", "inner")
     cells = joined.groupBy("date", *id_cols, "grid_idx", "var", "slot").agg(
@@ -90,10 +91,12 @@ def _slot_aggregates(variables, method: str) -> list[Column]:
     slot = F.col("slot")
     var = F.col("var")
     out = []
+    k = 0
     for s in specs(variables):
         present = F.max(F.when(var == F.lit(s.name), F.lit(1))) == F.lit(1)
         for name in s.slot_names():
-            hit = slot == F.lit(name)
+            hit = slot == F.lit(k)
+            k += 1
             if method == "mean":
                 e = F.sum(F.when(hit, F.col("v") * F.col("w"))) / F.sum(F.when(hit, F.col("w")))
             elif method == "sum":
