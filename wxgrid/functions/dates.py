@@ -10,7 +10,7 @@ def parse_yyyymmdd(c: Column) -> Column:
     """Strict 8-digit ``YYYYMMDD`` -> date; anything else (including
     ``20230230`` or a 6-digit ``202011``) -> NULL."""
     s = c.cast("string")
-    return F.when(s.rlike("^[0-9]{8}$"), F.try_to_date(s, F.lit("yyyyMMdd")))
+    return F.when(s.rlike("^[0-9]{8}$"), F.try_to_date(s, "yyyyMMdd"))
 
 
 def to_yyyymmdd(d: Column) -> Column:

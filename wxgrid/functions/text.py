@@ -38,6 +38,36 @@ NUMBER_RE = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{
 SPECIAL_RE = r"(?i)^[+-]?(?:inf|infinity|nan)$"
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Catalyst inlines a projected column into every expression that reads
+    it, so a costly intermediate (the token array of a 29 MB response) used
+    several times would be recomputed each time.  Binding it through a
+    one-element ``transform`` evaluates it once per row.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def parse_response(text: Column, n_expected: Column | None) -> Column:
+    """struct<vals: array<double>, reason: string> for one response: the
+    validated values (NULL when rejected) and the rejection reason (NULL
+    when accepted).  The text is tokenised exactly once."""
+    empty = F.array().cast("array<double>")
+
+    def with_err(err):
+        def with_toks(toks):
+            def with_cut(cut):
+                def with_acc(acc):
+                    return F.struct(acc.alias("vals"),
+                                    reject_reason_of(err, toks, cut, acc, n_expected).alias("reason"))
+                return let(F.when(~err, accepted_values(toks, cut, n_expected)), with_acc)
+            cut = header_cut(toks, n_expected) if n_expected is not None else F.lit(0)
+            return let(cut, with_cut)
+        return let(F.when(~err, tokenize_numbers(text)).otherwise(empty), with_toks)
+    return let(is_error_response(text), with_err)
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
 
@@ -110,33 +140,43 @@ def header_cut(values: Column, n_expected: Column) -> Column:
     return F.when(n <= n_expected, F.lit(0)).otherwise(F.coalesce(F.try_element_at(events, F.lit(1)), F.lit(0)))
 
 
-def grid_values(text: Column, n_expected: Column | None) -> Column:
-    """Validated value array of one response, or NULL when it is rejected.
-
-    Rejected: no numbers; fewer numbers than expected; a NaN/inf in the
-    header scan; a count that still differs after removing a header.  With
-    no expected count, every non-empty token list is accepted.
-    """
-    vals = tokenize_numbers(text)
+def accepted_values(vals: Column, cut: Column, n_expected: Column | None) -> Column:
+    """Validated value array from the token array and its header cut, or
+    NULL when rejected: no numbers; fewer numbers than expected; a NaN/inf
+    in the header scan; a count that still differs after removing a header.
+    With no expected count, every non-empty token list is accepted."""
     if n_expected is None:
         return F.when(F.size(vals) > 0, vals)
-    cut = header_cut(vals, n_expected)
     kept = F.when(cut > 0, F.slice(vals, cut + 1, F.greatest(F.size(vals) - cut, F.lit(0)))).otherwise(vals)
     ok = (F.size(vals) > 0) & (cut >= 0) & (F.size(kept) == n_expected)
     return F.when(ok, kept)
 
 
-def reject_reason(text: Column, n_expected: Column | None) -> Column:
-    """Why a response was quarantined (NULL when it is accepted)."""
+def grid_values(text: Column, n_expected: Column | None) -> Column:
+    """One-expression form of tokenize + header cut + count check.  Use the
+    step-wise columns (see ``operators.ingest.validate``) when several
+    results are needed, so the text is tokenised once."""
     vals = tokenize_numbers(text)
-    base = F.when(is_error_response(text), F.lit("error_response")) \
-            .when(F.size(vals) == 0, F.lit("empty"))
+    cut = header_cut(vals, n_expected) if n_expected is not None else F.lit(0)
+    return accepted_values(vals, cut, n_expected)
+
+
+def reject_reason_of(is_error: Column, vals: Column, cut: Column, accepted: Column,
+                     n_expected: Column | None) -> Column:
+    """Why a response is quarantined (NULL when accepted), from the
+    step-wise columns."""
+    base = F.when(is_error, F.lit("error_response")).when(F.size(vals) == 0, F.lit("empty"))
     if n_expected is None:
         return base
-    cut = header_cut(vals, n_expected)
     return (base.when(F.size(vals) < n_expected, F.lit("too_few_values"))
                 .when(cut < 0, F.lit("non_finite_header"))
-                .when(grid_values(text, n_expected).isNull(), F.lit("count_mismatch")))
+                .when(accepted.isNull(), F.lit("count_mismatch")))
+
+
+def reject_reason(text: Column, n_expected: Column | None) -> Column:
+    vals = tokenize_numbers(text)
+    cut = header_cut(vals, n_expected) if n_expected is not None else F.lit(0)
+    return reject_reason_of(is_error_response(text), vals, cut, accepted_values(vals, cut, n_expected), n_expected)
 
 
 def split_lines(text: Column) -> Column:

@@ -202,7 +202,7 @@ def add_region_name(df: DataFrame, mapping: DataFrame, id_col: str, nm_col: str)
 
 def format_date(df: DataFrame, date_col: str = "date", fmt: str = "yyyy-MM-dd") -> DataFrame:
     """``YYYYMMDD`` (or any parseable date) column rendered with ``fmt``."""
-    d = F.coalesce(F.try_to_date(F.col(date_col).cast("string"), F.lit("yyyyMMdd")),
+    d = F.coalesce(F.try_to_date(F.col(date_col).cast("string"), "yyyyMMdd"),
                    F.try_to_date(F.col(date_col).cast("string")))
     return df.withColumn(date_col, F.date_format(d, fmt))
 

@@ -124,6 +124,270 @@ def region_names_sql() -> str:
             f"\nFROM {frm} d LEFT JOIN names n ON d.HJD_CD = n.HJD_CD")
 
 
+
+# -- gates -------------------------------------------------------------------
+
+ORDERS_DAYS = """od AS (
+  SELECT o_orderkey, o_orderstatus,
+         strftime(o_orderdate + INTERVAL 27 YEAR, '%Y%m%d') AS date,
+         CASE o_orderkey % 3 WHEN 0 THEN 'ta' WHEN 1 THEN 'rn_60m' ELSE 'sd_3hr' END AS var
+  FROM orders)"""
+
+
+def _month_days(src: str) -> str:
+    return f"""SELECT DISTINCT strftime(d, '%Y%m%d') AS date FROM (
+      SELECT unnest(generate_series(m, last_day(m), INTERVAL 1 DAY)) AS d FROM (
+        SELECT DISTINCT strptime(substr(date, 1, 6) || '01', '%Y%m%d')::DATE AS m FROM {src}))"""
+
+
+def _vars_values() -> str:
+    return "(VALUES ('ta'), ('rn_60m'), ('sd_3hr')) v(var)"
+
+
+SQL_SEASON = f"""WITH {ORDERS_DAYS}
+SELECT o_orderkey, date, var FROM od WHERE {_season_sql()}"""
+
+SQL_SENTINEL = f"""SELECT l_orderkey, l_linenumber,
+  round(CASE WHEN x < -900 OR x > 2000 OR isnan(x) THEN NULL ELSE x END, {R}) AS value
+FROM (SELECT l_orderkey, l_linenumber, l_extendedprice / 20.0 - 1000.0 AS x FROM lineitem)"""
+
+SQL_HOURS = f"""WITH {OBS},
+hs AS (SELECT date, var, list(DISTINCT hour) AS hrs FROM obs GROUP BY date, var),
+ex AS (SELECT date, var, hrs,
+         CASE WHEN var = 'sd_3hr' THEN range(0, 24, 3) ELSE range(0, 24) END AS exp FROM hs)
+SELECT date, var,
+  CAST(len(list_filter(exp, lambda h: list_contains(hrs, h))) AS BIGINT) AS hours_present,
+  array_to_string(list_filter(exp, lambda h: NOT list_contains(hrs, h)), ',') AS missing_hours,
+  len(list_filter(exp, lambda h: NOT list_contains(hrs, h))) = 0 AS complete
+FROM ex"""
+
+SQL_MISSING_VAR_DAYS = f"""WITH {OBS},
+days AS ({_month_days('obs')}),
+exp AS (SELECT date, var FROM days, {_vars_values()} WHERE {_season_sql()})
+SELECT date, var FROM exp EXCEPT SELECT DISTINCT date, var FROM obs"""
+
+SQL_COMPLETE_DAYS = f"""WITH {OBS},
+days AS ({_month_days('obs')}),
+exp AS (SELECT date, var FROM days, {_vars_values()}),
+bad AS (SELECT DISTINCT date FROM (SELECT date, var FROM exp EXCEPT SELECT date, var FROM obs))
+SELECT date, var, count(*) AS n_obs FROM obs
+WHERE date NOT IN (SELECT date FROM bad)
+GROUP BY date, var"""
+
+SQL_TODO = f"""WITH {ORDERS_DAYS}
+SELECT date FROM ({_month_days('od')})
+WHERE date NOT IN (SELECT date FROM od WHERE o_orderstatus = 'F')"""
+
+# -- raw responses -----------------------------------------------------------
+
+_WS = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+def _strip_sql(c: str) -> str:
+    return f"regexp_replace({c}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+SQL_ERRORS = f"""WITH t AS (
+  SELECT 'pages' AS src, page_id AS id, html AS text FROM pages
+  UNION ALL SELECT 'documents', doc_id, text FROM documents),
+h AS (SELECT src, id, text, {_strip_sql('text')} AS s FROM t)
+SELECT src, id,
+  CASE WHEN text IS NULL OR length(s) = 0 THEN TRUE
+       ELSE (contains(lower(substr(s, 1, 400)), '<html') OR contains(lower(substr(s, 1, 400)), '<!doctype html')
+             OR contains(lower(substr(s, 1, 400)), 'forbidden') OR contains(lower(substr(s, 1, 400)), 'unauthorized')
+             OR (contains(lower(substr(s, 1, 400)), 'error') AND NOT contains(lower(substr(s, 1, 400)), '#')))
+  END AS is_error
+FROM h"""
+
+SQL_PARSE_TOKENS = f"""SELECT l_orderkey AS resp_id,
+  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) - 1 AS BIGINT) AS grid_idx,
+  round(CASE WHEN l_quantity < -900 OR l_quantity > 2000 THEN NULL ELSE l_quantity END, {R}) AS value
+FROM lineitem"""
+
+_LB = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+
+SQL_PREVIEW = f"""WITH p AS (
+  SELECT page_id, html,
+    CASE WHEN length(html) = 0 THEN []::VARCHAR[]
+         WHEN regexp_matches(html, '(?:{_LB})$') THEN list_slice(string_split_regex(html, '{_LB}'), 1, -2)
+         ELSE string_split_regex(html, '{_LB}') END AS lines
+  FROM pages)
+SELECT page_id, CAST(length(html) AS BIGINT) AS total_chars, CAST(len(lines) AS BIGINT) AS total_lines,
+  substr(replace(html, chr(10), ' '), 1, 500) AS preview,
+  array_to_string(list_slice(lines, 1, 30), chr(10)) AS head,
+  CASE WHEN len(lines) > 30 THEN array_to_string(list_slice(lines, len(lines) - 29, len(lines)), chr(10)) ELSE '' END AS tail
+FROM p"""
+
+# -- mapping / geometry ------------------------------------------------------
+
+MAP_SIDES = """hjd AS (
+  SELECT c_custkey AS grid_idx, 33.0::DOUBLE + (c_custkey % 100) * 0.05::DOUBLE AS lat,
+         124.0::DOUBLE + (c_custkey % 77) * 0.05::DOUBLE AS lon,
+         CASE WHEN c_acctbal < 0 THEN NULL ELSE lpad(CAST(c_nationkey AS VARCHAR), 2, '0') END AS HJD_CD,
+         c_name AS HJD_NM
+  FROM customer WHERE c_custkey % 3 <> 0),
+bjd AS (
+  SELECT c_custkey AS grid_idx, c_mktsegment AS EMD_CD, lower(c_mktsegment) AS EMD_NM
+  FROM customer WHERE c_custkey % 4 <> 0),
+uni AS (
+  SELECT coalesce(h.grid_idx, b.grid_idx) AS grid_idx, h.lat, h.lon, h.HJD_CD, h.HJD_NM, b.EMD_CD, b.EMD_NM
+  FROM hjd h FULL OUTER JOIN bjd b ON h.grid_idx = b.grid_idx)"""
+
+SQL_UNIFIED = f"""WITH {MAP_SIDES}
+SELECT grid_idx, round(lat, {R}) AS lat, round(lon, {R}) AS lon, HJD_CD, HJD_NM, EMD_CD, EMD_NM FROM uni"""
+
+SQL_PROFILE = f"""WITH {MAP_SIDES}
+SELECT count(*) AS cells,
+  count(*) FILTER (WHERE HJD_CD IS NOT NULL) AS mapped_hjd,
+  count(*) FILTER (WHERE EMD_CD IS NOT NULL) AS mapped_bjd,
+  count(*) FILTER (WHERE HJD_CD IS NOT NULL AND EMD_CD IS NOT NULL) AS mapped_both,
+  count(*) FILTER (WHERE HJD_CD IS NOT NULL AND EMD_CD IS NULL) AS hjd_only,
+  count(*) FILTER (WHERE HJD_CD IS NULL AND EMD_CD IS NOT NULL) AS bjd_only,
+  count(*) FILTER (WHERE HJD_CD IS NULL AND EMD_CD IS NULL) AS unmapped
+FROM uni"""
+
+SQL_DENSITY = f"""WITH {MAP}
+SELECT HJD_CD, count(*) AS cells, (SELECT count(DISTINCT HJD_CD) FROM map) AS n_HJD_CD
+FROM map WHERE HJD_CD IS NOT NULL GROUP BY HJD_CD"""
+
+SQL_MESH = f"""WITH la AS (SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS i, 33.0::DOUBLE + n_nationkey * 0.25::DOUBLE AS lat FROM nation),
+lo AS (SELECT row_number() OVER (ORDER BY r_regionkey) - 1 AS j, 124.0::DOUBLE + r_regionkey * 0.5::DOUBLE AS lon FROM region)
+SELECT CAST(i * (SELECT count(*) FROM region) + j AS BIGINT) AS grid_idx, round(lat, {R}) AS lat, round(lon, {R}) AS lon
+FROM la CROSS JOIN lo"""
+
+SQL_ROWS = f"""SELECT CAST(n_nationkey * 4 + x AS BIGINT) AS grid_idx,
+  round(33.0::DOUBLE + n_nationkey * 0.1::DOUBLE + x * 0.001::DOUBLE, {R}) AS lat,
+  round(124.0::DOUBLE + x * 0.1::DOUBLE + n_regionkey * 0.01::DOUBLE, {R}) AS lon
+FROM nation, range(0, 4) r(x)"""
+
+POLY_EDGES = """verts AS (
+  SELECT 'T0' AS code, 'triangle' AS name, 0 AS ring, v.* FROM (VALUES
+    (0, -0.2, -0.2), (1, 0.1, -0.1), (2, 0.0, 0.2)) v(k, x, y)
+  UNION ALL SELECT 'SQ', 'square', 0, v.* FROM (VALUES
+    (0, -0.3, -0.3), (1, 0.0, -0.3), (2, 0.0, 0.0), (3, -0.3, 0.0)) v(k, x, y)
+  UNION ALL SELECT 'SQ', 'square', 1, v.* FROM (VALUES
+    (0, -0.2, -0.2), (1, -0.1, -0.2), (2, -0.1, -0.1), (3, -0.2, -0.1)) v(k, x, y)
+  UNION ALL SELECT r_name, lower(r_name), 0, 0, r_regionkey * 0.1 - 0.25 - 0.1, -0.1 FROM region
+  UNION ALL SELECT r_name, lower(r_name), 0, 1, r_regionkey * 0.1 - 0.25 + 0.1, -0.1 FROM region
+  UNION ALL SELECT r_name, lower(r_name), 0, 2, r_regionkey * 0.1 - 0.25, 0.15 FROM region),
+edges AS (
+  SELECT code, name, x AS x1, y AS y1,
+    coalesce(lead(x) OVER w, first_value(x) OVER w) AS x2,
+    coalesce(lead(y) OVER w, first_value(y) OVER w) AS y2
+  FROM verts WINDOW w AS (PARTITION BY code, name, ring ORDER BY k
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
+
+SQL_PIP = f"""WITH pts AS (SELECT vec_id AS pid, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+{POLY_EDGES},
+tests AS (
+  SELECT p.pid, e.code, e.name,
+    sum(CASE WHEN ((e.y1 > p.y) <> (e.y2 > p.y)) AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / (e.y2 - e.y1) + e.x1
+             THEN 1 ELSE 0 END) AS crossings,
+    bool_or((e.x2 - e.x1) * (p.y - e.y1) - (e.y2 - e.y1) * (p.x - e.x1) = 0
+            AND p.x BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)
+            AND p.y BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)) AS on_edge
+  FROM pts p CROSS JOIN edges e GROUP BY p.pid, e.code, e.name),
+hits AS (SELECT pid, code, name FROM tests WHERE crossings % 2 = 1 AND NOT on_edge)
+SELECT p.pid, round(p.x, {R}) AS x, round(p.y, {R}) AS y, h.code, h.name
+FROM pts p LEFT JOIN hits h ON p.pid = h.pid"""
+
+
+def _reproject_sql() -> str:
+    from ..functions.geometry import GRS80_A, GRS80_F, TM_K0, TM_LAT0, TM_LON0, _series, rectifying_latitude
+    _, A1, beta, delta = _series(GRS80_F)
+    kA = TM_K0 * GRS80_A * A1
+    mu0 = rectifying_latitude(TM_LAT0)
+    xi_p = "xi" + "".join(f" - {b!r} * sin({2*j} * xi) * cosh({2*j} * eta)" for j, b in enumerate(beta, 1))
+    eta_p = "eta" + "".join(f" - {b!r} * cos({2*j} * xi) * sinh({2*j} * eta)" for j, b in enumerate(beta, 1))
+    lat = "chi" + "".join(f" + {d!r} * sin({2*j} * chi)" for j, d in enumerate(delta, 1))
+    return f"""WITH p AS (SELECT vec_id AS pid, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+a AS (SELECT pid, (2000000.0 + y * 1e6 - 2000000.0) / {kA!r} + {mu0!r} AS xi, (1000000.0 + x * 1e6 - 1000000.0) / {kA!r} AS eta FROM p),
+b AS (SELECT pid, {xi_p} AS xip, {eta_p} AS etap FROM a),
+c AS (SELECT pid, xip, etap, asin(sin(xip) / cosh(etap)) AS chi FROM b)
+SELECT pid, round(degrees({TM_LON0 * 3.141592653589793 / 180.0!r} + atan2(sinh(etap), cos(xip))), {R}) AS lon,
+  round(degrees({lat}), {R}) AS lat FROM c"""
+
+
+# -- stations ----------------------------------------------------------------
+
+SQL_STATION_PARSE = f"""WITH {DAILY}
+SELECT printf('weather_data_stn%d_%d0101_%d1231.txt', STN, file_year, file_year) AS path,
+  TM, STN, CAST((ord % 40) - 10 AS DOUBLE) AS TA_AVG, round(RN_DAY, {R}) AS RN_DAY, CAST(-9.0 AS DOUBLE) AS TE_50
+FROM daily"""
+
+SQL_LAW_ID = f"""WITH {DAILY},
+dim AS (
+  SELECT n_nationkey AS STN_ID, lpad(CAST(n_regionkey AS VARCHAR), 10, '0') AS LAW_ID, n_nationkey * 2 AS ord
+  FROM nation WHERE n_nationkey % 7 <> 0
+  UNION ALL
+  SELECT n_nationkey, lpad(CAST(n_regionkey + 5 AS VARCHAR), 10, '0'), n_nationkey * 2 + 1
+  FROM nation WHERE n_nationkey % 7 <> 0 AND n_nationkey % 4 = 1),
+last AS (SELECT STN_ID, arg_max(LAW_ID, ord) AS LAW_ID FROM dim GROUP BY STN_ID)
+SELECT d.STN, d.TM, d.file_year, d.ord, l.LAW_ID FROM daily d LEFT JOIN last l ON d.STN = l.STN_ID"""
+
+KEYS = """k AS (
+  SELECT file_year AS year, STN AS stn, ord,
+         CASE WHEN regexp_matches(CAST(TM AS VARCHAR), '^[0-9]{8}$') THEN try_strptime(CAST(TM AS VARCHAR), '%Y%m%d')::DATE END AS tm
+  FROM daily)"""
+
+PER_STATION = """pres AS (SELECT DISTINCT year, stn, tm FROM k WHERE stn IS NOT NULL AND tm IS NOT NULL),
+cnt AS (SELECT year, stn, count(*) AS days_present FROM pres GROUP BY year, stn),
+cal AS (SELECT c.year, c.stn, unnest(generate_series(make_date(c.year, 1, 1), make_date(c.year, 12, 31), INTERVAL 1 DAY))::DATE AS tm
+        FROM cnt c),
+miss AS (SELECT year, stn, tm FROM cal EXCEPT SELECT year, stn, tm FROM pres),
+ms AS (SELECT year, stn, count(*) AS n, list(strftime(tm, '%Y-%m-%d') ORDER BY tm) AS l FROM miss GROUP BY year, stn),
+ps AS (
+  SELECT c.year, c.stn AS STN, c.days_present,
+    CAST(datediff('day', make_date(c.year, 1, 1), make_date(c.year + 1, 1, 1)) AS BIGINT) AS days_expected,
+    CAST(datediff('day', make_date(c.year, 1, 1), make_date(c.year + 1, 1, 1)) - c.days_present AS BIGINT) AS days_missing,
+    CASE WHEN ms.n IS NULL THEN ''
+         ELSE array_to_string(list_slice(ms.l, 1, 10), ', ') || CASE WHEN ms.n > 10 THEN ' ...' ELSE '' END END AS missing_sample
+  FROM cnt c LEFT JOIN ms ON c.year = ms.year AND c.stn = ms.stn),
+psi AS (SELECT ps.*, stn.LAW_ID, stn.LAW_NM FROM ps LEFT JOIN stn ON ps.STN = stn.STN_ID)"""
+
+SQL_COMPLETENESS = f"""WITH {DAILY}, {STN}, {KEYS}, {PER_STATION}
+SELECT * FROM psi"""
+
+DUPS = """dup AS (SELECT year, stn AS STN, tm AS TM FROM k WHERE stn IS NOT NULL AND tm IS NOT NULL
+                GROUP BY year, stn, tm HAVING count(*) > 1)"""
+
+SQL_DUPS = f"""WITH {DAILY}, {KEYS}, {DUPS}
+SELECT year, STN, strftime(TM, '%Y-%m-%d') AS TM FROM dup"""
+
+SQL_OOR = f"""WITH {DAILY}, {KEYS}
+SELECT year, stn AS STN, strftime(tm, '%Y-%m-%d') AS TM FROM k
+WHERE tm IS NOT NULL AND (tm < make_date(year, 1, 1) OR tm > make_date(year, 12, 31))"""
+
+SQL_YEAR_METRICS = f"""WITH {DAILY}, {STN}, {KEYS}, {PER_STATION}, {DUPS},
+yrs AS (SELECT DISTINCT year FROM k),
+st AS (SELECT year, count(DISTINCT STN) AS station_count,
+              count(*) FILTER (WHERE days_missing = 0) AS full_coverage_station_count,
+              count(*) FILTER (WHERE days_missing > 0) AS any_missing_station_count FROM psi GROUP BY year),
+dc AS (SELECT year, count(*) AS duplicate_records FROM dup GROUP BY year),
+oc AS (SELECT year, count(*) AS out_of_range_records FROM k
+       WHERE tm IS NOT NULL AND (tm < make_date(year, 1, 1) OR tm > make_date(year, 12, 31)) GROUP BY year)
+SELECT y.year, coalesce(station_count, 0) AS station_count,
+  coalesce(full_coverage_station_count, 0) AS full_coverage_station_count,
+  coalesce(any_missing_station_count, 0) AS any_missing_station_count,
+  coalesce(duplicate_records, 0) AS duplicate_records, coalesce(out_of_range_records, 0) AS out_of_range_records
+FROM yrs y LEFT JOIN st USING (year) LEFT JOIN dc USING (year) LEFT JOIN oc USING (year)"""
+
+SQL_CHURN = f"""WITH {DAILY}, {STN}, {KEYS},
+s AS (SELECT DISTINCT year, stn FROM k WHERE stn IS NOT NULL AND tm IS NOT NULL),
+y AS (SELECT year, lag(year) OVER (ORDER BY year) AS prev FROM (SELECT DISTINCT year FROM s)),
+ch AS (
+  SELECT y.year, s.stn, 'added' AS change FROM y JOIN s ON s.year = y.year
+  WHERE NOT EXISTS (SELECT 1 FROM s p WHERE p.year = y.prev AND p.stn = s.stn)
+  UNION ALL
+  SELECT y.year, p.stn, 'removed' FROM y JOIN s p ON p.year = y.prev
+  WHERE NOT EXISTS (SELECT 1 FROM s c WHERE c.year = y.year AND c.stn = p.stn))
+SELECT ch.stn AS STN, ch.year, ch.change, stn.LAW_ID, stn.LAW_NM FROM ch LEFT JOIN stn ON ch.stn = stn.STN_ID"""
+
+SQL_TOP = f"""WITH {DAILY}, {KEYS}, {DUPS}
+SELECT year, STN, strftime(TM, '%Y-%m-%d') AS TM FROM dup
+QUALIFY row_number() OVER (PARTITION BY year ORDER BY STN, TM) <= 100"""
+
+
 def oracle() -> dict:
     return {
         "region_day_mean": region_day_sql("mean"),
@@ -134,4 +398,28 @@ def oracle() -> dict:
         "cell_3hour_pivot": cell_pivot_sql("sd_3hr"),
         "merge_variables": region_day_sql("mean"),
         "region_names": region_names_sql(),
+        "season_filter": SQL_SEASON,
+        "sentinel_clean": SQL_SENTINEL,
+        "hour_completeness": SQL_HOURS,
+        "missing_var_days": SQL_MISSING_VAR_DAYS,
+        "complete_days": SQL_COMPLETE_DAYS,
+        "todo_days": SQL_TODO,
+        "error_responses": SQL_ERRORS,
+        "parse_tokens": SQL_PARSE_TOKENS,
+        "response_preview": SQL_PREVIEW,
+        "mapping_profile": SQL_PROFILE,
+        "region_density": SQL_DENSITY,
+        "unified_mapping": SQL_UNIFIED,
+        "grid_mesh": SQL_MESH,
+        "grid_rows": SQL_ROWS,
+        "points_in_polygons": SQL_PIP,
+        "reproject": _reproject_sql(),
+        "station_parse": SQL_STATION_PARSE,
+        "station_law_id": SQL_LAW_ID,
+        "station_completeness": SQL_COMPLETENESS,
+        "duplicate_keys": SQL_DUPS,
+        "out_of_range": SQL_OOR,
+        "year_metrics": SQL_YEAR_METRICS,
+        "station_churn": SQL_CHURN,
+        "report_top_rows": SQL_TOP,
     }

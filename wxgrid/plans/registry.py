@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..catalogue import specs
-from ..operators import regional
+from ..functions import geometry
+from ..functions import text as T
+from ..functions.values import clean_sentinel
+from ..operators import coverage, gates, ingest, regional, spatial, stations
 from ..sources import adapters as A
 
 ALL_VARS = ("ta", "rn_60m", "sd_3hr")
@@ -87,6 +90,259 @@ def region_names(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out)
 
 
+# -- gates -------------------------------------------------------------------
+
+def _orders_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Order dates shifted 27 years (2019-2025), so both snow rules apply."""
+    o = A.table(spark, sf, "orders")
+    v = F.col("o_orderkey") % 3
+    return o.select("o_orderkey", "o_orderstatus",
+                    F.date_format(F.add_months(F.col("o_orderdate"), 27 * 12), "yyyyMMdd").alias("date"),
+                    F.when(v == 0, "ta").when(v == 1, "rn_60m").otherwise("sd_3hr").alias("var"))
+
+
+def season_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return gates.season_filter(_orders_days(spark, sf)).select("o_orderkey", "date", "var")
+
+
+def sentinel_clean(spark: SparkSession, sf: str) -> DataFrame:
+    li = A.table(spark, sf, "lineitem")
+    raw = F.col("l_extendedprice") / F.lit(20.0) - F.lit(1000.0)
+    return rounded(li.select("l_orderkey", "l_linenumber", clean_sentinel(raw).alias("value")))
+
+
+def hour_completeness(spark: SparkSession, sf: str) -> DataFrame:
+    return gates.hour_status(A.obs(spark, sf), ALL_VARS)
+
+
+def missing_var_days(spark: SparkSession, sf: str) -> DataFrame:
+    o = A.obs(spark, sf)
+    exp = gates.expected_pairs(gates.month_calendar(o.select("date")), ALL_VARS)
+    return gates.missing_pairs(exp, o)
+
+
+def complete_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Reference gate (strict): a day runs only if every requested variable
+    has data; rows of the kept days, counted per day and variable."""
+    o = A.obs(spark, sf)
+    exp = gates.expected_pairs(gates.month_calendar(o.select("date")), ALL_VARS, strict=True)
+    kept = gates.gate(o, gates.complete_days(exp, o))
+    return kept.groupBy("date", "var").agg(F.count(F.lit(1)).alias("n_obs"))
+
+
+def todo_days(spark: SparkSession, sf: str) -> DataFrame:
+    d = _orders_days(spark, sf)
+    requested = gates.month_calendar(d.select("date"))
+    done = d.where(F.col("o_orderstatus") == "F").select("date")
+    return gates.todo(requested, done, ["date"])
+
+
+# -- raw responses -----------------------------------------------------------
+
+def error_responses(spark: SparkSession, sf: str) -> DataFrame:
+    pages = A.table(spark, sf, "pages").select(F.lit("pages").alias("src"), F.col("page_id").alias("id"),
+                                               F.col("html").alias("text"))
+    docs = A.table(spark, sf, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
+                                                  "text")
+    both = pages.unionByName(docs)
+    return both.select("src", "id", T.is_error_response(F.col("text")).alias("is_error"))
+
+
+def parse_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    r = A.responses(spark, sf).select("resp_id", "expected_n", "text",
+                                      F.lit("ta").alias("var"), F.lit("202401010000").alias("tm"))
+    valid = ingest.validate(r, F.col("expected_n"))
+    return rounded(ingest.to_long(valid, extra=("resp_id",)).select("resp_id", "grid_idx", "value"))
+
+
+def response_preview(spark: SparkSession, sf: str) -> DataFrame:
+    p = A.table(spark, sf, "pages")
+    lines = T.split_lines(F.col("html"))
+    return p.select("page_id",
+                    F.length("html").cast("long").alias("total_chars"),
+                    F.size(lines).cast("long").alias("total_lines"),
+                    T.preview(F.col("html")).alias("preview"),
+                    T.snippet_head(lines).alias("head"),
+                    T.snippet_tail(lines).alias("tail"))
+
+
+# -- mapping / geometry ------------------------------------------------------
+
+def _map_sides(spark: SparkSession, sf: str):
+    c = A.table(spark, sf, "customer")
+    lat = (F.lit(33.0) + (F.col("c_custkey") % 100) * F.lit(0.05)).alias("lat")
+    lon = (F.lit(124.0) + (F.col("c_custkey") % 77) * F.lit(0.05)).alias("lon")
+    hjd = c.where(F.col("c_custkey") % 3 != 0).select(
+        F.col("c_custkey").alias("grid_idx"), lat, lon,
+        F.when(F.col("c_acctbal") < 0, F.lit(None))
+         .otherwise(F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("HJD_CD"),
+        F.col("c_name").alias("HJD_NM"))
+    bjd = c.where(F.col("c_custkey") % 4 != 0).select(
+        F.col("c_custkey").alias("grid_idx"), lat, lon,
+        F.col("c_mktsegment").alias("EMD_CD"), F.lower("c_mktsegment").alias("EMD_NM"))
+    return hjd, bjd
+
+
+def unified_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    hjd, bjd = _map_sides(spark, sf)
+    return rounded(spatial.unified_mapping(hjd, bjd))
+
+
+def mapping_profile(spark: SparkSession, sf: str) -> DataFrame:
+    hjd, bjd = _map_sides(spark, sf)
+    return spatial.mapping_profile(spatial.unified_mapping(hjd, bjd))
+
+
+def region_density(spark: SparkSession, sf: str) -> DataFrame:
+    m = A.mapping(spark, sf)
+    dens = spatial.region_density(m, "HJD_CD")
+    n = regional.count_regions(m.select("grid_idx", "HJD_CD"))
+    # n is a one-row aggregate: attach it to every region row.
+    return dens.join(F.broadcast(n), how="left_outer", on=F.lit(True))
+
+
+def grid_mesh(spark: SparkSession, sf: str) -> DataFrame:
+    n = A.table(spark, sf, "nation")
+    r = A.table(spark, sf, "region")
+    # Axes: one latitude per nation, one longitude per region (bounded by the
+    # axis length, so each axis is one small array).
+    lat = n.agg(F.transform(F.array_sort(F.collect_list("n_nationkey")),
+                            lambda k: F.lit(33.0) + k * F.lit(0.25)).alias("lat"))
+    lon = r.agg(F.transform(F.array_sort(F.collect_list("r_regionkey")),
+                            lambda k: F.lit(124.0) + k * F.lit(0.5)).alias("lon"))
+    axes = lat.join(lon, how="inner", on=F.lit(True))
+    return rounded(spatial.grid_from_axes(axes))
+
+
+def grid_rows(spark: SparkSession, sf: str) -> DataFrame:
+    n = A.table(spark, sf, "nation")
+    xs = F.sequence(F.lit(0), F.lit(3))
+    rows = n.select(F.col("n_nationkey").alias("y"),
+                    F.transform(xs, lambda j: F.lit(33.0) + F.col("n_nationkey") * F.lit(0.1) + j * F.lit(0.001)).alias("lat"),
+                    F.transform(xs, lambda j: F.lit(124.0) + j * F.lit(0.1) + F.col("n_regionkey") * F.lit(0.01)).alias("lon"))
+    return rounded(spatial.grid_from_rows(rows))
+
+
+def _test_polygons(spark: SparkSession, sf: str) -> DataFrame:
+    """A triangle, a square with a hole, and one triangle per region row."""
+    def ring(pts):
+        return F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in pts])
+    base = spark.range(1).select(
+        F.lit("T0").alias("code"), F.lit("triangle").alias("name"),
+        F.array(ring([(-0.2, -0.2), (0.1, -0.1), (0.0, 0.2)])).alias("rings"))
+    sq = spark.range(1).select(
+        F.lit("SQ").alias("code"), F.lit("square").alias("name"),
+        F.array(ring([(-0.3, -0.3), (0.0, -0.3), (0.0, 0.0), (-0.3, 0.0)]),
+                ring([(-0.2, -0.2), (-0.1, -0.2), (-0.1, -0.1), (-0.2, -0.1)])).alias("rings"))
+    reg = A.table(spark, sf, "region")
+    cx = F.col("r_regionkey") * F.lit(0.1) - F.lit(0.25)
+
+    def pt(x, y):
+        return F.struct(x.alias("x"), y.alias("y"))
+    tri = reg.select(F.col("r_name").alias("code"), F.lower("r_name").alias("name"),
+                     F.array(F.array(pt(cx - F.lit(0.1), F.lit(-0.1)), pt(cx + F.lit(0.1), F.lit(-0.1)),
+                                     pt(cx, F.lit(0.15)))).alias("rings"))
+    return spatial.union_layers([base, sq, tri])
+
+
+def points_in_polygons(spark: SparkSession, sf: str) -> DataFrame:
+    pts = A.points(spark, sf)
+    polys = _test_polygons(spark, sf)
+    out = spatial.points_in_polygons(pts, polys, "code", "name", x_col="x", y_col="y", id_col="pid")
+    return rounded(out)
+
+
+def reproject(spark: SparkSession, sf: str) -> DataFrame:
+    p = A.points(spark, sf)
+    lon, lat = geometry.tm_to_lonlat(F.lit(1000000.0) + p.x * F.lit(1e6), F.lit(2000000.0) + p.y * F.lit(1e6))
+    return rounded(p.select("pid", lon.alias("lon"), lat.alias("lat")))
+
+
+# -- stations ----------------------------------------------------------------
+
+def _station_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Station daily files rebuilt as lines: a help block, 56-field data
+    lines, an occasional '#' note in the middle and the end marker."""
+    d = A.daily(spark, sf)
+    path = F.format_string("weather_data_stn%d_%d0101_%d1231.txt", F.col("STN"), F.col("file_year"), F.col("file_year"))
+    fields = []
+    for name in stations.DAILY_COLUMNS:
+        if name == "TM":
+            fields.append(F.col("TM").cast("string"))
+        elif name == "STN":
+            fields.append(F.col("STN").cast("string"))
+        elif name == "RN_DAY":
+            fields.append(F.col("RN_DAY").cast("string"))
+        elif name == "TA_AVG":
+            fields.append(((F.col("ord") % 40) - 10).cast("string"))
+        else:
+            fields.append(F.lit("-9"))
+    data = d.select(path.alias("path"), (F.col("ord") * 2).alias("line_no"), F.concat_ws("   ", *fields).alias("line"))
+    notes = d.where(F.col("ord") % 50 == 0).select(path.alias("path"), (F.col("ord") * 2 + 1).alias("line_no"),
+                                                    F.lit("# note").alias("line"))
+    files = d.select(path.alias("path")).distinct()
+    head = files.select("path", F.posexplode(F.array(F.lit("# daily table"), F.lit("#  TM STN ..."), F.lit(""))).alias("i", "line")) \
+                .select("path", (F.col("i") - 3).cast("long").alias("line_no"), "line")
+    end = files.select("path", F.lit(1 << 40).cast("long").alias("line_no"), F.lit("#7777END,,,").alias("line"))
+    return data.unionByName(notes).unionByName(head).unionByName(end)
+
+
+def station_parse(spark: SparkSession, sf: str) -> DataFrame:
+    t = stations.parse_daily(_station_lines(spark, sf))
+    return rounded(t.select("path", "TM", "STN", "TA_AVG", "RN_DAY", "TE_50"))
+
+
+def _station_dim_dups(spark: SparkSession, sf: str) -> DataFrame:
+    n = A.table(spark, sf, "nation").where(F.col("n_nationkey") % 7 != 0)
+    first = n.select(F.col("n_nationkey").alias("STN_ID"),
+                     F.lpad(F.col("n_regionkey").cast("string"), 10, "0").alias("LAW_ID"),
+                     (F.col("n_nationkey") * 2).cast("long").alias("ord"))
+    again = n.where(F.col("n_nationkey") % 4 == 1).select(
+        F.col("n_nationkey").alias("STN_ID"),
+        F.lpad((F.col("n_regionkey") + 5).cast("string"), 10, "0").alias("LAW_ID"),
+        (F.col("n_nationkey") * 2 + 1).cast("long").alias("ord"))
+    return first.unionByName(again)
+
+
+def station_law_id(spark: SparkSession, sf: str) -> DataFrame:
+    d = A.daily(spark, sf).drop("RN_DAY")
+    return stations.law_id_lookup(d, _station_dim_dups(spark, sf))
+
+
+def _keys(spark: SparkSession, sf: str) -> DataFrame:
+    return coverage.clean_keys(A.daily(spark, sf), "file_year")
+
+
+def _dates_as_text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if t == "date" else F.col(c)
+                       for c, t in df.dtypes])
+
+
+def station_completeness(spark: SparkSession, sf: str) -> DataFrame:
+    return coverage.per_station(_keys(spark, sf), A.stations(spark, sf))
+
+
+def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return _dates_as_text(coverage.duplicate_keys(_keys(spark, sf)))
+
+
+def out_of_range(spark: SparkSession, sf: str) -> DataFrame:
+    return _dates_as_text(coverage.out_of_range(_keys(spark, sf)))
+
+
+def year_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return coverage.year_metrics(_keys(spark, sf), A.stations(spark, sf))
+
+
+def station_churn(spark: SparkSession, sf: str) -> DataFrame:
+    return coverage.station_churn(_keys(spark, sf), A.stations(spark, sf))
+
+
+def report_top_rows(spark: SparkSession, sf: str) -> DataFrame:
+    dup = coverage.duplicate_keys(_keys(spark, sf))
+    return _dates_as_text(coverage.top_rows(dup, coverage.CAP_DETAIL, ["STN", "TM"]))
+
+
 def registry() -> dict:
     return {
         "region_day_mean": region_day_mean,
@@ -97,4 +353,28 @@ def registry() -> dict:
         "cell_3hour_pivot": cell_3hour_pivot,
         "merge_variables": merge_variables,
         "region_names": region_names,
+        "season_filter": season_filter,
+        "sentinel_clean": sentinel_clean,
+        "hour_completeness": hour_completeness,
+        "missing_var_days": missing_var_days,
+        "complete_days": complete_days,
+        "todo_days": todo_days,
+        "error_responses": error_responses,
+        "parse_tokens": parse_tokens,
+        "response_preview": response_preview,
+        "mapping_profile": mapping_profile,
+        "region_density": region_density,
+        "unified_mapping": unified_mapping,
+        "grid_mesh": grid_mesh,
+        "grid_rows": grid_rows,
+        "points_in_polygons": points_in_polygons,
+        "reproject": reproject,
+        "station_parse": station_parse,
+        "station_law_id": station_law_id,
+        "station_completeness": station_completeness,
+        "duplicate_keys": duplicate_keys,
+        "out_of_range": out_of_range,
+        "year_metrics": year_metrics,
+        "station_churn": station_churn,
+        "report_top_rows": report_top_rows,
     }
