@@ -73,32 +73,42 @@ def strip(c: Column) -> Column:
 
 
 def is_error_response(text: Column) -> Column:
-    """True for a blank / missing response or an HTML / error page."""
-    t = strip(text)
-    head = F.lower(F.substring(t, 1, ERROR_HEAD_CHARS))
+    """True for a blank / missing response or an HTML / error page.
+
+    Only the first 400 characters after leading whitespace are examined.
+    The leading run is measured with one anchored match, so a long text is
+    never scanned in full; dropping trailing whitespace cannot change a
+    marker test (no marker starts or ends with whitespace).
+    """
+    lead = F.length(F.regexp_extract(text, f"^{WS}*", 0))
+    head = F.lower(F.substring(text, lead + 1, ERROR_HEAD_CHARS))
     marked = None
     for m in ERROR_MARKERS:
         hit = head.contains(m)
         marked = hit if marked is None else (marked | hit)
     err = head.contains(ERROR_WORD) & ~head.contains("#")
-    return F.when(text.isNull() | (F.length(t) == 0), F.lit(True)).otherwise(marked | err)
+    return F.when(text.isNull() | (F.length(text) == lead), F.lit(True)).otherwise(marked | err)
 
 
 def data_lines(text: Column) -> Column:
-    """Lines of the (stripped) text that are not blank and not ``#`` comments."""
-    lines = F.split(strip(text), "\n")
-    return F.filter(lines, lambda l: (F.length(strip(l)) > 0) & ~strip(l).startswith("#"))
+    """Lines that are not blank and not ``#`` comments (after stripping)."""
+    return F.filter(F.split(text, "\n"), lambda l: ~l.rlike(f"^{WS}*(?:#|\\z)"))
 
 
 def parse_number(tok: Column) -> Column:
     """One token -> double with Python ``float`` syntax, NULL if not a number.
 
-    NULL means "skip this token"; NaN and +-inf are numbers here (they are
-    nulled later by the sentinel rule).
+    Fast path: Spark's cast, accepted when the token has none of the letters
+    Java allows but Python does not (``1d``, ``1f``, hex floats) and is not a
+    word (inf/nan, handled below).  Underscore-grouped digits go through the
+    full pattern.  NULL means "skip this token"; NaN and +-inf are numbers
+    here (the sentinel rule nulls them later).
     """
-    special = F.when(F.lower(tok).rlike(r"^[+-]?nan$"), F.lit(float("nan"))) \
-               .otherwise(tok.try_cast("double"))
-    return (F.when(tok.rlike(NUMBER_RE), F.regexp_replace(tok, "_", "").try_cast("double"))
+    c = tok.try_cast("double")
+    plain = F.length(F.translate(tok, "dDfFxXpPiInN_", "")) == F.length(tok)
+    special = F.when(F.lower(tok).rlike(r"^[+-]?nan$"), F.lit(float("nan"))).otherwise(c)
+    return (F.when(plain, c)
+             .when(tok.contains("_") & tok.rlike(NUMBER_RE), F.regexp_replace(tok, "_", "").try_cast("double"))
              .when(tok.rlike(SPECIAL_RE), special))
 
 
@@ -106,7 +116,7 @@ def tokenize_numbers(text: Column) -> Column:
     """All numeric tokens of the data lines, in order (commas count as blanks)."""
     toks = F.flatten(F.transform(
         data_lines(text),
-        lambda l: F.filter(F.split(strip(F.regexp_replace(l, ",", " ")), f"{WS}+"), lambda t: F.length(t) > 0)))
+        lambda l: F.filter(F.split(F.translate(l, ",", " "), f"{WS}+"), lambda t: F.length(t) > 0)))
     nums = F.transform(toks, parse_number)
     return F.filter(nums, lambda x: x.isNotNull())
 
