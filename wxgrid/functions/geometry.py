@@ -45,10 +45,10 @@ def rectifying_latitude(lat_deg: float, f: float = GRS80_F) -> float:
     """Rectifying latitude (radians) of a geodetic latitude, series in n."""
     n = f / (2 - f)
     p = math.radians(lat_deg)
-    return (p - (3 * n / 2 - 27 * n ** 3 / 32) * math.sin(2 * p)
-            + (21 * n ** 2 / 16 - 55 * n ** 4 / 32) * math.sin(4 * p)
-            - (151 * n ** 3 / 96) * math.sin(6 * p)
-            + (1097 * n ** 4 / 512) * math.sin(8 * p))
+    return (p - (3 * n / 2 - 9 * n ** 3 / 16) * math.sin(2 * p)
+            + (15 * n ** 2 / 16 - 15 * n ** 4 / 32) * math.sin(4 * p)
+            - (35 * n ** 3 / 48) * math.sin(6 * p)
+            + (315 * n ** 4 / 512) * math.sin(8 * p))
 
 
 def tm_to_lonlat(e: Column, n_: Column, a: float = GRS80_A, f: float = GRS80_F,

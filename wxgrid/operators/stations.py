@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import WS
 from ..functions.values import safe_double, safe_int
 from ..plans.hints import broadcast_if_small
 
@@ -30,8 +31,11 @@ END_MARKER = "#7777END"
 
 
 def _is_comment_or_blank(line):
-    t = F.trim(line)
-    return (F.length(t) == 0) | F.ltrim(line).startswith("#")
+    return line.rlike(f"^{WS}*(?:#|\\z)")
+
+
+def _is_end_marker(line):
+    return line.rlike(f"^{WS}*{END_MARKER}")
 
 
 def data_lines(lines: DataFrame, leading_only: bool = False) -> DataFrame:
@@ -49,9 +53,9 @@ def data_lines(lines: DataFrame, leading_only: bool = False) -> DataFrame:
     first = (lines.where(~_is_comment_or_blank(line))
                   .groupBy("path").agg(F.min("line_no").alias("_first")))
     kept = lines.join(first, "path").where(F.col("line_no") >= F.col("_first")).drop("_first")
-    kept = kept.where(~F.ltrim(line).startswith(END_MARKER))
+    kept = kept.where(~_is_end_marker(line))
     # Blank lines after the first data line carry no fields; drop them too.
-    return kept.where(F.length(F.trim(line)) > 0)
+    return kept.where(~line.rlike(f"^{WS}*\\z"))
 
 
 def parse_daily(lines: DataFrame, columns=DAILY_COLUMNS, leading_only: bool = False) -> DataFrame:
@@ -62,7 +66,7 @@ def parse_daily(lines: DataFrame, columns=DAILY_COLUMNS, leading_only: bool = Fa
     fields are ignored.
     """
     d = data_lines(lines, leading_only)
-    fields = F.split(F.trim(F.col("line")), r"\s+")
+    fields = F.filter(F.split(F.col("line"), f"{WS}+"), lambda t: F.length(t) > 0)
     d = d.withColumn("_f", fields)
     out = [F.col("path"), F.col("line_no")]
     for i, name in enumerate(columns):
