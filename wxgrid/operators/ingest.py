@@ -88,11 +88,16 @@ def day_status(valid: DataFrame, variables) -> DataFrame:
                        F.array_join(F.transform(miss, lambda h: h.cast("string")), ",").alias("missing_hours"))
 
 
-def quarantine(valid: DataFrame, status: DataFrame) -> DataFrame:
-    """Rejected responses, plus one row per incomplete (date, var)."""
-    bad = valid.where(F.col("reason").isNotNull()).select(
+def rejected(valid: DataFrame) -> DataFrame:
+    """Quarantine rows of the rejected responses."""
+    return valid.where(F.col("reason").isNotNull()).select(
         "tm", "var", "date", "hour", F.lit("ERROR").alias("level"), "reason",
         "preview", "head", "tail", "total_chars", "total_lines")
+
+
+def quarantine(valid: DataFrame, status: DataFrame) -> DataFrame:
+    """Rejected responses, plus one row per incomplete (date, var)."""
+    bad = rejected(valid)
     gaps = status.where(~F.col("complete")).select(
         F.concat("date", F.lit("----")).alias("tm"), "var", "date", F.lit(None).cast("int").alias("hour"),
         F.lit("ERROR").alias("level"),
