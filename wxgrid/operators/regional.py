@@ -66,7 +66,8 @@ def mapped_cells(mapping: DataFrame, id_cols=None) -> DataFrame:
 
 
 def cell_first_values(obs: DataFrame, mapping: DataFrame, variables,
-                      id_cols=None, season_filter: bool = True) -> tuple[DataFrame, list[str]]:
+                      id_cols=None, season_filter: bool = True,
+                      dedupe: bool = True) -> tuple[DataFrame, list[str]]:
     """Steps 1-3: one value per (date, codes, cell, var, slot).
 
     ``slot`` is the integer slot index (``functions.slots.slot_index``).
@@ -82,6 +83,9 @@ def cell_first_values(obs: DataFrame, mapping: DataFrame, variables,
     o = o.withColumn("slot", slot_index(F.col("var"), F.col("hour"), variables))
     m = broadcast_if_small(mapped_cells(mapping, id_cols))
     joined = o.join(m, "grid_idx", "inner")
+    if not dedupe:
+        return joined.select("date", *id_cols, "grid_idx", "var", "slot",
+                             F.col("value").alias("v"), "w"), id_cols
     cells = joined.groupBy("date", *id_cols, "grid_idx", "var", "slot").agg(
         F.min_by("value", "ord").alias("v"), F.max("w").alias("w"))
     return cells, id_cols
@@ -108,17 +112,24 @@ def _slot_aggregates(variables, method: str) -> list[Column]:
 
 
 def region_day(obs: DataFrame, mapping: DataFrame, variables=("ta", "rn_60m"),
-               method: str = "mean", id_cols=None, season_filter: bool = True) -> DataFrame:
+               method: str = "mean", id_cols=None, season_filter: bool = True,
+               dedupe: bool = True) -> DataFrame:
     """Fused operator: pivot + map + aggregate + merge for all days at once.
 
     Output columns: ``date``, sorted t*, sorted p*, sorted s*, then the
     region code column(s).  Every slot of every requested variable is a
     column (fixed schema); unordered until a sink sorts.
+
+    ``dedupe=False`` skips step 3 (the only shuffle of fact rows) and is
+    exact when the input holds at most one reading per (cell, date, var,
+    hour) -- true for the observation cache written by ``ingest``, which
+    keeps one response per (var, time).  Then the only shuffle left carries
+    map-side partial aggregates: at most (regions x days) rows per task.
     """
     if method not in METHODS:
         raise ValueError(f"Unknown method: {method}")
     variables = list(variables)
-    cells, id_cols = cell_first_values(obs, mapping, variables, id_cols, season_filter)
+    cells, id_cols = cell_first_values(obs, mapping, variables, id_cols, season_filter, dedupe)
     if method == "median":
         # A repeated mapping row repeats the cell's value; w is almost always 1.
         cells = cells.withColumn("w", F.explode(F.array_repeat(F.lit(1), F.col("w").cast("int"))))

@@ -43,6 +43,12 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
     Returns the per-day status table (date, var, complete, missing_hours).
     """
     resp = R.read_responses(spark, landing).where(F.col("var").isin(*list(variables)))
+    # One response per (var, time): the newest file wins.  Chosen from the
+    # file listing (path + modification time, no content read).
+    listing = R.list_responses(spark, landing)
+    newest = (listing.groupBy("var", "tm").agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
+              .select("path"))
+    resp = resp.join(F.broadcast(newest), "path", "left_semi")
     resp = resp.withColumn("date", F.substring("tm", 1, 8))
     resp = gates.season_filter(resp)
     if not force and _exists(spark, obs_root):
@@ -95,7 +101,9 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
     complete = gates.complete_days(expected, present)
     mapping = R.read_mapping(spark, mapping_path)
     keep = {"hjd": [HJD_CD], "bjd": [EMD_CD], "both": [HJD_CD, EMD_CD]}[region_type]
-    wide = regional.region_day(gates.gate(obs, complete), mapping.select("grid_idx", *keep), variables, method)
+    # The cache holds one reading per (cell, var, hour): no first-wins shuffle.
+    wide = regional.region_day(gates.gate(obs, complete), mapping.select("grid_idx", *keep), variables, method,
+                               dedupe=False)
     W.write_region_days(wide, os.path.join(out_root, "interim"), region_type)
     final = spark.read.parquet(os.path.join(out_root, "interim")).where(F.col("region_type") == region_type) \
         .drop("region_type")

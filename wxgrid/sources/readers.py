@@ -43,6 +43,15 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
                      F.col("value").alias("text"))
 
 
+def list_responses(spark: SparkSession, path: str) -> DataFrame:
+    """(path, var, tm, modificationTime) of the response files; the binary
+    file source reads no content when only these columns are selected."""
+    df = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
+    return df.select("path", "modificationTime",
+                     F.regexp_extract("path", RESPONSE_NAME, 1).alias("var"),
+                     F.regexp_extract("path", RESPONSE_NAME, 2).alias("tm"))
+
+
 def read_observations(spark: SparkSession, root: str, variables=None,
                       start: str | None = None, end: str | None = None) -> DataFrame:
     """Long observations from ``root/var=*/year=*/month=*/date=*``.
