@@ -121,20 +121,30 @@ def year_metrics(keys: DataFrame, station_info: DataFrame | None = None) -> Data
 def station_churn(keys: DataFrame, station_info: DataFrame | None = None) -> DataFrame:
     """Stations added / removed against the previous *available* year.
 
-    The first year lists every station as added.  The window runs over the
-    distinct years only (one row per file year), so its single partition is
-    a few dozen rows.
+    With ``prev(y)`` / ``next(y)`` the neighbouring years that have data at
+    all, a station present in ``y`` is *added* unless its own previous year
+    is ``prev(y)``, and a station present in ``p`` is *removed* in
+    ``next(p)`` unless its own next year is ``next(p)``.  So one window per
+    station (its years, a few dozen rows) plus a table of the distinct years
+    replaces set differences between whole years.  The first year lists
+    every station as added.
     """
     st = _present(keys).select("year", "stn").distinct()
-    years = st.select("year").distinct()
-    # Distinct years: tiny (one row per yearly file), a global order is fine.
-    yp = years.withColumn("prev", F.lag("year").over(Window.orderBy("year")))
-    cur = st.join(yp, "year")
-    prev_sets = st.select(F.col("year").alias("prev"), "stn")
-    added = cur.join(prev_sets, ["prev", "stn"], "left_anti").select("year", "stn", F.lit("added").alias("change"))
-    removed = (prev_sets.join(yp.where(F.col("prev").isNotNull()), "prev")
-               .join(st, ["year", "stn"], "left_anti")
-               .select("year", "stn", F.lit("removed").alias("change")))
+    # Distinct years: one row per yearly file; the global order is tiny.
+    w_all = Window.orderBy("year")
+    years = (st.select("year").distinct()
+               .withColumn("prev_y", F.lag("year").over(w_all))
+               .withColumn("next_y", F.lead("year").over(w_all)))
+    w_stn = Window.partitionBy("stn").orderBy("year")
+    own = (st.withColumn("own_prev", F.lag("year").over(w_stn))
+             .withColumn("own_next", F.lead("year").over(w_stn))
+             .join(F.broadcast(years), "year"))
+    added = own.where(F.col("own_prev").isNull() | F.col("prev_y").isNull()
+                      | (F.col("own_prev") != F.col("prev_y"))) \
+               .select("year", "stn", F.lit("added").alias("change"))
+    removed = own.where(F.col("next_y").isNotNull()
+                        & (F.col("own_next").isNull() | (F.col("own_next") != F.col("next_y")))) \
+                 .select(F.col("next_y").alias("year"), "stn", F.lit("removed").alias("change"))
     out = added.unionByName(removed).withColumnRenamed("stn", "STN")
     if station_info is not None:
         out = out.join(broadcast_if_small(station_info.withColumnRenamed("STN_ID", "STN")), "STN", "left")

@@ -247,8 +247,10 @@ SELECT count(*) AS cells,
 FROM uni"""
 
 SQL_DENSITY = f"""WITH {MAP}
-SELECT HJD_CD, count(*) AS cells, (SELECT count(DISTINCT HJD_CD) FROM map) AS n_HJD_CD
-FROM map WHERE HJD_CD IS NOT NULL GROUP BY HJD_CD"""
+SELECT HJD_CD, count(*) AS cells FROM map WHERE HJD_CD IS NOT NULL GROUP BY HJD_CD"""
+
+SQL_REGION_COUNT = f"""WITH {MAP}
+SELECT count(DISTINCT HJD_CD) AS n_HJD_CD, count(DISTINCT EMD_CD) AS n_EMD_CD FROM map"""
 
 SQL_MESH = f"""WITH la AS (SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS i, 33.0::DOUBLE + n_nationkey * 0.25::DOUBLE AS lat FROM nation),
 lo AS (SELECT row_number() OVER (ORDER BY r_regionkey) - 1 AS j, 124.0::DOUBLE + r_regionkey * 0.5::DOUBLE AS lon FROM region)
@@ -409,6 +411,7 @@ def oracle() -> dict:
         "response_preview": SQL_PREVIEW,
         "mapping_profile": SQL_PROFILE,
         "region_density": SQL_DENSITY,
+        "region_count": SQL_REGION_COUNT,
         "unified_mapping": SQL_UNIFIED,
         "grid_mesh": SQL_MESH,
         "grid_rows": SQL_ROWS,

@@ -194,11 +194,11 @@ def mapping_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def region_density(spark: SparkSession, sf: str) -> DataFrame:
-    m = A.mapping(spark, sf)
-    dens = spatial.region_density(m, "HJD_CD")
-    n = regional.count_regions(m.select("grid_idx", "HJD_CD"))
-    # n is a one-row aggregate: attach it to every region row.
-    return dens.join(F.broadcast(n), how="left_outer", on=F.lit(True))
+    return spatial.region_density(A.mapping(spark, sf), "HJD_CD")
+
+
+def region_count(spark: SparkSession, sf: str) -> DataFrame:
+    return regional.count_regions(A.mapping(spark, sf))
 
 
 def grid_mesh(spark: SparkSession, sf: str) -> DataFrame:
@@ -206,11 +206,13 @@ def grid_mesh(spark: SparkSession, sf: str) -> DataFrame:
     r = A.table(spark, sf, "region")
     # Axes: one latitude per nation, one longitude per region (bounded by the
     # axis length, so each axis is one small array).
-    lat = n.agg(F.transform(F.array_sort(F.collect_list("n_nationkey")),
-                            lambda k: F.lit(33.0) + k * F.lit(0.25)).alias("lat"))
-    lon = r.agg(F.transform(F.array_sort(F.collect_list("r_regionkey")),
-                            lambda k: F.lit(124.0) + k * F.lit(0.5)).alias("lon"))
-    axes = lat.join(lon, how="inner", on=F.lit(True))
+    keys = (n.select(F.lit("lat").alias("axis"), F.col("n_nationkey").alias("k"))
+            .unionByName(r.select(F.lit("lon").alias("axis"), F.col("r_regionkey").alias("k"))))
+    axes = keys.agg(
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("axis") == "lat", F.col("k")))),
+                    lambda k: F.lit(33.0) + k * F.lit(0.25)).alias("lat"),
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("axis") == "lon", F.col("k")))),
+                    lambda k: F.lit(124.0) + k * F.lit(0.5)).alias("lon"))
     return rounded(spatial.grid_from_axes(axes))
 
 
@@ -364,6 +366,7 @@ def registry() -> dict:
         "response_preview": response_preview,
         "mapping_profile": mapping_profile,
         "region_density": region_density,
+        "region_count": region_count,
         "unified_mapping": unified_mapping,
         "grid_mesh": grid_mesh,
         "grid_rows": grid_rows,
