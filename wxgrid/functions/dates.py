@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 def parse_yyyymmdd(c: Column) -> Column:
     """Strict 8-digit ``YYYYMMDD`` -> date; anything else (including
     ``20230230`` or a 6-digit ``202011``) -> NULL."""
-    s = c.cast("string")
-    return F.when(s.rlike("^[0-9]{8}$"), F.try_to_date(s, "yyyyMMdd"))
+    def body(s):
+        return F.when(s.rlike("^[0-9]{8}$"), F.try_to_date(s, "yyyyMMdd"))
+    return F.element_at(F.transform(F.array(c.cast("string")), body), 1)
 
 
 def to_yyyymmdd(d: Column) -> Column:

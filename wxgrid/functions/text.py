@@ -14,6 +14,21 @@ from pyspark.sql import functions as F
 # Characters Python treats as whitespace in str.strip() / str.split().
 WS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# The same set as plain characters (derived from Python's own definition),
+# for ``translate``: mapping them all to a space lets a split use the cheap
+# pattern " +" instead of a wide character class.
+WS_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def blanks_to_space(c: Column) -> Column:
+    return F.translate(c, WS_CHARS, " " * len(WS_CHARS))
+
+
+def split_blanks(c: Column) -> Column:
+    """Python ``str.split()``: fields separated by any whitespace run."""
+    return F.filter(F.split(blanks_to_space(c), " +"), lambda t: F.length(t) > 0)
+
+
 # Line breaks of Python's str.splitlines().
 LINE_BREAK = r"\r\n|[\n\r\x{0B}\f\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 
@@ -116,7 +131,7 @@ def tokenize_numbers(text: Column) -> Column:
     """All numeric tokens of the data lines, in order (commas count as blanks)."""
     toks = F.flatten(F.transform(
         data_lines(text),
-        lambda l: F.filter(F.split(F.translate(l, ",", " "), f"{WS}+"), lambda t: F.length(t) > 0)))
+        lambda l: split_blanks(F.translate(l, ",", " "))))
     nums = F.transform(toks, parse_number)
     return F.filter(nums, lambda x: x.isNotNull())
 

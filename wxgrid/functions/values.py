@@ -20,15 +20,25 @@ def clean_sentinel(v: Column) -> Column:
     return F.when(~bad, v)
 
 
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once (see ``functions.text.let``)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def safe_int(c: Column) -> Column:
     """``to_numeric(errors='coerce').astype('Int64')``: text -> int or NULL.
 
-    A whole-valued number becomes an int; non-numeric text, fractions and
+    Integer text takes the direct cast; anything else is parsed as a double
+    and kept when it is whole and in range.  Non-numeric text, fractions and
     out-of-range values become NULL instead of failing (ANSI mode is on).
+    The input is evaluated once, so composed parsers stay small.
     """
-    d = F.trim(c.cast("string")).try_cast("double")
-    whole = d.isNotNull() & (d == F.floor(d)) & (F.abs(d) < F.lit(2147483648.0))
-    return F.when(whole, d.cast("long").cast("int"))
+    def body(s):
+        def from_double(d):
+            whole = d.isNotNull() & (d == F.floor(d)) & (F.abs(d) < F.lit(2147483648.0))
+            return F.when(whole, d.cast("long").cast("int"))
+        return F.coalesce(s.try_cast("int"), _let(s.try_cast("double"), from_double))
+    return _let(F.trim(c.cast("string")), body)
 
 
 def safe_double(c: Column) -> Column:
