@@ -157,5 +157,18 @@ def top_rows(df: DataFrame, n: int, order: list[Column | str], by: str = "year")
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def per_station_report(per_station_df: DataFrame, cap: int | None = None) -> DataFrame:
+    """Per-station table as reported: fixed column order, missing station
+    columns filled with "", rows ordered by (days_missing, STN) within each
+    year and capped per year (2000 by default)."""
+    cols = set(per_station_df.columns)
+    filled = per_station_df.select(
+        "year", "STN",
+        *[(F.coalesce(F.col(c).cast("string"), F.lit("")) if c in cols else F.lit("")).alias(c)
+          for c in ("LAW_ID", "LAW_NM")],
+        "days_present", "days_expected", "days_missing", "missing_sample")
+    return top_rows(filled, cap or CAP_PER_STATION, ["days_missing", "STN"])
+
+
 # Report caps of the markdown tables (rows per table).
 CAP_SUMMARY, CAP_CHURN, CAP_PER_STATION, CAP_DETAIL = 1000, 200, 2000, 100

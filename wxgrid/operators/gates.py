@@ -98,3 +98,28 @@ def hour_status(rows: DataFrame, variables) -> DataFrame:
                     F.size(F.array_intersect(F.col("_h"), exp)).cast("long").alias("hours_present"),
                     F.array_join(F.transform(miss, lambda h: h.cast("string")), ",").alias("missing_hours"),
                     (F.size(miss) == 0).alias("complete"))
+
+
+def skip_summary(missing: DataFrame, first: int = 30) -> DataFrame:
+    """Days skipped for missing variables: the first ``first`` days in date
+    order with their missing variables, and the total number of skipped
+    days (the rest is reported as a count).  Input (date, var)."""
+    per_day = missing.groupBy("date").agg(
+        F.array_join(F.array_sort(F.collect_list("var")), ",").alias("missing_vars"))
+    # One row per skipped day: bounded by the calendar, so the global
+    # ordering below handles at most a few thousand rows.
+    from pyspark.sql import Window
+    w = Window.orderBy("date")
+    ranked = (per_day.withColumn("_rn", F.row_number().over(w))
+                     .withColumn("total_skipped", F.count(F.lit(1)).over(Window.partitionBy())))
+    return ranked.where(F.col("_rn") <= first).drop("_rn")
+
+
+def months_each_year(dates: DataFrame, start_month: int, end_month: int, date_col: str = "date") -> DataFrame:
+    """Every day of months ``start_month``..``end_month`` in each year that
+    occurs in ``dates`` (the same months in every year)."""
+    years = dates.select(F.substring(date_col, 1, 4).cast("int").alias("y")).distinct()
+    days = years.select(F.explode(F.sequence(
+        F.make_date("y", F.lit(start_month), F.lit(1)),
+        F.last_day(F.make_date("y", F.lit(end_month), F.lit(1))))).alias("d"))
+    return days.select(to_yyyymmdd(F.col("d")).alias("date"))

@@ -390,6 +390,50 @@ SELECT year, STN, strftime(TM, '%Y-%m-%d') AS TM FROM dup
 QUALIFY row_number() OVER (PARTITION BY year ORDER BY STN, TM) <= 100"""
 
 
+# -- summaries and report tables ----------------------------------------------
+
+SQL_FAILURES = f"""WITH {OBS},
+hs AS (SELECT date, var, list(DISTINCT hour) AS hrs FROM obs GROUP BY date, var),
+st AS (SELECT date, var,
+         len(list_filter(CASE WHEN var = 'sd_3hr' THEN range(0, 24, 3) ELSE range(0, 24) END,
+                         lambda h: NOT list_contains(hrs, h))) = 0 AS complete FROM hs)
+SELECT date,
+  coalesce(array_to_string(list_sort(list(var) FILTER (WHERE complete)), ','), '') AS ok,
+  coalesce(array_to_string(list_sort(list(var) FILTER (WHERE NOT complete)), ','), '') AS failed
+FROM st GROUP BY date"""
+
+SQL_SKIPS = f"""WITH {ORDERS_DAYS},
+days AS ({_month_days('od')}),
+exp AS (SELECT date, var FROM days, {_vars_values()}),
+miss AS (SELECT date, var FROM exp EXCEPT SELECT date, var FROM od),
+per AS (SELECT date, array_to_string(list_sort(list(var)), ',') AS missing_vars FROM miss GROUP BY date)
+SELECT date, missing_vars, count(*) OVER () AS total_skipped FROM per
+QUALIFY row_number() OVER (ORDER BY date) <= 30"""
+
+SQL_PER_STATION_REPORT = f"""WITH {DAILY}, {STN}, {KEYS}, {PER_STATION}
+SELECT year, STN, coalesce(LAW_ID, '') AS LAW_ID, coalesce(LAW_NM, '') AS LAW_NM,
+  days_present, days_expected, days_missing, missing_sample
+FROM psi
+QUALIFY row_number() OVER (PARTITION BY year ORDER BY days_missing, STN) <= 2000"""
+
+SQL_FILE_YEARS = f"""WITH {DAILY}
+SELECT DISTINCT printf('weather_data_stn%d_%d.csv', STN, file_year) AS name, file_year AS year FROM daily"""
+
+SQL_FORMATTED_DATES = """WITH {obs}, {map}, {ctes}
+SELECT strftime(strptime(date, '%Y%m%d'), '%Y-%m-%d') AS date, HJD_CD, round(t0001, {r}) AS t0001 FROM agg_ta"""
+
+
+def _formatted_dates_sql() -> str:
+    ctes, _, _ = _region_ctes("mean", ("HJD_CD",), ("ta",), "map")
+    return SQL_FORMATTED_DATES.format(obs=OBS, map=MAP, ctes=",\n".join(ctes), r=R)
+
+
+SQL_SPRING = f"""WITH {ORDERS_DAYS},
+yrs AS (SELECT DISTINCT CAST(substr(date, 1, 4) AS INTEGER) AS y FROM od)
+SELECT strftime(d, '%Y%m%d') AS date FROM (
+  SELECT unnest(generate_series(make_date(y, 3, 1), last_day(make_date(y, 5, 1)), INTERVAL 1 DAY)) AS d FROM yrs)"""
+
+
 def oracle() -> dict:
     return {
         "region_day_mean": region_day_sql("mean"),
@@ -425,4 +469,10 @@ def oracle() -> dict:
         "year_metrics": SQL_YEAR_METRICS,
         "station_churn": SQL_CHURN,
         "report_top_rows": SQL_TOP,
+        "failure_summary": SQL_FAILURES,
+        "skip_summary": SQL_SKIPS,
+        "per_station_report": SQL_PER_STATION_REPORT,
+        "file_years": SQL_FILE_YEARS,
+        "formatted_dates": _formatted_dates_sql(),
+        "spring_calendar": SQL_SPRING,
     }

@@ -15,7 +15,9 @@ from ..catalogue import specs
 from ..functions import geometry
 from ..functions import text as T
 from ..functions.values import clean_sentinel
+from ..functions.dates import year_from_filename
 from ..operators import coverage, gates, ingest, regional, spatial, stations
+from ..sinks import writers
 from ..sources import adapters as A
 
 ALL_VARS = ("ta", "rn_60m", "sd_3hr")
@@ -345,6 +347,37 @@ def report_top_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _dates_as_text(coverage.top_rows(dup, coverage.CAP_DETAIL, ["STN", "TM"]))
 
 
+# -- summaries and report tables ----------------------------------------------
+
+def failure_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return writers.failure_summary(gates.hour_status(A.obs(spark, sf), ALL_VARS))
+
+
+def skip_summary(spark: SparkSession, sf: str) -> DataFrame:
+    d = _orders_days(spark, sf)
+    exp = gates.expected_pairs(gates.month_calendar(d.select("date")), ALL_VARS, strict=True)
+    return gates.skip_summary(gates.missing_pairs(exp, d.select("date", "var")))
+
+
+def per_station_report(spark: SparkSession, sf: str) -> DataFrame:
+    return coverage.per_station_report(coverage.per_station(_keys(spark, sf), A.stations(spark, sf)))
+
+
+def file_years(spark: SparkSession, sf: str) -> DataFrame:
+    d = A.daily(spark, sf)
+    names = d.select(F.format_string("weather_data_stn%d_%d.csv", "STN", "file_year").alias("name")).distinct()
+    return names.select("name", year_from_filename(F.col("name")).alias("year"))
+
+
+def formatted_dates(spark: SparkSession, sf: str) -> DataFrame:
+    day = regional.region_day(A.obs(spark, sf), A.mapping_hjd(spark, sf), ["ta"], "mean")
+    return rounded(regional.format_date(day.select("date", "HJD_CD", "t0001"), "date"))
+
+
+def spring_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    return gates.months_each_year(_orders_days(spark, sf).select("date"), 3, 5)
+
+
 def registry() -> dict:
     return {
         "region_day_mean": region_day_mean,
@@ -380,4 +413,10 @@ def registry() -> dict:
         "year_metrics": year_metrics,
         "station_churn": station_churn,
         "report_top_rows": report_top_rows,
+        "failure_summary": failure_summary,
+        "skip_summary": skip_summary,
+        "per_station_report": per_station_report,
+        "file_years": file_years,
+        "formatted_dates": formatted_dates,
+        "spring_calendar": spring_calendar,
     }

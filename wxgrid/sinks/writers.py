@@ -68,12 +68,11 @@ def write_station_tables(table: DataFrame, root: str, year_col: str = "year") ->
 
 
 def failure_summary(status: DataFrame) -> DataFrame:
-    """Per day: variables written and variables failed, sorted lists.
-    ``status`` is (date, var, complete); a day has at most a few variables."""
-    return (status.groupBy("date").agg(
-        F.array_sort(F.collect_list(F.when(F.col("complete"), F.col("var")))).alias("ok"),
-        F.array_sort(F.collect_list(F.when(~F.col("complete"), F.col("var")))).alias("failed"))
-        .orderBy("date"))
+    """Per day: variables written and variables failed (sorted, comma
+    joined).  ``status`` is (date, var, complete); a day has a few variables."""
+    return status.groupBy("date").agg(
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("complete"), F.col("var")))), ",").alias("ok"),
+        F.array_join(F.array_sort(F.collect_list(F.when(~F.col("complete"), F.col("var")))), ",").alias("failed"))
 
 
 def markdown_table(df: DataFrame, max_rows: int) -> str:
