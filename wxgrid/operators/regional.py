@@ -15,10 +15,10 @@ Plan shape (fused operator, ``region_day``):
    cells (unmapped) are dropped before any shuffle;
 3. first non-null reading per (date, codes, cell, var, slot):
    ``min_by(value, ord)`` -- shuffle keyed by the cell, so no region is hot;
-4. one aggregation per (date, codes) that computes every slot column at
-   once with conditional aggregates -- pivot and regional aggregate in the
-   same stage, with map-side partial aggregation (a hot region contributes
-   one partial row per task).
+4. a narrow aggregate per (date, codes, var, slot) -- two buffers, whole-
+   stage code-generated, partial before the shuffle (a hot region
+   contributes one partial row per slot and task);
+5. a pivot of that small result to one column per slot.
 
 The result equals pivoting each cell first and aggregating after (the
 reference's order), including its null rules:
@@ -76,8 +76,9 @@ def cell_first_values(obs: DataFrame, mapping: DataFrame, variables,
     """
     id_cols = id_cols or region_id_columns(mapping.columns)
     variables = list(variables)
+    # NaN counts as missing (pandas skips it), like NULL.
     o = obs.select("grid_idx", "date", "var", "hour", "value", "ord").where(
-        F.col("value").isNotNull() & F.col("var").isin(*variables))
+        F.col("value").isNotNull() & ~F.isnan("value") & F.col("var").isin(*variables))
     if season_filter:
         o = o.where(season_ok(F.col("var"), F.col("date")))
     o = o.withColumn("slot", slot_index(F.col("var"), F.col("hour"), variables))
@@ -91,24 +92,26 @@ def cell_first_values(obs: DataFrame, mapping: DataFrame, variables,
     return cells, id_cols
 
 
-def _slot_aggregates(variables, method: str) -> list[Column]:
-    slot = F.col("slot")
-    var = F.col("var")
-    out = []
-    k = 0
+def _pivot_slots(per_slot: DataFrame, id_cols, variables, method: str) -> DataFrame:
+    """(date, codes, var, slot, val) -> one row per (date, codes), one column
+    per slot.  Input is already aggregated (at most 57 rows per region-day
+    and variable), so the wide conditional aggregate here is cheap."""
+    slot, var, val = F.col("slot"), F.col("var"), F.col("val")
+    aggs, k = [], 0
     for s in specs(variables):
-        present = F.max(F.when(var == F.lit(s.name), F.lit(1))) == F.lit(1)
+        aggs.append(F.max(F.when(var == F.lit(s.name), F.lit(1))).alias(f"_has_{s.name}"))
         for name in s.slot_names():
-            hit = slot == F.lit(k)
+            aggs.append(F.max(F.when(slot == F.lit(k), val)).alias(name))
             k += 1
-            if method == "mean":
-                e = F.sum(F.when(hit, F.col("v") * F.col("w"))) / F.sum(F.when(hit, F.col("w")))
-            elif method == "sum":
-                e = F.when(present, F.coalesce(F.sum(F.when(hit, F.col("v") * F.col("w"))), F.lit(0.0)))
-            else:
-                e = F.median(F.when(hit, F.col("v")))
-            out.append(e.alias(name))
-    return out
+    wide = per_slot.groupBy("date", *id_cols).agg(*aggs)
+    if method != "sum":
+        return wide
+    # sum of an all-NULL slot is 0.0 where the region-day has the variable.
+    cols = []
+    for s in specs(variables):
+        has = F.col(f"_has_{s.name}") == F.lit(1)
+        cols += [F.when(has, F.coalesce(F.col(n), F.lit(0.0))).alias(n) for n in s.slot_names()]
+    return wide.select("date", *id_cols, *cols)
 
 
 def region_day(obs: DataFrame, mapping: DataFrame, variables=("ta", "rn_60m"),
@@ -123,17 +126,27 @@ def region_day(obs: DataFrame, mapping: DataFrame, variables=("ta", "rn_60m"),
     ``dedupe=False`` skips step 3 (the only shuffle of fact rows) and is
     exact when the input holds at most one reading per (cell, date, var,
     hour) -- true for the observation cache written by ``ingest``, which
-    keeps one response per (var, time).  Then the only shuffle left carries
-    map-side partial aggregates: at most (regions x days) rows per task.
+    keeps one response per (var, time).  Then every shuffle left carries
+    map-side partial aggregates.
     """
     if method not in METHODS:
         raise ValueError(f"Unknown method: {method}")
     variables = list(variables)
     cells, id_cols = cell_first_values(obs, mapping, variables, id_cols, season_filter, dedupe)
+    keys = ["date", *id_cols, "var", "slot"]
+    # Narrow aggregate per (date, codes, var, slot): two buffers, fully
+    # code-generated, partial before the shuffle.  Off-grid readings form a
+    # slot-NULL group that only marks the variable as present.
     if method == "median":
         # A repeated mapping row repeats the cell's value; w is almost always 1.
-        cells = cells.withColumn("w", F.explode(F.array_repeat(F.lit(1), F.col("w").cast("int"))))
-    wide = cells.groupBy("date", *id_cols).agg(*_slot_aggregates(variables, method))
+        exploded = cells.withColumn("w", F.explode(F.array_repeat(F.lit(1), F.col("w").cast("int"))))
+        per_slot = exploded.groupBy(*keys).agg(F.median("v").alias("val"))
+    else:
+        per_slot = cells.groupBy(*keys).agg(F.sum(F.col("v") * F.col("w")).alias("s"),
+                                            F.sum("w").alias("n"))
+        val = F.col("s") / F.col("n") if method == "mean" else F.col("s")
+        per_slot = per_slot.select(*keys, val.alias("val"))
+    wide = _pivot_slots(per_slot, id_cols, variables, method)
     return wide.select("date", *ordered_slot_columns(variables), *id_cols)
 
 
