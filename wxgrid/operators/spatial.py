@@ -34,27 +34,31 @@ DEFAULT_TILE_DEG = 0.05
 MAX_SHAPES = 20_000
 
 
-def grid_from_rows(rows: DataFrame) -> DataFrame:
+def grid_from_rows(rows: DataFrame, keys=()) -> DataFrame:
     """2-D coordinates, one input row per grid row ``(y, lat array, lon array)``
-    -> (grid_idx, lat, lon) with row-major ``grid_idx = y * nx + x``."""
-    ex = rows.select("y", F.size("lat").alias("nx"), F.posexplode(F.arrays_zip("lat", "lon")).alias("x", "p"))
-    return ex.select((F.col("y").cast("long") * F.col("nx") + F.col("x")).alias("grid_idx"),
+    -> (grid_idx, lat, lon) with row-major ``grid_idx = y * nx + x``.
+    ``keys`` name columns that tell several grids apart."""
+    ex = rows.select(*keys, "y", F.size("lat").alias("nx"),
+                     F.posexplode(F.arrays_zip("lat", "lon")).alias("x", "p"))
+    return ex.select(*keys, (F.col("y").cast("long") * F.col("nx") + F.col("x")).alias("grid_idx"),
                      F.col("p.lat").alias("lat"), F.col("p.lon").alias("lon"))
 
 
-def grid_from_axes(axes: DataFrame, partitions: int | None = None) -> DataFrame:
-    """1-D axes ``(lat array, lon array)`` (one row) -> the mesh, latitude
-    outer and longitude inner: ``grid_idx = i * n_lon + j``.
+def grid_from_axes(axes: DataFrame, keys=(), partitions: int | None = None) -> DataFrame:
+    """1-D axes ``(lat array, lon array)``, one record per grid -> the mesh,
+    latitude outer and longitude inner: ``grid_idx = i * n_lon + j``.
 
     Two generators, no join.  The latitude rows are redistributed before
-    the inner explode so the mesh is produced by many tasks.
+    the inner explode so one large grid is produced by many tasks.
+    ``keys`` name columns that tell several grids apart.
     """
     spark = axes.sparkSession
     partitions = partitions or spark.sparkContext.defaultParallelism
-    rows = (axes.select(F.posexplode("lat").alias("i", "lat"), F.col("lon"))
-                .repartition(partitions, "i"))
-    ex = rows.select("i", "lat", F.size("lon").alias("n_lon"), F.posexplode("lon").alias("j", "lon"))
-    return ex.select((F.col("i").cast("long") * F.col("n_lon") + F.col("j")).alias("grid_idx"), "lat", "lon")
+    rows = (axes.select(*keys, F.posexplode("lat").alias("i", "lat"), F.col("lon"))
+                .repartition(partitions, *keys, "i"))
+    ex = rows.select(*keys, "i", "lat", F.size("lon").alias("n_lon"), F.posexplode("lon").alias("j", "lon"))
+    return ex.select(*keys, (F.col("i").cast("long") * F.col("n_lon") + F.col("j")).alias("grid_idx"),
+                     "lat", "lon")
 
 
 def reproject_rings(polys: DataFrame, rings_col: str = "rings") -> DataFrame:

@@ -252,15 +252,15 @@ SELECT HJD_CD, count(*) AS cells FROM map WHERE HJD_CD IS NOT NULL GROUP BY HJD_
 SQL_REGION_COUNT = f"""WITH {MAP}
 SELECT count(DISTINCT HJD_CD) AS n_HJD_CD, count(DISTINCT EMD_CD) AS n_EMD_CD FROM map"""
 
-SQL_MESH = f"""WITH la AS (SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS i, 33.0::DOUBLE + n_nationkey * 0.25::DOUBLE AS lat FROM nation),
-lo AS (SELECT row_number() OVER (ORDER BY r_regionkey) - 1 AS j, 124.0::DOUBLE + r_regionkey * 0.5::DOUBLE AS lon FROM region)
-SELECT CAST(i * (SELECT count(*) FROM region) + j AS BIGINT) AS grid_idx, round(lat, {R}) AS lat, round(lon, {R}) AS lon
-FROM la CROSS JOIN lo"""
-
-SQL_ROWS = f"""SELECT CAST(n_nationkey * 4 + x AS BIGINT) AS grid_idx,
-  round(33.0::DOUBLE + n_nationkey * 0.1::DOUBLE + x * 0.001::DOUBLE, {R}) AS lat,
-  round(124.0::DOUBLE + x * 0.1::DOUBLE + n_regionkey * 0.01::DOUBLE, {R}) AS lon
-FROM nation, range(0, 4) r(x)"""
+SQL_MESH = f"""SELECT s_suppkey AS gid, CAST(i * 2 + j AS BIGINT) AS grid_idx,
+  round(33.0::DOUBLE + s_suppkey * 0.001::DOUBLE + i * 0.25::DOUBLE, {R}) AS lat,
+  round(124.0::DOUBLE + s_nationkey * 0.1::DOUBLE + j * 0.5::DOUBLE, {R}) AS lon
+FROM supplier, range(0, 3) a(i), range(0, 2) b(j)"""
+
+SQL_ROWS = f"""SELECT CAST((s_suppkey - 1) * 4 + x AS BIGINT) AS grid_idx,
+  round(33.0::DOUBLE + s_suppkey * 0.001::DOUBLE + x * 0.0001::DOUBLE, {R}) AS lat,
+  round(124.0::DOUBLE + x * 0.1::DOUBLE + s_nationkey * 0.01::DOUBLE, {R}) AS lon
+FROM supplier, range(0, 4) r(x)"""
 
 POLY_EDGES = """verts AS (
   SELECT 'T0' AS code, 'triangle' AS name, 0 AS ring, v.* FROM (VALUES

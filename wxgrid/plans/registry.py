@@ -204,26 +204,26 @@ def region_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def grid_mesh(spark: SparkSession, sf: str) -> DataFrame:
-    n = A.table(spark, sf, "nation")
-    r = A.table(spark, sf, "region")
-    # Axes: one latitude per nation, one longitude per region (bounded by the
-    # axis length, so each axis is one small array).
-    keys = (n.select(F.lit("lat").alias("axis"), F.col("n_nationkey").alias("k"))
-            .unionByName(r.select(F.lit("lon").alias("axis"), F.col("r_regionkey").alias("k"))))
-    axes = keys.agg(
-        F.transform(F.array_sort(F.collect_list(F.when(F.col("axis") == "lat", F.col("k")))),
-                    lambda k: F.lit(33.0) + k * F.lit(0.25)).alias("lat"),
-        F.transform(F.array_sort(F.collect_list(F.when(F.col("axis") == "lon", F.col("k")))),
-                    lambda k: F.lit(124.0) + k * F.lit(0.5)).alias("lon"))
-    return rounded(spatial.grid_from_axes(axes))
+    """One small grid per supplier: 3 latitudes x 2 longitudes from its key
+    and nation (many axis records, so the work grows with the table)."""
+    sup = A.table(spark, sf, "supplier")
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    axes = sup.select(k.alias("gid"),
+                      F.transform(F.sequence(F.lit(0), F.lit(2)),
+                                  lambda i: F.lit(33.0) + k * F.lit(0.001) + i * F.lit(0.25)).alias("lat"),
+                      F.transform(F.sequence(F.lit(0), F.lit(1)),
+                                  lambda j: F.lit(124.0) + n * F.lit(0.1) + j * F.lit(0.5)).alias("lon"))
+    return rounded(spatial.grid_from_axes(axes, keys=("gid",)))
 
 
 def grid_rows(spark: SparkSession, sf: str) -> DataFrame:
-    n = A.table(spark, sf, "nation")
+    """Grid rows from suppliers: row ``y = s_suppkey - 1`` with 4 cells."""
+    sup = A.table(spark, sf, "supplier")
     xs = F.sequence(F.lit(0), F.lit(3))
-    rows = n.select(F.col("n_nationkey").alias("y"),
-                    F.transform(xs, lambda j: F.lit(33.0) + F.col("n_nationkey") * F.lit(0.1) + j * F.lit(0.001)).alias("lat"),
-                    F.transform(xs, lambda j: F.lit(124.0) + j * F.lit(0.1) + F.col("n_regionkey") * F.lit(0.01)).alias("lon"))
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    rows = sup.select((k - 1).alias("y"),
+                      F.transform(xs, lambda j: F.lit(33.0) + k * F.lit(0.001) + j * F.lit(0.0001)).alias("lat"),
+                      F.transform(xs, lambda j: F.lit(124.0) + j * F.lit(0.1) + n * F.lit(0.01)).alias("lon"))
     return rounded(spatial.grid_from_rows(rows))
 
 

@@ -48,6 +48,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) "
+                               "before running jobs that checkpoint")
         path = tempfile.mkdtemp(prefix="wxgrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
