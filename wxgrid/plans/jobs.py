@@ -67,8 +67,12 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
 
 
 def mapping_job(spark: SparkSession, grid_rows_path: str, hjd_polygons, bjd_polygons, out_path: str,
-                reproject: bool = True, tile: float = spatial.DEFAULT_TILE_DEG) -> DataFrame:
-    """Grid cells -> (HJD, BJD) unified mapping, written as parquet."""
+                reproject: bool = True, tile: float = spatial.DEFAULT_TILE_DEG,
+                force: bool = False) -> DataFrame:
+    """Grid cells -> (HJD, BJD) unified mapping, written as parquet; an
+    existing mapping is reused unless ``force``.  Returns the profile."""
+    if not force and _exists(spark, out_path):
+        return spatial.mapping_profile(R.read_mapping(spark, out_path))
     points = spatial.grid_from_rows(R.read_grid_rows(spark, grid_rows_path))
     hjd = R.read_polygons(spark, hjd_polygons, HJD_CODE_CANDIDATES, HJD_NAME_CANDIDATES, HJD_CD, HJD_NM)
     bjd = R.read_polygons(spark, bjd_polygons, BJD_CODE_CANDIDATES, BJD_NAME_CANDIDATES, EMD_CD, EMD_NM)
@@ -114,9 +118,13 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
 
 
 def station_job(spark: SparkSession, raw_glob: str, station_info_path: str | None, out_root: str,
-                leading_only: bool = False) -> None:
-    """Raw yearly station files -> typed tables with LAW_ID, one CSV folder per year."""
+                leading_only: bool = False, force: bool = False) -> None:
+    """Raw yearly station files -> typed tables with LAW_ID, one CSV folder
+    per year; years already written are skipped unless ``force``."""
     lines = R.read_station_lines(spark, raw_glob)
+    if not force and _exists(spark, out_root):
+        done = spark.read.option("header", True).csv(out_root).select(F.col("year").cast("int").alias("year_file"))
+        lines = gates.todo(lines, done.distinct(), ["year_file"]) if "year_file" in lines.columns else lines
     table = stations.parse_daily(lines, leading_only=leading_only)
     year = lines.select("path", "year_file").distinct()
     table = table.join(F.broadcast(year), "path")
@@ -143,6 +151,19 @@ def coverage_job(spark: SparkSession, tables_glob: str, station_info_path: str |
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(os.path.join(out_dir, name))
     t = {name: spark.read.parquet(os.path.join(out_dir, name)) for name in tables}
+    # Per-year report sections, rendered and written by Spark.
+    sections = [
+        W.markdown_by_key(coverage.per_station_report(t["per_station"]).drop("_rn"), "year",
+                          ["days_missing", "STN"], coverage.CAP_PER_STATION, "Per-station coverage"),
+        W.markdown_by_key(t["duplicates"], "year", ["STN", "TM"], coverage.CAP_DETAIL, "Duplicate (STN, TM)"),
+        W.markdown_by_key(t["out_of_range"], "year", ["STN", "TM"], coverage.CAP_DETAIL, "Out-of-range dates"),
+        W.markdown_by_key(t["churn"], "year", ["change", "STN"], coverage.CAP_CHURN, "Station changes"),
+    ]
+    merged = sections[0]
+    for sec in sections[1:]:
+        merged = merged.unionByName(sec)
+    per_year = merged.groupBy("year").agg(F.array_join(F.array_sort(F.collect_list("text")), "\n").alias("text"))
+    W.write_reports(per_year, os.path.join(out_dir, "reports"))
     summary = W.markdown_table(t["year_metrics"].orderBy("year"), coverage.CAP_SUMMARY)
     # The report is one small text; written through Spark so it lands on the
     # same shared storage as the tables.

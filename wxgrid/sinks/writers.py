@@ -18,13 +18,14 @@ def _dynamic(df: DataFrame) -> None:
 def write_observations(obs: DataFrame, root: str) -> None:
     """Observation cache: ``root/var=/year=/month=/date=/part-*.parquet``.
 
-    Rows are clustered by the partition columns first so each task writes
-    few files.
+    No shuffle: each response is parsed by one task, so a task's rows
+    already belong to one (var, date) and it writes one file per hourly
+    response.  (Clustering by (var, date) instead would send a whole
+    day -- 100M rows -- through a single writer task.)
     """
     _dynamic(obs)
     out = (obs.withColumn("year", F.substring("date", 1, 4))
-              .withColumn("month", F.substring("date", 5, 2))
-              .repartition("var", "date"))
+              .withColumn("month", F.substring("date", 5, 2)))
     out.write.mode("overwrite").partitionBy("var", "year", "month", "date").parquet(root)
 
 
@@ -84,3 +85,29 @@ def markdown_table(df: DataFrame, max_rows: int) -> str:
     for r in rows:
         out.append("| " + " | ".join("" if v is None else str(v) for v in r) + " |")
     return "\n".join(out)
+
+
+def markdown_by_key(df: DataFrame, key: str, order, cap: int, title: str) -> DataFrame:
+    """(key, text): one markdown table per key value, rendered in Spark.
+
+    Rows are capped per key first (the report's own limit), turned into
+    ``| a | b |`` lines, and joined in order -- a group holds at most
+    ``cap`` short lines, and nothing goes through the driver.
+    """
+    from pyspark.sql import Window
+    cols = [c for c in df.columns if c != key]
+    w = Window.partitionBy(key).orderBy(*order)
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
+    header = "| " + " | ".join(cols) + " |\n| " + " | ".join("---" for _ in cols) + " |\n"
+    body = ranked.groupBy(key).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", line.alias("l")))),
+                                 lambda x: x["l"]), "\n").alias("_body"))
+    return body.select(key, F.concat(F.lit(f"## {title}\n\n{header}"), F.col("_body"), F.lit("\n")).alias("text"))
+
+
+def write_reports(reports: DataFrame, root: str, key: str = "year") -> None:
+    """Write (key, text) report sections as text, one folder per key."""
+    _dynamic(reports)
+    reports.write.mode("overwrite").partitionBy(key).text(root)
