@@ -95,14 +95,17 @@ def is_error_response(text: Column) -> Column:
     never scanned in full; dropping trailing whitespace cannot change a
     marker test (no marker starts or ends with whitespace).
     """
-    lead = F.length(F.regexp_extract(text, f"^{WS}*", 0))
-    head = F.lower(F.substring(text, lead + 1, ERROR_HEAD_CHARS))
-    marked = None
-    for m in ERROR_MARKERS:
-        hit = head.contains(m)
-        marked = hit if marked is None else (marked | hit)
-    err = head.contains(ERROR_WORD) & ~head.contains("#")
-    return F.when(text.isNull() | (F.length(text) == lead), F.lit(True)).otherwise(marked | err)
+    def with_lead(lead):
+        def with_head(head):
+            marked = None
+            for m in ERROR_MARKERS:
+                hit = head.contains(m)
+                marked = hit if marked is None else (marked | hit)
+            return marked | (head.contains(ERROR_WORD) & ~head.contains("#"))
+        return F.when(F.length(text) == lead, F.lit(True)) \
+                .otherwise(let(F.lower(F.substring(text, lead + 1, ERROR_HEAD_CHARS)), with_head))
+    return F.when(text.isNull(), F.lit(True)) \
+            .otherwise(let(F.length(F.regexp_extract(text, f"^{WS}*", 0)), with_lead))
 
 
 def data_lines(text: Column) -> Column:

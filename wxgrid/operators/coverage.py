@@ -112,7 +112,9 @@ def year_metrics(keys: DataFrame, station_info: DataFrame | None = None) -> Data
         F.count_if(F.col("days_missing") > 0).alias("any_missing_station_count"))
     dup = duplicate_keys(keys).groupBy("year").agg(F.count(F.lit(1)).alias("duplicate_records"))
     oor = out_of_range(keys).groupBy("year").agg(F.count(F.lit(1)).alias("out_of_range_records"))
-    out = years.join(st, "year", "left").join(dup, "year", "left").join(oor, "year", "left")
+    # Per-year aggregates hold one row per year: broadcast by construction.
+    out = (years.join(F.broadcast(st), "year", "left").join(F.broadcast(dup), "year", "left")
+                .join(F.broadcast(oor), "year", "left"))
     cols = ["station_count", "full_coverage_station_count", "any_missing_station_count",
             "duplicate_records", "out_of_range_records"]
     return out.select("year", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cols])
