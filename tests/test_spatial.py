@@ -78,3 +78,43 @@ def test_unified_mapping_and_profile(spark):
     p = spatial.mapping_profile(u).first().asDict()
     assert p == {"cells": 4, "mapped_hjd": 2, "mapped_bjd": 2, "mapped_both": 1, "hjd_only": 1,
                  "bjd_only": 1, "unmapped": 1}
+
+
+def _py_within(px, py, rings):
+    cross, on = 0, False
+    for ring in rings:
+        n = len(ring)
+        for i in range(n):
+            (x1, y1), (x2, y2) = ring[i], ring[(i + 1) % n]
+            if (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1) == 0 and min(x1, x2) <= px <= max(x1, x2) \
+                    and min(y1, y2) <= py <= max(y1, y2):
+                on = True
+            if (y1 > py) != (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1:
+                cross += 1
+    return cross % 2 == 1 and not on
+
+
+def test_random_polygons_against_brute_force(spark):
+    import math
+    import random
+    rng = random.Random(5)
+    polys = []
+    for k in range(6):
+        cx, cy = rng.uniform(0, 3), rng.uniform(0, 3)
+        m = rng.randint(5, 40)
+        outer = [(round(cx + rng.uniform(0.3, 1.0) * math.cos(2 * math.pi * i / m), 3),
+                  round(cy + rng.uniform(0.3, 1.0) * math.sin(2 * math.pi * i / m), 3)) for i in range(m)]
+        hole = [(round(cx + 0.1 * math.cos(2 * math.pi * i / 4), 3), round(cy + 0.1 * math.sin(2 * math.pi * i / 4), 3))
+                for i in range(4)]
+        polys.append((f"P{k}", f"p{k}", [outer, hole]))
+    pts = [(i, round(rng.uniform(-1, 4), 2), round(rng.uniform(-1, 4), 2)) for i in range(1500)]
+    pts += [(2000 + i, x, y) for i, (x, y) in enumerate(p for _, _, rings in polys for p in rings[0][:3])]
+    pdf = spark.createDataFrame(polys, f"code string, name string, rings {RING}")
+    sdf = spark.createDataFrame(pts, "grid_idx long, lon double, lat double")
+    got = sorted((r["grid_idx"], r["code"] or "") for r in
+                 spatial.points_in_polygons(sdf, pdf, "code", "name", tile=0.1).collect())
+    exp = []
+    for pid, x, y in pts:
+        hits = [c for c, _, rings in polys if _py_within(x, y, rings)]
+        exp += [(pid, c) for c in hits] or [(pid, "")]
+    assert got == sorted(exp)

@@ -8,8 +8,9 @@ Point-in-polygon plan (``points_in_polygons``):
 3. each point falls in exactly one tile -> equi-join on (tx, ty) against the
    tile index (a hash join, broadcast after a size check) -- never a
    nested-loop join;
-4. candidate (point, polygon) pairs pick up the polygon's edges by
-   ``poly_id`` and run ``CASE WHEN bbox THEN ray cast END``;
+4. candidates inside the polygon's bbox pick up only the polygon's edges in
+   the point's tile row (``band_edges``) and run the even-odd ray cast plus
+   the on-boundary test -- exact, and about sqrt(edges) work per test;
 5. one row per (point, containing polygon); points inside none keep one
    row with NULL codes (left semantics), points in overlapping polygons
    fan out.  Step 5 is a group by point id: each point has only a few
@@ -29,9 +30,9 @@ from ..plans.hints import broadcast_if_small
 from ..session import cut_lineage
 
 DEFAULT_TILE_DEG = 0.05
-# Polygons carry their edge arrays; broadcast the shape table only up to
-# this many polygons (the published layers have 3,521 and 5,369).
-MAX_SHAPES = 20_000
+# Edge bands are broadcast only up to this many edges in total (~32 bytes
+# each); beyond it the band join shuffles on (poly_id, tile row).
+MAX_BROADCAST_EDGES = 4_000_000
 
 
 def grid_from_rows(rows: DataFrame, keys=()) -> DataFrame:
@@ -91,6 +92,23 @@ def tile_index(prepared: DataFrame, tile: float) -> DataFrame:
     ).select("poly_id", "tx", F.explode("_tys").alias("ty"))
 
 
+def band_edges(prepared: DataFrame, tile: float) -> DataFrame:
+    """(poly_id, ty, edges): each polygon's edges bucketed by tile row.
+
+    A horizontal ray from a point can only cross (or contain the point on)
+    edges whose y-span includes the point's y, and those edges all overlap
+    the point's tile row -- so testing one row's edges is exact and costs
+    about edges / rows instead of all edges.  A group holds the edges of one
+    polygon in one row band (bounded by the polygon's size).
+    """
+    t = F.lit(tile)
+    e = prepared.select("poly_id", F.explode("edges").alias("e"))
+    lo = F.floor(F.least(F.col("e.y1"), F.col("e.y2")) / t)
+    hi = F.floor(F.greatest(F.col("e.y1"), F.col("e.y2")) / t)
+    e = e.select("poly_id", "e", F.explode(F.sequence(lo, hi)).alias("ty"))
+    return e.groupBy("poly_id", "ty").agg(F.collect_list("e").alias("edges"))
+
+
 def points_in_polygons(points: DataFrame, polys: DataFrame, code_col: str, name_col: str,
                        x_col: str = "lon", y_col: str = "lat", id_col: str = "grid_idx",
                        tile: float = DEFAULT_TILE_DEG, out_code: str | None = None,
@@ -104,19 +122,26 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, code_col: str, name_
     """
     out_code = out_code or code_col
     out_name = out_name or name_col
-    # Polygon ids must not change between the two uses below; a reliable
+    # Polygon ids must not change between the uses below; a reliable
     # checkpoint (shared folder) fixes them and cuts the polygon lineage.
     prep = cut_lineage(_prepared(polys, code_col, name_col))
     tiles = broadcast_if_small(tile_index(prep, tile))
-    shapes = broadcast_if_small(prep, max_rows=MAX_SHAPES)
+    boxes = broadcast_if_small(prep.select("poly_id", "_code", "_name", "minx", "maxx", "miny", "maxy"))
+    bands = band_edges(prep, tile)
+    n_edges = bands.agg(F.sum(F.size("edges"))).first()[0] or 0
+    bands = F.broadcast(bands) if n_edges <= MAX_BROADCAST_EDGES else bands
     t = F.lit(tile)
     pts = points.withColumn("_tx", F.floor(F.col(x_col) / t)).withColumn("_ty", F.floor(F.col(y_col) / t))
     cand = (pts.join(tiles, (pts["_tx"] == tiles["tx"]) & (pts["_ty"] == tiles["ty"]), "left")
                .drop("tx", "ty")
-               .join(shapes, "poly_id", "left"))
+               .join(boxes, "poly_id", "left"))
     px, py = F.col(x_col), F.col(y_col)
     in_box = (px >= F.col("minx")) & (px <= F.col("maxx")) & (py >= F.col("miny")) & (py <= F.col("maxy"))
-    inside = F.when(F.col("poly_id").isNotNull() & in_box, strictly_within(px, py, F.col("edges"))) \
+    # Only candidates inside the bounding box fetch their band of edges.
+    cand = cand.withColumn("_in_box", F.col("poly_id").isNotNull() & in_box)
+    cand = cand.join(bands, (cand["poly_id"] == bands["poly_id"]) & (cand["_ty"] == bands["ty"])
+                     & cand["_in_box"], "left").drop(bands["poly_id"])
+    inside = F.when(F.col("_in_box") & F.col("edges").isNotNull(), strictly_within(px, py, F.col("edges"))) \
               .otherwise(F.lit(False))
     hit = F.when(inside, F.struct(F.col("_code").alias("c"), F.col("_name").alias("n")))
     keep = [c for c in points.columns]
