@@ -36,12 +36,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root: str,
-               variables, n_expected: int | None, force: bool = False) -> DataFrame:
+               variables, n_expected: int | None, force: bool = False,
+               manifest: str | None = None) -> DataFrame:
     """Parse every landed response once, write complete days, log the rest.
 
-    Already cached (var, date) partitions are skipped unless ``force``.
-    Returns the per-day status table (date, var, complete, missing_hours).
+    Every run appends its per-day status to a small manifest table
+    (``manifest``, default ``<obs_root>_manifest``); (var, date) pairs
+    already complete there are skipped unless ``force`` -- the check reads
+    the manifest, not the footers of the whole cache.  Returns the per-day
+    status table (date, var, complete, missing_hours) of this run.
     """
+    manifest = manifest or obs_root.rstrip("/") + "_manifest"
     resp = R.read_responses(spark, landing).where(F.col("var").isin(*list(variables)))
     # One response per (var, time): the newest file wins.  Chosen from the
     # file listing (path + modification time, no content read).
@@ -51,8 +56,8 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
     resp = resp.join(F.broadcast(newest), "path", "left_semi")
     resp = resp.withColumn("date", F.substring("tm", 1, 8))
     resp = gates.season_filter(resp)
-    if not force and _exists(spark, obs_root):
-        done = R.read_observations(spark, obs_root).select("var", "date").distinct()
+    if not force and _exists(spark, manifest):
+        done = spark.read.parquet(manifest).where("complete").select("var", "date")
         resp = gates.todo(resp, done, ["var", "date"])
     valid = ingest.validate(resp.drop("date"), n_expected).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -61,6 +66,7 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
         W.write_observations(ingest.to_long(valid).join(F.broadcast(complete), ["date", "var"], "left_semi"),
                              obs_root)
         W.write_quarantine(ingest.quarantine(valid, status), quarantine_root)
+        status.write.mode("append").parquet(manifest)
         return status
     finally:
         valid.unpersist()
