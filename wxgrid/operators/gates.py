@@ -5,10 +5,10 @@ missing, are complete, or are still to do.  All are small tables keyed by
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..catalogue import SNOW_OFF_MONTHS, SNOW_START_YEAR, SNOW_VAR
+from ..catalogue import SNOW_OFF_MONTHS, SNOW_START_YEAR, SNOW_VAR, specs
 from ..functions.dates import to_yyyymmdd
 
 
@@ -80,7 +80,6 @@ def todo(requested: DataFrame, done: DataFrame, keys) -> DataFrame:
 
 def expected_hours(var: Column, variables) -> Column:
     """Array of the slot hours of each variable (0..23 or 0, 3, ..., 21)."""
-    from ..catalogue import specs
     expr = None
     for s in specs(variables):
         arr = F.sequence(F.lit(0), F.lit(24 - s.step), F.lit(s.step))
@@ -108,7 +107,6 @@ def skip_summary(missing: DataFrame, first: int = 30) -> DataFrame:
         F.array_join(F.array_sort(F.collect_list("var")), ",").alias("missing_vars"))
     # One row per skipped day: bounded by the calendar, so the global
     # ordering below handles at most a few thousand rows.
-    from pyspark.sql import Window
     w = Window.orderBy("date")
     ranked = (per_day.withColumn("_rn", F.row_number().over(w))
                      .withColumn("total_skipped", F.count(F.lit(1)).over(Window.partitionBy())))
