@@ -25,6 +25,35 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (100 TB of observations, ~1000 executors).
+# Shuffles start wide and AQE coalesces them to ~256 MB partitions, so a
+# partition fits an executor core's memory at any scale; file splits of
+# 256 MB keep scan tasks in the tens of thousands rather than millions;
+# a partition 5x the median and over 1 GB is split by the skew-join rule.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
+def configure(spark: SparkSession, conf: dict | None = None) -> SparkSession:
+    """Apply ``conf`` (default: ``CLUSTER_CONF``) to a running session, but
+    only for settings the cluster did not set at launch."""
+    launched = spark.sparkContext.getConf()
+    for k, v in (conf or CLUSTER_CONF).items():
+        if k == "spark.ui.enabled" or launched.contains(k):
+            continue  # static, or chosen by the cluster
+        spark.conf.set(k, v)
+    return spark
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "8g", app: str = "wxgrid") -> SparkSession:
     """Local session for tests, benches and the smoke entry point."""
