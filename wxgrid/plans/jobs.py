@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..catalogue import EMD_CD, EMD_NM, HJD_CD, HJD_NM
 from ..operators import coverage, gates, ingest, regional, spatial, stations
 from ..sinks import writers as W
+from ..session import configure
 from ..sources import readers as R
 
 HJD_CODE_CANDIDATES = ["adm_cd", "ADSTRD_CD", "HJD_CD", "ADM_CD", "ADMD_CD"]
@@ -46,6 +47,7 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
     the manifest, not the footers of the whole cache.  Returns the per-day
     status table (date, var, complete, missing_hours) of this run.
     """
+    configure(spark)
     manifest = manifest or obs_root.rstrip("/") + "_manifest"
     resp = R.read_responses(spark, landing).where(F.col("var").isin(*list(variables)))
     # One response per (var, time): the newest file wins.  Chosen from the
@@ -77,6 +79,7 @@ def mapping_job(spark: SparkSession, grid_rows_path: str, hjd_polygons, bjd_poly
                 force: bool = False) -> DataFrame:
     """Grid cells -> (HJD, BJD) unified mapping, written as parquet; an
     existing mapping is reused unless ``force``.  Returns the profile."""
+    configure(spark)
     if not force and _exists(spark, out_path):
         return spatial.mapping_profile(R.read_mapping(spark, out_path))
     points = spatial.grid_from_rows(R.read_grid_rows(spark, grid_rows_path))
@@ -100,6 +103,7 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
     Writes the interim table and monthly and yearly CSVs; returns the days
     that were skipped with the missing variables.
     """
+    configure(spark)
     obs = R.read_observations(spark, obs_root, variables, start, end)
     present = obs.select("date", "var").distinct()
     days = gates.month_calendar(present.select("date"))
@@ -127,6 +131,7 @@ def station_job(spark: SparkSession, raw_glob: str, station_info_path: str | Non
                 leading_only: bool = False, force: bool = False) -> None:
     """Raw yearly station files -> typed tables with LAW_ID, one CSV folder
     per year; years already written are skipped unless ``force``."""
+    configure(spark)
     lines = R.read_station_lines(spark, raw_glob)
     if not force and _exists(spark, out_root):
         done = spark.read.option("header", True).csv(out_root).select(F.col("year").cast("int").alias("year_file"))
@@ -143,6 +148,7 @@ def coverage_job(spark: SparkSession, tables_glob: str, station_info_path: str |
                  out_dir: str) -> dict:
     """All yearly files in one job: five tables written as parquet plus the
     markdown reports (rows capped as in the reference's reports)."""
+    configure(spark)
     raw = R.read_station_tables(spark, tables_glob)
     keys = coverage.clean_keys(raw)
     info = R.read_station_info(spark, station_info_path)
