@@ -75,8 +75,11 @@ def test_station_and_coverage(spark, scratch):
     # coverage over the written yearly tables, named as the reference names them
     csv_dir = os.path.join(scratch, "station_csv")
     for y in (2023, 2024):
-        src = glob.glob(os.path.join(tables, f"year={y}", "*.csv"))[0]
-        _write(os.path.join(csv_dir, f"weather_data_stn108_{y}.csv"), open(src).read())
+        parts = sorted(glob.glob(os.path.join(tables, f"year={y}", "*.csv")))
+        texts = [open(p).read().splitlines() for p in parts]
+        header = next(t[0] for t in texts if t)
+        rows = [ln for t in texts for ln in t[1:]]
+        _write(os.path.join(csv_dir, f"weather_data_stn108_{y}.csv"), "\n".join([header, *rows]) + "\n")
     out = jobs.coverage_job(spark, csv_dir + "/weather_data_stn*_*.csv", info, os.path.join(scratch, "coverage"))
     ym = {r["year"]: r["station_count"] for r in out["year_metrics"].collect()}
     assert ym == {2023: 1, 2024: 1}

@@ -49,19 +49,23 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
     """
     configure(spark)
     manifest = manifest or obs_root.rstrip("/") + "_manifest"
-    resp = R.read_responses(spark, landing).where(F.col("var").isin(*list(variables)))
-    # One response per (var, time): the newest file wins.  Chosen from the
-    # file listing (path + modification time, no content read).
-    listing = R.list_responses(spark, landing)
-    newest = (listing.groupBy("var", "tm").agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
-              .select("path"))
-    resp = resp.join(F.broadcast(newest), "path", "left_semi")
-    resp = resp.withColumn("date", F.substring("tm", 1, 8))
-    resp = gates.season_filter(resp)
+    # Choose the files from the listing alone (path, modification time):
+    # one response per (var, time), the newest file winning; applicable
+    # variables only; days already complete in the manifest left out.
+    listing = R.list_responses(spark, landing).where(F.col("var").isin(*list(variables)))
+    listing = gates.season_filter(listing.withColumn("date", F.substring("tm", 1, 8)))
+    newest = listing.groupBy("var", "tm", "date").agg(
+        F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
     if not force and _exists(spark, manifest):
         done = spark.read.parquet(manifest).where("complete").select("var", "date")
-        resp = gates.todo(resp, done, ["var", "date"])
-    valid = ingest.validate(resp.drop("date"), n_expected).persist(StorageLevel.MEMORY_AND_DISK)
+        newest = gates.todo(newest, done, ["var", "date"])
+    # The chosen paths are file-listing metadata (which Spark's file index
+    # holds on the driver anyway); only these files' text is read.
+    paths = [r["path"] for r in newest.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], "date string, var string, complete boolean, missing_hours string")
+    resp = R.read_responses(spark, paths)
+    valid = ingest.validate(resp, n_expected).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         status = ingest.day_status(valid, variables).persist(StorageLevel.MEMORY_AND_DISK)
         complete = status.where("complete").select("date", "var")

@@ -29,13 +29,14 @@ def _path() -> F.Column:
     return F.col("_metadata.file_path")
 
 
-def read_responses(spark: SparkSession, path: str) -> DataFrame:
+def read_responses(spark: SparkSession, path) -> DataFrame:
     """(path, var, tm, text): one row per response file, whole text.
 
-    One file is one row (``wholetext``), so a 4.2M-value response is one
-    task's input and thousands of responses are read in parallel.
+    ``path`` is a folder, a glob or a list of files.  One file is one row
+    (``wholetext``), so a 4.2M-value response is one task's input and
+    thousands of responses are read in parallel.
     """
-    df = spark.read.text(path, wholetext=True)
+    df = spark.read.text(path if isinstance(path, str) else list(path), wholetext=True)
     p = _path()
     return df.select(p.alias("path"),
                      F.regexp_extract(p, RESPONSE_NAME, 1).alias("var"),
