@@ -130,13 +130,27 @@ def parse_number(tok: Column) -> Column:
              .when(tok.rlike(SPECIAL_RE), special))
 
 
+# Letters that Java's number syntax accepts and Python's does not (or the
+# reverse: underscores, and the words inf / nan).  A response without any of
+# them can be cast token by token with Spark's own cast.
+_NON_PLAIN = "dDfFxXpPiInN_"
+
+
 def tokenize_numbers(text: Column) -> Column:
-    """All numeric tokens of the data lines, in order (commas count as blanks)."""
-    toks = F.flatten(F.transform(
-        data_lines(text),
-        lambda l: split_blanks(F.translate(l, ",", " "))))
-    nums = F.transform(toks, parse_number)
-    return F.filter(nums, lambda x: x.isNotNull())
+    """All numeric tokens of the data lines, in order (commas count as blanks).
+
+    Comment lines are removed with one multiline pattern, commas and every
+    whitespace character become spaces, and the text is split once.  When
+    the remaining text has none of the letters that tell Java's and Python's
+    number syntax apart, the token array is cast as a whole (vectorised,
+    no lambda); otherwise each token goes through ``parse_number``.
+    """
+    body = F.regexp_replace(text, f"(?md)^{WS}*#[^\n]*", "")
+    flat = F.trim(F.translate(body, "," + WS_CHARS, " " * (len(WS_CHARS) + 1)))
+    toks = F.split(flat, " +")
+    plain = F.length(F.translate(flat, _NON_PLAIN, "")) == F.length(flat)
+    return F.when(plain, F.array_compact(toks.try_cast("array<double>"))) \
+            .otherwise(F.array_compact(F.transform(toks, parse_number)))
 
 
 def _finite(x: Column) -> Column:
