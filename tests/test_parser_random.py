@@ -16,36 +16,39 @@ POOL = ["0", "1", "2", "3", "6", "12", "-3", "-2", "1.5", "-999", "2049", "2000"
 
 
 def py_numbers(text):
-    out = []
-    for line in text.strip().split("\n"):
-        s = line.strip()
-        if not s or s.startswith("#"):
-            continue
-        for tok in line.replace(",", " ").split():
-            try:
-                out.append(float(tok))
-            except ValueError:
-                pass
-    return out
+    """Numbers of the non-comment lines, Python float syntax, others skipped."""
+    def number(tok):
+        try:
+            return float(tok)
+        except ValueError:
+            return None
+    data = (ln for ln in text.strip().split("\n") if ln.strip() and ln.strip()[0] != "#")
+    found = (number(tok) for ln in data for tok in ln.replace(",", " ").split())
+    return [x for x in found if x is not None]
+
+
+def _whole(x):
+    return math.isfinite(x) and x.is_integer()
 
 
 def py_parse(text, n):
+    """Rules: exact count accepted; fewer rejected; more: look at
+    adjacent pairs among the first 20 numbers -- a non-finite first number,
+    or a whole first number followed by a non-finite one, rejects; the first
+    pair of whole numbers with product n is cut with everything before it;
+    afterwards the count must be exact."""
     nums = py_numbers(text)
-    if not nums:
+    if not nums or len(nums) < n:
         return None
-    if len(nums) != n:
-        if len(nums) > n:
-            for i in range(min(20, len(nums) - 1)):
-                a, b = nums[i], nums[i + 1]
-                try:
-                    if float(int(a)) == a and float(int(b)) == b and int(a) * int(b) == n:
-                        nums = nums[i + 2:]
-                        break
-                except (ValueError, OverflowError):
-                    return None
-        if len(nums) != n:
-            return None
-    return nums
+    if len(nums) > n:
+        pairs = list(zip(nums[:20], nums[1:21]))
+        for pos, (a, b) in enumerate(pairs):
+            if not math.isfinite(a) or (_whole(a) and not math.isfinite(b)):
+                return None
+            if _whole(a) and _whole(b) and round(a) * round(b) == n:
+                nums = nums[pos + 2:]
+                break
+    return nums if len(nums) == n else None
 
 
 def gen(rng):
@@ -85,9 +88,8 @@ def test_parser_matches_rules(spark, seed):
 
 
 def T_is_error(text):
-    t = text.strip()
-    if not t:
-        return True
-    head = t[:400].lower()
-    return any(m in head for m in ("<html", "<!doctype html", "forbidden", "unauthorized")) or \
-        ("error" in head and "#" not in head)
+    """Blank, or the first 400 characters (lower case) hold an HTML / auth
+    marker, or the word error without any '#'."""
+    head = text.strip()[:400].lower()
+    markers = ("<html", "<!doctype html", "forbidden", "unauthorized")
+    return head == "" or any(m in head for m in markers) or ("error" in head and "#" not in head)
