@@ -78,3 +78,27 @@ def test_markdown_by_key(spark):
     out = {r["year"]: r["text"] for r in writers.markdown_by_key(df, "year", ["STN"], 3, "T").collect()}
     assert out[2024].splitlines()[2:] == ["| STN | note |", "| --- | --- |", "| 0 | s0 |", "| 1 | s1 |", "| 2 | s2 |"]
     assert out[2023].splitlines()[-1] == "| 1 |  |"
+
+
+def test_small_date_and_slot_functions(spark):
+    import datetime as dt
+
+    from wxgrid.catalogue import spec
+    from wxgrid.functions.dates import day_range, hours_of_day, month_of, year_of
+    from wxgrid.functions.slots import slot_label, slot_label_for, time_key
+    from wxgrid.operators.stations import line_numbers
+    row = spark.range(1).select(
+        time_key(F.lit("20240105"), F.lit(7)).alias("tk"),
+        hours_of_day(1).alias("h1"), hours_of_day(3).alias("h3"),
+        year_of(F.lit("20240105")).alias("y"), month_of(F.lit("20240105")).alias("m"),
+        slot_label(F.lit("ta"), F.lit(23), ["ta"]).alias("s23"),
+        slot_label_for(spec("sd_3hr"), F.lit(21)).alias("s21"),
+        slot_label_for(spec("sd_3hr"), F.lit(1)).alias("off")).first()
+    assert row["tk"] == "202401050700" and row["h1"] == list(range(24)) and row["h3"] == list(range(0, 24, 3))
+    assert (row["y"], row["m"]) == (2024, 1)
+    assert (row["s23"], row["s21"], row["off"]) == ("t2300", "s2124", None)
+    days = spark.range(1).select(day_range(2023, 12, 2024, 2).alias("d")).collect()
+    assert days[0]["d"] == dt.date(2023, 12, 1) and days[-1]["d"] == dt.date(2024, 2, 29) and len(days) == 91
+    df = spark.createDataFrame([("a", 5), ("a", 2), ("b", 9)], "path string, ord long")
+    got = sorted(tuple(r) for r in line_numbers(df).collect())
+    assert got == [("a", 2, 0), ("a", 5, 1), ("b", 9, 0)]

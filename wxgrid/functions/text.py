@@ -83,10 +83,6 @@ def parse_response(text: Column, n_expected: Column | None) -> Column:
     return let(is_error_response(text), with_err)
 
 
-def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
-
-
 def is_error_response(text: Column) -> Column:
     """True for a blank / missing response or an HTML / error page.
 
@@ -108,11 +104,6 @@ def is_error_response(text: Column) -> Column:
             .otherwise(let(F.length(F.regexp_extract(text, f"^{WS}*", 0)), with_lead))
 
 
-def data_lines(text: Column) -> Column:
-    """Lines that are not blank and not ``#`` comments (after stripping)."""
-    return F.filter(F.split(text, "\n"), lambda l: ~l.rlike(f"^{WS}*(?:#|\\z)"))
-
-
 def parse_number(tok: Column) -> Column:
     """One token -> double with Python ``float`` syntax, NULL if not a number.
 
@@ -215,12 +206,6 @@ def reject_reason_of(is_error: Column, vals: Column, cut: Column, accepted: Colu
                 .when(accepted.isNull(), F.lit("count_mismatch")))
 
 
-def reject_reason(text: Column, n_expected: Column | None) -> Column:
-    vals = tokenize_numbers(text)
-    cut = header_cut(vals, n_expected) if n_expected is not None else F.lit(0)
-    return reject_reason_of(is_error_response(text), vals, cut, accepted_values(vals, cut, n_expected), n_expected)
-
-
 def split_lines(text: Column) -> Column:
     """Python ``str.splitlines()``: no trailing empty line after a final break."""
     parts = F.split(text, LINE_BREAK)
