@@ -89,8 +89,13 @@ def test_station_and_coverage(spark, scratch):
 
 def test_streaming_ingest(spark, scratch, landing):
     root = os.path.join(scratch, "stream")
-    q = start_ingest_stream(spark, landing, root, ["ta"], N, trigger_once=True)
-    q.awaitTermination(300)
+    # a second copy of one hour in a sub-folder of the same batch
+    _write(f"{landing}/copy/ta_2024010103" + "00.txt", "3 2\n9 9 9\n9 9 9\n")
+    try:
+        q = start_ingest_stream(spark, landing, root, ["ta"], N, trigger_once=True, recursive=True)
+        q.awaitTermination(300)
+    finally:
+        os.remove(f"{landing}/copy/ta_202401010300.txt")
     obs = spark.read.parquet(os.path.join(root, "observations"))
     assert {r["date"] for r in obs.select(F.col("date").cast("string").alias("date")).distinct().collect()} == {"20240101"}
-    assert obs.count() == 24 * N
+    assert obs.count() == 24 * N     # the duplicate hour is not counted twice

@@ -26,11 +26,14 @@ from ..sources.readers import RESPONSE_NAME
 TEXT_SCHEMA = StructType([StructField("value", StringType())])
 
 
-def landing_stream(spark: SparkSession, landing: str, max_files: int = 256) -> DataFrame:
+def landing_stream(spark: SparkSession, landing: str, max_files: int = 256,
+                   recursive: bool = False) -> DataFrame:
     df = (spark.readStream.format("text").schema(TEXT_SCHEMA)
-          .option("wholetext", True).option("maxFilesPerTrigger", max_files).load(landing))
+          .option("wholetext", True).option("maxFilesPerTrigger", max_files)
+          .option("recursiveFileLookup", recursive).load(landing))
     p = F.col("_metadata.file_path")
-    return df.select(F.regexp_extract(p, RESPONSE_NAME, 1).alias("var"),
+    return df.select(p.alias("path"),
+                     F.regexp_extract(p, RESPONSE_NAME, 1).alias("var"),
                      F.regexp_extract(p, RESPONSE_NAME, 2).alias("tm"),
                      F.col("value").alias("text"))
 
@@ -43,29 +46,36 @@ def _process_batch(batch: DataFrame, batch_id: int, variables, n_expected, stagi
                                .withColumn("date", F.substring("tm", 1, 8))).drop("date")
     valid = ingest.validate(resp, n_expected).cache()
     try:
-        long = ingest.to_long(valid)
+        # Staging keeps the source file of every row: a later batch's file
+        # for the same hour replaces the hour's partition, and two files for
+        # one hour within a batch are resolved at promotion.
+        long = ingest.to_long(valid, extra=("path",))
         long.write.mode("overwrite").partitionBy("var", "date", "hour").parquet(staging)
         W.write_quarantine(ingest.rejected(valid), quarantine_root)
         touched = valid.where(F.col("vals").isNotNull()).select("var", "date").distinct()
-        staged = (spark.read.parquet(staging).select("var", F.col("date").cast("string").alias("date"), "hour")
-                  .join(F.broadcast(touched), ["var", "date"], "left_semi").distinct())
-        status = gates.hour_status(staged, variables)
-        ready = status.where("complete").select("var", "date")
-        promote = (spark.read.parquet(staging).withColumn("date", F.col("date").cast("string"))
-                   .join(F.broadcast(ready), ["var", "date"], "left_semi"))
+        staged = (spark.read.parquet(staging).withColumn("date", F.col("date").cast("string"))
+                  .join(F.broadcast(touched), ["var", "date"], "left_semi"))
+        # One source file per (var, date, hour): the greatest path.  Reads
+        # only the partition columns and the dictionary-encoded path column.
+        chosen = staged.groupBy("var", "date", "hour").agg(F.max("path").alias("path"))
+        status = gates.hour_status(chosen, variables)
+        ready = chosen.join(F.broadcast(status.where("complete").select("var", "date")), ["var", "date"],
+                            "left_semi")
+        promote = staged.join(F.broadcast(ready), ["var", "date", "hour", "path"], "left_semi")
         W.write_observations(promote.select("grid_idx", "date", "var", "hour", "value", "ord"), obs_root)
     finally:
         valid.unpersist()
 
 
 def start_ingest_stream(spark: SparkSession, landing: str, root: str, variables,
-                        n_expected: int | None, trigger_once: bool = False) -> StreamingQuery:
+                        n_expected: int | None, trigger_once: bool = False,
+                        recursive: bool = False) -> StreamingQuery:
     """Run the landing-directory ingest; ``root`` (shared storage) holds the
     staging, observation, quarantine and checkpoint folders."""
     staging = os.path.join(root, "staging")
     obs_root = os.path.join(root, "observations")
     quarantine_root = os.path.join(root, "quarantine")
-    writer = (landing_stream(spark, landing).writeStream
+    writer = (landing_stream(spark, landing, recursive=recursive).writeStream
               .foreachBatch(lambda df, i: _process_batch(df, i, variables, n_expected, staging,
                                                          obs_root, quarantine_root))
               .option("checkpointLocation", os.path.join(root, "_checkpoint")))
