@@ -19,8 +19,8 @@ MAX_BROADCAST_ROWS = 8_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` when a row count proves it small, else return it as is.
 
-    The count is one cheap job over a dimension table; fact tables never go
-    through here.
+    The probe counts at most ``max_rows + 1`` rows, so it is one cheap job
+    over a dimension table and stops early if a large table is passed.
     """
-    n = df.count()
+    n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
