@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound for a broadcast dimension.  A grid->region mapping is bounded by
-# the grid (4.2M cells, ~0.4M mapped) and is a few narrow columns, so it fits;
-# anything larger takes the shuffle path.
-MAX_BROADCAST_ROWS = 8_000_000
+# Row bound for a broadcast dimension.  A broadcast side is collected by the
+# driver and copied to every executor, so the bound keeps it near 80 MB of
+# narrow rows.  The grid->region mapping after the mapped-cell filter is
+# ~0.4M rows (~15 MB); a denser mapping beyond the bound takes the shuffle
+# join instead.
+MAX_BROADCAST_ROWS = 2_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
