@@ -32,7 +32,7 @@ from ..session import cut_lineage
 DEFAULT_TILE_DEG = 0.05
 # Edge bands are broadcast only up to this many edges in total (~32 bytes
 # each); beyond it the band join shuffles on (poly_id, tile row).
-MAX_BROADCAST_EDGES = 4_000_000
+MAX_BROADCAST_EDGES = 2_000_000
 
 
 def grid_from_rows(rows: DataFrame, keys=()) -> DataFrame:
