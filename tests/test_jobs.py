@@ -99,3 +99,32 @@ def test_streaming_ingest(spark, scratch, landing):
     obs = spark.read.parquet(os.path.join(root, "observations"))
     assert {r["date"] for r in obs.select(F.col("date").cast("string").alias("date")).distinct().collect()} == {"20240101"}
     assert obs.count() == 24 * N     # the duplicate hour is not counted twice
+
+
+def test_mapping_job(spark, scratch):
+    rows = [(y, [37.0 + y * 0.1] * 10, [127.0 + x * 0.1 for x in range(10)]) for y in range(10)]
+    grid = os.path.join(scratch, "grid_rows")
+    spark.createDataFrame(rows, "y int, lat array<double>, lon array<double>").write.parquet(grid)
+    ring = "array<array<struct<x:double,y:double>>>"
+
+    def square(x0, y0, x1, y1):
+        return [[(x0, y0), (x1, y0), (x1, y1), (x0, y1)]]
+    hjd = os.path.join(scratch, "hjd")
+    spark.createDataFrame([("1101", "west", square(126.95, 36.95, 127.45, 37.95)),
+                           ("1102", "east", square(127.45, 36.95, 128.05, 37.45))],
+                          f"adm_cd string, adm_nm string, rings {ring}").write.parquet(hjd)
+    bjd_a, bjd_b = os.path.join(scratch, "bjd_a"), os.path.join(scratch, "bjd_b")
+    spark.createDataFrame([("A", "a", square(126.95, 36.95, 127.95, 37.35))],
+                          f"EMD_CD string, EMD_NM string, rings {ring}").write.parquet(bjd_a)
+    spark.createDataFrame([("B", "b", square(126.95, 37.35, 127.25, 37.95))],
+                          f"EMD_CD string, EMD_NM string, rings {ring}").write.parquet(bjd_b)
+    out = os.path.join(scratch, "mapping_unified")
+    prof = jobs.mapping_job(spark, grid, hjd, [bjd_a, bjd_b], out, reproject=False, tile=0.2).first().asDict()
+    m = spark.read.parquet(out)
+    assert m.count() == 100 and set(m.columns) == {"grid_idx", "lat", "lon", "HJD_CD", "HJD_NM", "EMD_CD", "EMD_NM"}
+    # hjd: west 5 x 10 cells + east 6 x 5 cells; bjd: a 10 x 4, b 3 x 6
+    assert prof["mapped_hjd"] == 50 + 25 and prof["mapped_bjd"] == 40 + 18
+    cell = m.where("grid_idx = 11").first()      # lat 37.1, lon 127.1
+    assert (cell["HJD_CD"], cell["EMD_CD"]) == ("1101", "A")
+    # a second call reuses the written mapping
+    assert jobs.mapping_job(spark, grid, hjd, [bjd_a, bjd_b], out, reproject=False).first()["cells"] == 100
