@@ -59,6 +59,12 @@ def test_ingest_and_regional(spark, scratch, landing):
     got = {r["HJD_CD"]: (r["t0001"], r["t0506"]) for r in interim}
     assert got == {"A": (0.5, 3.0), "B": (2.0, 2.0)}
     assert glob.glob(os.path.join(out, "yearly_hjd", "year=2024", "*.csv"))
+    # sum: every hour of 20240101 has readings, so empty slots are 0.0 only
+    # where the region has no cell value; all hours present -> no NULL slots
+    out_sum = os.path.join(scratch, "out_sum")
+    jobs.regional_job(spark, obs_root, mapping, out_sum, ["ta"], region_type="hjd", method="sum")
+    row = {r["HJD_CD"]: r for r in spark.read.parquet(os.path.join(out_sum, "interim")).collect()}
+    assert row["A"]["t0001"] == 1.0 and row["B"]["t0506"] == 2.0
 
 
 def test_station_and_coverage(spark, scratch):

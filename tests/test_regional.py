@@ -168,3 +168,15 @@ def test_random_against_pandas(spark, method, seed):
             assert list(got[c]) == list(exp[c])
         else:
             np.testing.assert_allclose(got[c].astype(float), exp[c].astype(float), rtol=1e-9, equal_nan=True)
+
+
+def test_sum_slot_empty_on_whole_grid(spark):
+    d = "20240105"
+    # t0001 has a reading only in an unmapped cell, t0102 nowhere at all
+    obs = _obs(spark, [(1, d, "ta", 0, None, 1), (1, d, "ta", 2, 4.0, 2), (99, d, "ta", 0, 7.0, 3)])
+    m = _map(spark, [(1, "R"), (99, None)])
+    plain = _one(regional.region_day(obs, m, ["ta"], "sum"), HJD_CD="R")
+    pres = _one(regional.region_day(obs, m, ["ta"], "sum", presence=regional.hour_presence(obs, ["ta"])),
+                HJD_CD="R")
+    assert (plain["t0001"], plain["t0102"], plain["t0203"]) == (0.0, 0.0, 4.0)
+    assert (pres["t0001"], pres["t0102"], pres["t0203"]) == (0.0, None, 4.0)

@@ -71,21 +71,29 @@ def to_long(valid: DataFrame, extra=()) -> DataFrame:
 
 
 def day_status(valid: DataFrame, variables) -> DataFrame:
-    """(date, var, complete, missing_hours): hour-completeness per day.
+    """(date, var, complete, missing_hours, value_hours): hour-completeness
+    per day.
 
     ``missing_hours`` lists expected hours without an accepted response
     (sorted, comma-joined); a day is complete when the list is empty.
+    ``value_hours`` are the accepted hours with at least one real reading.
     """
     expected = None
     for s in specs(variables):
         arr = F.sequence(F.lit(0), F.lit(24 - s.step), F.lit(s.step))
         expected = F.when(F.col("var") == s.name, arr) if expected is None else expected.when(F.col("var") == s.name, arr)
+    # An hour "has values" when any cell holds a reading that survives the
+    # sentinel rule; regional sums leave slots without any NULL.
+    has_value = F.exists(F.col("vals"), lambda x: clean_sentinel(x).isNotNull())
     good = (valid.groupBy("date", "var")
-                 .agg(F.collect_set(F.when(F.col("vals").isNotNull(), F.col("hour"))).alias("ok_hours")))
+                 .agg(F.collect_set(F.when(F.col("vals").isNotNull(), F.col("hour"))).alias("ok_hours"),
+                      F.collect_set(F.when(F.col("vals").isNotNull() & has_value, F.col("hour")))
+                      .alias("value_hours")))
     miss = F.array_sort(F.array_except(expected, F.col("ok_hours")))
     return good.select("date", "var",
                        (F.size(miss) == 0).alias("complete"),
-                       F.array_join(F.transform(miss, lambda h: h.cast("string")), ",").alias("missing_hours"))
+                       F.array_join(F.transform(miss, lambda h: h.cast("string")), ",").alias("missing_hours"),
+                       F.array_sort(F.col("value_hours")).alias("value_hours"))
 
 
 def rejected(valid: DataFrame) -> DataFrame:

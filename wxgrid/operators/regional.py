@@ -92,7 +92,28 @@ def cell_first_values(obs: DataFrame, mapping: DataFrame, variables,
     return cells, id_cols
 
 
-def _pivot_slots(per_slot: DataFrame, id_cols, variables, method: str) -> DataFrame:
+def hour_presence(obs: DataFrame, variables) -> DataFrame:
+    """(date, var, hour) with a non-NULL reading anywhere on the grid.
+
+    The reference pivots each day separately and drops a slot column that
+    is empty for every cell; after the days are concatenated that slot is
+    NULL.  This table lets ``region_day(..., method="sum")`` do the same.
+    It is a partial aggregate over the readings (at most 56 rows per day).
+    """
+    o = obs.where(F.col("value").isNotNull() & ~F.isnan("value") & F.col("var").isin(*list(variables)))
+    return o.select("date", "var", "hour").distinct()
+
+
+def _slot_presence_wide(presence: DataFrame, variables) -> DataFrame:
+    """(date, _p0 .. _pK): 1 where the slot has a reading somewhere that day."""
+    p = presence.select("date", slot_index(F.col("var"), F.col("hour"), variables).alias("slot")) \
+                .where(F.col("slot").isNotNull())
+    n = sum(s.slots_per_day for s in specs(variables))
+    return p.groupBy("date").agg(*[F.max(F.when(F.col("slot") == k, F.lit(1))).alias(f"_p{k}") for k in range(n)])
+
+
+def _pivot_slots(per_slot: DataFrame, id_cols, variables, method: str,
+                 presence: DataFrame | None = None) -> DataFrame:
     """(date, codes, var, slot, val) -> one row per (date, codes), one column
     per slot.  Input is already aggregated (at most 57 rows per region-day
     and variable), so the wide conditional aggregate here is cheap."""
@@ -106,17 +127,24 @@ def _pivot_slots(per_slot: DataFrame, id_cols, variables, method: str) -> DataFr
     wide = per_slot.groupBy("date", *id_cols).agg(*aggs)
     if method != "sum":
         return wide
-    # sum of an all-NULL slot is 0.0 where the region-day has the variable.
-    cols = []
+    # sum of an all-NULL slot is 0.0 where the region-day has the variable --
+    # unless the slot is empty on the whole grid that day (presence table).
+    if presence is not None:
+        # One row per day: broadcast by construction.
+        wide = wide.join(F.broadcast(_slot_presence_wide(presence, variables)), "date", "left")
+    cols, k = [], 0
     for s in specs(variables):
         has = F.col(f"_has_{s.name}") == F.lit(1)
-        cols += [F.when(has, F.coalesce(F.col(n), F.lit(0.0))).alias(n) for n in s.slot_names()]
+        for n in s.slot_names():
+            ok = has if presence is None else has & (F.col(f"_p{k}") == F.lit(1))
+            cols.append(F.when(ok, F.coalesce(F.col(n), F.lit(0.0))).alias(n))
+            k += 1
     return wide.select("date", *id_cols, *cols)
 
 
 def region_day(obs: DataFrame, mapping: DataFrame, variables=("ta", "rn_60m"),
                method: str = "mean", id_cols=None, season_filter: bool = True,
-               dedupe: bool = True) -> DataFrame:
+               dedupe: bool = True, presence: DataFrame | None = None) -> DataFrame:
     """Fused operator: pivot + map + aggregate + merge for all days at once.
 
     Output columns: ``date``, sorted t*, sorted p*, sorted s*, then the
@@ -128,6 +156,10 @@ def region_day(obs: DataFrame, mapping: DataFrame, variables=("ta", "rn_60m"),
     hour) -- true for the observation cache written by ``ingest``, which
     keeps one response per (var, time).  Then every shuffle left carries
     map-side partial aggregates.
+
+    ``presence`` (``hour_presence`` or the ingest manifest) makes ``sum``
+    leave a slot NULL on days when no cell of the grid has a reading for it,
+    as the reference's per-day pivot does; without it such a slot is 0.0.
     """
     if method not in METHODS:
         raise ValueError(f"Unknown method: {method}")
@@ -146,7 +178,7 @@ def region_day(obs: DataFrame, mapping: DataFrame, variables=("ta", "rn_60m"),
                                             F.sum("w").alias("n"))
         val = F.col("s") / F.col("n") if method == "mean" else F.col("s")
         per_slot = per_slot.select(*keys, val.alias("val"))
-    wide = _pivot_slots(per_slot, id_cols, variables, method)
+    wide = _pivot_slots(per_slot, id_cols, variables, method, presence)
     return wide.select("date", *ordered_slot_columns(variables), *id_cols)
 
 

@@ -63,7 +63,8 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
     # holds on the driver anyway); only these files' text is read.
     paths = [r["path"] for r in newest.select("path").collect()]
     if not paths:
-        return spark.createDataFrame([], "date string, var string, complete boolean, missing_hours string")
+        return spark.createDataFrame([], "date string, var string, complete boolean, missing_hours string, "
+                                         "value_hours array<int>")
     resp = R.read_responses(spark, paths)
     valid = ingest.validate(resp, n_expected).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -99,7 +100,8 @@ def mapping_job(spark: SparkSession, grid_rows_path: str, hjd_polygons, bjd_poly
 
 def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root: str,
                  variables=("ta", "rn_60m"), start: str | None = None, end: str | None = None,
-                 region_type: str = "hjd", method: str = "mean", strict_gate: bool = False) -> DataFrame:
+                 region_type: str = "hjd", method: str = "mean", strict_gate: bool = False,
+                 manifest: str | None = None) -> DataFrame:
     """Stage B for a date range in one plan.
 
     Days are kept only when every (applicable, or with ``strict_gate`` every
@@ -119,9 +121,19 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
     complete = gates.complete_days(expected, present)
     mapping = R.read_mapping(spark, mapping_path)
     keep = {"hjd": [HJD_CD], "bjd": [EMD_CD], "both": [HJD_CD, EMD_CD]}[region_type]
+    presence = None
+    if method == "sum":
+        # Hours with any reading on the grid: from the ingest manifest (no
+        # scan), else a partial aggregate over the cache.
+        manifest = manifest or obs_root.rstrip("/") + "_manifest"
+        if _exists(spark, manifest):
+            presence = (spark.read.parquet(manifest).where("complete")
+                        .select("date", "var", F.explode("value_hours").alias("hour")).distinct())
+        else:
+            presence = regional.hour_presence(obs, variables)
     # The cache holds one reading per (cell, var, hour): no first-wins shuffle.
     wide = regional.region_day(gates.gate(obs, complete), mapping.select("grid_idx", *keep), variables, method,
-                               dedupe=False)
+                               dedupe=False, presence=presence)
     W.write_region_days(wide, os.path.join(out_root, "interim"), region_type)
     final = spark.read.parquet(os.path.join(out_root, "interim")).where(F.col("region_type") == region_type) \
         .drop("region_type")

@@ -82,11 +82,21 @@ def _region_ctes(method: str, ids, variables, map_name: str) -> tuple[list[str],
     mid = ", ".join("m." + c for c in ids)
     for s in ss:
         ctes.append(_cell_pivot_cte(s, f"piv_{s.name}"))
-        aggs = ",\n    ".join(_agg_expr(method, n) for n in s.slot_names())
+        if method == "sum":
+            # The per-day pivot drops a slot column that is empty for every
+            # cell; after concatenation such a slot is NULL, not 0.
+            pres = ", ".join(f"count({n}) > 0 AS {n}_p" for n in s.slot_names())
+            ctes.append(f"pres_{s.name} AS (SELECT date, {pres} FROM piv_{s.name} GROUP BY date)")
+            aggs = ",\n    ".join(f"CASE WHEN bool_or(pr.{n}_p) THEN coalesce(sum(p.{n}), 0.0) END AS {n}"
+                                     for n in s.slot_names())
+            join_pres = f" JOIN pres_{s.name} pr ON p.date = pr.date"
+        else:
+            aggs = ",\n    ".join(_agg_expr(method, n) for n in s.slot_names())
+            join_pres = ""
         ctes.append(f"""agg_{s.name} AS (
   SELECT p.date, {mid},
     {aggs}
-  FROM piv_{s.name} p JOIN {map_name} m ON p.grid_idx = m.grid_idx
+  FROM piv_{s.name} p JOIN {map_name} m ON p.grid_idx = m.grid_idx{join_pres}
   WHERE {id_ok}
   GROUP BY p.date, {mid})""")
     frm = f"agg_{ss[0].name}"

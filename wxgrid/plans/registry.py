@@ -41,7 +41,9 @@ def region_day_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def region_day_sum(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(regional.region_day(A.obs(spark, sf), A.mapping_hjd(spark, sf), ALL_VARS, "sum"))
+    o = A.obs(spark, sf)
+    return rounded(regional.region_day(o, A.mapping_hjd(spark, sf), ALL_VARS, "sum",
+                                       presence=regional.hour_presence(o, ALL_VARS)))
 
 
 def region_day_median(spark: SparkSession, sf: str) -> DataFrame:
