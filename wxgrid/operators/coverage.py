@@ -25,7 +25,13 @@ from ..functions.dates import days_in_year, parse_yyyymmdd
 from ..functions.values import safe_int
 from ..plans.hints import broadcast_if_small
 
+# ---------------------------------------------------------------------------
+# A missing-date sample lists the first 10 dates; report
+# tables keep at most 1000 summary rows, 200 churn rows, 2000 per-station
+# rows and 100 duplicate / out-of-range rows.
+# ---------------------------------------------------------------------------
 SAMPLE_N = 10
+CAP_SUMMARY, CAP_CHURN, CAP_PER_STATION, CAP_DETAIL = 1000, 200, 2000, 100
 
 
 def clean_keys(df: DataFrame, year_col: str = "year") -> DataFrame:
@@ -171,6 +177,3 @@ def per_station_report(per_station_df: DataFrame, cap: int | None = None) -> Dat
         "days_present", "days_expected", "days_missing", "missing_sample")
     return top_rows(filled, cap or CAP_PER_STATION, ["days_missing", "STN"])
 
-
-# Report caps of the markdown tables (rows per table).
-CAP_SUMMARY, CAP_CHURN, CAP_PER_STATION, CAP_DETAIL = 1000, 200, 2000, 100

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ..catalogue import SNOW_OFF_MONTHS, SNOW_START_YEAR, SNOW_VAR, specs
 from ..functions.dates import to_yyyymmdd
 
+# Fixed value: the skip report lists the first 30 skipped days, then a count.
+SKIP_SHOWN = 30
+
 
 def applicable(var: Column, date: Column) -> Column:
     """Snow is produced from 2020 on and not in June-September."""
@@ -99,7 +102,7 @@ def hour_status(rows: DataFrame, variables) -> DataFrame:
                     (F.size(miss) == 0).alias("complete"))
 
 
-def skip_summary(missing: DataFrame, first: int = 30) -> DataFrame:
+def skip_summary(missing: DataFrame, first: int = SKIP_SHOWN) -> DataFrame:
     """Days skipped for missing variables: the first ``first`` days in date
     order with their missing variables, and the total number of skipped
     days (the rest is reported as a count).  Input (date, var)."""

@@ -24,6 +24,10 @@ from ..sinks import writers as W
 from ..session import configure
 from ..sources import readers as R
 
+# ---------------------------------------------------------------------------
+# Column names tried, in order, for the region code and name
+# of each boundary layer (administrative HJD, legal BJD).
+# ---------------------------------------------------------------------------
 HJD_CODE_CANDIDATES = ["adm_cd", "ADSTRD_CD", "HJD_CD", "ADM_CD", "ADMD_CD"]
 HJD_NAME_CANDIDATES = ["adm_nm", "ADSTRD_NM", "HJD_NM", "ADM_NM", "ADMD_NM"]
 BJD_CODE_CANDIDATES = ["EMD_CD", "emd_cd", "ADM_CD", "BJDONG_CD"]

@@ -21,6 +21,11 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.dates import year_from_filename
 
+# ---------------------------------------------------------------------------
+# File name formats.  Raw grid responses are
+# "{var}_{YYYYMMDDHHmm}.txt"; raw yearly station files are
+# "weather_data_stn{stn}_{Y}0101_{Y}1231.txt".
+# ---------------------------------------------------------------------------
 RESPONSE_NAME = r"([^/]+)_([0-9]{12})\.txt$"
 STATION_NAME = r"weather_data_stn([0-9]+)_([0-9]{4})0101_[0-9]{8}\.txt$"
 
