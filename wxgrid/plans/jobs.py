@@ -115,7 +115,18 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
     """
     configure(spark)
     obs = R.read_observations(spark, obs_root, variables, start, end)
-    present = obs.select("date", "var").distinct()
+    manifest = manifest or obs_root.rstrip("/") + "_manifest"
+    has_manifest = _exists(spark, manifest)
+    if has_manifest:
+        # Cached (date, var) pairs from the ingest manifest: no file footers.
+        status = spark.read.parquet(manifest).where(F.col("complete") & F.col("var").isin(*list(variables)))
+        if start:
+            status = status.where(F.col("date") >= start)
+        if end:
+            status = status.where(F.col("date") <= end)
+        present = status.select("date", "var").distinct()
+    else:
+        present = obs.select("date", "var").distinct()
     days = gates.month_calendar(present.select("date"))
     if start:
         days = days.where(F.col("date") >= start)
@@ -129,8 +140,7 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
     if method == "sum":
         # Hours with any reading on the grid: from the ingest manifest (no
         # scan), else a partial aggregate over the cache.
-        manifest = manifest or obs_root.rstrip("/") + "_manifest"
-        if _exists(spark, manifest):
+        if has_manifest:
             presence = (spark.read.parquet(manifest).where("complete")
                         .select("date", "var", F.explode("value_hours").alias("hour")).distinct())
         else:
