@@ -46,6 +46,8 @@ def hours_of_day(step: int = 1) -> Column:
 def year_from_filename(path: Column) -> Column:
     """First underscore-separated part of the base name (``.csv`` removed)
     that is exactly four digits, as int; NULL when there is none."""
+    # One regular expression, no lambda: this expression can be pushed down
+    # to file pruning on the file path, where plain expressions are safest.
     base = F.regexp_replace(F.regexp_extract(path, r"([^/]*)$", 1), r"\.csv", "")
-    parts = F.filter(F.split(base, "_"), lambda x: x.rlike("^[0-9]{4}$"))
-    return F.get(parts, 0).cast("int")
+    year = F.regexp_extract(base, r"(?:^|_)([0-9]{4})(?=_|$)", 1)
+    return F.nullif(year, F.lit("")).try_cast("int")
