@@ -14,6 +14,12 @@ def parse_yyyymmdd(c: Column) -> Column:
     return F.element_at(F.transform(F.array(c.cast("string")), body), 1)
 
 
+def parse_yyyymmdd_int(c: Column) -> Column:
+    """``parse_yyyymmdd`` for an integer column: an 8-digit non-negative
+    value is exactly one in 10000000..99999999; no text handling needed."""
+    return F.when(c.between(10000000, 99999999), F.try_to_date(c.cast("string"), "yyyyMMdd"))
+
+
 def to_yyyymmdd(d: Column) -> Column:
     return F.date_format(d, "yyyyMMdd")
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import days_in_year, parse_yyyymmdd
+from ..functions.dates import days_in_year, parse_yyyymmdd, parse_yyyymmdd_int
 from ..functions.values import safe_int
 from ..plans.hints import broadcast_if_small
 
@@ -34,12 +34,29 @@ SAMPLE_N = 10
 CAP_SUMMARY, CAP_CHURN, CAP_PER_STATION, CAP_DETAIL = 1000, 200, 2000, 100
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
 def clean_keys(df: DataFrame, year_col: str = "year") -> DataFrame:
-    """Add ``stn`` (int or NULL) and ``tm`` (date or NULL) parsed leniently."""
+    """Add ``stn`` (int or NULL) and ``tm`` (date or NULL) parsed leniently.
+
+    Text columns (CSV) take the lenient numeric parse; integer columns are
+    already numbers and take a plain range check, which stays in generated
+    code (no per-row lambda).
+    """
     if year_col != "year":
         df = df.withColumnRenamed(year_col, "year")
-    return (df.withColumn("stn", safe_int(F.col("STN")))
-              .withColumn("tm", parse_yyyymmdd(safe_int(F.col("TM")))))
+    types = dict(df.dtypes)
+    stn, tm = F.col("STN"), F.col("TM")
+    if types.get("STN") in _INTEGRAL:
+        stn_v = F.when(stn.between(-2147483648, 2147483647), stn.cast("int"))
+    else:
+        stn_v = safe_int(stn)
+    if types.get("TM") in _INTEGRAL:
+        tm_v = parse_yyyymmdd_int(tm)
+    else:
+        tm_v = parse_yyyymmdd(safe_int(tm))
+    return df.withColumn("stn", stn_v).withColumn("tm", tm_v)
 
 
 def _present(keys: DataFrame) -> DataFrame:
