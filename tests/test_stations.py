@@ -77,3 +77,12 @@ def test_top_rows_per_year(spark):
     df = spark.createDataFrame([(y, s) for y in (1, 2) for s in range(5)], "year int, STN int")
     got = sorted(tuple(r) for r in coverage.top_rows(df, 2, [F.col("STN").desc()]).collect())
     assert got == [(1, 3), (1, 4), (2, 3), (2, 4)]
+
+
+def test_clean_keys_integer_columns(spark):
+    df = spark.createDataFrame([(2023, 108, 20230105), (2023, 108, 20230230), (2023, 108, 2023010),
+                                (2023, 108, -20230101), (2023, None, None), (2023, 3000000000, 20230101)],
+                               "year int, STN long, TM long")
+    got = [(r["stn"], r["tm"]) for r in coverage.clean_keys(df).collect()]
+    assert got == [(108, dt.date(2023, 1, 5)), (108, None), (108, None), (108, None), (None, None),
+                   (None, dt.date(2023, 1, 1))]
