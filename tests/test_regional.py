@@ -191,3 +191,17 @@ def test_sum_slot_empty_on_whole_grid(spark):
                 HJD_CD="R")
     assert (plain["t0001"], plain["t0102"], plain["t0203"]) == (0.0, 0.0, 4.0)
     assert (pres["t0001"], pres["t0102"], pres["t0203"]) == (0.0, None, 4.0)
+
+
+def test_pivot_hourly_to_columns_reference_signature(spark):
+    # the reference's smoke shape: cells x 24 hours, one date, value column "ta"
+    rows = [(g, "2024-01-01", h, float(10 + g + h)) for g in range(3) for h in range(24)]
+    df = spark.createDataFrame(rows, "grid_idx long, date string, hour int, ta double")
+    wide = regional.pivot_hourly_to_columns(df, "ta", "t", order_col=None)
+    assert wide.columns == ["grid_idx", "date"] + [f"t{h:02d}{(h + 1) % 24:02d}" for h in range(24)]
+    r = wide.where("grid_idx = 2").first()
+    assert r["t0001"] == 12.0 and r["t2300"] == 35.0
+    snow = regional.pivot_hourly_to_columns(df.withColumnRenamed("ta", "sd"), "sd", "s", is_3hourly=True,
+                                            order_col=None)
+    assert snow.columns[2:] == [f"s{h:02d}{h + 3:02d}" for h in range(0, 24, 3)]
+    assert snow.where("grid_idx = 0").first()["s2124"] == 31.0

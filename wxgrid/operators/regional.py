@@ -38,7 +38,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..catalogue import (SNOW_OFF_MONTHS, SNOW_START_YEAR, SNOW_VAR,
+from ..catalogue import (SNOW_OFF_MONTHS, SNOW_START_YEAR, SNOW_VAR, VarSpec,
                          ordered_slot_columns, region_id_columns, specs)
 from ..functions.slots import slot_index, slot_label_for
 from ..plans.hints import broadcast_if_small
@@ -186,20 +186,41 @@ def region_day(obs: DataFrame, mapping: DataFrame, variables=("ta", "rn_60m"),
 # Stand-alone building blocks (same semantics, usable on their own)
 # ---------------------------------------------------------------------------
 
+def _pivot(df: DataFrame, spec: VarSpec, value_col: str, grid_col: str, order_col: str | None) -> DataFrame:
+    """One row per (cell, date), one column per slot of ``spec``: the first
+    non-null reading per slot (NaN counts as missing).  One shuffle: every
+    slot is a conditional ``min_by`` in a single aggregate."""
+    v = F.col(value_col)
+    o = df.where(v.isNotNull() & ~F.isnan(v))
+    # Without an explicit order column, the scan order of the input stands
+    # in for "input order" (stable for a given set of files).
+    order = F.col(order_col) if order_col and order_col in df.columns else F.monotonically_increasing_id()
+    o = o.select(grid_col, "date", v.alias("_v"), order.alias("_ord"),
+                 slot_label_for(spec, F.col("hour")).alias("_slot"))
+    aggs = [F.min_by("_v", F.when(F.col("_slot") == F.lit(n), F.col("_ord"))).alias(n)
+            for n in spec.slot_names()]
+    return o.groupBy(grid_col, "date").agg(*aggs)
+
+
 def pivot_hours(obs: DataFrame, var: str, grid_col: str = "grid_idx") -> DataFrame:
     """One row per (cell, date) with one column per slot of ``var``.
 
-    First non-null reading per slot in input order; a (cell, date) without
-    any non-null reading has no row; hours off the slot grid are dropped
-    (but a cell with only off-grid readings keeps an all-NULL row).  One
-    shuffle: every slot is a conditional ``min_by`` in a single aggregate.
+    First non-null reading per slot in input order (``ord``); a (cell, date)
+    without any non-null reading has no row; hours off the slot grid are
+    dropped (a cell with only off-grid readings keeps an all-NULL row).
     """
-    s = specs([var])[0]
-    o = obs.where((F.col("var") == F.lit(var)) & F.col("value").isNotNull())
-    o = o.withColumn("slot", slot_label_for(s, F.col("hour")))
-    aggs = [F.min_by("value", F.when(F.col("slot") == F.lit(n), F.col("ord"))).alias(n)
-            for n in s.slot_names()]
-    return o.groupBy(grid_col, "date").agg(*aggs)
+    spec = specs([var])[0]
+    return _pivot(obs.where(F.col("var") == F.lit(var)), spec, "value", grid_col, "ord")
+
+
+def pivot_hourly_to_columns(df: DataFrame, var_col: str = "value", col_prefix: str = "t",
+                            grid_col: str = "grid_idx", is_3hourly: bool = False,
+                            order_col: str | None = "ord") -> DataFrame:
+    """The per-cell pivot with an explicit prefix and cadence, for a long
+    table of one variable: (grid, date, hour, <var_col>) -> (grid, date,
+    {prefix}0001 ... or {prefix}0003 ...)."""
+    spec = VarSpec(f"_{col_prefix}", col_prefix, 8 if is_3hourly else 24)
+    return _pivot(df, spec, var_col, grid_col, order_col)
 
 
 def aggregate_to_region(wide: DataFrame, mapping: DataFrame, value_cols,
