@@ -72,7 +72,9 @@ def complete_days(expected: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def gate(obs: DataFrame, complete: DataFrame) -> DataFrame:
-    """Keep only observations of complete days (left semi join)."""
+    """Keep only observations of complete days (left semi join).  The day
+    table has one row per calendar day, so it is broadcast; on a partitioned
+    cache the join also prunes the scan to complete days."""
     return obs.join(F.broadcast(complete), "date", "left_semi")
 
 

@@ -73,6 +73,7 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
     valid = ingest.validate(resp, n_expected).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         status = ingest.day_status(valid, variables).persist(StorageLevel.MEMORY_AND_DISK)
+        # One row per (date, var) of this run: bounded by the calendar.
         complete = status.where("complete").select("date", "var")
         W.write_observations(ingest.to_long(valid).join(F.broadcast(complete), ["date", "var"], "left_semi"),
                              obs_root)
@@ -168,7 +169,7 @@ def station_job(spark: SparkSession, raw_glob: str, station_info_path: str | Non
         lines = gates.todo(lines, done.distinct(), ["year_file"]) if "year_file" in lines.columns else lines
     table = stations.parse_daily(lines, leading_only=leading_only)
     year = lines.select("path", "year_file").distinct()
-    table = table.join(F.broadcast(year), "path")
+    table = table.join(F.broadcast(year), "path")   # one row per station-year file
     info = R.read_station_info(spark, station_info_path).withColumn("ord", F.monotonically_increasing_id())
     table = stations.law_id_lookup(table.withColumn("ord", F.col("line_no")), info).drop("ord")
     W.write_station_tables(table.drop("path", "line_no").withColumnRenamed("year_file", "year"), out_root)

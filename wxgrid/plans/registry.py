@@ -17,6 +17,7 @@ from ..functions import text as T
 from ..functions.values import clean_sentinel
 from ..functions.dates import year_from_filename
 from ..operators import coverage, gates, ingest, regional, spatial, stations
+from ..plans.hints import broadcast_if_small
 from ..sinks import writers
 from ..sources import adapters as A
 
@@ -78,7 +79,7 @@ def _named_mapping(spark: SparkSession, sf: str) -> DataFrame:
     so some codes carry two names (the lookup fans out)."""
     c = A.table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     n = A.table(spark, sf, "nation").select("n_nationkey", "n_name")
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+    j = c.join(broadcast_if_small(n), c.c_nationkey == n.n_nationkey, "left")
     return j.select(
         F.col("c_custkey").alias("grid_idx"),
         F.when(F.col("c_acctbal") < 0, F.lit(None))

@@ -52,6 +52,8 @@ def _process_batch(batch: DataFrame, batch_id: int, variables, n_expected, stagi
         long = ingest.to_long(valid, extra=("path",))
         long.write.mode("overwrite").partitionBy("var", "date", "hour").parquet(staging)
         W.write_quarantine(ingest.rejected(valid), quarantine_root)
+        # Day and hour tables below are bounded by the micro-batch
+        # (maxFilesPerTrigger responses), so they are broadcast.
         touched = valid.where(F.col("vals").isNotNull()).select("var", "date").distinct()
         staged = (spark.read.parquet(staging).withColumn("date", F.col("date").cast("string"))
                   .join(F.broadcast(touched), ["var", "date"], "left_semi"))
