@@ -49,3 +49,20 @@ def test_observation_filters_reach_scan(static, tmp_path):
                                      ["ta"], dedupe=False))
     assert "PartitionFilters: [isnotnull(var" in plan and "PushedFilters: [IsNotNull(value)" in plan
     assert "ReadSchema: struct<grid_idx:bigint,hour:int,value:double>" in plan
+
+
+def test_day_gate_prunes_cache_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from wxgrid.operators import gates
+    from wxgrid.sources.readers import read_observations
+    rows = [(1, f"2024010{d}", "ta", 0, 1.0, d) for d in range(1, 6)]
+    df = spark.createDataFrame(rows, "grid_idx long, date string, var string, hour int, value double, ord long")
+    root = str(tmp_path / "obs")
+    (df.withColumn("year", F.substring("date", 1, 4)).withColumn("month", F.substring("date", 5, 2))
+       .write.partitionBy("var", "year", "month", "date").parquet(root))
+    days = spark.createDataFrame([("20240102", 1), ("20240104", 0)], "date string, ok int")
+    q = regional.region_day(gates.gate(read_observations(spark, root, ["ta"]), days.where("ok = 1").select("date")),
+                            spark.createDataFrame([(1, "R")], "grid_idx long, HJD_CD string"), ["ta"], dedupe=False)
+    assert [r["date"] for r in q.collect()] == ["20240102"]
+    assert "dynamicpruning" in _plan(q).lower()

@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.dates import year_from_filename
 
@@ -58,17 +58,24 @@ def list_responses(spark: SparkSession, path: str) -> DataFrame:
                      F.regexp_extract("path", RESPONSE_NAME, 2).alias("tm"))
 
 
+OBSERVATION_SCHEMA = StructType([
+    StructField("grid_idx", LongType()), StructField("hour", IntegerType()),
+    StructField("value", DoubleType()), StructField("ord", LongType()),
+    # partition columns, typed as text so date keeps its YYYYMMDD form and
+    # joins on it stay plain partition-column joins (dynamic pruning)
+    StructField("var", StringType()), StructField("year", StringType()),
+    StructField("month", StringType()), StructField("date", StringType()),
+])
+
+
 def read_observations(spark: SparkSession, root: str, variables=None,
                       start: str | None = None, end: str | None = None) -> DataFrame:
     """Long observations from ``root/var=*/year=*/month=*/date=*``.
 
     Filters on the partition columns prune directories before any file is
-    opened; ``date`` is kept as a YYYYMMDD string.
+    opened; ``date`` is a YYYYMMDD string.
     """
-    df = (spark.read.option("basePath", root)
-          .option("mergeSchema", "false").parquet(root)
-          .withColumn("date", F.col("date").cast("string"))
-          .withColumn("var", F.col("var").cast("string")))
+    df = spark.read.schema(OBSERVATION_SCHEMA).option("basePath", root).parquet(root)
     if variables:
         df = df.where(F.col("var").isin(*list(variables)))
     if start:
