@@ -17,13 +17,20 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..operators import gates, ingest
 from ..sinks import writers as W
 from ..sources.readers import RESPONSE_NAME
 
 TEXT_SCHEMA = StructType([StructField("value", StringType())])
+# Staging rows; partition columns typed explicitly so the day joins prune
+# partitions (no cast on the partition column).
+STAGING_SCHEMA = StructType([
+    StructField("path", StringType()), StructField("grid_idx", LongType()),
+    StructField("value", DoubleType()), StructField("ord", LongType()),
+    StructField("var", StringType()), StructField("date", StringType()), StructField("hour", IntegerType()),
+])
 
 
 def landing_stream(spark: SparkSession, landing: str, max_files: int = 256,
@@ -55,7 +62,7 @@ def _process_batch(batch: DataFrame, batch_id: int, variables, n_expected, stagi
         # Day and hour tables below are bounded by the micro-batch
         # (maxFilesPerTrigger responses), so they are broadcast.
         touched = valid.where(F.col("vals").isNotNull()).select("var", "date").distinct()
-        staged = (spark.read.parquet(staging).withColumn("date", F.col("date").cast("string"))
+        staged = (spark.read.schema(STAGING_SCHEMA).parquet(staging)
                   .join(F.broadcast(touched), ["var", "date"], "left_semi"))
         # One source file per (var, date, hour): the greatest path.  Reads
         # only the partition columns and the dictionary-encoded path column.
