@@ -91,6 +91,10 @@ def test_station_and_coverage(spark, scratch):
     assert ym == {2023: 1, 2024: 1}
     ps = out["per_station"].where("year = 2024").first()
     assert ps["days_present"] == 2 and ps["days_missing"] == 364 and ps["LAW_NM"] == "Seoul"
+    # the same analysis straight on the station job's partitioned output
+    out2 = jobs.coverage_job(spark, tables, info, os.path.join(scratch, "coverage2"))
+    assert sorted(tuple(r) for r in out2["year_metrics"].collect()) == \
+        sorted(tuple(r) for r in out["year_metrics"].collect())
 
 
 def test_streaming_ingest(spark, scratch, landing):

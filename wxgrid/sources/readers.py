@@ -154,8 +154,16 @@ def read_station_info(spark: SparkSession, path: str | None) -> DataFrame:
 
 
 def read_station_tables(spark: SparkSession, path: str) -> DataFrame:
-    """Yearly station CSVs (all columns as text) plus ``year`` from the file
-    name; files without a four-digit name part get a NULL year and are
-    dropped, like the reference skips them."""
+    """Yearly station CSVs (all columns as text) plus ``year``.
+
+    ``year`` comes from a ``year=`` partition folder when the tables were
+    written by ``plans.jobs.station_job``, else from the file name (first
+    four-digit part, as the reference names its CSVs); files without either
+    are dropped, like the reference skips them.
+    """
     df = spark.read.option("header", True).csv(path)
-    return df.withColumn("year", year_from_filename(_path())).where(F.col("year").isNotNull())
+    if "year" in df.columns:
+        year = F.col("year").cast("string").try_cast("int")
+    else:
+        year = year_from_filename(_path())
+    return df.withColumn("year", year).where(F.col("year").isNotNull())
