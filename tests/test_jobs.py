@@ -138,3 +138,26 @@ def test_mapping_job(spark, scratch):
     assert (cell["HJD_CD"], cell["EMD_CD"]) == ("1101", "A")
     # a second call reuses the written mapping
     assert jobs.mapping_job(spark, grid, hjd, [bjd_a, bjd_b], out, reproject=False).first()["cells"] == 100
+
+
+def test_full_pipeline(spark, scratch):
+    """mapping job -> ingest job -> regional job over both region systems."""
+    root = os.path.join(scratch, "pipeline")
+    rows = [(y, [37.0 + y * 0.1] * 10, [127.0 + x * 0.1 for x in range(10)]) for y in range(10)]
+    spark.createDataFrame(rows, "y int, lat array<double>, lon array<double>").write.parquet(f"{root}/grid")
+    ring = "array<array<struct<x:double,y:double>>>"
+    sq = [[(126.95, 36.95), (127.45, 36.95), (127.45, 37.45), (126.95, 37.45)]]
+    spark.createDataFrame([("H1", "h1", sq)], f"adm_cd string, adm_nm string, rings {ring}").write.parquet(f"{root}/hjd")
+    spark.createDataFrame([("E1", "e1", sq)], f"EMD_CD string, EMD_NM string, rings {ring}").write.parquet(f"{root}/bjd")
+    jobs.mapping_job(spark, f"{root}/grid", f"{root}/hjd", f"{root}/bjd", f"{root}/mapping", reproject=False)
+    for h in range(24):   # cell k holds k + hour; -999 in cell 0 at hour 0
+        vals = ["-999" if (h == 0 and k == 0) else str(k + h) for k in range(100)]
+        _write(f"{root}/landing/ta_20240301{h:02d}00.txt", "10 10\n" + " ".join(vals) + "\n")
+    jobs.ingest_job(spark, f"{root}/landing", f"{root}/obs", f"{root}/quarantine", ["ta"], 100)
+    jobs.regional_job(spark, f"{root}/obs", f"{root}/mapping", f"{root}/out", ["ta"], region_type="both")
+    out = spark.read.parquet(f"{root}/out/interim").collect()
+    assert len(out) == 1 and (out[0]["HJD_CD"], out[0]["EMD_CD"]) == ("H1", "E1")
+    # mapped cells: rows 0..4 x columns 0..4 -> k = 10*y + x; hour 0 skips the sentinel in cell 0
+    cells = [10 * y + x for y in range(5) for x in range(5)]
+    assert abs(out[0]["t0001"] - sum(k for k in cells if k != 0) / 24) < 1e-9
+    assert abs(out[0]["t0102"] - sum(k + 1 for k in cells) / 25) < 1e-9
