@@ -186,9 +186,9 @@ def accepted_values(vals: Column, cut: Column, n_expected: Column | None) -> Col
 
 
 def grid_values(text: Column, n_expected: Column | None) -> Column:
-    """One-expression form of tokenize + header cut + count check.  Use the
-    step-wise columns (see ``operators.ingest.validate``) when several
-    results are needed, so the text is tokenised once."""
+    """One-expression form of tokenize + header cut + count check, for a
+    single result.  ``parse_response`` gives values and the rejection
+    reason together with the text tokenised once."""
     vals = tokenize_numbers(text)
     cut = header_cut(vals, n_expected) if n_expected is not None else F.lit(0)
     return accepted_values(vals, cut, n_expected)
