@@ -161,3 +161,15 @@ def test_full_pipeline(spark, scratch):
     cells = [10 * y + x for y in range(5) for x in range(5)]
     assert abs(out[0]["t0001"] - sum(k for k in cells if k != 0) / 24) < 1e-9
     assert abs(out[0]["t0102"] - sum(k + 1 for k in cells) / 25) < 1e-9
+
+
+def test_mapping_job_one_system(spark, scratch):
+    rows = [(y, [37.0 + y * 0.1] * 4, [127.0 + x * 0.1 for x in range(4)]) for y in range(4)]
+    spark.createDataFrame(rows, "y int, lat array<double>, lon array<double>").write.parquet(f"{scratch}/g1")
+    ring = "array<array<struct<x:double,y:double>>>"
+    sq = [[(126.95, 36.95), (127.15, 36.95), (127.15, 37.15), (126.95, 37.15)]]
+    spark.createDataFrame([("E1", "e1", sq)], f"EMD_CD string, EMD_NM string, rings {ring}").write.parquet(f"{scratch}/b1")
+    prof = jobs.mapping_job(spark, f"{scratch}/g1", None, f"{scratch}/b1", f"{scratch}/m1", reproject=False).first()
+    m = spark.read.parquet(f"{scratch}/m1")
+    assert m.columns == ["grid_idx", "lat", "lon", "EMD_CD", "EMD_NM"]
+    assert (prof["cells"], prof["mapped_bjd"], prof["mapped_hjd"]) == (16, 4, 0)

@@ -87,19 +87,29 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
 def mapping_job(spark: SparkSession, grid_rows_path: str, hjd_polygons, bjd_polygons, out_path: str,
                 reproject: bool = True, tile: float = spatial.DEFAULT_TILE_DEG,
                 force: bool = False) -> DataFrame:
-    """Grid cells -> (HJD, BJD) unified mapping, written as parquet; an
-    existing mapping is reused unless ``force``.  Returns the profile."""
+    """Grid cells -> region mapping, written as parquet; an existing mapping
+    is reused unless ``force``.  With both layers the table is the unified
+    (HJD + BJD) mapping; with one of them ``None`` it is that system's table
+    alone.  Returns the coverage profile."""
     configure(spark)
     if not force and _exists(spark, out_path):
         return spatial.mapping_profile(R.read_mapping(spark, out_path))
+    if hjd_polygons is None and bjd_polygons is None:
+        raise ValueError("no region layer given")
     points = spatial.grid_from_rows(R.read_grid_rows(spark, grid_rows_path))
-    hjd = R.read_polygons(spark, hjd_polygons, HJD_CODE_CANDIDATES, HJD_NAME_CANDIDATES, HJD_CD, HJD_NM)
-    bjd = R.read_polygons(spark, bjd_polygons, BJD_CODE_CANDIDATES, BJD_NAME_CANDIDATES, EMD_CD, EMD_NM)
-    if reproject:
-        hjd, bjd = spatial.reproject_rings(hjd), spatial.reproject_rings(bjd)
-    h = spatial.build_mapping(points, hjd, HJD_CD, HJD_NM, HJD_CD, HJD_NM, tile=tile)
-    b = spatial.build_mapping(points, bjd, EMD_CD, EMD_NM, EMD_CD, EMD_NM, tile=tile)
-    W.write_mapping(spatial.unified_mapping(h, b), out_path)
+
+    def system(paths, codes, names, code_out, name_out):
+        polys = R.read_polygons(spark, paths, codes, names, code_out, name_out)
+        if reproject:
+            polys = spatial.reproject_rings(polys)
+        return spatial.build_mapping(points, polys, code_out, name_out, code_out, name_out, tile=tile)
+
+    h = system(hjd_polygons, HJD_CODE_CANDIDATES, HJD_NAME_CANDIDATES, HJD_CD, HJD_NM) \
+        if hjd_polygons is not None else None
+    b = system(bjd_polygons, BJD_CODE_CANDIDATES, BJD_NAME_CANDIDATES, EMD_CD, EMD_NM) \
+        if bjd_polygons is not None else None
+    mapping = spatial.unified_mapping(h, b) if h is not None and b is not None else (h if h is not None else b)
+    W.write_mapping(mapping, out_path)
     return spatial.mapping_profile(R.read_mapping(spark, out_path))
 
 
