@@ -16,6 +16,8 @@ Public surface (all DataFrame -> DataFrame unless noted):
   ``station_churn``
 * jobs (write outputs): ``ingest_job``, ``mapping_job``, ``regional_job``,
   ``station_job``, ``coverage_job``; streaming: ``start_ingest_stream``
+* readers: ``read_observations``, ``read_mapping``, ``read_polygons``,
+  ``read_responses``
 * catalogue: ``VARIABLES``, ``spec``, ``ordered_slot_columns``
 """
 
@@ -29,6 +31,7 @@ from .operators.spatial import (build_mapping, grid_from_axes, grid_from_rows, m
                                 points_in_polygons, reproject_rings, unified_mapping)
 from .operators.stations import law_id_lookup, parse_daily
 from .plans.jobs import coverage_job, ingest_job, mapping_job, regional_job, station_job
+from .sources.readers import read_mapping, read_observations, read_polygons, read_responses
 from .streaming.landing import start_ingest_stream
 
 __all__ = [
@@ -41,4 +44,5 @@ __all__ = [
     "parse_daily", "law_id_lookup", "clean_keys", "per_station", "duplicate_keys", "out_of_range",
     "year_metrics", "station_churn",
     "ingest_job", "mapping_job", "regional_job", "station_job", "coverage_job", "start_ingest_stream",
+    "read_observations", "read_mapping", "read_polygons", "read_responses",
 ]
