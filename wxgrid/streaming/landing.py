@@ -7,7 +7,8 @@ the quarantine.  A (var, date) is promoted to the observation cache once its
 staging partitions hold every expected hour -- only the days touched by the
 batch are checked, so the state lives in the staging table (shared storage)
 rather than in executor memory, and a restarted query resumes from its
-checkpoint.  Partition overwrites make a replayed batch idempotent.
+checkpoint.  Partition overwrites (staging hours, quarantine by batch id,
+promoted days) make a replayed batch idempotent.
 """
 
 from __future__ import annotations
@@ -58,7 +59,10 @@ def _process_batch(batch: DataFrame, batch_id: int, variables, n_expected, stagi
         # one hour within a batch are resolved at promotion.
         long = ingest.to_long(valid, extra=("path",))
         long.write.mode("overwrite").partitionBy("var", "date", "hour").parquet(staging)
-        W.write_quarantine(ingest.rejected(valid), quarantine_root)
+        # Quarantine rows are keyed by the batch id: a replayed batch (same id
+        # after a restart) replaces its own rows instead of adding them again.
+        (ingest.rejected(valid).withColumn("batch", F.lit(batch_id))
+               .write.mode("overwrite").partitionBy("batch").parquet(quarantine_root))
         # Day and hour tables below are bounded by the micro-batch
         # (maxFilesPerTrigger responses), so they are broadcast.
         touched = valid.where(F.col("vals").isNotNull()).select("var", "date").distinct()
