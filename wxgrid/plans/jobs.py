@@ -17,6 +17,7 @@ import os
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from ..catalogue import EMD_CD, EMD_NM, HJD_CD, HJD_NM
 from ..operators import coverage, gates, ingest, regional, spatial, stations
@@ -35,9 +36,13 @@ BJD_NAME_CANDIDATES = ["EMD_NM", "emd_nm", "ADM_NM", "BJDONG_NM"]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+    """Whether ``path`` exists on the cluster's file system (listing only:
+    the binary-file reader resolves the path and reads no content)."""
+    try:
+        spark.read.format("binaryFile").load(path)
+        return True
+    except AnalysisException:
+        return False
 
 
 def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root: str,
