@@ -21,7 +21,7 @@ from ..functions import text as T
 from ..functions.values import clean_sentinel
 
 QUARANTINE_COLUMNS = ["tm", "var", "date", "hour", "level", "reason", "preview",
-                      "head", "tail", "total_chars", "total_lines"]
+                      "head", "tail", "total_chars", "total_lines", "logged_at"]
 
 
 def _n_col(n_expected) -> Column | None:
@@ -100,7 +100,8 @@ def rejected(valid: DataFrame) -> DataFrame:
     """Quarantine rows of the rejected responses."""
     return valid.where(F.col("reason").isNotNull()).select(
         "tm", "var", "date", "hour", F.lit("ERROR").alias("level"), "reason",
-        "preview", "head", "tail", "total_chars", "total_lines")
+        "preview", "head", "tail", "total_chars", "total_lines",
+        F.current_timestamp().alias("logged_at"))
 
 
 def quarantine(valid: DataFrame, status: DataFrame) -> DataFrame:
@@ -112,7 +113,7 @@ def quarantine(valid: DataFrame, status: DataFrame) -> DataFrame:
         F.concat(F.lit("missing_hours="), F.col("missing_hours")).alias("reason"),
         F.lit(None).cast("string").alias("preview"), F.lit(None).cast("string").alias("head"),
         F.lit(None).cast("string").alias("tail"), F.lit(None).cast("long").alias("total_chars"),
-        F.lit(None).cast("long").alias("total_lines"))
+        F.lit(None).cast("long").alias("total_lines"), F.current_timestamp().alias("logged_at"))
     return bad.unionByName(gaps)
 
 
