@@ -75,13 +75,14 @@ def test_station_and_coverage(spark, scratch):
     info = os.path.join(scratch, "station_info.csv")
     _write(info, "STN_ID,LAW_ID,LAW_NM\n108,0011000000,Seoul\n")
     tables = os.path.join(scratch, "stations")
-    jobs.station_job(spark, raw + "/*.txt", info, tables)
+    summary = jobs.station_job(spark, raw + "/*.txt", info, tables)
+    assert sorted(tuple(r) for r in summary.collect()) == [(2023, 108, 2, 0, 0), (2024, 108, 2, 0, 0)]
     t = spark.read.option("header", True).csv(tables)
     assert t.count() == 4 and {r["LAW_ID"] for r in t.collect()} == {"0011000000"}
     # coverage over the written yearly tables, named as the reference names them
     csv_dir = os.path.join(scratch, "station_csv")
     for y in (2023, 2024):
-        parts = sorted(glob.glob(os.path.join(tables, f"year={y}", "*.csv")))
+        parts = sorted(glob.glob(os.path.join(tables, f"year={y}", "station=108", "*.csv")))
         texts = [open(p).read().splitlines() for p in parts]
         header = next(t[0] for t in texts if t)
         rows = [ln for t in texts for ln in t[1:]]
@@ -95,6 +96,12 @@ def test_station_and_coverage(spark, scratch):
     out2 = jobs.coverage_job(spark, tables, info, os.path.join(scratch, "coverage2"))
     assert sorted(tuple(r) for r in out2["year_metrics"].collect()) == \
         sorted(tuple(r) for r in out["year_metrics"].collect())
+    # a second station for 2024 arrives later: added, 108's rows stay
+    _write(f"{raw}/weather_data_stn109_20240101_20241231.txt", f"20240101 109 " + " ".join(["-9"] * 54) + "\n")
+    again = jobs.station_job(spark, raw + "/*.txt", info, tables)
+    assert sorted(tuple(r) for r in again.collect()) == [(2024, 109, 1, 0, 1)]
+    t = spark.read.option("header", True).csv(tables)
+    assert t.count() == 5
 
 
 def test_streaming_ingest(spark, scratch, landing):

@@ -174,20 +174,37 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
 
 
 def station_job(spark: SparkSession, raw_glob: str, station_info_path: str | None, out_root: str,
-                leading_only: bool = False, force: bool = False) -> None:
+                leading_only: bool = False, force: bool = False) -> DataFrame:
     """Raw yearly station files -> typed tables with LAW_ID, one CSV folder
-    per year; years already written are skipped unless ``force``."""
+    per (year, station of the file) like the reference's one file per
+    station-year.  Station-years already written are skipped unless
+    ``force``; a rerun overwrites only its own station-years.
+
+    Returns a per station-year summary of what was written: rows, rows whose
+    TM or STN did not parse, rows without a LAW_ID.
+    """
     configure(spark)
     lines = R.read_station_lines(spark, raw_glob)
     if not force and _exists(spark, out_root):
-        done = spark.read.option("header", True).csv(out_root).select(F.col("year").cast("int").alias("year_file"))
-        lines = gates.todo(lines, done.distinct(), ["year_file"]) if "year_file" in lines.columns else lines
+        done = (spark.read.option("header", True).csv(out_root)
+                .select(F.col("year").cast("int").alias("year_file"), F.col("station").cast("int").alias("stn_file"))
+                .distinct())
+        lines = gates.todo(lines, done, ["year_file", "stn_file"])
     table = stations.parse_daily(lines, leading_only=leading_only)
-    year = lines.select("path", "year_file").distinct()
-    table = table.join(F.broadcast(year), "path")   # one row per station-year file
+    files = lines.select("path", "year_file", "stn_file").distinct()
+    table = table.join(F.broadcast(files), "path")   # one row per station-year file
     info = R.read_station_info(spark, station_info_path).withColumn("ord", F.monotonically_increasing_id())
     table = stations.law_id_lookup(table.withColumn("ord", F.col("line_no")), info).drop("ord")
-    W.write_station_tables(table.drop("path", "line_no").withColumnRenamed("year_file", "year"), out_root)
+    out = (table.drop("path", "line_no").withColumnRenamed("year_file", "year")
+                .withColumnRenamed("stn_file", "station"))
+    W.write_station_tables(out, out_root, ["year", "station"])
+    todo_keys = files.select(F.col("year_file").alias("year"), F.col("stn_file").alias("station")).distinct()
+    written = (spark.read.option("header", True).csv(out_root)
+               .join(F.broadcast(todo_keys), ["year", "station"], "left_semi"))
+    return written.groupBy("year", "station").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("TM").isNull() | F.col("STN").isNull()).alias("bad_rows"),
+        F.count_if(F.col("LAW_ID").isNull()).alias("law_id_missing"))
 
 
 def coverage_job(spark: SparkSession, tables_glob: str, station_info_path: str | None,

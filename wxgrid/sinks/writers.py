@@ -63,9 +63,12 @@ def write_yearly_csv(wide: DataFrame, root: str) -> None:
     out.write.mode("overwrite").option("header", True).partitionBy("year").csv(root)
 
 
-def write_station_tables(table: DataFrame, root: str, year_col: str = "year") -> None:
+def write_station_tables(table: DataFrame, root: str, keys=("year",)) -> None:
+    """Station tables as CSV folders per key (the job uses year and the
+    file's station, so a rerun replaces exactly its station-years)."""
     _dynamic(table)
-    table.write.mode("overwrite").option("header", True).partitionBy(year_col).csv(root)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    table.write.mode("overwrite").option("header", True).partitionBy(*keys).csv(root)
 
 
 def failure_summary(status: DataFrame) -> DataFrame:
