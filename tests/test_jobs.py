@@ -197,3 +197,26 @@ def test_stream_batch_replay_is_idempotent(spark, scratch):
     q = spark.read.parquet(f"{root}/quarantine")
     assert [(r["batch"], r["reason"]) for r in q.collect()] == [(7, "error_response")]
     assert spark.read.parquet(f"{root}/obs").count() == 24 * N
+
+
+def test_incremental_month(spark, scratch):
+    root = os.path.join(scratch, "incr")
+    spark.createDataFrame([(0, "A"), (1, "A"), (2, "B")], "grid_idx long, HJD_CD string").write.parquet(f"{root}/map")
+
+    def land(day):
+        for h in range(24):
+            _write(f"{root}/landing/ta_{day}{h:02d}00.txt", f"{h} 1 2 3 4 5\n")
+
+    def month_dates():
+        files = glob.glob(f"{root}/out/monthly_hjd/year=2024/month=01/*.csv")
+        rows = [ln.split(",")[0] for f in files for ln in open(f).read().splitlines()[1:]]
+        return sorted(set(rows))
+    land("20240101")
+    jobs.ingest_job(spark, f"{root}/landing", f"{root}/obs", f"{root}/q", ["ta"], N)
+    jobs.regional_job(spark, f"{root}/obs", f"{root}/map", f"{root}/out", ["ta"])
+    assert month_dates() == ["20240101"]
+    land("20240103")
+    status = jobs.ingest_job(spark, f"{root}/landing", f"{root}/obs", f"{root}/q", ["ta"], N)
+    assert [r["date"] for r in status.collect()] == ["20240103"]     # 20240101 skipped via the manifest
+    jobs.regional_job(spark, f"{root}/obs", f"{root}/map", f"{root}/out", ["ta"])
+    assert month_dates() == ["20240101", "20240103"]

@@ -165,10 +165,21 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
     wide = regional.region_day(gates.gate(obs, complete), mapping.select("grid_idx", *keep), variables, method,
                                dedupe=False, presence=presence)
     W.write_region_days(wide, os.path.join(out_root, "interim"), region_type)
-    final = spark.read.parquet(os.path.join(out_root, "interim")).where(F.col("region_type") == region_type) \
-        .drop("region_type")
-    W.write_monthly_csv(final, os.path.join(out_root, f"monthly_{region_type}"))
-    W.write_yearly_csv(final, os.path.join(out_root, f"yearly_{region_type}"))
+    # Month and year files are rebuilt only for the periods this run touched,
+    # each from the whole interim table of that period (so earlier days of a
+    # month stay in its file); other periods' files are left as they are.
+    interim = (spark.read.parquet(os.path.join(out_root, "interim"))
+               .where(F.col("region_type") == region_type).drop("region_type")
+               .withColumn("date", F.col("date").cast("string")))
+    # The partition column comes back last; the tables keep date first.
+    interim = interim.select("date", *[c for c in interim.columns if c != "date"])
+    touched = complete.select(F.substring("date", 1, 6).alias("_ym")).distinct()   # months of the run
+    months = interim.join(F.broadcast(touched), F.substring(interim["date"], 1, 6) == touched["_ym"],
+                          "left_semi")
+    years = interim.join(F.broadcast(touched.select(F.substring("_ym", 1, 4).alias("_y")).distinct()),
+                         F.substring(interim["date"], 1, 4) == F.col("_y"), "left_semi")
+    W.write_monthly_csv(months, os.path.join(out_root, f"monthly_{region_type}"))
+    W.write_yearly_csv(years, os.path.join(out_root, f"yearly_{region_type}"))
     missing = gates.missing_pairs(expected, present)
     return missing.groupBy("date").agg(F.array_sort(F.collect_list("var")).alias("missing_vars"))
 
