@@ -223,6 +223,8 @@ def coverage_job(spark: SparkSession, tables_glob: str, station_info_path: str |
     """All yearly files in one job: five tables written as parquet plus the
     markdown reports (rows capped as in the reference's reports)."""
     configure(spark)
+    if not _exists(spark, tables_glob):
+        return {}          # nothing to analyse (the reference returns an empty list)
     raw = R.read_station_tables(spark, tables_glob)
     keys = coverage.clean_keys(raw)
     info = R.read_station_info(spark, station_info_path)
