@@ -116,6 +116,8 @@ def test_streaming_ingest(spark, scratch, landing):
     obs = spark.read.parquet(os.path.join(root, "observations"))
     assert {r["date"] for r in obs.select(F.col("date").cast("string").alias("date")).distinct().collect()} == {"20240101"}
     assert obs.count() == 24 * N     # the duplicate hour is not counted twice
+    man = spark.read.parquet(os.path.join(root, "observations_manifest")).collect()
+    assert [(r["date"], r["var"], r["complete"], len(r["value_hours"])) for r in man] == [("20240101", "ta", True, 24)]
     # the html page for rn_60m is not a requested variable; 20240102 misses
     # hour 5 and is not promoted, so the stream's quarantine stays empty
     q = os.path.join(root, "quarantine")

@@ -76,6 +76,14 @@ def _process_batch(batch: DataFrame, batch_id: int, variables, n_expected, stagi
                             "left_semi")
         promote = staged.join(F.broadcast(ready), ["var", "date", "hour", "path"], "left_semi")
         W.write_observations(promote.select("grid_idx", "date", "var", "hour", "value", "ord"), obs_root)
+        # Promoted days go to the same manifest the batch ingest keeps, with
+        # the hours that hold a reading (regional sums read it, no scan).
+        value_hours = (promote.where(F.col("value").isNotNull()).select("date", "var", "hour").distinct()
+                       .groupBy("date", "var").agg(F.array_sort(F.collect_list("hour")).alias("value_hours")))
+        done = (ready.select("date", "var").distinct().join(value_hours, ["date", "var"], "left")
+                .select("date", "var", F.lit(True).alias("complete"), F.lit("").alias("missing_hours"),
+                        F.coalesce("value_hours", F.array().cast("array<int>")).alias("value_hours")))
+        done.write.mode("append").parquet(obs_root.rstrip("/") + "_manifest")
     finally:
         valid.unpersist()
 
