@@ -222,3 +222,17 @@ def test_incremental_month(spark, scratch):
     assert [r["date"] for r in status.collect()] == ["20240103"]     # 20240101 skipped via the manifest
     jobs.regional_job(spark, f"{root}/obs", f"{root}/map", f"{root}/out", ["ta"])
     assert month_dates() == ["20240101", "20240103"]
+
+
+def test_day_completed_in_a_later_run(spark, scratch):
+    root = os.path.join(scratch, "late")
+    for h in range(20):
+        _write(f"{root}/landing/ta_20240201{h:02d}00.txt", f"{h} 1 2 3 4 5\n")
+    s1 = jobs.ingest_job(spark, f"{root}/landing", f"{root}/obs", f"{root}/q", ["ta"], N).collect()
+    assert [(r["date"], r["complete"], r["missing_hours"]) for r in s1] == [("20240201", False, "20,21,22,23")]
+    assert not glob.glob(f"{root}/obs/**/*.parquet", recursive=True)
+    for h in range(20, 24):
+        _write(f"{root}/landing/ta_20240201{h:02d}00.txt", f"{h} 1 2 3 4 5\n")
+    s2 = jobs.ingest_job(spark, f"{root}/landing", f"{root}/obs", f"{root}/q", ["ta"], N).collect()
+    assert [(r["date"], r["complete"]) for r in s2] == [("20240201", True)]
+    assert spark.read.parquet(f"{root}/obs").count() == 24 * N
