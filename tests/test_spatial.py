@@ -118,3 +118,12 @@ def test_random_polygons_against_brute_force(spark):
         hits = [c for c, _, rings in polys if _py_within(x, y, rings)]
         exp += [(pid, c) for c in hits] or [(pid, "")]
     assert got == sorted(exp)
+
+
+def test_reproject_respects_epsg_column(spark):
+    rows = [("P", "p", [[(1000000.0, 2000000.0), (1000001.0, 2000000.0), (1000000.0, 2000001.0)]], 5179),
+            ("G", "g", [[(127.0, 37.0), (127.1, 37.0), (127.0, 37.1)]], 4326)]
+    df = spark.createDataFrame(rows, f"code string, name string, rings {RING}, epsg int")
+    out = {r["code"]: r["rings"][0][0] for r in spatial.reproject_rings(df).collect()}
+    assert abs(out["P"]["x"] - 127.5) < 1e-9 and abs(out["P"]["y"] - 38.0) < 1e-9
+    assert (out["G"]["x"], out["G"]["y"]) == (127.0, 37.0)

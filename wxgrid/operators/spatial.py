@@ -63,13 +63,18 @@ def grid_from_axes(axes: DataFrame, keys=(), partitions: int | None = None) -> D
 
 
 def reproject_rings(polys: DataFrame, rings_col: str = "rings") -> DataFrame:
-    """Polygon vertices from the projected CRS to lon/lat (vertices only)."""
+    """Polygon vertices from the projected CRS (EPSG:5179) to lon/lat,
+    vertices only.  With an ``epsg`` column, rows already in lon/lat (4326)
+    are left as they are, like a layer whose CRS needs no conversion."""
     def ring_ll(ring):
         def pt(p):
             lon, lat = tm_to_lonlat(p["x"], p["y"])
             return F.struct(lon.alias("x"), lat.alias("y"))
         return F.transform(ring, pt)
-    return polys.withColumn(rings_col, F.transform(F.col(rings_col), ring_ll))
+    moved = F.transform(F.col(rings_col), ring_ll)
+    if "epsg" in polys.columns:
+        moved = F.when(F.col("epsg") == F.lit(4326), F.col(rings_col)).otherwise(moved)
+    return polys.withColumn(rings_col, moved)
 
 
 def _prepared(polys: DataFrame, code_col: str, name_col: str) -> DataFrame:
