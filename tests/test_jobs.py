@@ -236,3 +236,14 @@ def test_day_completed_in_a_later_run(spark, scratch):
     s2 = jobs.ingest_job(spark, f"{root}/landing", f"{root}/obs", f"{root}/q", ["ta"], N).collect()
     assert [(r["date"], r["complete"]) for r in s2] == [("20240201", True)]
     assert spark.read.parquet(f"{root}/obs").count() == 24 * N
+
+
+def test_mapping_job_from_axes(spark, scratch):
+    axes = os.path.join(scratch, "axes")
+    spark.createDataFrame([([37.0, 37.1, 37.2], [127.0, 127.1])], "lat array<double>, lon array<double>").write.parquet(axes)
+    ring = "array<array<struct<x:double,y:double>>>"
+    sq = [[(126.95, 36.95), (127.05, 36.95), (127.05, 37.25), (126.95, 37.25)]]
+    spark.createDataFrame([("H1", "h1", sq)], f"adm_cd string, adm_nm string, rings {ring}").write.parquet(f"{axes}_h")
+    prof = jobs.mapping_job(spark, axes, f"{axes}_h", None, f"{axes}_m", reproject=False, grid_kind="axes").first()
+    m = {r["grid_idx"]: r["HJD_CD"] for r in spark.read.parquet(f"{axes}_m").collect()}
+    assert prof["cells"] == 6 and m == {0: "H1", 1: None, 2: "H1", 3: None, 4: "H1", 5: None}

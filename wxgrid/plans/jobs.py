@@ -91,17 +91,24 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
 
 def mapping_job(spark: SparkSession, grid_rows_path: str, hjd_polygons, bjd_polygons, out_path: str,
                 reproject: bool = True, tile: float = spatial.DEFAULT_TILE_DEG,
-                force: bool = False) -> DataFrame:
+                force: bool = False, grid_kind: str = "rows") -> DataFrame:
     """Grid cells -> region mapping, written as parquet; an existing mapping
     is reused unless ``force``.  With both layers the table is the unified
     (HJD + BJD) mapping; with one of them ``None`` it is that system's table
-    alone.  Returns the coverage profile."""
+    alone.  ``grid_kind`` is "rows" (2-D coordinates, one record per grid
+    row) or "axes" (1-D latitude and longitude axes, meshed).  Returns the
+    coverage profile."""
     configure(spark)
     if not force and _exists(spark, out_path):
         return spatial.mapping_profile(R.read_mapping(spark, out_path))
     if hjd_polygons is None and bjd_polygons is None:
         raise ValueError("no region layer given")
-    points = spatial.grid_from_rows(R.read_grid_rows(spark, grid_rows_path))
+    if grid_kind == "rows":
+        points = spatial.grid_from_rows(R.read_grid_rows(spark, grid_rows_path))
+    elif grid_kind == "axes":
+        points = spatial.grid_from_axes(R.read_grid_axes(spark, grid_rows_path))
+    else:
+        raise ValueError(f"grid_kind must be 'rows' or 'axes', not {grid_kind!r}")
 
     def system(paths, codes, names, code_out, name_out):
         polys = R.read_polygons(spark, paths, codes, names, code_out, name_out)
