@@ -26,17 +26,15 @@ DEFAULT_CONF = {
 
 
 # Settings for a large cluster (100 TB of observations, ~1000 executors).
-# Shuffles start wide and AQE coalesces them to ~256 MB partitions, so a
-# partition fits an executor core's memory at any scale; file splits of
-# 256 MB keep scan tasks in the tens of thousands rather than millions;
-# a partition 5x the median and over 1 GB is split by the skew-join rule.
+# Shuffles start wide and AQE coalesces them to its default ~64 MB target,
+# so a partition fits an executor core's memory at any scale while mid-sized
+# shuffles (the spatial join's candidates) still spread over many tasks;
+# file splits of 256 MB keep scan tasks in the tens of thousands rather than
+# millions; skewed join partitions are split by AQE's skew-join rule (on in
+# DEFAULT_CONF, with Spark's default thresholds).
 CLUSTER_CONF = {
     **DEFAULT_CONF,
     "spark.sql.shuffle.partitions": "8000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024 * 1024),
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
