@@ -72,6 +72,7 @@ def test_station_and_coverage(spark, scratch):
     for y in (2023, 2024):
         rows = [f"{y}0101 108 " + " ".join(["-9"] * 54), f"{y}0102 108 " + " ".join(["-9"] * 54)]
         _write(f"{raw}/weather_data_stn108_{y}0101_{y}1231.txt", "# help\n#\n" + "\n".join(rows) + "\n#7777END\n")
+    _write(f"{raw}/notes.txt", "20230101 999 1 2 3\n")     # not a station-year file: ignored
     info = os.path.join(scratch, "station_info.csv")
     _write(info, "STN_ID,LAW_ID,LAW_NM\n108,0011000000,Seoul\n")
     tables = os.path.join(scratch, "stations")

@@ -203,6 +203,8 @@ def station_job(spark: SparkSession, raw_glob: str, station_info_path: str | Non
     """
     configure(spark)
     lines = R.read_station_lines(spark, raw_glob)
+    # Only files named like a station-year (the reference's file pattern).
+    lines = lines.where(F.col("year_file").isNotNull() & F.col("stn_file").isNotNull())
     if not force and _exists(spark, out_root):
         done = (spark.read.option("header", True).csv(out_root)
                 .select(F.col("year").cast("int").alias("year_file"), F.col("station").cast("int").alias("stn_file"))
