@@ -327,6 +327,13 @@ SELECT printf('weather_data_stn%d_%d0101_%d1231.txt', STN, file_year, file_year)
   TM, STN, CAST((ord % 40) - 10 AS DOUBLE) AS TA_AVG, round(RN_DAY, {R}) AS RN_DAY, CAST(-9.0 AS DOUBLE) AS TE_50
 FROM daily"""
 
+SQL_STATION_PARSE_PARITY = SQL_STATION_PARSE + f"""
+UNION ALL
+SELECT printf('weather_data_stn%d_%d0101_%d1231.txt', STN, file_year, file_year) AS path,
+  CAST(NULL AS INTEGER) AS TM, CAST(NULL AS INTEGER) AS STN, CAST(NULL AS DOUBLE) AS TA_AVG,
+  CAST(NULL AS DOUBLE) AS RN_DAY, CAST(NULL AS DOUBLE) AS TE_50
+FROM daily WHERE ord % 50 = 0"""
+
 SQL_LAW_ID = f"""WITH {DAILY},
 dim AS (
   SELECT n_nationkey AS STN_ID, lpad(CAST(n_regionkey AS VARCHAR), 10, '0') AS LAW_ID, n_nationkey * 2 AS ord
@@ -472,6 +479,7 @@ def oracle() -> dict:
         "points_in_polygons": SQL_PIP,
         "reproject": _reproject_sql(),
         "station_parse": SQL_STATION_PARSE,
+        "station_parse_parity": SQL_STATION_PARSE_PARITY,
         "station_law_id": SQL_LAW_ID,
         "station_completeness": SQL_COMPLETENESS,
         "duplicate_keys": SQL_DUPS,

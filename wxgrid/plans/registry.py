@@ -299,6 +299,13 @@ def station_parse(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(t.select("path", "TM", "STN", "TA_AVG", "RN_DAY", "TE_50"))
 
 
+def station_parse_parity(spark: SparkSession, sf: str) -> DataFrame:
+    """Reference parity mode: only the leading help block is skipped, so the
+    '# note' lines in the middle come out as rows of NULL fields."""
+    t = stations.parse_daily(_station_lines(spark, sf), leading_only=True)
+    return rounded(t.select("path", "TM", "STN", "TA_AVG", "RN_DAY", "TE_50"))
+
+
 def _station_dim_dups(spark: SparkSession, sf: str) -> DataFrame:
     n = A.table(spark, sf, "nation").where(F.col("n_nationkey") % 7 != 0)
     first = n.select(F.col("n_nationkey").alias("STN_ID"),
@@ -409,6 +416,7 @@ def registry() -> dict:
         "points_in_polygons": points_in_polygons,
         "reproject": reproject,
         "station_parse": station_parse,
+        "station_parse_parity": station_parse_parity,
         "station_law_id": station_law_id,
         "station_completeness": station_completeness,
         "duplicate_keys": duplicate_keys,
