@@ -27,6 +27,18 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM f GROUP BY doc_id
 """
 
+OP8 = r"""
+WITH RECURSIVE dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM dw WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * o >= 80 * (p.n + q.n - o)),
+e AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach AS (SELECT x AS doc_id, x AS r FROM e UNION SELECT reach.doc_id, e.y FROM reach JOIN e ON e.x = reach.r)
+SELECT dw.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce((SELECT min(r) FROM reach WHERE reach.doc_id = dw.doc_id), dw.doc_id) AS component_id
+FROM dw LEFT JOIN n ON n.doc_id = dw.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3, "op5_line_dedup": OP5}
+    return {"op3_decontaminate": OP3, "op5_line_dedup": OP5, "op8_jaccard_join": OP8}
