@@ -94,8 +94,9 @@ def _lists(values: np.ndarray, edge: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
-def _entries(blocks: int, size: int):
-    """Arrow task: rows of the matrix into column blocks."""
+def entries(blocks: int, hasher):
+    """Arrow task: rows of the matrix into column blocks.  ``hasher`` gives the
+    sorted distinct (document, hash) pairs of a piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,7 +104,7 @@ def _entries(blocks: int, size: int):
             r_all, id_all = batch.column("r").to_numpy(), batch.column("id").to_numpy()
             for a, b in A.pieces(off, PIECE_BYTES):
                 m = b - a
-                doc, h = shingles(buf[off[a]:off[b]], off[a:b + 1] - off[a], size)
+                doc, h = hasher(buf[off[a]:off[b]], off[a:b + 1] - off[a])
                 edge = _starts(doc, m)
                 n = np.diff(edge)
                 fp1, fp2 = np.zeros(m, np.uint64), np.zeros(m, np.uint64)
@@ -154,7 +155,7 @@ def _flat(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return one.flatten().to_numpy(zero_copy_only=False), np.diff(one.offsets.to_numpy())
 
 
-def _shared(group: pa.Table) -> pa.Table:
+def shared(group: pa.Table) -> pa.Table:
     """One column block: the rows of documents go through; of the entries only
     those of columns with a mark or a second entry stay, as lists by row."""
     is_row = group["d"].is_null().combine_chunks()
@@ -189,20 +190,29 @@ def need(n: str | F.Column, percent: int) -> F.Column:
     return F.floor((n * percent + 99) / 100)
 
 
-def sets(docs: DataFrame, *, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
-    """(r, id, n, fp1, fp2, h): every document's set size and fingerprint, and
-    its shared columns unless the bound on rows rules out any link."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(r, id, text) of the rows with an id: r is the id where ids are unique,
+    else a hash of id and text, and rows that repeat both stay once."""
     rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     if rows.groupBy("id").count().where("count > 1").limit(1).count():
-        rows = rows.dropDuplicates(["id", "text"]).withColumn("r", F.xxhash64("id", "text"))
-    else:
-        rows = rows.withColumn("r", F.col("id"))
+        return rows.dropDuplicates(["id", "text"]).select(F.xxhash64("id", "text").alias("r"), "id", "text")
+    return rows.select(F.col("id").alias("r"), "id", "text")
+
+
+def with_shared_columns(rows: DataFrame, hasher) -> DataFrame:
+    """(r, id, n, fp1, fp2, h) of every row of ``keyed``: the size and
+    fingerprint of its set of hashes, and those that another row has too."""
+    spark = rows.sparkSession
+    bounded_batches(spark)
     blocks = 2 * partitions(spark)
-    entries = rows.select("r", "id", "text").mapInArrow(_entries(blocks, size), ENTRY)
-    parts = entries.groupBy("block").applyInArrow(_shared, ROW)
-    one = parts.groupBy("r").agg(*[F.max(c).alias(c) for c in ("id", "n", "fp1", "fp2")], F.flatten(F.collect_list("h")).alias("h"))
+    parts = rows.select("r", "id", "text").mapInArrow(entries(blocks, hasher), ENTRY).groupBy("block").applyInArrow(shared, ROW)
+    return parts.groupBy("r").agg(*[F.max(c).alias(c) for c in ("id", "n", "fp1", "fp2")], F.flatten(F.collect_list("h")).alias("h"))
+
+
+def sets(docs: DataFrame, *, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
+    """(r, id, n, fp1, fp2, h): every document's set size and fingerprint, and
+    its shared columns unless the bound on rows rules out any link."""
+    one = with_shared_columns(keyed(docs, doc_id, text), lambda buf, off: shingles(buf, off, size))
     return one.select("r", "id", "n", "fp1", "fp2",
                       F.when((F.col("n") > 0) & (F.size("h") >= need("n", percent)), F.col("h")).alias("h"))
 
@@ -280,7 +290,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     out = found.join(member, "r", "left").select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
                                                  F.coalesce("component", "id").alias("component_id"))
     nameless = docs.where(F.col(doc_id).isNull()).select(F.lit(0).cast("long").alias("r"), F.lit(0).cast("long").alias("id"), F.col(text).alias("text"))
-    nameless = nameless.mapInArrow(_entries(1, size), ENTRY).where("r is not null").select(
+    nameless = nameless.mapInArrow(entries(1, lambda buf, off: shingles(buf, off, size)), ENTRY).where("r is not null").select(
         F.lit(None).cast("long").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return out.unionByName(nameless)
 

@@ -39,6 +39,24 @@ SELECT dw.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce((SELECT min(r) FROM r
 FROM dw LEFT JOIN n ON n.doc_id = dw.doc_id
 """
 
+#: Byte positions as pairs of hexadecimal digits.
+OP10 = r"""
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+p AS (SELECT doc_id, i, x[2 * i + 1:2 * i + 100] AS g FROM (SELECT doc_id, x, unnest(range(0, greatest(length(x) // 2 - 49, 0))) AS i FROM d)),
+m AS (SELECT g, min(doc_id) AS top FROM p GROUP BY g),
+hit AS (SELECT doc_id, i FROM p JOIN m USING (g) WHERE top < doc_id),
+run AS (SELECT doc_id, i, coalesce(i > lag(i) OVER w + 50, true) AS head FROM hit WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+grp AS (SELECT doc_id, i, sum(CAST(head AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM run),
+span AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM grp GROUP BY doc_id, k),
+gap AS (SELECT doc_id, k, a, b, coalesce(lag(b) OVER w, 0) AS before, lead(a) OVER w IS NULL AS final FROM span WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+s AS (SELECT d.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+      string_agg(x[2 * before + 1:2 * a] || CASE WHEN final THEN substr(x, 2 * b + 1) ELSE '' END, '' ORDER BY k) AS kept
+      FROM gap JOIN d USING (doc_id) GROUP BY d.doc_id)
+SELECT d.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3, "op5_line_dedup": OP5, "op8_jaccard_join": OP8}
+    return {"op3_decontaminate": OP3, "op5_line_dedup": OP5, "op8_jaccard_join": OP8, "op10_suffix_dedup": OP10}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard_join, line_dedup, toxicity
+from . import bpe, decontaminate, jaccard_join, line_dedup, suffix_dedup, toxicity
 from .common import table
 
 
@@ -40,5 +40,9 @@ def op8_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.report(table(spark, sf, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_decontaminate, op5_line_dedup, op8_jaccard_join)}
+    return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_decontaminate, op5_line_dedup, op8_jaccard_join, op10_suffix_dedup)}
