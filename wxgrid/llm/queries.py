@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard_join, line_dedup, suffix_dedup, toxicity
+from . import bpe, collision_ann, decontaminate, jaccard_join, language_id, line_dedup, suffix_dedup, toxicity
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op4_collision_ann(spark: SparkSession, sf: str) -> DataFrame:
+    return collision_ann.report(table(spark, sf, "embeddings"))
+
+
 def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.report(table(spark, sf, "documents"))
 
@@ -40,9 +44,14 @@ def op8_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.report(table(spark, sf, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.report(table(spark, sf, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_decontaminate, op5_line_dedup, op8_jaccard_join, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_decontaminate, op4_collision_ann, op5_line_dedup, op8_jaccard_join,
+                               op9_language_id, op10_suffix_dedup)}
