@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,7 +161,7 @@ def shared(group: pa.Table) -> pa.Table:
     those of columns with a mark or a second entry stay, as lists by row."""
     is_row = group["d"].is_null().combine_chunks()
     rows = group.filter(is_row).select(["r", "id", "n", "fp1", "fp2", "h"])
-    entries = group.filter(pa.compute.invert(is_row))
+    entries = group.filter(pc.invert(is_row))
     out = [rows]
     if entries.num_rows:
         h, size = _flat(entries["h"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, collision_ann, decontaminate, jaccard_join, language_id, line_dedup, suffix_dedup, toxicity
+from . import backoff_lm, bpe, collision_ann, decontaminate, jaccard_join, language_id, license_scan, line_dedup, suffix_dedup, toxicity
 from .common import table
 
 
@@ -40,6 +40,14 @@ def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.report(table(spark, sf, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.report(table(spark, sf, "documents"))
+
+
+def op7_backoff_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return backoff_lm.report(table(spark, sf, "documents"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.report(table(spark, sf, "documents"))
 
@@ -53,5 +61,5 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_decontaminate, op4_collision_ann, op5_line_dedup, op8_jaccard_join,
-                               op9_language_id, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_decontaminate, op4_collision_ann, op5_line_dedup, op6_license_scan,
+                               op7_backoff_lm, op8_jaccard_join, op9_language_id, op10_suffix_dedup)}

@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -184,7 +185,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         while batch.num_rows:
             x = batch.column("anchor").to_numpy()
-            size = np.cumsum(pa.compute.binary_length(batch.column("seg")).to_numpy())
+            size = np.cumsum(pc.binary_length(batch.column("seg")).to_numpy())
             cut = batch.num_rows
             if held_bytes + int(size[-1]) >= SHARD_BYTES:  # at the first border beyond the size
                 k = int(np.searchsorted(size, max(SHARD_BYTES - held_bytes, 0)))
