@@ -12,13 +12,14 @@ The matrix has a row per document and a column per distinct word shingle.
    than that has no link and goes.  Equal sets collapse to a class.
 3. Columns of the classes are counted again, rarest first; a link needs a
    common entry among the first size - ceil(threshold * size) + 1, so only
-   those entries pair rows, and a pair must pass the size ratio and the bound
-   on the overlap that the positions leave.
-4. Blocks of pairs accumulate exact overlaps.  Long columns are not paired all
-   with all: three rounds pair every row with one row of the column, which
-   joins the members of a group of copies; after each round rows that are in
-   one component already need no pair.  A last round pairs what is left across
-   components, leaving out pairs inside the largest component of a column.
+   those entries pair rows.
+4. Two rounds pair every row with one row of its columns, which joins most
+   members of a group of copies at the cost of one pair a row.
+5. Row blocks.  Rows with a live column (one that still holds rows of two
+   components) are blocked by their smallest live column, and every pair of row
+   blocks that shares a live column is multiplied in one task: overlaps
+   accumulate over blocks of columns, the bound on the overlap drops pairs, and
+   of the links that join different components a spanning forest comes out.
 
 The components are those of all links: a pair is left out only when its rows
 are connected already.  No column, pair or group is capped.
@@ -46,7 +47,9 @@ from .components import components
 SHINGLE = 5
 PERCENT = 80
 PIECE_BYTES = 2_000_000
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+ROW_BLOCK = 512
+COLUMN_BLOCK = 2048
 
 WORD_BYTE = np.ones(256, bool)
 WORD_BYTE[[0x20, 9, 10, 11, 12, 13]] = False
@@ -88,6 +91,7 @@ def _starts(sorted_ids: np.ndarray, n: int) -> np.ndarray:
 
 _LONGS = pa.list_(pa.int64())
 ENTRY = "block int, r long, id long, n int, fp1 long, fp2 long, h array<long>, d array<long>"
+PART = "bucket int, r long, id long, n int, fp1 long, fp2 long, h array<long>, d array<long>"
 ROW = "r long, id long, n int, fp1 long, fp2 long, h array<long>"
 
 
@@ -156,33 +160,65 @@ def _flat(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return one.flatten().to_numpy(zero_copy_only=False), np.diff(one.offsets.to_numpy())
 
 
-def shared(group: pa.Table) -> pa.Table:
-    """One column block: the rows of documents go through; of the entries only
-    those of columns with a mark or a second entry stay, as lists by row."""
-    is_row = group["d"].is_null().combine_chunks()
-    rows = group.filter(is_row).select(["r", "id", "n", "fp1", "fp2", "h"])
-    entries = group.filter(pc.invert(is_row))
-    out = [rows]
-    if entries.num_rows:
-        h, size = _flat(entries["h"])
-        d, _ = _flat(entries["d"])
-        marks = entries["n"].to_numpy()
-        end = np.cumsum(size)
-        is_mark = np.arange(len(h)) >= np.repeat(end - marks, size)
-        order = np.argsort(h.view(np.uint64))
-        h, d, is_mark = h[order], d[order], is_mark[order]
-        head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-        n = np.diff(np.r_[head, len(h)])
-        keep = np.repeat((n > 1) | np.add.reduceat(is_mark, head).astype(bool), n) & ~is_mark
-        h, d = h[keep], d[keep]
-        order = np.argsort(d, kind="stable")
-        h, d = h[order], d[order]
-        head = np.flatnonzero(np.r_[True, d[1:] != d[:-1]]) if len(d) else np.zeros(0, np.int64)
-        k = len(head)
-        out.append(pa.table({"r": pa.array(d[head]), "id": pa.nulls(k, pa.int64()), "n": pa.nulls(k, pa.int32()),
-                             "fp1": pa.nulls(k, pa.int64()), "fp2": pa.nulls(k, pa.int64()),
-                             "h": _lists(h, np.r_[head, len(h)] if k else np.zeros(1, np.int64))}, schema=rows.schema))
-    return pa.concat_tables(out)
+def shared(buckets: int):
+    """Group task, one column block: the rows of documents go through; of the
+    entries only those of columns with a mark or a second entry stay, as one
+    row for each bucket of documents."""
+
+    def run(group: pa.Table) -> pa.Table:
+        is_row = group["d"].is_null().combine_chunks()
+        rows = group.filter(is_row)
+        bucket = pa.array((rows["r"].to_numpy().astype(np.uint64) % np.uint64(buckets)).astype(np.int32))
+        out = [pa.table({"bucket": bucket, **{c: rows[c] for c in ("r", "id", "n", "fp1", "fp2", "h")}, "d": pa.nulls(len(bucket), _LONGS)})]
+        entries = group.filter(pc.invert(is_row))
+        if entries.num_rows:
+            h, size = _flat(entries["h"])
+            d, _ = _flat(entries["d"])
+            marks = entries["n"].to_numpy()
+            end = np.cumsum(size)
+            is_mark = np.arange(len(h)) >= np.repeat(end - marks, size)
+            order = np.argsort(h.view(np.uint64))
+            h, d, is_mark = h[order], d[order], is_mark[order]
+            head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            n = np.diff(np.r_[head, len(h)])
+            keep = np.repeat((n > 1) | np.add.reduceat(is_mark, head).astype(bool), n) & ~is_mark
+            h, d = h[keep], d[keep]
+            b = (d.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+            order = np.lexsort((d, b))  # equal ids side by side compress well
+            h, d, b = h[order], d[order], b[order]
+            head = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else np.zeros(0, np.int64)
+            edge, k = (np.r_[head, len(b)] if len(b) else np.zeros(1, np.int64)), len(head)
+            out.append(pa.table({"bucket": pa.array(b[head]), **{c: pa.nulls(k, t) for c, t in (("r", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("fp1", pa.int64()), ("fp2", pa.int64()))},
+                                 "h": _lists(h, edge), "d": _lists(d, edge)}))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def gather(percent: int):
+    """Group task, one bucket of documents: every document with its shared
+    columns, or null where they are fewer than ``percent`` of its set."""
+
+    def run(group: pa.Table) -> pa.Table:
+        is_row = group["d"].is_null().combine_chunks()
+        rows = group.filter(is_row).combine_chunks()
+        r = rows["r"].to_numpy()
+        order = np.argsort(r)
+        rows, r = rows.take(pa.array(order)), r[order]
+        own, size = _flat(rows["h"])
+        part = group.filter(pc.invert(is_row))
+        h, d = (np.concatenate([x, _flat(part[c])[0]]) if part.num_rows else x for c, x in (("h", own), ("d", np.repeat(r, size))))
+        at = np.searchsorted(r, d)
+        order = np.argsort(at, kind="stable")
+        at, h = at[order], h[order]
+        count = np.bincount(at, minlength=len(r))
+        keep = (count > 0) & (count * 100 >= rows["n"].to_numpy() * percent)
+        kept = _lists(h[keep[at]], np.r_[0, np.cumsum(np.where(keep, count, 0))])
+        none = pa.nulls(1, _LONGS)
+        lists = pc.if_else(pa.array(keep), kept, none[0]) if len(r) else kept
+        return pa.table({**{c: rows[c] for c in ("r", "id", "n", "fp1", "fp2")}, "h": lists})
+
+    return run
 
 
 def need(n: str | F.Column, percent: int) -> F.Column:
@@ -200,22 +236,21 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.select(F.col("id").alias("r"), "id", "text")
 
 
-def with_shared_columns(rows: DataFrame, hasher) -> DataFrame:
+def with_shared_columns(rows: DataFrame, hasher, percent: int) -> DataFrame:
     """(r, id, n, fp1, fp2, h) of every row of ``keyed``: the size and
-    fingerprint of its set of hashes, and those that another row has too."""
+    fingerprint of its set of hashes, and those that another row has too; null
+    where these are fewer than ``percent`` of the set, or none."""
     spark = rows.sparkSession
     bounded_batches(spark)
     blocks = 2 * partitions(spark)
-    parts = rows.select("r", "id", "text").mapInArrow(entries(blocks, hasher), ENTRY).groupBy("block").applyInArrow(shared, ROW)
-    return parts.groupBy("r").agg(*[F.max(c).alias(c) for c in ("id", "n", "fp1", "fp2")], F.flatten(F.collect_list("h")).alias("h"))
+    parts = rows.select("r", "id", "text").mapInArrow(entries(blocks, hasher), ENTRY).groupBy("block").applyInArrow(shared(blocks), PART)
+    return parts.groupBy("bucket").applyInArrow(gather(percent), ROW)
 
 
 def sets(docs: DataFrame, *, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
     """(r, id, n, fp1, fp2, h): every document's set size and fingerprint, and
     its shared columns unless the bound on rows rules out any link."""
-    one = with_shared_columns(keyed(docs, doc_id, text), lambda buf, off: shingles(buf, off, size))
-    return one.select("r", "id", "n", "fp1", "fp2",
-                      F.when((F.col("n") > 0) & (F.size("h") >= need("n", percent)), F.col("h")).alias("h"))
+    return with_shared_columns(keyed(docs, doc_id, text), lambda buf, off: shingles(buf, off, size), percent)
 
 
 def classes(found: DataFrame) -> DataFrame:
@@ -242,39 +277,115 @@ def _links(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     return both.where(F.col("o") * 100 >= (F.col("na") + F.col("nb") - F.col("o")) * percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _may_link(percent: int) -> F.Column:
-    """Size ratio, and the overlap that the positions of a first common entry
-    leave: x and y columns n, pos."""
-    low, high = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    left = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    return (low * 100 >= high * percent) & (left * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
+def _union(edges: np.ndarray) -> np.ndarray:
+    """The edges (positions) of a spanning forest of label pairs."""
+    parent: dict[int, int] = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for i, (u, v) in enumerate(edges.tolist()):
+        u, v = find(u), find(v)
+        if u != v:
+            parent[max(u, v)] = min(u, v)
+            kept.append(i)
+    return np.array(kept, np.int64)
+
+
+def _dense(rows: np.ndarray, cols: np.ndarray, n: int, lo: int, hi: int) -> np.ndarray:
+    out = np.zeros((n, hi - lo), np.float32)
+    a, b = np.searchsorted(cols, [lo, hi])
+    out[rows[a:b], cols[a:b] - lo] = 1
+    return out
+
+
+def product(percent: int):
+    """Group task, one pair of row blocks: overlaps accumulate over column
+    blocks; the links that join different labels come out as a forest."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        side, rep, n, label = (group[c].to_numpy() for c in ("side", "rep", "n", "label"))
+        h, size = _flat(group["h"])
+        one = not side.any()
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if one else 1))
+        place = np.empty(len(side), np.int64)
+        place[left] = np.arange(len(left))
+        place[right] = np.arange(len(right))
+        entry = np.repeat(np.arange(len(side)), size)
+        col, both = np.unique(h, return_inverse=True)
+        on_left, on_right = (np.bincount(both, side[entry] == k, minlength=len(col)) for k in (0, 1))
+        use = (on_left > 1) if one else (on_left > 0) & (on_right > 0)
+        number = np.cumsum(use) - 1
+        keep = use[both]
+        entry, c = entry[keep], number[both[keep]]
+        order = np.argsort(c, kind="stable")
+        entry, c = entry[order], c[order]
+        mine = side[entry] == 0
+        overlap = np.zeros((len(left), len(right)), np.float32)
+        for lo in range(0, int(use.sum()), COLUMN_BLOCK):
+            hi = min(lo + COLUMN_BLOCK, int(use.sum()))
+            x = _dense(place[entry[mine]], c[mine], len(left), lo, hi)
+            y = x if one else _dense(place[entry[~mine]], c[~mine], len(right), lo, hi)
+            overlap += x @ y.T
+        o = overlap.astype(np.int64)
+        link = o * (100 + percent) >= (n[left][:, None] + n[right][None, :]) * percent
+        link &= label[left][:, None] != label[right][None, :]
+        i, j = np.nonzero(link)
+        kept = _union(np.stack([label[left][i], label[right][j]], axis=1)) if len(i) else np.zeros(0, np.int64)
+        return pa.table({"u": pa.array(rep[left][i[kept]], pa.int64()), "v": pa.array(rep[right][j[kept]], pa.int64())})
+
+    return run
+
+
+def _live(posting: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+    """Entries of the columns that still hold two labels, with the row of the
+    column that this turn's order puts first."""
+    at = posting.withColumn("label", F.col("rep")) if labels is None else \
+        posting.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    column = at.groupBy("c").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                 F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "n", "label")).alias("first"))
+    return at.join(column.where("lo <> hi").select("c", "first"), "c")
 
 
 def link_components(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(rep, label): the smallest class each linked class can reach."""
     prefix = F.col("n") - need("n", percent) + 1 - F.col("own")
-    posting = written(rows.select("rep", "n", "own", F.posexplode(F.slice("h", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("k", "c"))
-                      .select("c", "rep", "n", (F.col("own") + F.col("k")).alias("pos")), "jaccard-postings")
+    posting = written(rows.select("rep", "n", F.explode(F.slice("h", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("c"))
+                      .select("c", "rep", "n"), "jaccard-postings")
     labels, edges = None, None
-    for turn in range(STAR_ROUNDS + 1):
-        at = posting.withColumn("label", F.col("rep")) if labels is None else \
-            posting.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        per = at.groupBy("c", "label").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "n", "pos")).alias("first"))
-        column = per.groupBy("c").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("m", "label")).alias("most"), F.min("first").alias("first")) \
-            .where("labels > 1")
-        live = at.join(column, "c")
-        if turn < STAR_ROUNDS:
-            pairs = live.select(F.struct("rep", "n", "pos").alias("x"), F.col("first").alias("y")).where("x.rep <> y.rep")
-            pairs = pairs.where(F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-        else:
-            x = live.where("label <> most").select("c", "most", "label", F.struct("rep", "n", "pos").alias("x"))
-            y = at.select("c", F.col("label").alias("other"), F.struct("rep", "n", "pos").alias("y"))
-            pairs = x.join(y, "c").where("other <> label and (other = most or x.rep < y.rep)").where(_may_link(percent))
-        pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-        new = written(_links(pairs, rows, percent), "jaccard-links")
-        edges = new if edges is None else edges.unionByName(new)
+    for turn in range(STAR_ROUNDS):
+        live = _live(posting, labels, turn).where("label <> first.label")
+        live = live.where(F.least("n", "first.n") * 100 >= F.greatest("n", "first.n") * percent)
+        pairs = live.groupBy("rep").agg(F.min("first").alias("f")).select(F.col("rep").alias("a"), F.col("f.rep").alias("b"))
+        edges = _more(edges, _links(pairs, rows, percent))
         labels = written(components(edges), "jaccard-labels")
-    return labels.withColumnRenamed("node", "rep")
+    return written(components(_more(edges, _block_links(_live(posting, labels, STAR_ROUNDS), rows, percent))), "jaccard-labels") \
+        .withColumnRenamed("node", "rep")
+
+
+def _more(edges: DataFrame | None, new: DataFrame) -> DataFrame:
+    new = written(new, "jaccard-links")
+    return new if edges is None else edges.unionByName(new)
+
+
+def _block_links(live: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links that join labels, over all pairs of row blocks that share a live
+    column.  A row's block is its smallest live column, cut into parts of about
+    ROW_BLOCK rows, so rows that look alike share blocks."""
+    home = live.groupBy("rep", "label").agg(F.min("c").alias("home"))
+    parts = home.groupBy("home").agg(F.ceil(F.count("*") / ROW_BLOCK).alias("parts"))
+    home = written(home.join(parts, "home").select("rep", "label", F.xxhash64("home", F.pmod(F.xxhash64("rep"), F.col("parts"))).alias("block")), "jaccard-blocks")
+    on = live.select("c", "rep").join(home, "rep").select("c", "block").distinct()
+    pairs = on.join(on.withColumnRenamed("block", "other"), "c").where("block <= other").select("block", "other").distinct()
+    body = home.join(rows.select("rep", "n", "h"), "rep")
+    left = pairs.join(body, "block").select("block", "other", F.lit(0).alias("side"), "rep", "n", "label", "h")
+    right = pairs.where("block < other").join(body.withColumnRenamed("block", "other"), "other").select("block", "other", F.lit(1).alias("side"), "rep", "n", "label", "h")
+    return left.unionByName(right).groupBy("block", "other").applyInArrow(product(percent), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

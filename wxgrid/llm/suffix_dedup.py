@@ -3,6 +3,8 @@
 A string of ``LENGTH`` bytes can only repeat where its anchor repeats: the
 smallest hash of its ``GRAM``-byte grams.  So
 
+0. of equal texts only the one with the smallest doc_id goes on: it holds all
+   their strings, and a larger document with the same text loses all of it;
 1. anchors that stand in more than one document are found by hash blocks
    (the column blocks of the Jaccard join);
 2. runs of neighbouring strings with one such anchor become segments; equal
@@ -41,7 +43,7 @@ from .induced import common_prefix_at_least, suffix_array
 from .jaccard_join import keyed, with_shared_columns
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
 SHARD_BYTES = 1_500_000
 PIECE_BYTES = 1_500_000
 
@@ -214,13 +216,19 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield done
 
 
+def distinct_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, text) of the smallest document of every text that is long enough."""
+    some = docs.where(F.col(doc_id).isNotNull() & (F.octet_length(text) >= LENGTH)).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    return some.groupBy(F.xxhash64("text").alias("v"), "text").agg(F.min("id").alias("id")).select("id", "text")
+
+
 def covered(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(keyed rows, spans): per row key r the byte ranges (f, t) that strings
-    of smaller documents cover, unmerged."""
+    """(keyed distinct texts, spans): per row key r the byte ranges (f, t) that
+    strings of smaller documents cover, unmerged."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = keyed(docs, doc_id, text)
-    some = with_shared_columns(rows, anchor_sets).where(F.size("h") > 0).select("r", "h")
+    rows = keyed(distinct_texts(docs, doc_id, text), "id", "text")
+    some = with_shared_columns(rows, anchor_sets, 0).where("h is not null").select("r", "h")
     occurrence = rows.join(some, "r").select("r", "id", "text", "h").mapInArrow(_segments, SEGMENT) \
         .withColumn("sh", F.xxhash64("seg"))
     distinct = occurrence.groupBy("anchor", "sh").agg(F.min("id").alias("top"), F.max("id").alias("most"), F.min("seg").alias("seg"))
@@ -233,7 +241,7 @@ def covered(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> t
     return rows, spans
 
 
-CUT = "id long, n_bytes long, n_removed long, n_spans long, kept binary"
+CUT = "id long, v long, n_removed long, n_spans long, kept binary"
 
 
 def _cut(digest: bool):
@@ -258,39 +266,32 @@ def _cut(digest: bool):
                 n_spans.append(len(lo))
             if digest:
                 kept = [hashlib.sha256(x).hexdigest().encode() for x in kept]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.diff(off)), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
-                                              pa.array(kept, pa.binary())], names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
+                                              pa.array(kept, pa.binary())], names=["id", "v", "n_removed", "n_spans", "kept"])
 
     return run
 
 
-def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, kept, n_bytes, n_removed, n_spans) of every distinct row;
-    ``kept``: the remaining bytes."""
+def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept``: the
+    remaining bytes, or their SHA-256 in hexadecimal when ``digest``."""
     rows, spans = covered(docs, doc_id=doc_id, text=text)
-    both = rows.join(spans, "r", "left")
-    cut = both.where("spans is not null").select("id", "text", "spans").mapInArrow(_cut(False), CUT)
-    whole = _whole(both.where("spans is null").select("id", "text")).unionByName(_whole(_nameless(docs, doc_id, text)))
-    return cut.unionByName(whole).withColumnRenamed("id", doc_id)
-
-
-def _whole(rows: DataFrame) -> DataFrame:
-    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return rows.select("id", F.octet_length(raw).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
-                       F.lit(0).cast("long").alias("n_spans"), raw.alias("kept"))
-
-
-def _nameless(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.where(F.col(doc_id).isNull()).select(F.lit(None).cast("long").alias("id"), F.col(text).alias("text"))
+    cut = rows.join(spans, "r").select("id", F.xxhash64("text").alias("v"), "text", "spans").mapInArrow(_cut(digest), CUT)
+    cut = cut.select(F.col("id").alias("cut_id"), F.col("v").alias("cut_v"), "n_removed", "n_spans", "kept")
+    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    # what every row needs without its spans: its size, its whole checksum
+    base = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("v"), F.octet_length(raw).cast("long").alias("n_bytes"),
+                       (F.sha2(raw, 256).cast("binary") if digest else raw).alias("whole"))
+    least = base.where(F.col("id").isNotNull()).groupBy("v", "n_bytes").agg(F.min("id").alias("least")).where(F.col("n_bytes") >= LENGTH)
+    both = base.join(least, ["v", "n_bytes"], "left").join(cut, (F.col("id") == F.col("cut_id")) & (F.col("v") == F.col("cut_v")), "left")
+    copy = F.col("id") > F.col("least")
+    empty = F.lit(hashlib.sha256(b"").hexdigest() if digest else "").cast("binary")
+    return both.select(
+        F.col("id").alias(doc_id), "n_bytes",
+        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(copy, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(copy, empty).otherwise(F.coalesce("kept", "whole")).alias("kept"))
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """The digest: whole documents are hashed where they are read, only those
-    that lose bytes are met with their spans again."""
-    rows, spans = covered(docs)
-    both = rows.join(spans, "r", "left")
-    cut = both.where("spans is not null").select("id", "text", "spans").mapInArrow(_cut(True), CUT) \
-        .withColumn("kept", F.col("kept").cast("string"))
-    whole = _whole(both.where("spans is null").select("id", "text")).unionByName(_whole(_nameless(docs, "doc_id", "text")))
-    whole = whole.withColumn("kept", F.sha2("kept", 256))
-    return cut.unionByName(whole).withColumnsRenamed({"id": "doc_id", "kept": "kept_sha256"})
+    return dedup(docs, digest=True).withColumn("kept_sha256", F.col("kept").cast("string")).drop("kept")
