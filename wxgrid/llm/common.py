@@ -34,12 +34,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts the lineage
-    and survives the loss of any executor."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared folder and read back: cuts the lineage and
+    survives the loss of any executor.  The shuffle files of the write go when
+    it ends, as nothing reads them again."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP_CONF, "false")
+    spark.conf.set(_CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP_CONF, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def held_out(doc_id) -> F.Column:

@@ -38,9 +38,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrowtext as A
-from .common import bounded_batches
+from .common import bounded_batches, written
 from .induced import common_prefix_at_least, suffix_array
-from .jaccard_join import keyed, with_shared_columns
+from .jaccard_join import with_shared_columns
 
 LENGTH = 50
 GRAM = 24
@@ -86,6 +86,16 @@ def anchor_sets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 SEGMENT = "r long, id long, pos int, anchor long, seg binary"
+DISTINCT = "anchor long, top long, most long, seg binary"
+
+
+def _distinct_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct segments of a piece, with their smallest and largest
+    document: copies within a piece leave the task as one row."""
+    for batch in _segments(batches):
+        t = pa.Table.from_batches([batch.select(["anchor", "id", "seg"])]).group_by(["anchor", "seg"]).aggregate([("id", "min"), ("id", "max")])
+        t = t.select(["anchor", "id_min", "id_max", "seg"]).rename_columns(["anchor", "top", "most", "seg"])
+        yield from t.combine_chunks().to_batches()
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,22 +227,25 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def distinct_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, text) of the smallest document of every text that is long enough."""
+    """(r, id, text): every text that is long enough once, with its 64-bit
+    hash r, by which texts are told apart, and its smallest document."""
     some = docs.where(F.col(doc_id).isNotNull() & (F.octet_length(text) >= LENGTH)).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return some.groupBy(F.xxhash64("text").alias("v"), "text").agg(F.min("id").alias("id")).select("id", "text")
+    return some.groupBy(F.xxhash64("text").alias("r")).agg(F.min("id").alias("id"), F.min("text").alias("text"))
 
 
 def covered(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(keyed distinct texts, spans): per row key r the byte ranges (f, t) that
-    strings of smaller documents cover, unmerged."""
+    """(distinct texts, spans): per text r the byte ranges (f, t) that strings
+    of smaller documents cover, unmerged."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = keyed(distinct_texts(docs, doc_id, text), "id", "text")
-    some = with_shared_columns(rows, anchor_sets, 0).where("h is not null").select("r", "h")
-    occurrence = rows.join(some, "r").select("r", "id", "text", "h").mapInArrow(_segments, SEGMENT) \
-        .withColumn("sh", F.xxhash64("seg"))
-    distinct = occurrence.groupBy("anchor", "sh").agg(F.min("id").alias("top"), F.max("id").alias("most"), F.min("seg").alias("seg"))
-    dealt = distinct.repartition("anchor").sortWithinPartitions("anchor")
+    rows = distinct_texts(docs, doc_id, text)
+    some = written(with_shared_columns(rows, anchor_sets, 0).where("h is not null").select("r", "h"), "suffix-anchors")
+    both = rows.join(some, "r").select("r", "id", "text", "h")
+    occurrence = both.mapInArrow(_segments, SEGMENT).withColumn("sh", F.xxhash64("seg"))
+    # dealt by anchor once: neither the grouping nor the sort shuffles again
+    dealt = both.mapInArrow(_distinct_segments, DISTINCT).withColumn("sh", F.xxhash64("seg")).repartition("anchor") \
+        .groupBy("anchor", "sh").agg(F.min("top").alias("top"), F.max("most").alias("most"), F.min("seg").alias("seg")) \
+        .sortWithinPartitions("anchor")
     found = dealt.select("anchor", "sh", "top", "most", "seg").mapInArrow(_shards, FOUND)
     hit = occurrence.select("r", "id", "pos", "anchor", "sh").join(found, ["anchor", "sh"])
     lose = F.filter("runs", lambda x: x["top"] < F.col("id"))
@@ -276,7 +289,7 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", digest
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept``: the
     remaining bytes, or their SHA-256 in hexadecimal when ``digest``."""
     rows, spans = covered(docs, doc_id=doc_id, text=text)
-    cut = rows.join(spans, "r").select("id", F.xxhash64("text").alias("v"), "text", "spans").mapInArrow(_cut(digest), CUT)
+    cut = rows.join(spans, "r").select("id", F.col("r").alias("v"), "text", "spans").mapInArrow(_cut(digest), CUT)
     cut = cut.select(F.col("id").alias("cut_id"), F.col("v").alias("cut_v"), "n_removed", "n_spans", "kept")
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     # what every row needs without its spans: its size, its whole checksum
