@@ -299,7 +299,8 @@ def find_spans(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
     """Every document of ``docs`` with the word and byte spans that phrases of
     ``items`` cover (merged where they overlap or touch), the sorted items
     found and the number of words.  ``keep`` names further columns of ``docs``
-    to carry along (the text is carried when named)."""
+    to carry along, as ``__k0``, ``__k1``... beside the id as ``__doc_id``, so
+    no name clashes."""
     spark = docs.sparkSession
     bounded_batches(spark)
     keep = keep or []
@@ -314,7 +315,7 @@ def find_spans(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
         last = k == len(blocks) - 1
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema if last is False or f.name not in ("__text", "__hit", "__items"))
         out = out.mapInArrow(_searcher(sent, last), schema + (", " + OUT if last else ""))
-    return out.withColumnsRenamed({"__id": doc_id} | {f"__k{i}": c for i, c in enumerate(keep)})
+    return out.withColumnsRenamed({"__id": doc_id}) if not keep else out.withColumnRenamed("__id", "__doc_id")
 
 
 def _blocks(rows: DataFrame) -> list[list[tuple[str, str]]]:
@@ -404,12 +405,13 @@ def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text") -> DataF
     """``docs`` with the spans of benchmark phrases cut out of the text;
     documents without a hit, and null texts, stay as they are."""
     cols = docs.columns
-    found = find_spans(docs, items, text=text, keep=[c for c in cols if c != "doc_id"])
-    raw = F.col(text).cast("binary")
+    found = find_spans(docs, items, text=text, keep=cols)
+    own = {c: F.col(f"__k{i}") for i, c in enumerate(cols)}
+    raw = own[text].cast("binary")
     bounds = F.concat(F.array(F.lit(0)), F.flatten(F.transform("spans", lambda x: F.array(x["byte_from"], x["byte_to"]))),
-                      F.array(F.octet_length(F.col(text))))
+                      F.array(F.octet_length(own[text])))
     kept = F.transform(F.sequence(F.lit(0), F.size("spans")),
                        lambda i: F.substring(raw, F.element_at(bounds, 2 * i + 1) + 1,
                                              F.element_at(bounds, 2 * i + 2) - F.element_at(bounds, 2 * i + 1)).cast("string"))
-    cut = F.when(F.size("spans") > 0, F.concat_ws(" ", F.filter(F.transform(kept, lambda x: F.btrim(x)), lambda x: x != ""))).otherwise(F.col(text))
-    return found.select(*[cut.alias(c) if c == text else F.col(c) for c in cols])
+    cut = F.when(F.size("spans") > 0, F.concat_ws(" ", F.filter(F.transform(kept, lambda x: F.btrim(x)), lambda x: x != ""))).otherwise(own[text])
+    return found.select(*[cut.alias(c) if c == text else own[c].alias(c) for c in cols])
