@@ -33,12 +33,13 @@ reference's order), including its null rules:
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..catalogue import (SNOW_OFF_MONTHS, SNOW_START_YEAR, SNOW_VAR, VarSpec,
+from ..catalogue import (SNOW_OFF_MONTHS, SNOW_START_YEAR, SNOW_VAR, VARIABLES, VarSpec,
                          ordered_slot_columns, region_id_columns, specs)
 from ..functions.slots import slot_index, slot_label_for
 from ..plans.hints import broadcast_if_small
@@ -245,30 +246,29 @@ def aggregate_to_region(wide: DataFrame, mapping: DataFrame, value_cols,
     return j.groupBy(*keys).agg(*aggs)
 
 
-def merge_variables(frames: dict, index_cols=None) -> DataFrame | None:
-    """Full outer merge of per-variable region tables on date + codes.
+def merge_variables(frames: dict, keys) -> DataFrame | None:
+    """Full outer merge of per-variable region tables on ``keys``.
 
-    Index columns come from the first frame (date plus whichever code
-    columns it has).  Output order: date, sorted t*, p*, s*, others, codes.
+    A column name that two variables share is told apart by the variable's
+    name, so no reading is lost.  Columns come out as date, the slots in the
+    catalogue's order, other columns by name, region codes.
     """
     if not frames:
         return None
-    dfs = list(frames.values())
-    first = dfs[0]
-    if index_cols is None:
-        ids = [c for c in ("HJD_CD", "EMD_CD") if c in first.columns]
-        index_cols = ["date"] + ids
-    merged = reduce(lambda a, b: a.join(b, index_cols, "full_outer"), dfs)
-    return merged.select(*order_columns(merged.columns, index_cols))
-
-
-def order_columns(columns, index_cols) -> list[str]:
-    ids = [c for c in index_cols if c != "date"]
-    out = ["date"] if "date" in index_cols else []
-    for p in ("t", "p", "s"):
-        out += sorted(c for c in columns if c.startswith(p) and c not in index_cols)
-    out += [c for c in columns if c not in out and c not in ids]
-    return out + ids
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    uses = Counter(c for df in frames.values() for c in df.columns if c not in keys)
+    told = [df.select(*keys, *[F.col(c).alias(f"{c}_{var}" if uses[c] > 1 else c) for c in df.columns if c not in keys])
+            for var, df in frames.items()]
+    merged = reduce(lambda a, b: a.join(b, keys, "full_outer"), told)
+    return merged.select(*sorted(merged.columns, key=lambda c: _place(c, keys)))
+
+
+def _place(column: str, keys: list[str]) -> tuple:
+    """Rank of an output column: (block, rank in the catalogue, name)."""
+    if column in keys:
+        return (0 if column == "date" else 3, keys.index(column), column)
+    slots = ordered_slot_columns(VARIABLES)
+    return (1, slots.index(column), column) if column in slots else (2, 0, column)
 
 
 def add_region_name(df: DataFrame, mapping: DataFrame, id_col: str, nm_col: str) -> DataFrame:

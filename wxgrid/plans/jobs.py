@@ -261,9 +261,9 @@ def coverage_job(spark: SparkSession, tables_glob: str, station_info_path: str |
         merged = merged.unionByName(sec)
     per_year = merged.groupBy("year").agg(F.array_join(F.array_sort(F.collect_list("text")), "\n").alias("text"))
     W.write_reports(per_year, os.path.join(out_dir, "reports"))
-    summary = W.markdown_table(t["year_metrics"].orderBy("year"), coverage.CAP_SUMMARY)
-    # The report is one small text; written through Spark so it lands on the
-    # same shared storage as the tables.
-    (spark.createDataFrame([("# Coverage summary\n\n" + summary + "\n",)], "value string")
-          .coalesce(1).write.mode("overwrite").text(os.path.join(out_dir, "report_summary")))
+    # The summary is a section under one key: rendered and written by Spark,
+    # so it lands on the same shared storage as the tables.
+    summary = W.markdown_by_key(t["year_metrics"].withColumn("report", F.lit("all")), "report", ["year"],
+                                coverage.CAP_SUMMARY, "Coverage summary")
+    summary.select("text").coalesce(1).write.mode("overwrite").text(os.path.join(out_dir, "report_summary"))
     return t

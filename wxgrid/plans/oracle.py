@@ -30,15 +30,14 @@ MAP = """map AS (
   FROM customer)"""
 
 DAILY = """daily AS (
-  SELECT c_nationkey AS STN, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS TM,
+  SELECT CASE WHEN (c_nationkey + year(o_orderdate)) % 5 = 0 THEN c_nationkey + 100 ELSE c_nationkey END AS STN, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS TM,
          CAST(year(o_orderdate) + CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END AS INTEGER) AS file_year,
          o_orderkey AS ord, o_totalprice AS RN_DAY
-  FROM orders JOIN customer ON o_custkey = c_custkey
-  WHERE (c_nationkey + year(o_orderdate)) % 5 <> 0)"""
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 STN = """stn AS (
   SELECT n_nationkey AS STN_ID, lpad(CAST(n_regionkey AS VARCHAR), 10, '0') AS LAW_ID, n_name AS LAW_NM
-  FROM nation WHERE n_nationkey % 7 <> 0)"""
+  FROM nation)"""
 
 
 def _slot_sql(s) -> str:
@@ -337,10 +336,10 @@ FROM daily WHERE ord % 50 = 0"""
 SQL_LAW_ID = f"""WITH {DAILY},
 dim AS (
   SELECT n_nationkey AS STN_ID, lpad(CAST(n_regionkey AS VARCHAR), 10, '0') AS LAW_ID, n_nationkey * 2 AS ord
-  FROM nation WHERE n_nationkey % 7 <> 0
+  FROM nation
   UNION ALL
   SELECT n_nationkey, lpad(CAST(n_regionkey + 5 AS VARCHAR), 10, '0'), n_nationkey * 2 + 1
-  FROM nation WHERE n_nationkey % 7 <> 0 AND n_nationkey % 4 = 1),
+  FROM nation WHERE n_nationkey % 4 = 1),
 last AS (SELECT STN_ID, arg_max(LAW_ID, ord) AS LAW_ID FROM dim GROUP BY STN_ID)
 SELECT d.STN, d.TM, d.file_year, d.ord, l.LAW_ID FROM daily d LEFT JOIN last l ON d.STN = l.STN_ID"""
 

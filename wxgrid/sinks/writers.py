@@ -79,17 +79,6 @@ def failure_summary(status: DataFrame) -> DataFrame:
         F.array_join(F.array_sort(F.collect_list(F.when(~F.col("complete"), F.col("var")))), ",").alias("failed"))
 
 
-def markdown_table(df: DataFrame, max_rows: int) -> str:
-    """Render at most ``max_rows`` rows of a report table as markdown (the
-    cap is the report's own; only those rows reach the driver)."""
-    rows = df.limit(max_rows).collect()
-    cols = df.columns
-    out = ["| " + " | ".join(cols) + " |", "| " + " | ".join("---" for _ in cols) + " |"]
-    for r in rows:
-        out.append("| " + " | ".join("" if v is None else str(v) for v in r) + " |")
-    return "\n".join(out)
-
-
 def markdown_by_key(df: DataFrame, key: str, order, cap: int, title: str) -> DataFrame:
     """(key, text): one markdown table per key value, rendered in Spark.
 
