@@ -17,11 +17,13 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from wxgrid.plans.oracle import oracle
+    from wxgrid.plans.registry import registry
+    assert set(registry()) == set(oracle())
+    assert set(E.oracle_sql()) <= set(E.queries())
+
 
 
-@pytest.mark.parametrize("name", ["region_day_mean", "region_day_sum", "parse_tokens", "points_in_polygons",
-                                  "station_completeness", "year_metrics", "station_churn", "missing_var_days"])
 def test_matches_duckdb(spark, name):
     con = duckdb.connect()
     for t in TABLES:
