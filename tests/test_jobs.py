@@ -248,3 +248,41 @@ def test_mapping_job_from_axes(spark, scratch):
     prof = jobs.mapping_job(spark, axes, f"{axes}_h", None, f"{axes}_m", reproject=False, grid_kind="axes").first()
     m = {r["grid_idx"]: r["HJD_CD"] for r in spark.read.parquet(f"{axes}_m").collect()}
     assert prof["cells"] == 6 and m == {0: "H1", 1: None, 2: "H1", 3: None, 4: "H1", 5: None}
+
+
+def test_tables_of_several_runs(spark, scratch):
+    """Region types side by side, variables added later, the requested
+    calendar, one system of a unified mapping, a half-hour response."""
+    root = os.path.join(scratch, "several")
+    spark.createDataFrame([(0, "A", "a", "X", "x"), (0, "A", "a", "Y", "y"), (1, "A", "a", "X", "x")],
+                          "grid_idx long, HJD_CD string, HJD_NM string, EMD_CD string, EMD_NM string").write.parquet(f"{root}/map")
+
+    def land(var, day):
+        for h in range(24):
+            _write(f"{root}/landing/{var}_{day}{h:02d}00.txt", "1 4 1 1 1 1\n")
+    land("ta", "20240101")
+    land("ta", "20240102")
+    land("rn_60m", "20240102")
+    _write(f"{root}/landing/ta_202401010030.txt", "100 100 100 100 100 100\n")
+    jobs.ingest_job(spark, f"{root}/landing", f"{root}/obs", f"{root}/q", ["ta", "rn_60m"], N)
+    assert spark.read.parquet(f"{root}/q").where("reason = 'off_schedule_time'").count() == 1
+
+    def run(variables, start, end, kind):
+        return jobs.regional_job(spark, f"{root}/obs", f"{root}/map", f"{root}/out", variables, start, end, kind)
+    run(["ta"], "20240101", "20240101", "bjd")
+    run(["ta"], "20240101", "20240101", "hjd")
+    skipped = run(["ta", "rn_60m"], "20231201", "20240229", "hjd")
+    assert skipped.count() == 31 + 31 + 29 - 1
+    t = spark.read.option("header", True).csv(f"{root}/out/monthly_hjd").select("date", "t0001", "p0001", "HJD_CD")
+    assert sorted(tuple(r) for r in t.collect()) == [("20240101", "2.5", None, "A"), ("20240102", "2.5", "2.5", "A")]
+    b = spark.read.option("header", True).csv(f"{root}/out/monthly_bjd")
+    assert "EMD_CD" in b.columns and "HJD_CD" not in b.columns
+
+    jobs.ingest_job(spark, f"{root}/landing", f"{root}/obs", f"{root}/q", ["ta"], N, force=True)
+    assert jobs._cached_days(spark, f"{root}/obs_manifest").count() == 3
+
+
+def test_mapping_of_a_broken_off_run_is_rebuilt(spark, scratch):
+    half = os.path.join(scratch, "half-mapping")
+    os.makedirs(os.path.join(half, "_temporary"))
+    assert jobs._exists(spark, half) and not jobs._built(spark, half)

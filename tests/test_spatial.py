@@ -127,3 +127,11 @@ def test_reproject_respects_epsg_column(spark):
     out = {r["code"]: r["rings"][0][0] for r in spatial.reproject_rings(df).collect()}
     assert abs(out["P"]["x"] - 127.5) < 1e-9 and abs(out["P"]["y"] - 38.0) < 1e-9
     assert (out["G"]["x"], out["G"]["y"]) == (127.0, 37.0)
+
+
+def test_equal_points_keep_their_rows(spark):
+    rows = [(1, 50.0, 50.0), (1, 50.0, 50.0), (2, 60.0, 60.0), (3, None, 1.0)]
+    pts = spark.createDataFrame(rows, "grid_idx long, lon double, lat double")
+    out = spatial.points_in_polygons(pts, _polys(spark), "code", "name").collect()
+    assert sorted(r["grid_idx"] for r in out) == [1, 1, 2, 3]
+    assert all(r["code"] is None for r in out)

@@ -73,6 +73,14 @@ def test_coverage_cases(spark):
     assert churn == [(2021, 1, "added"), (2023, 2, "added"), (2024, 2, "removed")]
 
 
+def test_churn_counts_a_year_without_valid_rows(spark):
+    d = dt.date
+    k = spark.createDataFrame([(2000, 7, d(2000, 1, 1)), (2001, None, None), (2002, 7, d(2002, 1, 1))],
+                              "year int, stn int, tm date")
+    churn = sorted(tuple(r) for r in coverage.station_churn(k).select("year", "STN", "change").collect())
+    assert churn == [(2000, 7, "added"), (2001, 7, "removed"), (2002, 7, "added")]
+
+
 def test_top_rows_per_year(spark):
     df = spark.createDataFrame([(y, s) for y in (1, 2) for s in range(5)], "year int, STN int")
     got = sorted(tuple(r) for r in coverage.top_rows(df, 2, [F.col("STN").desc()]).collect())

@@ -146,8 +146,8 @@ def year_metrics(keys: DataFrame, station_info: DataFrame | None = None) -> Data
 def station_churn(keys: DataFrame, station_info: DataFrame | None = None) -> DataFrame:
     """Stations added / removed against the previous *available* year.
 
-    With ``prev(y)`` / ``next(y)`` the neighbouring years that have data at
-    all, a station present in ``y`` is *added* unless its own previous year
+    A year is available when it has a file row at all, valid or not.  With
+    ``prev(y)`` / ``next(y)`` the neighbouring available years, a station present in ``y`` is *added* unless its own previous year
     is ``prev(y)``, and a station present in ``p`` is *removed* in
     ``next(p)`` unless its own next year is ``next(p)``.  So one window per
     station (its years, a few dozen rows) plus a table of the distinct years
@@ -157,7 +157,7 @@ def station_churn(keys: DataFrame, station_info: DataFrame | None = None) -> Dat
     st = _present(keys).select("year", "stn").distinct()
     # Distinct years: one row per yearly file; the global order is tiny.
     w_all = Window.orderBy("year")
-    years = (st.select("year").distinct()
+    years = (keys.where(F.col("year").isNotNull()).select("year").distinct()
                .withColumn("prev_y", F.lag("year").over(w_all))
                .withColumn("next_y", F.lead("year").over(w_all)))
     w_stn = Window.partitionBy("stn").orderBy("year")

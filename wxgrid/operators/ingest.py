@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..catalogue import specs
+from ..catalogue import VARIABLES, specs
 from ..functions import text as T
 from ..functions.values import clean_sentinel
 
@@ -42,6 +42,15 @@ def validate(resp: DataFrame, n_expected=None) -> DataFrame:
     n = _n_col(n_expected)
     keep = [c for c in resp.columns if c != "text"]
     parsed = resp.select(*keep, "text", F.inline(F.array(T.parse_response(F.col("text"), n))))
+    # A reading belongs to a full hour of its variable's grid (every hour, or
+    # every third one); a response for any other time is rejected.
+    at = F.substring("tm", 9, 2).cast("int")
+    step = F.lit(1)
+    for s in specs(VARIABLES):
+        step = F.when(F.col("var") == s.name, s.step).otherwise(step)
+    on_time = F.coalesce((F.substring("tm", 11, 2) == "00") & at.between(0, 23) & (at % step == 0), F.lit(False))
+    parsed = (parsed.withColumn("reason", F.coalesce("reason", F.when(~on_time, F.lit("off_schedule_time"))))
+                    .withColumn("vals", F.when(F.col("reason").isNull(), F.col("vals"))))
     rejected = F.col("reason").isNotNull()
     body = F.coalesce(F.col("text"), F.lit(""))
     lines = T.split_lines(body)

@@ -136,23 +136,19 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, code_col: str, name_
     n_edges = bands.agg(F.sum(F.size("edges"))).first()[0] or 0
     bands = F.broadcast(bands) if n_edges <= MAX_BROADCAST_EDGES else bands
     t = F.lit(tile)
-    pts = points.withColumn("_tx", F.floor(F.col(x_col) / t)).withColumn("_ty", F.floor(F.col(y_col) / t))
-    cand = (pts.join(tiles, (pts["_tx"] == tiles["tx"]) & (pts["_ty"] == tiles["ty"]), "left")
-               .drop("tx", "ty")
-               .join(boxes, "poly_id", "left"))
-    px, py = F.col(x_col), F.col(y_col)
+    pts = points.select(F.col(x_col).alias("_x"), F.col(y_col).alias("_y"))
+    pts = pts.withColumn("tx", F.floor(F.col("_x") / t)).withColumn("ty", F.floor(F.col("_y") / t))
+    cand = pts.join(tiles, ["tx", "ty"]).join(boxes, "poly_id")
+    px, py = F.col("_x"), F.col("_y")
     in_box = (px >= F.col("minx")) & (px <= F.col("maxx")) & (py >= F.col("miny")) & (py <= F.col("maxy"))
     # Only candidates inside the bounding box fetch their band of edges.
-    cand = cand.withColumn("_in_box", F.col("poly_id").isNotNull() & in_box)
-    cand = cand.join(bands, (cand["poly_id"] == bands["poly_id"]) & (cand["_ty"] == bands["ty"])
-                     & cand["_in_box"], "left").drop(bands["poly_id"])
-    inside = F.when(F.col("_in_box") & F.col("edges").isNotNull(), strictly_within(px, py, F.col("edges"))) \
-              .otherwise(F.lit(False))
-    hit = F.when(inside, F.struct(F.col("_code").alias("c"), F.col("_name").alias("n")))
-    keep = [c for c in points.columns]
-    grouped = cand.groupBy(*keep).agg(F.collect_list(hit).alias("_hits"))
-    return grouped.select(*keep, F.explode_outer("_hits").alias("_h")).select(
-        *keep, F.col("_h.c").alias(out_code), F.col("_h.n").alias(out_name))
+    hits = (cand.where(in_box).join(bands, ["poly_id", "ty"]).where(strictly_within(px, py, F.col("edges")))
+                .select("_x", "_y", "poly_id", "_code", "_name").distinct())
+    # Hits depend on the coordinates alone: points at one place each get all
+    # of them, and a point without a hit keeps its row.
+    keep = [points[c] for c in points.columns]
+    return points.join(hits, (points[x_col] == hits["_x"]) & (points[y_col] == hits["_y"]), "left").select(
+        *keep, hits["_code"].alias(out_code), hits["_name"].alias(out_name))
 
 
 def build_mapping(points: DataFrame, polys: DataFrame, code_col: str, name_col: str,

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from ..catalogue import EMD_CD, EMD_NM, HJD_CD, HJD_NM
+from ..catalogue import EMD_CD, EMD_NM, HJD_CD, HJD_NM, VARIABLES, ordered_slot_columns
 from ..operators import coverage, gates, ingest, regional, spatial, stations
 from ..sinks import writers as W
 from ..session import configure
@@ -41,10 +41,25 @@ def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path)
         return True
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 
+def _built(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was committed: a folder left by a job that
+    broke off has no success marker and counts as absent."""
+    return _exists(spark, path.rstrip("/") + "/_SUCCESS")
+
+
+def _cached_days(spark: SparkSession, manifest: str) -> DataFrame:
+    """(date, var, value_hours) of the cached days.  The manifest is a log: of
+    several runs that completed a day the last one wrote the cache."""
+    return (spark.read.parquet(manifest).where("complete").groupBy("date", "var")
+            .agg(F.max_by("value_hours", "logged_at").alias("value_hours")))
+
+
 def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root: str,
                variables, n_expected: int | None, force: bool = False,
                manifest: str | None = None) -> DataFrame:
@@ -65,7 +80,7 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
     listing = gates.season_filter(listing.withColumn("date", F.substring("tm", 1, 8)))
     newest = listing.groupBy("var", "tm", "date").agg(
         F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
-    if not force and _exists(spark, manifest):
+    if not force and _built(spark, manifest):
         done = spark.read.parquet(manifest).where("complete").select("var", "date")
         newest = gates.todo(newest, done, ["var", "date"])
     # The chosen paths are file-listing metadata (which Spark's file index
@@ -83,7 +98,7 @@ def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root
         W.write_observations(ingest.to_long(valid).join(F.broadcast(complete), ["date", "var"], "left_semi"),
                              obs_root)
         W.write_quarantine(ingest.quarantine(valid, status), quarantine_root)
-        status.write.mode("append").parquet(manifest)
+        status.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(manifest)
         return status
     finally:
         valid.unpersist()
@@ -99,7 +114,7 @@ def mapping_job(spark: SparkSession, grid_rows_path: str, hjd_polygons, bjd_poly
     row) or "axes" (1-D latitude and longitude axes, meshed).  Returns the
     coverage profile."""
     configure(spark)
-    if not force and _exists(spark, out_path):
+    if not force and _built(spark, out_path):
         return spatial.mapping_profile(R.read_mapping(spark, out_path))
     if hjd_polygons is None and bjd_polygons is None:
         raise ValueError("no region layer given")
@@ -131,7 +146,9 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
                  manifest: str | None = None) -> DataFrame:
     """Stage B for a date range in one plan.
 
-    Days are kept only when every (applicable, or with ``strict_gate`` every
+    The requested days are those from ``start`` to ``end``; where one of them
+    is not given, those of the months that occur in the cache.  Days are kept
+    only when every (applicable, or with ``strict_gate`` every
     requested) variable is cached -- a semi join against a small day table.
     Writes the interim table and monthly and yearly CSVs; returns the days
     that were skipped with the missing variables.
@@ -139,10 +156,10 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
     configure(spark)
     obs = R.read_observations(spark, obs_root, variables, start, end)
     manifest = manifest or obs_root.rstrip("/") + "_manifest"
-    has_manifest = _exists(spark, manifest)
+    has_manifest = _built(spark, manifest)
     if has_manifest:
         # Cached (date, var) pairs from the ingest manifest: no file footers.
-        status = spark.read.parquet(manifest).where(F.col("complete") & F.col("var").isin(*list(variables)))
+        status = _cached_days(spark, manifest).where(F.col("var").isin(*list(variables)))
         if start:
             status = status.where(F.col("date") >= start)
         if end:
@@ -150,7 +167,10 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
         present = status.select("date", "var").distinct()
     else:
         present = obs.select("date", "var").distinct()
-    days = gates.month_calendar(present.select("date"))
+    if start and end:
+        days = gates.calendar(spark, int(start[:4]), int(start[4:6]), int(end[:4]), int(end[4:6]))
+    else:
+        days = gates.month_calendar(present.select("date"))
     if start:
         days = days.where(F.col("date") >= start)
     if end:
@@ -159,13 +179,17 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
     complete = gates.complete_days(expected, present)
     mapping = R.read_mapping(spark, mapping_path)
     keep = {"hjd": [HJD_CD], "bjd": [EMD_CD], "both": [HJD_CD, EMD_CD]}[region_type]
+    if region_type != "both" and {HJD_CD, EMD_CD} <= set(mapping.columns):
+        # A unified mapping repeats a cell of one system once per region of the
+        # other; each region of the system asked for counts once.
+        name = {"hjd": HJD_NM, "bjd": EMD_NM}[region_type]
+        mapping = mapping.select("grid_idx", *keep, *[c for c in [name] if c in mapping.columns]).distinct()
     presence = None
     if method == "sum":
         # Hours with any reading on the grid: from the ingest manifest (no
         # scan), else a partial aggregate over the cache.
         if has_manifest:
-            presence = (spark.read.parquet(manifest).where("complete")
-                        .select("date", "var", F.explode("value_hours").alias("hour")).distinct())
+            presence = status.select("date", "var", F.explode("value_hours").alias("hour")).distinct()
         else:
             presence = regional.hour_presence(obs, variables)
     # The cache holds one reading per (cell, var, hour): no first-wins shuffle.
@@ -175,11 +199,14 @@ def regional_job(spark: SparkSession, obs_root: str, mapping_path: str, out_root
     # Month and year files are rebuilt only for the periods this run touched,
     # each from the whole interim table of that period (so earlier days of a
     # month stay in its file); other periods' files are left as they are.
-    interim = (spark.read.parquet(os.path.join(out_root, "interim"))
-               .where(F.col("region_type") == region_type).drop("region_type")
+    # Each region type has its own folder, hence its own code columns; days
+    # written for other variables are united with null-filled slots.
+    interim = (spark.read.option("mergeSchema", True)
+               .parquet(os.path.join(out_root, "interim", f"region_type={region_type}"))
                .withColumn("date", F.col("date").cast("string")))
-    # The partition column comes back last; the tables keep date first.
-    interim = interim.select("date", *[c for c in interim.columns if c != "date"])
+    slots = [c for c in interim.columns if c not in ("date", *keep)]
+    known = [c for c in ordered_slot_columns(VARIABLES) if c in slots]
+    interim = interim.select("date", *known, *[c for c in slots if c not in known], *keep)
     touched = complete.select(F.substring("date", 1, 6).alias("_ym")).distinct()   # months of the run
     months = interim.join(F.broadcast(touched), F.substring(interim["date"], 1, 6) == touched["_ym"],
                           "left_semi")

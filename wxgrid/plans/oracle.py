@@ -392,7 +392,7 @@ FROM yrs y LEFT JOIN st USING (year) LEFT JOIN dc USING (year) LEFT JOIN oc USIN
 
 SQL_CHURN = f"""WITH {DAILY}, {STN}, {KEYS},
 s AS (SELECT DISTINCT year, stn FROM k WHERE stn IS NOT NULL AND tm IS NOT NULL),
-y AS (SELECT year, lag(year) OVER (ORDER BY year) AS prev FROM (SELECT DISTINCT year FROM s)),
+y AS (SELECT year, lag(year) OVER (ORDER BY year) AS prev FROM (SELECT DISTINCT year FROM k WHERE year IS NOT NULL)),
 ch AS (
   SELECT y.year, s.stn, 'added' AS change FROM y JOIN s ON s.year = y.year
   WHERE NOT EXISTS (SELECT 1 FROM s p WHERE p.year = y.prev AND p.stn = s.stn)

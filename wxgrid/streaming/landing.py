@@ -82,7 +82,8 @@ def _process_batch(batch: DataFrame, batch_id: int, variables, n_expected, stagi
                        .groupBy("date", "var").agg(F.array_sort(F.collect_list("hour")).alias("value_hours")))
         done = (ready.select("date", "var").distinct().join(value_hours, ["date", "var"], "left")
                 .select("date", "var", F.lit(True).alias("complete"), F.lit("").alias("missing_hours"),
-                        F.coalesce("value_hours", F.array().cast("array<int>")).alias("value_hours")))
+                        F.coalesce("value_hours", F.array().cast("array<int>")).alias("value_hours"),
+                        F.current_timestamp().alias("logged_at")))
         done.write.mode("append").parquet(obs_root.rstrip("/") + "_manifest")
     finally:
         valid.unpersist()
