@@ -14,7 +14,10 @@ smallest hash of its ``GRAM``-byte grams.  So
    ``SHARD_BYTES``.  A shard's suffix array is built by induced sorting
    (``induced``); suffixes next to each other whose permuted common prefix
    reaches ``LENGTH`` hold the same string, and each such group's smallest
-   document is written back to its strings;
+   document is written back to its strings.  An anchor of more than
+   ``HOT_DOCUMENTS`` texts is not dealt as one: its strings are, each with its
+   smallest document so far.  A colder anchor whose segments still outgrow a
+   shard is cut into shards by the hash of its strings;
 4. every occurrence of a segment takes the strings whose smallest document is
    smaller than its own, and the covered bytes of a document are merged and
    cut out.
@@ -45,6 +48,10 @@ from .jaccard_join import with_shared_columns
 LENGTH = 50
 GRAM = 24
 SHARD_BYTES = 1_500_000
+#: Strings around one occurrence of an anchor, and so in a segment, at most.
+SEGMENT_STRINGS = LENGTH - GRAM + 1
+#: So many texts with segments of their own fill a shard.
+HOT_DOCUMENTS = SHARD_BYTES // (LENGTH + SEGMENT_STRINGS - 1)
 PIECE_BYTES = 1_500_000
 
 
@@ -99,7 +106,8 @@ def _distinct_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of neighbouring strings that share one shared anchor."""
+    """Runs of neighbouring strings that share one shared anchor; a longer run
+    (an anchor that repeats within it) is several segments."""
     for batch in batches:
         buf, off = A.byte_buffer(batch.column("text"))
         r, ids, sets = batch.column("r").to_numpy(), batch.column("id").to_numpy(), batch.column("h")
@@ -119,6 +127,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head = np.ones(len(x), bool)
             head[1:] = (x[1:] != x[:-1]) | (start[1:] != start[:-1] + 1) | (doc[1:] != doc[:-1])
             h = np.flatnonzero(head)
+            h = np.flatnonzero(head | ((np.arange(len(x)) - np.repeat(h, np.diff(np.r_[h, len(x)]))) % SEGMENT_STRINGS == 0))
             last = np.r_[h[1:], len(x)] - 1
             lo, size = start[h], start[last] + LENGTH - start[h]
             edge = np.r_[0, np.cumsum(size)]
@@ -168,31 +177,84 @@ def shard_minima(segments: pa.Array, top: np.ndarray, length: int = LENGTH) -> t
     return seg, where - begin[seg], least[where]
 
 
+def _found(t: pa.Table, seg: np.ndarray, at: np.ndarray, least: np.ndarray) -> pa.RecordBatch:
+    """FOUND rows of segments ``t``: runs of offsets with one smallest
+    document, where another document can lose them."""
+    use = least < t["most"].to_numpy()[seg]
+    seg, at, least = seg[use], at[use], least[use]
+    head = np.ones(len(seg), bool)
+    head[1:] = (seg[1:] != seg[:-1]) | (at[1:] != at[:-1] + 1) | (least[1:] != least[:-1])
+    h = np.flatnonzero(head)
+    last = np.r_[h[1:], len(seg)] - 1 if len(h) else h
+    edge = np.searchsorted(seg[h], np.arange(t.num_rows + 1)).astype(np.int32)
+    runs = pa.StructArray.from_arrays([pa.array(at[h].astype(np.int32)), pa.array((at[last] + LENGTH).astype(np.int32)), pa.array(least[h])],
+                                      names=["f", "t", "top"])
+    out = pa.RecordBatch.from_arrays([_one(t["anchor"]), _one(t["sh"]), pa.ListArray.from_arrays(pa.array(edge), runs).cast(_RUNS)],
+                                     names=["anchor", "sh", "runs"])
+    return out.filter(pa.array(np.diff(edge) > 0))
+
+
+def _one(col: pa.ChunkedArray) -> pa.Array:
+    col = col.combine_chunks()
+    return col if isinstance(col, pa.Array) else col.chunk(0)
+
+
+def _by_string(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    """FOUND rows of one anchor's segments that outgrow a shard: its strings
+    are shards by their hash, so equal ones meet; a segment has a row of each."""
+    top = t["top"].to_numpy()
+    buf, off = A.byte_buffer(t["seg"].combine_chunks())
+    good = np.maximum(np.diff(off) - LENGTH + 1, 0)
+    ends = np.cumsum(good)
+    shards = -(-int(ends[-1]) * LENGTH // SHARD_BYTES)
+    span = max(1, SHARD_BYTES // LENGTH)
+
+    def strings(a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """Segment and offset of the strings a..b."""
+        k = np.arange(a, b)
+        seg = np.searchsorted(ends, k, side="right")
+        return seg, k - (ends[seg] - good[seg])
+
+    def hashes(a: int, b: int) -> np.ndarray:
+        seg, at = strings(a, b)
+        h = np.zeros(b - a, np.uint64)
+        for k in range(LENGTH):
+            h = (h + buf[off[seg] + at + k] + np.uint64(1)) * np.uint64(A._R)
+        return (A.mix(h) % np.uint64(shards)).astype(np.int32)
+
+    shard = np.concatenate([hashes(a, min(a + span, int(ends[-1]))) for a in range(0, int(ends[-1]), span)])
+    for j in range(shards):
+        mine = np.flatnonzero(shard == j)
+        if not len(mine):
+            continue
+        seg = np.searchsorted(ends, mine, side="right")
+        at = mine - (ends[seg] - good[seg])
+        data = buf[(off[seg] + at)[:, None] + np.arange(LENGTH)]
+        # equal strings of one shard are one, with their smallest document
+        same, inverse = np.unique(data.view(f"V{LENGTH}").ravel(), return_inverse=True)
+        low = np.full(len(same), np.iinfo(np.int64).max)
+        np.minimum.at(low, inverse, top[seg])
+        yield _found(t, seg, at, low[inverse])
+
+
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut rows sorted by anchor into shards at borders between anchors."""
+    """Cut rows sorted by anchor into shards at borders between anchors, and
+    within an anchor that outgrows one."""
     held: list[pa.RecordBatch] = []
     held_bytes = 0
 
-    def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+    def flush(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(rows).combine_chunks()
-        if not t.num_rows:
-            return None
-        top = t["top"].to_numpy()
-        seg, at, least = shard_minima(t["seg"].combine_chunks() if isinstance(t["seg"], pa.ChunkedArray) else t["seg"], top)
-        # runs of offsets with one smallest document, where another document can lose them
-        many = t["top"].to_numpy() != t["most"].to_numpy()
-        use = (least < top[seg]) | many[seg]
-        seg, at, least = seg[use], at[use], least[use]
-        head = np.ones(len(seg), bool)
-        head[1:] = (seg[1:] != seg[:-1]) | (at[1:] != at[:-1] + 1) | (least[1:] != least[:-1])
-        h = np.flatnonzero(head)
-        last = np.r_[h[1:], len(seg)] - 1 if len(h) else h
-        edge = np.searchsorted(seg[h], np.arange(t.num_rows + 1)).astype(np.int32)
-        runs = pa.StructArray.from_arrays([pa.array(at[h].astype(np.int32)), pa.array((at[last] + LENGTH).astype(np.int32)), pa.array(least[h])],
-                                          names=["f", "t", "top"])
-        out = pa.RecordBatch.from_arrays([t["anchor"].combine_chunks(), t["sh"].combine_chunks(), pa.ListArray.from_arrays(pa.array(edge), runs).cast(_RUNS)],
-                                         names=["anchor", "sh", "runs"])
-        return out.filter(pa.array(np.diff(edge) > 0))
+        size, x = pc.binary_length(t["seg"]).to_numpy(), t["anchor"].to_numpy()
+        if int(size.sum()) > SHARD_BYTES and len(x):
+            head = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+            large = np.add.reduceat(size.astype(np.int64), head) > SHARD_BYTES
+            edge = np.r_[head, len(x)]
+            for k in np.flatnonzero(large):
+                yield from _by_string(t.slice(int(edge[k]), int(edge[k + 1] - edge[k])).combine_chunks())
+            t = t.filter(pa.array(~np.repeat(large, np.diff(edge)))).combine_chunks()
+        if t.num_rows:
+            yield _found(t, *shard_minima(_one(t["seg"]), t["top"].to_numpy()))
 
     for batch in batches:
         while batch.num_rows:
@@ -212,18 +274,26 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch = batch.slice(cut)
                     if not batch.num_rows:
                         break  # the anchor may go on in the next batch
-                done = flush(held)
+                yield from flush(held)
                 held, held_bytes = [], 0
-                if done is not None:
-                    yield done
                 continue
             held.append(batch)
             held_bytes += int(size[-1])
             break
     if held:
-        done = flush(held)
-        if done is not None:
-            yield done
+        yield from flush(held)
+
+
+def _hot_runs(segments: DataFrame) -> DataFrame:
+    """FOUND rows of the segments of hot anchors: the smallest document of
+    every string by the string itself, written back to its segments."""
+    seg = segments.groupBy("anchor", "sh").agg(F.min("top").alias("top"), F.max("most").alias("most"), F.min("seg").alias("seg"))
+    strings = seg.select("anchor", "sh", "top", "most", "seg", F.explode(F.sequence(F.lit(0), F.octet_length("seg") - LENGTH)).alias("f")) \
+        .select("anchor", "sh", "top", "most", "f", F.expr(f"substring(seg, f + 1, {LENGTH})").alias("s"))
+    least = strings.groupBy("s").agg(F.min("top").alias("least"))
+    lost = strings.join(least, "s").where(F.col("least") < F.col("most"))
+    run = F.struct("f", (F.col("f") + LENGTH).alias("t"), F.col("least").alias("top"))
+    return lost.groupBy("anchor", "sh").agg(F.collect_list(run).alias("runs"))
 
 
 def distinct_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -242,11 +312,18 @@ def covered(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> t
     some = written(with_shared_columns(rows, anchor_sets, 0).where("h is not null").select("r", "h"), "suffix-anchors")
     both = rows.join(some, "r").select("r", "id", "text", "h")
     occurrence = both.mapInArrow(_segments, SEGMENT).withColumn("sh", F.xxhash64("seg"))
+    hot = written(some.select(F.explode("h").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT_DOCUMENTS)
+                  .select("anchor"), "suffix-hot")
+    segments = both.mapInArrow(_distinct_segments, DISTINCT).withColumn("sh", F.xxhash64("seg"))
+    some_hot = not hot.isEmpty()
+    cold = segments.join(hot, "anchor", "left_anti") if some_hot else segments
     # dealt by anchor once: neither the grouping nor the sort shuffles again
-    dealt = both.mapInArrow(_distinct_segments, DISTINCT).withColumn("sh", F.xxhash64("seg")).repartition("anchor") \
+    dealt = cold.repartition("anchor") \
         .groupBy("anchor", "sh").agg(F.min("top").alias("top"), F.max("most").alias("most"), F.min("seg").alias("seg")) \
         .sortWithinPartitions("anchor")
     found = dealt.select("anchor", "sh", "top", "most", "seg").mapInArrow(_shards, FOUND)
+    if some_hot:
+        found = found.unionByName(_hot_runs(segments.join(hot, "anchor", "left_semi")))
     hit = occurrence.select("r", "id", "pos", "anchor", "sh").join(found, ["anchor", "sh"])
     lose = F.filter("runs", lambda x: x["top"] < F.col("id"))
     spans = hit.select("r", F.transform(lose, lambda x: F.struct((x["f"] + F.col("pos")).alias("f"), (x["t"] + F.col("pos")).alias("t"))).alias("s")) \
