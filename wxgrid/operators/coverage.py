@@ -192,5 +192,5 @@ def per_station_report(per_station_df: DataFrame, cap: int | None = None) -> Dat
         *[(F.coalesce(F.col(c).cast("string"), F.lit("")) if c in cols else F.lit("")).alias(c)
           for c in ("LAW_ID", "LAW_NM")],
         "days_present", "days_expected", "days_missing", "missing_sample")
-    return top_rows(filled, cap or CAP_PER_STATION, ["days_missing", "STN"])
+    return top_rows(filled, CAP_PER_STATION if cap is None else cap, ["days_missing", "STN"])
 
