@@ -74,6 +74,83 @@ SELECT d.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remo
 FROM d LEFT JOIN s USING (doc_id)
 """
 
+#: Base 32 from five hexadecimal digits at a time.
+OP11 = r"""
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+t AS (SELECT h, n, max(page_id) AS top FROM p GROUP BY h, n)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(8), lambda i: list_reduce(list_transform(range(4),
+           lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || h[5 * i + 1:5 * i + 5] AS BIGINT) >> (15 - 5 * j)) & 31)::INT + 1, 1)),
+           lambda a, b: a || b)), '') AS payload_digest,
+       CASE WHEN page_id < top OR page_id IS NULL AND top IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < top OR page_id IS NULL AND top IS NOT NULL THEN top END AS refers_to
+FROM p JOIN t USING (h, n)
+"""
+
+OP12 = r"""
+WITH e AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS s
+      FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+n AS (SELECT p.a, p.b AS pos, p.s AS ps, s.b AS neg, s.s AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS r
+      FROM p JOIN s ON p.a = s.a AND NOT s.same AND 50 * p.s <= 100 * s.s AND 100 * s.s <= 95 * p.s)
+SELECT a AS anchor_id, pos AS positive_id, CAST(r AS INT) AS rank, neg AS negative_id, ps AS positive_score, ns AS negative_score FROM n WHERE r <= 3
+"""
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode(CAST({0} AS VARCHAR))) || ':' || {0} END"
+_CRC = ("xor(list_reduce(list_transform(range(strlen(s)), lambda i: CAST(ascii(s[i + 1]) AS BIGINT)), lambda c, x: "
+        "list_reduce(range(8), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)), xor(c, x)), 4294967295), 4294967295)")
+
+
+def _fold(levels: int, name: str) -> str:
+    """Levels of a forest ``name``0 (t, n, i, h, ...) as CTEs: digests, and the
+    texts left and right of a node among its parent's children."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}{k}s AS (SELECT t, n, i, h,
+  coalesce(string_agg(h, '' ORDER BY i) OVER (PARTITION BY t, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(h, '' ORDER BY i) OVER (PARTITION BY t, i // 16 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k}),
+{name}{k + 1} AS (SELECT t, CAST(ceil(n / 16.0) AS BIGINT) AS n, i // 16 AS i, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+  FROM {name}{k} GROUP BY t, n, i // 16)""")
+    return ",\n".join(out)
+
+
+def _climb(levels: int, name: str, start: str, cols: str) -> str:
+    """CTEs that carry ``start`` (t, p, proof, f, cols) up to its root."""
+    out, at = [], start
+    for k in range(levels):
+        out.append(f"""{start}_{k} AS (SELECT c.t, c.p // 16 AS p, c.proof || l || r AS proof,
+  CASE WHEN s.n = 1 THEN c.f ELSE sha256(l || c.f || r) END AS f, {cols} FROM {at} c JOIN {name}{k}s s ON s.t = c.t AND s.i = c.p)""")
+        at = f"{start}_{k}"
+    return ",\n".join(out)
+
+
+def _op13(levels: int = 5, tops: int = 3) -> str:
+    fields = [_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    low = f"CASE WHEN {_CRC} % 5 = 0 THEN translate(text, '{upper}', '{upper.lower()}') ELSE text END"
+    return f"""
+WITH d AS (SELECT *, CAST(doc_id AS VARCHAR) AS s FROM documents),
+x AS (SELECT * EXCLUDE (text), text, {low} AS now FROM d),
+leaf AS (SELECT doc_id, coalesce('=' || source, '-') AS t, sha256({' || '.join(fields)}) AS h,
+         sha256({' || '.join(fields[:-1])} || {_FIELD.format('now')}) AS f FROM x),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY t) AS n FROM leaf),
+a0 AS (SELECT t, n, i, h FROM ranked),
+{_fold(levels, 'a')},
+b0 AS (SELECT '' AS t, count(*) OVER () AS n, row_number() OVER (ORDER BY encode(t)) - 1 AS i, h, t AS of FROM a{levels}),
+{_fold(tops, 'b')},
+q AS (SELECT t, i AS p, '' AS proof, f, doc_id, h AS leaf FROM ranked),
+{_climb(levels, 'a', 'q', 'doc_id, leaf')},
+z AS (SELECT '' AS t, b0.i AS p, proof, f, doc_id, leaf, b0.h AS subroot FROM q_{levels - 1} c JOIN b0 ON b0.of = c.t),
+{_climb(tops, 'b', 'z', 'doc_id, leaf, subroot')}
+SELECT doc_id, leaf, subroot, b{tops}.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = b{tops}.h AS verified
+FROM z_{tops - 1} CROSS JOIN b{tops}
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3, "op5_line_dedup": OP5, "op7_backoff_lm": OP7, "op8_jaccard_join": OP8, "op10_suffix_dedup": OP10}
+    return {"op3_decontaminate": OP3, "op5_line_dedup": OP5, "op7_backoff_lm": OP7, "op8_jaccard_join": OP8, "op10_suffix_dedup": OP10,
+            "op11_warc": OP11, "op12_hard_negatives": OP12, "op13_merkle": _op13()}

@@ -1,4 +1,4 @@
-"""Queries of the ten operators and the pipeline, and their SQL."""
+"""Queries of the numbered operators."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import backoff_lm, bpe, collision_ann, decontaminate, jaccard_join, language_id, license_scan, line_dedup, suffix_dedup, toxicity
+from . import (backoff_lm, bpe, collision_ann, decontaminate, jaccard_join, language_id, license_scan, line_dedup, merkle, multi_index,
+               suffix_dedup, toxicity, warc)
 from .common import table
 
 
@@ -60,6 +61,18 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.report(table(spark, sf, "pages"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return multi_index.report(table(spark, sf, "embeddings"))
+
+
+def op13_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.report(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_decontaminate, op4_collision_ann, op5_line_dedup, op6_license_scan,
-                               op7_backoff_lm, op8_jaccard_join, op9_language_id, op10_suffix_dedup)}
+                               op7_backoff_lm, op8_jaccard_join, op9_language_id, op10_suffix_dedup, op11_warc, op12_hard_negatives, op13_merkle)}
