@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, written
+from .common import bounded_batches, partitions, written
 
 CENTRES = 32
 SAMPLE_ROWS = 8192
@@ -298,7 +298,10 @@ def _plan(directory: Directory, rows: int, k: int):
                     enough &= full
                     worst.append(min(found) if full else f)
                 least = min(worst, default=float("inf"))
-                cells, to, done = directory.visits(np.frombuffer(v, np.int64), at, rows, least, enough, max(hi, default=float("-inf")))
+                most = max(hi, default=float("-inf"))
+                # scores held at the limit may stand for any beyond it
+                least, most = (-np.inf if least <= -SCORE_LIMIT else least), (np.inf if most >= SCORE_LIMIT else most)
+                cells, to, done = directory.visits(np.frombuffer(v, np.int64), at, rows, least, enough, most)
                 visit.append(cells)
                 position.append(to)
                 certified.append(done)
@@ -325,7 +328,8 @@ def _search(state: DataFrame, packed: DataFrame, directory: Directory, dim: int,
     done, rows = None, FIRST_ROWS
     open_ = state.select(*keep)
     while True:
-        plan = written(open_.mapInArrow(_plan(directory, rows, k), PLAN), "multi-index-plan")
+        # the few anchors of one file are dealt to all tasks: walking cells is the work
+        plan = written(open_.repartition(partitions(spark)).mapInArrow(_plan(directory, rows, k), PLAN), "multi-index-plan")
         visits = plan.select("k", "id", "label", "v", "lo", "hi", F.explode("visit").alias("cell")).join(where, "cell") \
             .select("*", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("spread") - 1)).alias("shard")) \
             .groupBy("k", "shard").agg(F.collect_list("cell").alias("visit"), *(F.first(c).alias(c) for c in ("id", "label", "v", "lo", "hi")))
