@@ -3,11 +3,12 @@ suffix sort outgrows its bound, and the strings' smallest documents stay right."
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from tests.llm import test_operators
-from wxgrid.llm import suffix_dedup
+from wxgrid.llm import induced, suffix_dedup
 
 
 def segments(n=400):
@@ -50,7 +51,36 @@ def docs(spark):
 
 def test_hot_anchors_by_string(docs, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT_DOCUMENTS", 2)
-    used, hot_runs = [], suffix_dedup._hot_runs
-    monkeypatch.setattr(suffix_dedup, "_hot_runs", lambda s: used.append(1) or hot_runs(s))
+    hot, written = [], suffix_dedup.written
+
+    def seen(df, name):
+        out = written(df, name)
+        if name == "suffix-hot":
+            hot.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "written", seen)
     test_operators.test_suffix_dedup(docs)
-    assert used
+    assert hot[0] > 0
+
+
+def test_permuted_common_prefixes():
+    rng = random.Random(4)
+    for _ in range(200):
+        text = [rng.randint(1, rng.choice([1, 2, 5])) for _ in range(rng.randint(1, 80))] * rng.choice([1, 2]) + [0]
+        s = np.array(text, np.int32)
+        order = induced.suffix_array(s, 6)
+        order = order[np.array([rng.random() < 0.7 for _ in text])]
+        got = induced.permuted_common_prefixes(s, order)
+        for k, p in enumerate(order):
+            q = order[k - 1]
+            same = next((i for i in range(len(text)) if p + i >= len(text) or q + i >= len(text) or text[p + i] != text[q + i]), len(text))
+            assert got[p] == (same if k else -1)
+
+
+def test_doubling():
+    rng = random.Random(5)
+    for _ in range(100):
+        x = [rng.randint(0, rng.choice([1, 3, 50])) for _ in range(rng.randint(1, 90))] * rng.choice([1, 3])
+        names = np.unique(x, return_inverse=True)[1]
+        assert induced._by_doubling(names).tolist() == sorted(range(len(x)), key=lambda i: x[i:])

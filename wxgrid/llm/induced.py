@@ -36,7 +36,7 @@ def suffix_array(s: np.ndarray, alphabet: int) -> np.ndarray:
     size = np.bincount(s, minlength=alphabet)
     end = np.cumsum(size)
     sorted_lms = _lms_of(_induce(s, is_s, lms, size, end), lms_flag)
-    names, distinct = _names(s, is_s, lms, sorted_lms)
+    names, distinct = _names(s, lms, sorted_lms)
     if distinct == len(lms):
         order = np.empty(len(lms), np.int32)
         order[names] = np.arange(len(lms), dtype=np.int32)
@@ -112,7 +112,7 @@ def _induce(s, is_s, lms, size, end):
     return sa
 
 
-def _names(s, is_s, lms, sorted_lms):
+def _names(s, lms, sorted_lms):
     """Names of the LMS substrings in text order: equal ones share a name."""
     m = len(lms)
     length = np.ones(len(s), np.int64)
@@ -122,8 +122,8 @@ def _names(s, is_s, lms, sorted_lms):
     at = np.flatnonzero(same)
     k = 0
     while len(at):  # compare symbol by symbol; pairs that differ leave
-        x, y = a[at] + k, b[at] + k
-        equal = (s[x] == s[y]) & (is_s[x] == is_s[y])
+        # equal symbols up to the closing S have equal types
+        equal = s[a[at] + k] == s[b[at] + k]
         same[at[~equal]] = False
         k += 1
         at = at[equal & (k < length[a[at]])]
@@ -134,38 +134,60 @@ def _names(s, is_s, lms, sorted_lms):
 
 
 def _by_doubling(names: np.ndarray) -> np.ndarray:
+    """Suffix array of a string of names; a rank is its group's first place,
+    and only suffixes that still tie are sorted again."""
     n, depth = len(names), 1
-    rank = names.astype(np.int64)
-    while True:
-        far = np.zeros(n, np.int64)
-        far[:-depth] = rank[depth:] + 1
-        key = rank * (n + 1) + far
+    size = np.bincount(names)
+    rank = (np.cumsum(size) - size)[names].astype(np.int64)
+    tied = np.flatnonzero(size[names] > 1)
+    while len(tied):
+        ahead = tied + depth
+        key = rank[tied] * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
         order = np.argsort(key)
-        by = key[order]
-        new = np.r_[True, by[1:] != by[:-1]]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new) - 1
+        key, tied = key[order], tied[order]
+        old = rank[tied]
+        at = np.arange(len(tied))
+        new_head = np.r_[True, key[1:] != key[:-1]]
+        old_head = np.r_[True, old[1:] != old[:-1]]
+        rank[tied] = old + np.maximum.accumulate(np.where(new_head, at, 0)) - np.maximum.accumulate(np.where(old_head, at, 0))
+        alone = new_head & np.r_[new_head[1:], True]
+        tied = tied[~alone]
         depth *= 2
-        if new.all():
-            return order.astype(np.int32)
-
-
-def common_prefix_at_least(s: bytes, left: np.ndarray, right: np.ndarray, want: int) -> np.ndarray:
-    """Whether the suffixes at ``left`` and ``right`` share ``want`` bytes;
-    eight bytes a step, pairs that differ leave."""
-    padded = np.frombuffer(s + b"\0" * 8, np.uint8)
-    words = np.ndarray(len(padded) - 7, "<u8", padded, 0, (1,))
-    out = np.ones(len(left), bool)
-    at = np.arange(len(left))
-    steps = [*range(0, want - 7, 8)]
-    if not steps or steps[-1] != want - 8:
-        steps.append(max(want - 8, 0))
-    for k in steps:
-        if want < 8:
-            mask = np.uint64((1 << (8 * want)) - 1)
-            equal = (words[left[at] + k] & mask) == (words[right[at] + k] & mask)
-        else:
-            equal = words[left[at] + k] == words[right[at] + k]
-        out[at[~equal]] = False
-        at = at[equal]
+    out = np.empty(n, np.int32)
+    out[rank] = np.arange(n, dtype=np.int32)
+    return out
+
+
+def permuted_common_prefixes(s: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For the positions in ``order`` (a suffix array, or the part of one at
+    some positions), in text order: the symbols that the suffix shares with the
+    one before it in ``order``; -1 for the first and for other positions.
+
+    A position whose predecessor follows that of its own left neighbour shares
+    one symbol less than this neighbour, if that shared any: only the other
+    (irreducible) positions are compared, four symbols a step."""
+    n = len(s)
+    phi = np.full(n, -1, np.int64)
+    phi[order[1:]] = order[:-1]
+    known = phi >= 0
+    reducible = np.zeros(n, bool)
+    reducible[1:] = known[1:] & known[:-1] & (phi[1:] == phi[:-1] + 1) & (s[:-1] == s[phi[:-1]])
+    todo = np.flatnonzero(known & ~reducible)
+    shared = np.zeros(n, np.int64)
+    # symbols past the end differ from all others and from each other's
+    symbols = np.r_[s, 65535 - np.arange(4)].astype("<u2")
+    words = np.ndarray(n, "<u8", symbols, 0, (2,))
+    at, k = todo, 0
+    while len(at):
+        x, y = at + k, phi[at] + k
+        equal = words[x] == words[y]
+        done = at[~equal]
+        i, j, more = done + k, phi[done] + k, np.ones(len(done), bool)
+        shared[done] = k
+        for m in range(3):
+            more &= symbols[i + m] == symbols[j + m]
+            shared[done] += more
+        at, k = at[equal], k + 4
+    head = np.maximum.accumulate(np.where(known & ~reducible, np.arange(n), 0))
+    out = np.where(known, np.maximum(shared[head] - (np.arange(n) - head), 0), -1)
     return out

@@ -14,10 +14,10 @@ smallest hash of its ``GRAM``-byte grams.  So
    ``SHARD_BYTES``.  A shard's suffix array is built by induced sorting
    (``induced``); suffixes next to each other whose permuted common prefix
    reaches ``LENGTH`` hold the same string, and each such group's smallest
-   document is written back to its strings.  An anchor of more than
-   ``HOT_DOCUMENTS`` texts is not dealt as one: its strings are, each with its
-   smallest document so far.  A colder anchor whose segments still outgrow a
-   shard is cut into shards by the hash of its strings;
+   document is written back to its strings.  The strings of an anchor of more
+   than ``HOT_DOCUMENTS`` texts are segments each, dealt by their own hash.  A
+   colder anchor whose segments still outgrow a shard is cut into shards by the
+   hash of its strings;
 4. every occurrence of a segment takes the strings whose smallest document is
    smaller than its own, and the covered bytes of a document are merged and
    cut out.
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from . import arrowtext as A
 from .common import bounded_batches, written
-from .induced import common_prefix_at_least, suffix_array
+from .induced import permuted_common_prefixes, suffix_array
 from .jaccard_join import with_shared_columns
 
 LENGTH = 50
@@ -55,13 +55,14 @@ HOT_DOCUMENTS = SHARD_BYTES // (LENGTH + SEGMENT_STRINGS - 1)
 PIECE_BYTES = 1_500_000
 
 
-def anchors(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, document, anchor) of every string of ``length`` bytes that lies
-    in one document."""
+def anchor_runs(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first string, number of strings, document, anchor) of the runs of
+    neighbouring strings of ``length`` bytes with one anchor; strings lie in
+    one document."""
     n, gram = len(buf), min(GRAM, length)
     if n < length:
         none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, np.uint64)
+        return none, none, none, np.zeros(0, np.uint64)
     pw, inv = A.powers(n)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * pw, out=total[1:])
@@ -72,19 +73,24 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple
         span *= 2
     if width > span:
         x = np.minimum(x[:span - width], x[width - span:])
-    sizes = np.diff(offsets)
-    good = np.maximum(sizes - length + 1, 0)
-    doc = np.repeat(np.arange(len(sizes)), good)
-    start = np.repeat(offsets[:-1] - (np.cumsum(good) - good), good) + np.arange(int(good.sum()))
-    return start, doc, x[start]
+    good = np.maximum(np.diff(offsets) - length + 1, 0)
+    # a run ends where the anchor changes, and with its document's strings
+    head = np.ones(len(x) + 1, bool)
+    np.not_equal(x[1:], x[:-1], out=head[1:-1])
+    some = good > 0
+    head[offsets[:-1][some]] = True
+    head[(offsets[:-1] + good)[some]] = True
+    first = np.flatnonzero(head)
+    first, count = first[:-1], np.diff(first)
+    doc = np.searchsorted(offsets, first, side="right") - 1
+    inside = first < offsets[doc] + good[doc]
+    first, count, doc = first[inside], count[inside], doc[inside]
+    return first, count, doc, x[first]
 
 
 def anchor_sets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct (document, anchor) pairs."""
-    _, doc, x = anchors(buf, offsets)
-    change = np.ones(len(x), bool)
-    change[1:] = (x[1:] != x[:-1]) | (doc[1:] != doc[:-1])
-    doc, x = doc[change], x[change]
+    _, _, doc, x = anchor_runs(buf, offsets)
     order = np.lexsort((x, doc))
     doc, x = doc[order], x[order]
     new = np.ones(len(x), bool)
@@ -107,41 +113,52 @@ def _distinct_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of neighbouring strings that share one shared anchor; a longer run
-    (an anchor that repeats within it) is several segments."""
+    (an anchor that repeats within it) is several segments, and the strings of
+    a hot anchor are a segment each, with their hash for an anchor."""
     for batch in batches:
         buf, off = A.byte_buffer(batch.column("text"))
-        r, ids, sets = batch.column("r").to_numpy(), batch.column("id").to_numpy(), batch.column("h")
+        r, ids, sets, hot = batch.column("r").to_numpy(), batch.column("id").to_numpy(), batch.column("h"), batch.column("hot")
         for a, b in A.pieces(off, PIECE_BYTES):
             base = off[a]
-            start, doc, x = anchors(buf[base:off[b]], off[a:b + 1] - base)
-            part = sets.slice(a, b - a)
-            known = np.unique(part.flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+            data, edges = buf[base:off[b]], off[a:b + 1] - base
+            start, count, doc, x = anchor_runs(data, edges)
+            known = np.unique(sets.slice(a, b - a).flatten().to_numpy(zero_copy_only=False).view(np.uint64))
             if len(x) == 0 or len(known) == 0:
                 continue
             # an anchor shared by any document of the piece is looked up for all of them
-            i = np.minimum(np.searchsorted(known, x), len(known) - 1)
-            hit = known[i] == x
-            start, doc, x = start[hit], doc[hit], x[hit]
+            hit = known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+            start, count, doc, x = start[hit], count[hit], doc[hit], x[hit]
             if len(x) == 0:
                 continue
-            head = np.ones(len(x), bool)
-            head[1:] = (x[1:] != x[:-1]) | (start[1:] != start[:-1] + 1) | (doc[1:] != doc[:-1])
-            h = np.flatnonzero(head)
-            h = np.flatnonzero(head | ((np.arange(len(x)) - np.repeat(h, np.diff(np.r_[h, len(x)]))) % SEGMENT_STRINGS == 0))
-            last = np.r_[h[1:], len(x)] - 1
-            lo, size = start[h], start[last] + LENGTH - start[h]
+            warm = np.unique(hot.slice(a, b - a).flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+            alone = np.isin(x, warm) if len(warm) else np.zeros(len(x), bool)
+            # runs cut into segments of so many strings
+            most = np.where(alone, 1, SEGMENT_STRINGS)
+            parts = -(-count // most)
+            k = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+            lo = np.repeat(start, parts) + k * np.repeat(most, parts)
+            size = np.minimum(np.repeat(start + count, parts) - lo, np.repeat(most, parts)) + LENGTH - 1
+            d, x, alone = np.repeat(doc, parts), np.repeat(x, parts), np.repeat(alone, parts)
+            if alone.any():
+                x[alone] = _string_hash(data, lo[alone])
             edge = np.r_[0, np.cumsum(size)]
             step = max(1, int(np.searchsorted(edge, 4 * PIECE_BYTES)))
-            for p in range(0, len(h), step):
-                q = min(p + step, len(h))
+            for p in range(0, len(lo), step):
+                q = min(p + step, len(lo))
                 n = size[p:q]
                 at = np.repeat(lo[p:q] - (edge[p:q] - edge[p]), n) + np.arange(int(n.sum()))
-                data = buf[base:off[b]][at]
-                d = doc[h[p:q]]
-                seg = pa.Array.from_buffers(pa.binary(), q - p, [None, pa.py_buffer((edge[p:q + 1] - edge[p]).astype(np.int32)), pa.py_buffer(data)])
-                pos = lo[p:q] - (off[a:b + 1] - base)[d]
-                yield pa.RecordBatch.from_arrays([pa.array(r[a:b][d]), pa.array(ids[a:b][d]), pa.array(pos.astype(np.int32)),
-                                                  pa.array(x[h[p:q]].view(np.int64)), seg], names=["r", "id", "pos", "anchor", "seg"])
+                seg = pa.Array.from_buffers(pa.binary(), q - p, [None, pa.py_buffer((edge[p:q + 1] - edge[p]).astype(np.int32)), pa.py_buffer(data[at])])
+                pos = lo[p:q] - edges[d[p:q]]
+                yield pa.RecordBatch.from_arrays([pa.array(r[a:b][d[p:q]]), pa.array(ids[a:b][d[p:q]]), pa.array(pos.astype(np.int32)),
+                                                  pa.array(x[p:q].view(np.int64)), seg], names=["r", "id", "pos", "anchor", "seg"])
+
+
+def _string_hash(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of the string of ``LENGTH`` bytes at each position."""
+    h = np.zeros(len(at), np.uint64)
+    for k in range(LENGTH):
+        h = (h + data[at + k] + np.uint64(1)) * np.uint64(A._R)
+    return A.mix(h)
 
 
 FOUND = "anchor long, sh long, runs array<struct<f:int,t:int,top:long>>"
@@ -164,12 +181,9 @@ def shard_minima(segments: pa.Array, top: np.ndarray, length: int = LENGTH) -> t
     seg = np.repeat(np.arange(n), good)
     where = np.repeat(begin - (np.cumsum(good) - good), good) + np.arange(int(good.sum()))
     owner[where] = seg
-    sa = suffix_array(text, 258)
-    sa = sa[owner[sa] >= 0]
-    plain = np.zeros(len(text), np.uint8)
-    plain[np.arange(len(buf)) + shift] = buf
-    same = common_prefix_at_least(plain.tobytes(), sa[:-1], sa[1:], length)
-    head = np.r_[True, ~same] if len(sa) else np.zeros(0, bool)
+    whole = suffix_array(text, 258)
+    sa = whole[owner[whole] >= 0]
+    head = permuted_common_prefixes(text, sa)[sa] < length
     group = np.cumsum(head) - 1
     least = np.empty(len(text), np.int64)
     if len(sa):
@@ -217,10 +231,7 @@ def _by_string(t: pa.Table) -> Iterator[pa.RecordBatch]:
 
     def hashes(a: int, b: int) -> np.ndarray:
         seg, at = strings(a, b)
-        h = np.zeros(b - a, np.uint64)
-        for k in range(LENGTH):
-            h = (h + buf[off[seg] + at + k] + np.uint64(1)) * np.uint64(A._R)
-        return (A.mix(h) % np.uint64(shards)).astype(np.int32)
+        return (_string_hash(buf, off[seg] + at) % np.uint64(shards)).astype(np.int32)
 
     shard = np.concatenate([hashes(a, min(a + span, int(ends[-1]))) for a in range(0, int(ends[-1]), span)])
     for j in range(shards):
@@ -284,18 +295,6 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush(held)
 
 
-def _hot_runs(segments: DataFrame) -> DataFrame:
-    """FOUND rows of the segments of hot anchors: the smallest document of
-    every string by the string itself, written back to its segments."""
-    seg = segments.groupBy("anchor", "sh").agg(F.min("top").alias("top"), F.max("most").alias("most"), F.min("seg").alias("seg"))
-    strings = seg.select("anchor", "sh", "top", "most", "seg", F.explode(F.sequence(F.lit(0), F.octet_length("seg") - LENGTH)).alias("f")) \
-        .select("anchor", "sh", "top", "most", "f", F.expr(f"substring(seg, f + 1, {LENGTH})").alias("s"))
-    least = strings.groupBy("s").agg(F.min("top").alias("least"))
-    lost = strings.join(least, "s").where(F.col("least") < F.col("most"))
-    run = F.struct("f", (F.col("f") + LENGTH).alias("t"), F.col("least").alias("top"))
-    return lost.groupBy("anchor", "sh").agg(F.collect_list(run).alias("runs"))
-
-
 def distinct_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(r, id, text): every text that is long enough once, with its 64-bit
     hash r, by which texts are told apart, and its smallest document."""
@@ -311,19 +310,21 @@ def covered(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> t
     rows = distinct_texts(docs, doc_id, text)
     some = written(with_shared_columns(rows, anchor_sets, 0).where("h is not null").select("r", "h"), "suffix-anchors")
     both = rows.join(some, "r").select("r", "id", "text", "h")
+    pairs = some.select("r", F.explode("h").alias("anchor"))
+    hot = written(pairs.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT_DOCUMENTS).select("anchor"), "suffix-hot")
+    none = F.array().cast("array<long>")
+    if hot.isEmpty():
+        both = both.withColumn("hot", none)
+    else:
+        mine = pairs.join(hot, "anchor").groupBy("r").agg(F.collect_list("anchor").alias("hot"))
+        both = both.join(mine, "r", "left").withColumn("hot", F.coalesce("hot", none))
     occurrence = both.mapInArrow(_segments, SEGMENT).withColumn("sh", F.xxhash64("seg"))
-    hot = written(some.select(F.explode("h").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT_DOCUMENTS)
-                  .select("anchor"), "suffix-hot")
     segments = both.mapInArrow(_distinct_segments, DISTINCT).withColumn("sh", F.xxhash64("seg"))
-    some_hot = not hot.isEmpty()
-    cold = segments.join(hot, "anchor", "left_anti") if some_hot else segments
     # dealt by anchor once: neither the grouping nor the sort shuffles again
-    dealt = cold.repartition("anchor") \
+    dealt = segments.repartition("anchor") \
         .groupBy("anchor", "sh").agg(F.min("top").alias("top"), F.max("most").alias("most"), F.min("seg").alias("seg")) \
         .sortWithinPartitions("anchor")
     found = dealt.select("anchor", "sh", "top", "most", "seg").mapInArrow(_shards, FOUND)
-    if some_hot:
-        found = found.unionByName(_hot_runs(segments.join(hot, "anchor", "left_semi")))
     hit = occurrence.select("r", "id", "pos", "anchor", "sh").join(found, ["anchor", "sh"])
     lose = F.filter("runs", lambda x: x["top"] < F.col("id"))
     spans = hit.select("r", F.transform(lose, lambda x: F.struct((x["f"] + F.col("pos")).alias("f"), (x["t"] + F.col("pos")).alias("t"))).alias("s")) \
