@@ -324,7 +324,8 @@ def covered(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> t
     dealt = segments.repartition("anchor") \
         .groupBy("anchor", "sh").agg(F.min("top").alias("top"), F.max("most").alias("most"), F.min("seg").alias("seg")) \
         .sortWithinPartitions("anchor")
-    found = dealt.select("anchor", "sh", "top", "most", "seg").mapInArrow(_shards, FOUND)
+    # written: the shuffled segments go before the occurrences come
+    found = written(dealt.select("anchor", "sh", "top", "most", "seg").mapInArrow(_shards, FOUND), "suffix-found")
     hit = occurrence.select("r", "id", "pos", "anchor", "sh").join(found, ["anchor", "sh"])
     lose = F.filter("runs", lambda x: x["top"] < F.col("id"))
     spans = hit.select("r", F.transform(lose, lambda x: F.struct((x["f"] + F.col("pos")).alias("f"), (x["t"] + F.col("pos")).alias("t"))).alias("s")) \
