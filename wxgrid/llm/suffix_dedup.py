@@ -319,13 +319,12 @@ def covered(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> t
         mine = pairs.join(hot, "anchor").groupBy("r").agg(F.collect_list("anchor").alias("hot"))
         both = both.join(mine, "r", "left").withColumn("hot", F.coalesce("hot", none))
     occurrence = both.mapInArrow(_segments, SEGMENT).withColumn("sh", F.xxhash64("seg"))
-    segments = both.mapInArrow(_distinct_segments, DISTINCT).withColumn("sh", F.xxhash64("seg"))
-    # dealt by anchor once: neither the grouping nor the sort shuffles again
-    dealt = segments.repartition("anchor") \
+    # dealt by anchor once: neither the grouping nor the sort shuffles again;
+    # the hash that tells segments apart is made where they arrive
+    dealt = both.mapInArrow(_distinct_segments, DISTINCT).repartition("anchor").withColumn("sh", F.xxhash64("seg")) \
         .groupBy("anchor", "sh").agg(F.min("top").alias("top"), F.max("most").alias("most"), F.min("seg").alias("seg")) \
         .sortWithinPartitions("anchor")
-    # written: the shuffled segments go before the occurrences come
-    found = written(dealt.select("anchor", "sh", "top", "most", "seg").mapInArrow(_shards, FOUND), "suffix-found")
+    found = dealt.select("anchor", "sh", "top", "most", "seg").mapInArrow(_shards, FOUND)
     hit = occurrence.select("r", "id", "pos", "anchor", "sh").join(found, ["anchor", "sh"])
     lose = F.filter("runs", lambda x: x["top"] < F.col("id"))
     spans = hit.select("r", F.transform(lose, lambda x: F.struct((x["f"] + F.col("pos")).alias("f"), (x["t"] + F.col("pos")).alias("t"))).alias("s")) \
