@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..catalogue import VARIABLES, specs
 from ..functions import text as T
 from ..functions.values import clean_sentinel
+from .gates import expected_hours
 
 QUARANTINE_COLUMNS = ["tm", "var", "date", "hour", "level", "reason", "preview",
                       "head", "tail", "total_chars", "total_lines", "logged_at"]
@@ -79,6 +80,16 @@ def to_long(valid: DataFrame, extra=()) -> DataFrame:
         (F.col("hour").cast("long") * F.lit(1 << 32) + F.col("grid_idx")).alias("ord"))
 
 
+def _status(hours: DataFrame, variables) -> DataFrame:
+    """(date, var, complete, missing_hours, value_hours) from the accepted
+    (``ok_hours``) and the reporting hours of every (date, var)."""
+    miss = F.array_sort(F.array_except(expected_hours(F.col("var"), variables), F.col("ok_hours")))
+    return hours.select("date", "var",
+                        (F.size(miss) == 0).alias("complete"),
+                        F.array_join(F.transform(miss, lambda h: h.cast("string")), ",").alias("missing_hours"),
+                        F.array_sort(F.col("value_hours")).alias("value_hours"))
+
+
 def day_status(valid: DataFrame, variables) -> DataFrame:
     """(date, var, complete, missing_hours, value_hours): hour-completeness
     per day.
@@ -87,22 +98,32 @@ def day_status(valid: DataFrame, variables) -> DataFrame:
     (sorted, comma-joined); a day is complete when the list is empty.
     ``value_hours`` are the accepted hours with at least one real reading.
     """
-    expected = None
-    for s in specs(variables):
-        arr = F.sequence(F.lit(0), F.lit(24 - s.step), F.lit(s.step))
-        expected = F.when(F.col("var") == s.name, arr) if expected is None else expected.when(F.col("var") == s.name, arr)
     # An hour "has values" when any cell holds a reading that survives the
     # sentinel rule; regional sums leave slots without any NULL.
     has_value = F.exists(F.col("vals"), lambda x: clean_sentinel(x).isNotNull())
-    good = (valid.groupBy("date", "var")
-                 .agg(F.collect_set(F.when(F.col("vals").isNotNull(), F.col("hour"))).alias("ok_hours"),
-                      F.collect_set(F.when(F.col("vals").isNotNull() & has_value, F.col("hour")))
-                      .alias("value_hours")))
-    miss = F.array_sort(F.array_except(expected, F.col("ok_hours")))
-    return good.select("date", "var",
-                       (F.size(miss) == 0).alias("complete"),
-                       F.array_join(F.transform(miss, lambda h: h.cast("string")), ",").alias("missing_hours"),
-                       F.array_sort(F.col("value_hours")).alias("value_hours"))
+    ok = F.col("vals").isNotNull()
+    return _status(valid.groupBy("date", "var").agg(
+        F.collect_set(F.when(ok, F.col("hour"))).alias("ok_hours"),
+        F.collect_set(F.when(ok & has_value, F.col("hour"))).alias("value_hours")), variables)
+
+
+def staged(valid: DataFrame) -> DataFrame:
+    """All of ``valid`` as long rows: one per reading of an accepted response,
+    one (without a cell) per rejected response with its reason and snippets."""
+    rest = [c for c in ("tm", "reason", "preview", "head", "tail", "total_chars", "total_lines") if c in valid.columns]
+    ex = valid.select("var", "date", "hour", *rest, F.posexplode_outer("vals").alias("grid_idx", "raw"))
+    return ex.select("var", "date", "hour", *rest, F.col("grid_idx").cast("long").alias("grid_idx"),
+                     clean_sentinel(F.col("raw")).alias("value"),
+                     (F.col("hour").cast("long") * F.lit(1 << 32) + F.col("grid_idx")).alias("ord"))
+
+
+def staged_status(rows: DataFrame, variables) -> DataFrame:
+    """``day_status`` of staged rows: partial aggregates over three narrow
+    columns, nothing is parsed again."""
+    ok = F.col("reason").isNull()
+    return _status(rows.groupBy("date", "var").agg(
+        F.collect_set(F.when(ok, F.col("hour"))).alias("ok_hours"),
+        F.collect_set(F.when(ok & F.col("value").isNotNull(), F.col("hour"))).alias("value_hours")), variables)
 
 
 def rejected(valid: DataFrame) -> DataFrame:
@@ -132,7 +153,8 @@ def ingest(resp: DataFrame, variables, n_expected=None) -> tuple[DataFrame, Data
     The completeness gate is a ``left_semi`` join on (date, var) against a
     per-day status table of at most (days x variables) rows -- bounded by
     the calendar, so it is broadcast.  ``valid`` feeds three outputs; a job
-    persists it (``plans.jobs.ingest_job``) so each response is parsed once.
+    writes ``staged`` rows first (``plans.jobs.ingest_job``), so each response
+    is parsed once.
     """
     valid = validate(resp.where(F.col("var").isin(*list(variables))), n_expected)
     status = day_status(valid, variables)

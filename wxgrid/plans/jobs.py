@@ -13,8 +13,8 @@ Python loop over days; reruns skip what already exists unless forced.
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from ..catalogue import EMD_CD, EMD_NM, HJD_CD, HJD_NM, VARIABLES, ordered_slot_columns
 from ..operators import coverage, gates, ingest, regional, spatial, stations
 from ..sinks import writers as W
-from ..session import configure
+from ..session import configure, scratch_path
 from ..sources import readers as R
 
 # ---------------------------------------------------------------------------
@@ -34,6 +34,9 @@ HJD_NAME_CANDIDATES = ["adm_nm", "ADSTRD_NM", "HJD_NM", "ADM_NM", "ADMD_NM"]
 BJD_CODE_CANDIDATES = ["EMD_CD", "emd_cd", "ADM_CD", "BJDONG_CD"]
 BJD_NAME_CANDIDATES = ["EMD_NM", "emd_nm", "ADM_NM", "BJDONG_NM"]
 
+#: Days parsed into staging at a time.
+DAYS_PER_SET = 31
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on the cluster's file system (listing only:
@@ -62,46 +65,64 @@ def _cached_days(spark: SparkSession, manifest: str) -> DataFrame:
 
 def ingest_job(spark: SparkSession, landing: str, obs_root: str, quarantine_root: str,
                variables, n_expected: int | None, force: bool = False,
-               manifest: str | None = None) -> DataFrame:
-    """Parse every landed response once, write complete days, log the rest.
+               manifest: str | None = None, days_per_set: int = DAYS_PER_SET) -> DataFrame:
+    """Parse every landed response once, publish complete days, log the rest.
 
-    Every run appends its per-day status to a small manifest table
-    (``manifest``, default ``<obs_root>_manifest``); (var, date) pairs
-    already complete there are skipped unless ``force`` -- the check reads
-    the manifest, not the footers of the whole cache.  Returns the per-day
-    status table (date, var, complete, missing_hours) of this run.
+    The landed responses are a table made from the listing (one per (var,
+    time), the newest file winning; (var, date) pairs complete in the manifest
+    left out unless ``force``).  Days are taken in sets of ``days_per_set``, so
+    a run of any length holds a bounded amount of staged data: only files
+    named for a set's days are opened, a semi join with the listing keeps the
+    chosen ones, and they are parsed once into staging on the shared folder.
+    Status, observations and quarantine are read from there.  A (var, date) is
+    published by its row in the manifest (default ``<obs_root>_manifest``),
+    appended after its observations are committed; a run that breaks off
+    before that repeats the set.  The driver holds the days of the run, never
+    paths.  Returns the per-day status (date, var, complete, missing_hours,
+    value_hours) of this run.
     """
     configure(spark)
+    variables = list(variables)
     manifest = manifest or obs_root.rstrip("/") + "_manifest"
-    # Choose the files from the listing alone (path, modification time):
-    # one response per (var, time), the newest file winning; applicable
-    # variables only; days already complete in the manifest left out.
-    listing = R.list_responses(spark, landing).where(F.col("var").isin(*list(variables)))
+    work = scratch_path(spark, f"ingest-{uuid.uuid4().hex}")
+    started = spark.range(1).select(F.current_timestamp()).first()[0]   # one value for all rows of the run
+    listing = R.list_responses(spark, landing).where(F.col("var").isin(*variables))
     listing = gates.season_filter(listing.withColumn("date", F.substring("tm", 1, 8)))
     newest = listing.groupBy("var", "tm", "date").agg(
         F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
     if not force and _built(spark, manifest):
         done = spark.read.parquet(manifest).where("complete").select("var", "date")
         newest = gates.todo(newest, done, ["var", "date"])
-    # The chosen paths are file-listing metadata (which Spark's file index
-    # holds on the driver anyway); only these files' text is read.
-    paths = [r["path"] for r in newest.select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], "date string, var string, complete boolean, missing_hours string, "
-                                         "value_hours array<int>")
-    resp = R.read_responses(spark, paths)
-    valid = ingest.validate(resp, n_expected).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        status = ingest.day_status(valid, variables).persist(StorageLevel.MEMORY_AND_DISK)
-        # One row per (date, var) of this run: bounded by the calendar.
-        complete = status.where("complete").select("date", "var")
-        W.write_observations(ingest.to_long(valid).join(F.broadcast(complete), ["date", "var"], "left_semi"),
-                             obs_root)
-        W.write_quarantine(ingest.quarantine(valid, status), quarantine_root)
-        status.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(manifest)
-        return status
-    finally:
-        valid.unpersist()
+    newest.write.parquet(os.path.join(work, "landed"))
+    landed = spark.read.parquet(os.path.join(work, "landed"))
+    days = [r["date"] for r in landed.select("date").distinct().orderBy("date").collect()]   # bounded by the calendar
+    for i in range(0, len(days), days_per_set):
+        _ingest_days(spark, landing, landed, days[i:i + days_per_set], os.path.join(work, f"set-{i}"),
+                     obs_root, quarantine_root, manifest, variables, n_expected, started)
+    if not days:
+        status = spark.createDataFrame([], "date string, var string, complete boolean, missing_hours string, "
+                                           "value_hours array<int>")
+    else:
+        status = spark.read.parquet(manifest).where(F.col("logged_at") == F.lit(started)).drop("logged_at")
+    W.remove(spark, work)
+    return status
+
+
+def _ingest_days(spark: SparkSession, landing: str, landed: DataFrame, days, work: str, obs_root: str,
+                 quarantine_root: str, manifest: str, variables, n_expected, started) -> None:
+    """One set of days: parse into staging, then publish."""
+    # at most days x hours x variables rows
+    chosen = F.broadcast(landed.where(F.col("date").isin(*days)).select("path"))
+    resp = R.read_responses(spark, landing, days).join(chosen, "path", "left_semi")
+    W.write_staged(ingest.staged(ingest.validate(resp, n_expected)), work)
+    rows = R.read_staged(spark, work)
+    status = ingest.staged_status(rows, variables)
+    complete = F.broadcast(status.where("complete").select("date", "var"))   # at most days x variables rows
+    good = rows.where(F.col("grid_idx").isNotNull()).join(complete, ["date", "var"], "left_semi")
+    W.write_observations(good.select("grid_idx", "date", "var", "hour", "value", "ord"), obs_root)
+    W.write_quarantine(ingest.quarantine(rows, status), quarantine_root)
+    status.withColumn("logged_at", F.lit(started)).write.mode("append").parquet(manifest)
+    W.remove(spark, work)
 
 
 def mapping_job(spark: SparkSession, grid_rows_path: str, hjd_polygons, bjd_polygons, out_path: str,

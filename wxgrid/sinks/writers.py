@@ -7,7 +7,7 @@ simply retried (the committer makes the output atomic per job).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,18 @@ def write_observations(obs: DataFrame, root: str) -> None:
     out.write.mode("overwrite").partitionBy("var", "year", "month", "date").parquet(root)
 
 
+def write_staged(rows: DataFrame, root: str) -> None:
+    """Staging of an ingest run, partitioned by variable and date: publishing
+    a complete day reads that day's files only."""
+    rows.write.partitionBy("var", "date").parquet(root)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this run on the cluster's file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_mapping(mapping: DataFrame, path: str) -> None:
     mapping.write.mode("overwrite").parquet(path)
 

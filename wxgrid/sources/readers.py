@@ -34,14 +34,18 @@ def _path() -> F.Column:
     return F.col("_metadata.file_path")
 
 
-def read_responses(spark: SparkSession, path) -> DataFrame:
+def read_responses(spark: SparkSession, path, days=None) -> DataFrame:
     """(path, var, tm, text): one row per response file, whole text.
 
-    ``path`` is a folder, a glob or a list of files.  One file is one row
+    ``path`` is a folder, a glob or a list of files; with ``days`` (YYYYMMDD)
+    only files named for one of them are opened.  One file is one row
     (``wholetext``), so a 4.2M-value response is one task's input and
     thousands of responses are read in parallel.
     """
-    df = spark.read.text(path if isinstance(path, str) else list(path), wholetext=True)
+    reader = spark.read
+    if days is not None:
+        reader = reader.option("pathGlobFilter", "*_{" + ",".join(days) + "}[0-9][0-9][0-9][0-9].txt")
+    df = reader.text(path if isinstance(path, str) else list(path), wholetext=True)
     p = _path()
     return df.select(p.alias("path"),
                      F.regexp_extract(p, RESPONSE_NAME, 1).alias("var"),
@@ -51,11 +55,12 @@ def read_responses(spark: SparkSession, path) -> DataFrame:
 
 def list_responses(spark: SparkSession, path: str) -> DataFrame:
     """(path, var, tm, modificationTime) of the response files; the binary
-    file source reads no content when only these columns are selected."""
-    df = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
-    return df.select("path", "modificationTime",
-                     F.regexp_extract("path", RESPONSE_NAME, 1).alias("var"),
-                     F.regexp_extract("path", RESPONSE_NAME, 2).alias("tm"))
+    file source reads no content when only its metadata is selected."""
+    p = _path()
+    df = spark.read.format("binaryFile").load(path)
+    return df.select(p.alias("path"), F.col("_metadata.file_modification_time").alias("modificationTime"),
+                     F.regexp_extract(p, RESPONSE_NAME, 1).alias("var"),
+                     F.regexp_extract(p, RESPONSE_NAME, 2).alias("tm"))
 
 
 OBSERVATION_SCHEMA = StructType([
@@ -68,6 +73,20 @@ OBSERVATION_SCHEMA = StructType([
 ])
 
 
+STAGED_SCHEMA = StructType([
+    StructField("tm", StringType()), StructField("reason", StringType()), StructField("preview", StringType()),
+    StructField("head", StringType()), StructField("tail", StringType()), StructField("total_chars", LongType()),
+    StructField("total_lines", LongType()), StructField("grid_idx", LongType()), StructField("value", DoubleType()),
+    StructField("ord", LongType()), StructField("hour", IntegerType()),
+    StructField("var", StringType()), StructField("date", StringType()),
+])
+
+
+def read_staged(spark: SparkSession, root: str) -> DataFrame:
+    """Parsed responses of one set of days (``writers.write_staged``)."""
+    return spark.read.schema(STAGED_SCHEMA).parquet(root)
+
+
 def read_observations(spark: SparkSession, root: str, variables=None,
                       start: str | None = None, end: str | None = None) -> DataFrame:
     """Long observations from ``root/var=*/year=*/month=*/date=*``.
