@@ -38,7 +38,8 @@ def test_skip_summary_and_failure_summary(spark):
     miss = spark.createDataFrame([(f"202401{d:02d}", v) for d in range(1, 32) for v in ("ta", "sd_3hr")],
                                  "date string, var string")
     s = gates.skip_summary(miss, first=30).orderBy("date").collect()
-    assert len(s) == 30 and s[0]["missing_vars"] == "sd_3hr,ta" and s[0]["total_skipped"] == 31
+    assert len(s) == 31 and s[0]["missing_vars"] == "sd_3hr,ta" and s[0]["total_skipped"] == 31
+    assert [r["rank"] for r in s] == list(range(1, 32)) and [r["shown"] for r in s] == [True] * 30 + [False]
     status = spark.createDataFrame([("d1", "ta", True), ("d1", "sd_3hr", False), ("d2", "ta", True)],
                                    "date string, var string, complete boolean")
     f = {r["date"]: (r["ok"], r["failed"]) for r in writers.failure_summary(status).collect()}
@@ -76,7 +77,7 @@ def test_markdown_by_key(spark):
     df = spark.createDataFrame([(2024, i, f"s{i}") for i in range(5)] + [(2023, 1, None)],
                                "year int, STN int, note string")
     out = {r["year"]: r["text"] for r in writers.markdown_by_key(df, "year", ["STN"], 3, "T").collect()}
-    assert out[2024].splitlines()[2:] == ["| STN | note |", "| --- | --- |", "| 0 | s0 |", "| 1 | s1 |", "| 2 | s2 |"]
+    assert out[2024].splitlines()[2:] == ["| STN | note |", "| --- | --- |", "| 0 | s0 |", "| 1 | s1 |", "| 2 | s2 |", "", "3 of 5 rows"]
     assert out[2023].splitlines()[-1] == "| 1 |  |"
 
 

@@ -135,3 +135,25 @@ def test_equal_points_keep_their_rows(spark):
     out = spatial.points_in_polygons(pts, _polys(spark), "code", "name").collect()
     assert sorted(r["grid_idx"] for r in out) == [1, 1, 2, 3]
     assert all(r["code"] is None for r in out)
+
+
+def test_index_is_lazy_and_levels_agree(spark, monkeypatch):
+    """A large polygon with a dense saw edge and a hole, an overlapping copy,
+    and rings that touch cell borders: the same as one ray cast over all edges,
+    whatever the cell size."""
+    import random
+    rng = random.Random(9)
+    saw = [(k / 50, 2.0 + (k % 2) * 0.3) for k in range(0, 301)] + [(6.0, -1.0), (0.0, -1.0)]
+    hole = [(1.0, 0.0), (2.0, 0.0), (2.0, 1.0), (1.0, 1.0)]
+    polys = [("S", "s", [saw, hole]), ("S2", "s", [saw]), ("B", "b", [[(0.0, 0.0), (1.6, 0.0), (1.6, 1.6), (0.0, 1.6)]]), ("E", "e", []), ("N", "n", None)]
+    pts = [(i, rng.uniform(-0.5, 6.5), rng.uniform(-1.5, 2.5)) for i in range(1200)]
+    pts += [(5000 + i, x, y) for i, (x, y) in enumerate([(1.0, 0.5), (1.0, 1.0), (0.0, 0.0), (1.6, 0.8), (0.8, 0.8), (3.0, 1.5), (float("nan"), 0.5), (None, 0.5), (0.8, 0.0)])]
+    pdf = spark.createDataFrame(polys, f"code string, name string, rings {RING}")
+    sdf = spark.createDataFrame(pts, "pid long, x double, y double")
+    want = sorted((i, c) for i, x, y in pts for c in ([c for c, _, r in polys if r and x is not None and _py_within(x, y, r)] or [""]))
+    for tile in (0.0125, 0.4):
+        out = spatial.points_in_polygons(sdf, pdf, "code", "name", x_col="x", y_col="y", tile=tile)
+        assert sorted((r["pid"], r["code"] or "") for r in out.collect()) == want
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    spatial.points_in_polygons(sdf, pdf, "code", "name", x_col="x", y_col="y")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == len(before)   # planning starts no job

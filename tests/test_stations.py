@@ -84,7 +84,33 @@ def test_churn_counts_a_year_without_valid_rows(spark):
 def test_top_rows_per_year(spark):
     df = spark.createDataFrame([(y, s) for y in (1, 2) for s in range(5)], "year int, STN int")
     got = sorted(tuple(r) for r in coverage.top_rows(df, 2, [F.col("STN").desc()]).collect())
-    assert got == [(1, 3), (1, 4), (2, 3), (2, 4)]
+    assert got == [(y, s, 5 - s, s >= 3) for y in (1, 2) for s in range(5)]
+
+
+def test_bitmaps_read_days_and_gaps(spark):
+    d = dt.date
+    rows = [(2020, 1, d(2020, 1, 1) + dt.timedelta(k)) for k in range(366) if k not in (0, 63, 64, 127, 365)] * 2
+    rows += [(2021, 1, d(2021, 12, 31)), (2021, 1, d(2022, 1, 1)), (2021, 2, None), (2021, None, d(2021, 5, 5)), (2021, None, d(2019, 5, 5)), (2023, None, None)]
+    k = spark.createDataFrame(rows, "year int, stn int, tm date").repartition(4)
+    got = {(r["year"], r["STN"]): r for r in coverage.per_station(k).collect()}
+    assert set(got) == {(2020, 1), (2021, 1)}
+    r = got[2020, 1]
+    assert (r["days_present"], r["days_missing"]) == (361, 5)
+    assert r["missing_sample"] == "2020-01-01, 2020-03-04, 2020-03-05, 2020-05-07, 2020-12-31"
+    r = got[2021, 1]
+    assert (r["days_present"], r["days_missing"]) == (2, 363) and r["missing_sample"].endswith("2021-01-10 ...")
+    assert coverage.missing_dates(k).groupBy("year").count().orderBy("year").collect() == [(2020, 5), (2021, 364)]
+    info = spark.createDataFrame([(1, "a"), (1, "b")], "STN_ID int, LAW_ID string")
+    m = {r["year"]: tuple(r)[1:] for r in coverage.year_metrics(k, info).collect()}
+    assert m == {2020: (1, 0, 2, 361, 0), 2021: (1, 0, 2, 0, 2), 2023: (0, 0, 0, 0, 0)}
+
+
+def test_coverage_scans_the_table_at_most_twice(spark, tmp_path):
+    spark.createDataFrame([(2020, 1, dt.date(2020, 1, 1))], "year int, stn int, tm date").write.parquet(str(tmp_path / "t"))
+    k = spark.read.parquet(str(tmp_path / "t"))
+    for df, most in ((coverage.per_station(k), 1), (coverage.missing_dates(k), 1), (coverage.year_metrics(k), 2)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") <= most
 
 
 def test_clean_keys_integer_columns(spark):

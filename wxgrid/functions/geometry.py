@@ -106,8 +106,12 @@ def _crosses(px: Column, py: Column, e: Column) -> Column:
     return F.when(straddles & (px < x_at), F.lit(1)).otherwise(F.lit(0))
 
 
-def strictly_within(px: Column, py: Column, edges: Column) -> Column:
-    """Even-odd ray cast, with boundary points (on any edge) excluded."""
+def strictly_within(px: Column, py: Column, edges: Column, heights: Column | None = None) -> Column:
+    """Even-odd ray cast, with boundary points (on any edge) excluded.
+    ``heights``: where edges right of the point, not among ``edges``, start or
+    end an odd number of times."""
     crossings = F.aggregate(edges, F.lit(0), lambda acc, e: acc + _crosses(px, py, e))
+    if heights is not None:
+        crossings = crossings + F.size(F.filter(heights, lambda y: y <= py))
     on_boundary = F.exists(edges, lambda e: _on_edge(px, py, e))
     return ((crossings % 2) == 1) & ~on_boundary

@@ -18,12 +18,14 @@ Quirks kept on purpose (they are the specified behaviour):
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_in_year, parse_yyyymmdd, parse_yyyymmdd_int
 from ..functions.values import safe_int
-from ..plans.hints import broadcast_if_small
+from ..session import scratch_path
 
 # ---------------------------------------------------------------------------
 # A missing-date sample lists the first 10 dates; report
@@ -64,18 +66,46 @@ def _present(keys: DataFrame) -> DataFrame:
     return keys.where(F.col("stn").isNotNull() & F.col("tm").isNotNull()).select("year", "stn", "tm").distinct()
 
 
-def missing_dates(keys: DataFrame) -> DataFrame:
-    """(year, stn, tm) of calendar days of the file's year with no row.
+WORDS = 6   # 64-bit words of a year's day bitmap
+
 
-    The calendar is generated per (year, station) -- at most 366 rows each --
-    and anti-joined with the present keys; no group is collected.
+def station_days(keys: DataFrame) -> DataFrame:
+    """One row per (year, stn), from one scan of the table: day bitmaps.
+
+    Readings become bits of (year, stn, year of the date): ``WORDS`` words of
+    64 days each, or-ed together map-side, so a station's year shuffles as one
+    row per task however many readings it has.  Columns: ``has`` (a row with
+    both keys valid), ``days_present`` (distinct valid dates, of any year),
+    ``w0 .. w5`` (days of the file's year), ``out_rows`` (rows dated outside
+    it; also for a NULL station).
     """
-    present = _present(keys)
-    stations = present.select("year", "stn").distinct()
-    cal = stations.select("year", "stn", F.explode(F.sequence(
-        F.make_date(F.col("year"), F.lit(1), F.lit(1)),
-        F.make_date(F.col("year"), F.lit(12), F.lit(31)))).alias("tm"))
-    return cal.join(present, ["year", "stn", "tm"], "left_anti")
+    day = F.dayofyear("tm") - 1
+    known = F.col("stn").isNotNull() & F.col("tm").isNotNull()
+    bits = [F.bit_or(F.when(known & (F.floor(day / 64) == k), F.call_function("shiftleft", F.lit(1).cast("long"), (day % 64).cast("int")))).alias(f"w{k}")
+            for k in range(WORDS)]
+    parts = keys.groupBy("year", "stn", F.year("tm").alias("ty")).agg(*bits, F.count("tm").alias("n"))
+    own = F.col("ty") == F.col("year")
+    count = sum((F.bit_count(F.coalesce(F.col(f"w{k}"), F.lit(0).cast("long"))) for k in range(WORDS)), F.lit(0))
+    return parts.groupBy("year", "stn").agg(
+        F.max(F.col("stn").isNotNull() & F.col("ty").isNotNull()).alias("has"),
+        F.sum(count).cast("long").alias("days_present"),
+        *[F.coalesce(F.max(F.when(own, F.col(f"w{k}"))), F.lit(0).cast("long")).alias(f"w{k}") for k in range(WORDS)],
+        F.coalesce(F.sum(F.when(~own, F.col("n"))), F.lit(0)).cast("long").alias("out_rows"))
+
+
+def _gaps() -> Column:
+    """The missing days of a ``station_days`` row: its year's days without a
+    bit, in order."""
+    words = F.array(*[F.col(f"w{k}") for k in range(WORDS)])
+    days = F.sequence(F.lit(0), days_in_year(F.col("year")).cast("int") - 1)
+    unset = lambda i: F.getbit(F.element_at(words, (i / 64).cast("int") + 1), (i % 64).cast("int")) == 0
+    return F.transform(F.filter(days, unset), lambda i: F.date_add(F.make_date(F.col("year"), F.lit(1), F.lit(1)), i))
+
+
+def missing_dates(keys: DataFrame) -> DataFrame:
+    """(year, stn, tm) of calendar days of the file's year with no row, read
+    off the bitmaps."""
+    return station_days(keys).where("has").select("year", "stn", F.explode(_gaps()).alias("tm"))
 
 
 def per_station(keys: DataFrame, station_info: DataFrame | None = None) -> DataFrame:
@@ -85,27 +115,14 @@ def per_station(keys: DataFrame, station_info: DataFrame | None = None) -> DataF
     ``missing_sample``: the first 10 missing dates ``YYYY-MM-DD`` joined by
     ", ", plus " ..." when more are missing; "" when none are.
     """
-    present = _present(keys)
-    counts = present.groupBy("year", "stn").agg(F.count(F.lit(1)).alias("days_present"))
-    miss = missing_dates(keys)
-    w = Window.partitionBy("year", "stn").orderBy("tm")
-    first = (miss.withColumn("rn", F.row_number().over(w))
-                 .withColumn("n_missing", F.count(F.lit(1)).over(Window.partitionBy("year", "stn")))
-                 .where(F.col("rn") <= SAMPLE_N))
-    sample = first.groupBy("year", "stn").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("tm")), lambda d: F.date_format(d, "yyyy-MM-dd")), ", ")
-        .alias("sample"), F.max("n_missing").alias("n_missing"))
-    out = (counts.join(sample, ["year", "stn"], "left")
-           .select(F.col("year"), F.col("stn").alias("STN"), "days_present",
-                   days_in_year(F.col("year")).cast("long").alias("days_expected"),
-                   (days_in_year(F.col("year")) - F.col("days_present")).cast("long").alias("days_missing"),
-                   F.when(F.col("sample").isNull(), F.lit(""))
-                    .otherwise(F.concat(F.col("sample"),
-                                        F.when(F.col("n_missing") > SAMPLE_N, F.lit(" ...")).otherwise(F.lit(""))))
-                   .alias("missing_sample")))
+    days = station_days(keys).where("has").withColumn("gaps", _gaps())
+    shown = F.transform(F.slice("gaps", 1, SAMPLE_N), lambda d: F.date_format(d, "yyyy-MM-dd"))
+    expected = days_in_year(F.col("year")).cast("long")
+    out = days.select(F.col("year"), F.col("stn").alias("STN"), "days_present", expected.alias("days_expected"),
+                      (expected - F.col("days_present")).alias("days_missing"),
+                      F.concat(F.array_join(shown, ", "), F.when(F.size("gaps") > SAMPLE_N, F.lit(" ...")).otherwise(F.lit(""))).alias("missing_sample"))
     if station_info is not None:
-        info = station_info.withColumnRenamed("STN_ID", "STN")
-        out = out.join(broadcast_if_small(info), "STN", "left")
+        out = out.join(station_info.withColumnRenamed("STN_ID", "STN"), "STN", "left")
     return out
 
 
@@ -126,21 +143,26 @@ def out_of_range(keys: DataFrame) -> DataFrame:
 
 def year_metrics(keys: DataFrame, station_info: DataFrame | None = None) -> DataFrame:
     """One row per file year: station_count, full_coverage_station_count,
-    any_missing_station_count, duplicate_records, out_of_range_records."""
-    years = keys.select("year").distinct()
-    ps = per_station(keys, station_info)
-    st = ps.groupBy("year").agg(
-        F.countDistinct("STN").alias("station_count"),
-        F.count_if(F.col("days_missing") == 0).alias("full_coverage_station_count"),
-        F.count_if(F.col("days_missing") > 0).alias("any_missing_station_count"))
+    any_missing_station_count, duplicate_records, out_of_range_records.
+
+    Two scans: the day bitmaps give all but the duplicates.  A station that
+    the dimension lists several times counts as often."""
+    days = station_days(keys)
+    times = F.lit(1)
+    if station_info is not None:
+        listed = station_info.groupBy(F.col("STN_ID").alias("stn")).agg(F.count(F.lit(1)).alias("times"))
+        days = days.join(listed, "stn", "left")
+        times = F.coalesce("times", F.lit(1))
+    missing = days_in_year(F.col("year")) - F.col("days_present")
+    per_year = days.groupBy("year").agg(
+        F.count_if("has").alias("station_count"),   # one row per station
+        F.sum(F.when(F.col("has") & (missing == 0), times).otherwise(0)).alias("full_coverage_station_count"),
+        F.sum(F.when(F.col("has") & (missing > 0), times).otherwise(0)).alias("any_missing_station_count"),
+        F.sum("out_rows").alias("out_of_range_records"))
     dup = duplicate_keys(keys).groupBy("year").agg(F.count(F.lit(1)).alias("duplicate_records"))
-    oor = out_of_range(keys).groupBy("year").agg(F.count(F.lit(1)).alias("out_of_range_records"))
-    # Per-year aggregates hold one row per year: broadcast by construction.
-    out = (years.join(F.broadcast(st), "year", "left").join(F.broadcast(dup), "year", "left")
-                .join(F.broadcast(oor), "year", "left"))
-    cols = ["station_count", "full_coverage_station_count", "any_missing_station_count",
-            "duplicate_records", "out_of_range_records"]
-    return out.select("year", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cols])
+    out = per_year.join(dup, "year", "left")
+    return out.select("year", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in (
+        "station_count", "full_coverage_station_count", "any_missing_station_count", "duplicate_records", "out_of_range_records")])
 
 
 def station_churn(keys: DataFrame, station_info: DataFrame | None = None) -> DataFrame:
@@ -172,25 +194,45 @@ def station_churn(keys: DataFrame, station_info: DataFrame | None = None) -> Dat
                  .select(F.col("next_y").alias("year"), "stn", F.lit("removed").alias("change"))
     out = added.unionByName(removed).withColumnRenamed("stn", "STN")
     if station_info is not None:
-        out = out.join(broadcast_if_small(station_info.withColumnRenamed("STN_ID", "STN")), "STN", "left")
+        out = out.join(station_info.withColumnRenamed("STN_ID", "STN"), "STN", "left")
     return out
 
 
 def top_rows(df: DataFrame, n: int, order: list[Column | str], by: str = "year") -> DataFrame:
-    """Report cap: the first ``n`` rows of each ``by`` group in ``order``."""
-    w = Window.partitionBy(by).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    """Every row with its ``rank`` in its ``by`` group and whether a report of
+    ``n`` rows shows it; only the renderer filters.
+
+    Ranks come without one task per group: ``by`` and ``order`` are range
+    partitioned, and a row's rank is its place in its partition plus the rows
+    of its group in the partitions before."""
+    spark = df.sparkSession
+    keys = [F.col(by), *[F.col(c) if isinstance(c, str) else c for c in order]]
+    placed = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys) \
+        .withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    path = scratch_path(spark, f"ranked-{uuid.uuid4().hex}")
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
+    before = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = placed.groupBy(by, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")) \
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    rank = F.col("_at") - F.col("_first") + F.col("_before") + 1
+    out = placed.join(runs, [by, "_part"]).withColumn("rank", rank)
+    return out.select(*df.columns, "rank", (F.col("rank") <= n).alias("shown"))
+
+
+#: Labels of the rendered per-station table.
+DISPLAY = {"STN": "Station", "LAW_ID": "Law code", "LAW_NM": "Law name", "days_present": "Days present", "days_expected": "Days expected",
+           "days_missing": "Days missing", "missing_sample": "Missing dates"}
 
 
 def per_station_report(per_station_df: DataFrame, cap: int | None = None) -> DataFrame:
     """Per-station table as reported: fixed column order, missing station
-    columns filled with "", rows ordered by (days_missing, STN) within each
-    year and capped per year (2000 by default)."""
+    columns filled with "", every row with its ``rank`` by (days_missing, STN)
+    within its year and whether the report shows it (2000 a year by default)."""
     cols = set(per_station_df.columns)
     filled = per_station_df.select(
         "year", "STN",
         *[(F.coalesce(F.col(c).cast("string"), F.lit("")) if c in cols else F.lit("")).alias(c)
           for c in ("LAW_ID", "LAW_NM")],
         "days_present", "days_expected", "days_missing", "missing_sample")
-    return top_rows(filled, CAP_PER_STATION if cap is None else cap, ["days_missing", "STN"])
-
+    return top_rows(filled, CAP_PER_STATION if cap is None else cap, ["days_missing", "STN", "LAW_ID", "LAW_NM"])

@@ -105,17 +105,16 @@ def hour_status(rows: DataFrame, variables) -> DataFrame:
 
 
 def skip_summary(missing: DataFrame, first: int = SKIP_SHOWN) -> DataFrame:
-    """Days skipped for missing variables: the first ``first`` days in date
-    order with their missing variables, and the total number of skipped
-    days (the rest is reported as a count).  Input (date, var)."""
+    """Days skipped for missing variables: every day with its missing
+    variables, its rank in date order, whether a report of ``first`` days shows
+    it, and the total number of skipped days.  Input (date, var)."""
     per_day = missing.groupBy("date").agg(
         F.array_join(F.array_sort(F.collect_list("var")), ",").alias("missing_vars"))
     # One row per skipped day: bounded by the calendar, so the global
     # ordering below handles at most a few thousand rows.
     w = Window.orderBy("date")
-    ranked = (per_day.withColumn("_rn", F.row_number().over(w))
-                     .withColumn("total_skipped", F.count(F.lit(1)).over(Window.partitionBy())))
-    return ranked.where(F.col("_rn") <= first).drop("_rn")
+    return per_day.withColumn("total_skipped", F.count(F.lit(1)).over(Window.partitionBy())) \
+                  .withColumn("rank", F.row_number().over(w)).withColumn("shown", F.col("rank") <= first)
 
 
 def months_each_year(dates: DataFrame, start_month: int, end_month: int, date_col: str = "date") -> DataFrame:

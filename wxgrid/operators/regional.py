@@ -11,8 +11,8 @@ Plan shape (fused operator, ``region_day``):
    snow season) -- pushed into the parquet scan;
 2. inner join to the mapping, filtered to rows with every region code and
    collapsed to a multiplicity ``w`` per (cell, codes); the mapping is a
-   grid-bounded dimension and is broadcast after a size check, so 90% of
-   cells (unmapped) are dropped before any shuffle;
+   grid-bounded dimension, which Spark broadcasts if its measured size allows,
+   so 90% of cells (unmapped) are dropped before any shuffle;
 3. first non-null reading per (date, codes, cell, var, slot):
    ``min_by(value, ord)`` -- shuffle keyed by the cell, so no region is hot;
 4. a narrow aggregate per (date, codes, var, slot) -- two buffers, whole-
@@ -36,13 +36,12 @@ from __future__ import annotations
 from collections import Counter
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..catalogue import (SNOW_OFF_MONTHS, SNOW_START_YEAR, SNOW_VAR, VARIABLES, VarSpec,
                          ordered_slot_columns, region_id_columns, specs)
 from ..functions.slots import slot_index, slot_label_for
-from ..plans.hints import broadcast_if_small
 
 METHODS = ("mean", "sum", "median")
 
@@ -83,7 +82,7 @@ def cell_first_values(obs: DataFrame, mapping: DataFrame, variables,
     if season_filter:
         o = o.where(season_ok(F.col("var"), F.col("date")))
     o = o.withColumn("slot", slot_index(F.col("var"), F.col("hour"), variables))
-    m = broadcast_if_small(mapped_cells(mapping, id_cols))
+    m = mapped_cells(mapping, id_cols)
     joined = o.join(m, "grid_idx", "inner")
     if not dedupe:
         return joined.select("date", *id_cols, "grid_idx", "var", "slot",
@@ -171,9 +170,7 @@ def region_day(obs: DataFrame, mapping: DataFrame, variables=("ta", "rn_60m"),
     # code-generated, partial before the shuffle.  Off-grid readings form a
     # slot-NULL group that only marks the variable as present.
     if method == "median":
-        # A repeated mapping row repeats the cell's value; w is almost always 1.
-        exploded = cells.withColumn("w", F.explode(F.array_repeat(F.lit(1), F.col("w").cast("int"))))
-        per_slot = exploded.groupBy(*keys).agg(F.median("v").alias("val"))
+        per_slot = weighted_median(cells, keys)
     else:
         per_slot = cells.groupBy(*keys).agg(F.sum(F.col("v") * F.col("w")).alias("s"),
                                             F.sum("w").alias("n"))
@@ -183,6 +180,38 @@ def region_day(obs: DataFrame, mapping: DataFrame, variables=("ta", "rn_60m"),
     return wide.select("date", *ordered_slot_columns(variables), *id_cols)
 
 
+#: Bins of the median's first pass per unit of log(1 + |value|).
+MEDIAN_BINS = 4096
+
+
+def weighted_median(rows: DataFrame, keys) -> DataFrame:
+    """(keys, val): exact interpolated median of ``v``, each counted ``w``
+    times, by selection in two passes.
+
+    First the rows become counts per distinct value (partial aggregates), and
+    those counts per bin of a fixed, order-preserving scale; a running total of
+    a group's bins finds the one or two that hold its middle ranks.  Then only
+    these bins' values are ordered.  No group is gathered or sorted as a whole,
+    and a crowded group is spread over its bins.  Keys may be NULL.
+    """
+    mag = F.floor(F.log1p(F.abs("v")) * F.lit(float(MEDIAN_BINS)))   # monotone in |v|
+    values = rows.groupBy(*keys, "v").agg(F.sum("w").alias("w")).withColumn("bin", F.when(F.col("v") < 0, -mag).otherwise(mag))
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bins = values.groupBy(*keys, "bin").agg(F.sum("w").alias("n")) \
+        .withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(group))
+    bins = bins.withColumn("lo", F.floor((F.col("all") - 1) / 2)).withColumn("hi", F.floor(F.col("all") / 2)) \
+        .where((F.col("upto") > F.col("lo")) & (F.col("upto") - F.col("n") <= F.col("hi")))
+    names = [*keys, "bin"]
+    middle = bins.select(*[F.col(k).alias(f"_{k}") for k in names], (F.col("upto") - F.col("n")).alias("before"), "lo", "hi")
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in names])
+    kept = values.join(middle, on)
+    rank = F.col("before") + F.sum("w").over(Window.partitionBy(*names).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    kept = kept.withColumn("upto", rank)
+    return kept.groupBy(*keys).agg(((F.min(F.when(F.col("upto") > F.col("lo"), F.col("v"))) +
+                                     F.min(F.when(F.col("upto") > F.col("hi"), F.col("v")))) / 2).alias("val"))
+
+
 # ---------------------------------------------------------------------------
 # Stand-alone building blocks (same semantics, usable on their own)
 # ---------------------------------------------------------------------------
@@ -234,7 +263,7 @@ def aggregate_to_region(wide: DataFrame, mapping: DataFrame, value_cols,
     if method not in METHODS:
         raise ValueError(f"Unknown method: {method}")
     id_cols = region_id_columns(mapping.columns)
-    m = broadcast_if_small(mapping.select(grid_col, *id_cols).dropna(subset=id_cols))
+    m = mapping.select(grid_col, *id_cols).dropna(subset=id_cols)
     j = wide.join(m, grid_col, "inner")
     keys = (["date"] if "date" in wide.columns else []) + id_cols
     if method == "mean":
@@ -274,7 +303,7 @@ def _place(column: str, keys: list[str]) -> tuple:
 def add_region_name(df: DataFrame, mapping: DataFrame, id_col: str, nm_col: str) -> DataFrame:
     """Left join distinct (code, name); two names for one code fan out."""
     names = mapping.select(id_col, nm_col).distinct()
-    return df.join(broadcast_if_small(names), id_col, "left")
+    return df.join(names, id_col, "left")
 
 
 def format_date(df: DataFrame, date_col: str = "date", fmt: str = "yyyy-MM-dd") -> DataFrame:

@@ -1,38 +1,44 @@
 """Grid coordinates, grid -> region mapping (point in polygon), profiles.
 
-Point-in-polygon plan (``points_in_polygons``):
-
-1. polygons: all-ring edge arrays and a bounding box per polygon;
-2. tile index: each polygon's bbox exploded into square tiles of side
-   ``tile`` degrees -> (tx, ty, poly_id).  Small: regions x tiles per bbox;
-3. each point falls in exactly one tile -> equi-join on (tx, ty) against the
-   tile index (a hash join, broadcast after a size check) -- never a
-   nested-loop join;
-4. candidates inside the polygon's bbox pick up only the polygon's edges in
-   the point's tile row (``band_edges``) and run the even-odd ray cast plus
-   the on-boundary test -- exact, and about sqrt(edges) work per test;
-5. one row per (point, containing polygon); points inside none keep one
-   row with NULL codes (left semantics), points in overlapping polygons
-   fan out.  Step 5 is a group by point id: each point has only a few
-   candidates, so no group is large.
+Point-in-polygon plan (``points_in_polygons``): a hierarchical cell index.
+
+1. polygons: all-ring edge arrays and a bounding box per polygon, cut into
+   square cells of the coarsest side (``tile`` times ``FAN ** (LEVELS - 1)``);
+2. a cell keeps the edges that touch it, and of those right of it only the
+   heights where they start or end an odd number of times: a rightward ray
+   crosses all of them as often, odd or even, as there are such heights at or
+   below it (an edge's two ends switch it on and off; neighbours in a ring
+   cancel).  A cell that no edge touches lies wholly inside or outside its
+   polygon, and its points need no ray cast.  A cell touched by at most
+   ``LEAF_EDGES`` edges is a leaf.  Any other is cut into ``FAN ** 2`` cells of
+   the next level, down to ``tile``: small cells only along dense boundaries;
+3. the index is one row per (level, cell) with an array of the polygons there;
+   points look their cell up once per level in an outer join on unique keys.
+   No row fans out in a join, so points need no id and never meet as pairs;
+   Catalyst broadcasts an index that is small and else shuffles both sides by
+   cell, where AQE splits a crowded cell;
+4. a point in a whole cell is a hit; in a leaf the even-odd count and the
+   on-boundary test over the leaf's few edges decide -- exact, strict *within*;
+5. hits explode outer: one row per containing polygon, one with NULL codes for
+   a point inside none.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalogue import EMD_CD, EMD_NM, HJD_CD, HJD_NM
 from ..functions.geometry import polygon_edges, strictly_within, tm_to_lonlat
-from ..plans.hints import broadcast_if_small
-from ..session import cut_lineage
 
-DEFAULT_TILE_DEG = 0.05
-# Edge bands are broadcast only up to this many edges in total (~32 bytes
-# each); beyond it the band join shuffles on (poly_id, tile row).
-MAX_BROADCAST_EDGES = 2_000_000
+#: Side of the finest cells, sides' ratio of neighbouring levels, levels, and
+#: edges that a cell may hold without being cut further.
+DEFAULT_TILE_DEG = 0.0125
+FAN = 4
+LEVELS = 4
+LEAF_EDGES = 16
 
 
 def grid_from_rows(rows: DataFrame, keys=()) -> DataFrame:
@@ -78,77 +84,95 @@ def reproject_rings(polys: DataFrame, rings_col: str = "rings") -> DataFrame:
 
 
 def _prepared(polys: DataFrame, code_col: str, name_col: str) -> DataFrame:
+    """(code, name, edges, box) of the polygons that have an edge."""
     xs = F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p["x"])))
     ys = F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p["y"])))
     return polys.select(
-        F.col(code_col).alias("_code"), F.col(name_col).alias("_name"),
-        polygon_edges(F.col("rings")).alias("edges"),
+        F.col(code_col).alias("code"), F.col(name_col).alias("name"),
+        polygon_edges(F.filter("rings", lambda r: F.size(r) >= 2)).alias("edges"),
         F.array_min(xs).alias("minx"), F.array_max(xs).alias("maxx"),
         F.array_min(ys).alias("miny"), F.array_max(ys).alias("maxy"),
-    ).withColumn("poly_id", F.monotonically_increasing_id())
-
-
-def tile_index(prepared: DataFrame, tile: float) -> DataFrame:
-    t = F.lit(tile)
-    return prepared.select(
-        "poly_id",
-        F.explode(F.sequence(F.floor(F.col("minx") / t), F.floor(F.col("maxx") / t))).alias("tx"),
-        F.sequence(F.floor(F.col("miny") / t), F.floor(F.col("maxy") / t)).alias("_tys"),
-    ).select("poly_id", "tx", F.explode("_tys").alias("ty"))
-
-
-def band_edges(prepared: DataFrame, tile: float) -> DataFrame:
-    """(poly_id, ty, edges): each polygon's edges bucketed by tile row.
-
-    A horizontal ray from a point can only cross (or contain the point on)
-    edges whose y-span includes the point's y, and those edges all overlap
-    the point's tile row -- so testing one row's edges is exact and costs
-    about edges / rows instead of all edges.  A group holds the edges of one
-    polygon in one row band (bounded by the polygon's size).
-    """
-    t = F.lit(tile)
-    e = prepared.select("poly_id", F.explode("edges").alias("e"))
-    lo = F.floor(F.least(F.col("e.y1"), F.col("e.y2")) / t)
-    hi = F.floor(F.greatest(F.col("e.y1"), F.col("e.y2")) / t)
-    e = e.select("poly_id", "e", F.explode(F.sequence(lo, hi)).alias("ty"))
-    return e.groupBy("poly_id", "ty").agg(F.collect_list("e").alias("edges"))
+    ).where(F.size("edges") > 0)
+
+
+def _cell(v: Column, side: float) -> Column:
+    return F.floor(v / F.lit(side)).cast("long")
+
+
+def _odd(values: Column) -> Column:
+    """The values that occur an odd number of times."""
+    none = F.array().cast("array<double>")
+    return F.aggregate(F.array_sort(values), none, lambda acc, y: F.when(
+        F.try_element_at(acc, F.lit(-1)) == y, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(F.concat(acc, F.array(y))))
+
+
+def _classified(cells: DataFrame, side: float, level: int) -> DataFrame:
+    """Cells of kind ``new`` hold the edges and heights of the cell they were
+    cut from: give them their own, and a kind: whole, leaf or cut.  Cells
+    outside their polygon go; finished cells pass."""
+    ix, iy, new = F.col("ix"), F.col("iy"), F.col("kind") == "new"
+
+    def spans(a: Column, b: Column, at: Column) -> Column:
+        return (_cell(F.least(a, b), side) <= at) & (_cell(F.greatest(a, b), side) >= at)
+
+    touching = F.filter("edges", lambda e: spans(e["x1"], e["x2"], ix) & spans(e["y1"], e["y2"], iy))
+    right = F.filter("edges", lambda e: _cell(F.least(e["x1"], e["x2"]), side) > ix)
+    heights = _odd(F.concat("ys", F.flatten(F.transform(right, lambda e: F.array(e["y1"], e["y2"])))))
+    own = F.when(new, F.struct(touching.alias("edges"), heights.alias("ys"))).otherwise(F.struct("edges", "ys"))
+    # a generator: Catalyst would otherwise repeat these arrays in every use
+    own = cells.select("code", "name", "level", "ix", "iy", "kind", F.inline(F.array(own)))
+    n, middle = F.size("edges"), iy * F.lit(side) + F.lit(side / 2)
+    inside = F.size(F.filter("ys", lambda y: y <= middle)) % 2 == 1
+    small = F.lit(level == LEVELS - 1) | (n <= LEAF_EDGES)
+    kind = F.when(~new, F.col("kind")).when(n == 0, F.when(inside, F.lit("whole"))).when(small, F.lit("leaf")).otherwise(F.lit("cut"))
+    return own.withColumn("kind", kind).where(F.col("kind").isNotNull())
+
+
+def cell_index(prepared: DataFrame, tile: float) -> DataFrame:
+    """(key, here): per cell (level, ix, iy) the polygons that hold it as a
+    whole cell or a leaf."""
+    side = tile * FAN ** (LEVELS - 1)
+    rows = prepared.select("code", "name", "minx", "maxx", "edges", F.array().cast("array<double>").alias("ys"), F.lit(0).alias("level"),
+                           F.lit("new").alias("kind"), F.explode(F.sequence(_cell(F.col("miny"), side), _cell(F.col("maxy"), side))).alias("iy"))
+    cells = rows.select("code", "name", "level", "iy", "edges", "ys", "kind",
+                        F.explode(F.sequence(_cell(F.col("minx"), side), _cell(F.col("maxx"), side))).alias("ix"))
+    fan = F.sequence(F.lit(0), F.lit(FAN - 1))
+    for level in range(LEVELS):
+        cells = _classified(cells.repartition("level", "ix", "iy"), side, level)
+        children = F.flatten(F.transform(fan, lambda j: F.transform(fan, lambda k: F.struct(
+            F.lit(level + 1).alias("level"), (F.col("ix") * FAN + j).alias("ix"), (F.col("iy") * FAN + k).alias("iy"), F.lit("new").alias("kind")))))
+        next_ = F.when(F.col("kind") == "cut", children).otherwise(F.array(F.struct("level", "ix", "iy", "kind")))
+        cells = cells.select("code", "name", "edges", "ys", F.inline(next_))
+        side = side / FAN
+    entry = F.struct("code", "name", (F.col("kind") == "whole").alias("whole"), "edges", "ys")
+    return cells.groupBy(F.struct("level", "ix", "iy").alias("key")).agg(F.collect_list(entry).alias("here"))
 
 
 def points_in_polygons(points: DataFrame, polys: DataFrame, code_col: str, name_col: str,
-                       x_col: str = "lon", y_col: str = "lat", id_col: str = "grid_idx",
-                       tile: float = DEFAULT_TILE_DEG, out_code: str | None = None,
-                       out_name: str | None = None) -> DataFrame:
+                       x_col: str = "lon", y_col: str = "lat", tile: float = DEFAULT_TILE_DEG,
+                       out_code: str | None = None, out_name: str | None = None) -> DataFrame:
     """Left spatial join, predicate strict ``within``.
 
     ``polys`` has ``rings array<array<struct<x,y>>>`` in the points' CRS
     (use ``reproject_rings`` first when it is projected).  Output: every
     point column plus ``out_code``/``out_name`` (default: the polygon column
-    names).
+    names).  A point with a missing coordinate lies in no polygon.
     """
-    out_code = out_code or code_col
-    out_name = out_name or name_col
-    # Polygon ids must not change between the uses below; a reliable
-    # checkpoint (shared folder) fixes them and cuts the polygon lineage.
-    prep = cut_lineage(_prepared(polys, code_col, name_col))
-    tiles = broadcast_if_small(tile_index(prep, tile))
-    boxes = broadcast_if_small(prep.select("poly_id", "_code", "_name", "minx", "maxx", "miny", "maxy"))
-    bands = band_edges(prep, tile)
-    n_edges = bands.agg(F.sum(F.size("edges"))).first()[0] or 0
-    bands = F.broadcast(bands) if n_edges <= MAX_BROADCAST_EDGES else bands
-    t = F.lit(tile)
-    pts = points.select(F.col(x_col).alias("_x"), F.col(y_col).alias("_y"))
-    pts = pts.withColumn("tx", F.floor(F.col("_x") / t)).withColumn("ty", F.floor(F.col("_y") / t))
-    cand = pts.join(tiles, ["tx", "ty"]).join(boxes, "poly_id")
-    px, py = F.col("_x"), F.col("_y")
-    in_box = (px >= F.col("minx")) & (px <= F.col("maxx")) & (py >= F.col("miny")) & (py <= F.col("maxy"))
-    # Only candidates inside the bounding box fetch their band of edges.
-    hits = (cand.where(in_box).join(bands, ["poly_id", "ty"]).where(strictly_within(px, py, F.col("edges")))
-                .select("_x", "_y", "poly_id", "_code", "_name").distinct())
-    # Hits depend on the coordinates alone: points at one place each get all
-    # of them, and a point without a hit keeps its row.
-    keep = [points[c] for c in points.columns]
-    return points.join(hits, (points[x_col] == hits["_x"]) & (points[y_col] == hits["_y"]), "left").select(
-        *keep, hits["_code"].alias(out_code), hits["_name"].alias(out_name))
+    out_code, out_name = out_code or code_col, out_name or name_col
+    px, py = F.col(f"p.`{x_col}`"), F.col(f"p.`{y_col}`")
+    usable = ~F.isnan(px) & ~F.isnan(py) & (F.abs(px) < 1e9) & (F.abs(py) < 1e9)
+    # one index, its exchange reused by every level's lookup
+    index = cell_index(_prepared(polys, code_col, name_col), tile)
+    out, hits = points.alias("p"), []
+    for k in range(LEVELS):
+        side = tile * FAN ** (LEVELS - 1 - k)
+        at = F.when(usable, F.struct(F.lit(k).alias("level"), _cell(px, side).alias("ix"), _cell(py, side).alias("iy")))
+        out = out.join(index.alias(f"i{k}"), at == F.col(f"i{k}.key"), "left")
+        found = F.filter(F.col(f"i{k}.here"), lambda p: p["whole"] | strictly_within(px, py, p["edges"], p["ys"]))
+        hits.append(F.transform(F.coalesce(found, F.array()), lambda p: F.struct(p["code"].alias("code"), p["name"].alias("name"))))
+    keep = [F.col(f"p.`{c}`") for c in points.columns]
+    out = out.select(*keep, F.explode_outer(F.concat(*hits)).alias("_hit"))
+    return out.select(*points.columns, F.col("_hit.code").alias(out_code), F.col("_hit.name").alias(out_name))
 
 
 def build_mapping(points: DataFrame, polys: DataFrame, code_col: str, name_col: str,

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WS, split_blanks
 from ..functions.values import safe_double, safe_int
-from ..plans.hints import broadcast_if_small
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's: the 56 column names of the
@@ -86,7 +85,7 @@ def law_id_lookup(daily: DataFrame, station_info: DataFrame, order_col: str = "o
             .groupBy("STN_ID").agg(F.max_by("LAW_ID", order_col).alias("LAW_ID")))
     stn = safe_int(F.col("STN"))
     d = daily.withColumn("_stn", stn)
-    return (d.join(broadcast_if_small(info), d["_stn"] == info["STN_ID"], "left")
+    return (d.join(info, d["_stn"] == info["STN_ID"], "left")
              .drop("_stn", "STN_ID"))
 
 

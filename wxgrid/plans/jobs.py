@@ -298,8 +298,8 @@ def coverage_job(spark: SparkSession, tables_glob: str, station_info_path: str |
     t = {name: spark.read.parquet(os.path.join(out_dir, name)) for name in tables}
     # Per-year report sections, rendered and written by Spark.
     sections = [
-        W.markdown_by_key(coverage.per_station_report(t["per_station"]).drop("_rn"), "year",
-                          ["days_missing", "STN"], coverage.CAP_PER_STATION, "Per-station coverage"),
+        W.markdown_by_key(coverage.per_station_report(t["per_station"]), "year",
+                          ["days_missing", "STN"], coverage.CAP_PER_STATION, "Per-station coverage", coverage.DISPLAY),
         W.markdown_by_key(t["duplicates"], "year", ["STN", "TM"], coverage.CAP_DETAIL, "Duplicate (STN, TM)"),
         W.markdown_by_key(t["out_of_range"], "year", ["STN", "TM"], coverage.CAP_DETAIL, "Out-of-range dates"),
         W.markdown_by_key(t["churn"], "year", ["change", "STN"], coverage.CAP_CHURN, "Station changes"),

@@ -227,17 +227,47 @@ SELECT page_id, CAST(length(html) AS BIGINT) AS total_chars, CAST(len(lines) AS
   CASE WHEN len(lines) > 30 THEN array_to_string(list_slice(lines, len(lines) - 29, len(lines)), chr(10)) ELSE '' END AS tail
 FROM p"""
 
+#: Responses of LANDED with the reason that each fault must get.
+LANDED = """li AS (
+  SELECT l_orderkey AS k, l_quantity AS q, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem
+  WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity)),
+ord AS (SELECT k, any_value(n) AS n, string_agg(CAST(q AS VARCHAR), ', ' ORDER BY i) AS vals FROM li GROUP BY k),
+f AS (SELECT *, k // 26 AS day, k % 26 AS h, CASE WHEN (k // 26) % 3 <> 0 THEN k % 29 ELSE -1 END AS fault FROM ord),
+land AS (SELECT *, CASE WHEN day % 2 = 0 THEN 'ta' ELSE 'rn_60m' END AS var, strftime(DATE '2024-01-01' + CAST(day AS INTEGER), '%Y%m%d') AS date,
+  '# c' || chr(10) || n || ' 1' || chr(10) || vals AS plain,
+  CASE WHEN fault IN (0, 1) THEN 'error_response' WHEN fault = 2 THEN 'empty' WHEN fault = 3 THEN 'too_few_values' WHEN fault = 4 THEN 'count_mismatch'
+       WHEN fault = 5 THEN 'non_finite_header' WHEN fault = 6 OR h > 23 THEN 'off_schedule_time' END AS reason FROM f),
+st AS (SELECT date, var, list(DISTINCT h) FILTER (WHERE reason IS NULL) AS ok FROM land GROUP BY date, var),
+mi AS (SELECT date, var, coalesce(list_sort(ok), []) AS ok, list_filter(range(0, 24), lambda x: NOT list_contains(coalesce(ok, []), x)) AS miss FROM st)"""
+
+SQL_INGEST_PUBLISHED = f"""WITH {LANDED}
+SELECT li.i AS grid_idx, l.date, l.var, CAST(l.h AS INTEGER) AS hour, round(CAST(li.q AS DOUBLE), {R}) AS value
+FROM land l JOIN mi ON mi.date = l.date AND mi.var = l.var AND len(miss) = 0 JOIN li ON li.k = l.k WHERE l.reason IS NULL"""
+
+SQL_INGEST_STATUS = f"""WITH {LANDED}
+SELECT date, var, len(miss) = 0 AS complete, array_to_string(miss, ',') AS missing_hours, array_to_string(ok, ',') AS value_hours FROM mi"""
+
+SQL_INGEST_QUARANTINE = f"""WITH {LANDED},
+t AS (SELECT *, CASE fault WHEN 0 THEN '<html>' || plain WHEN 1 THEN ' ' || chr(10) WHEN 2 THEN '# c' || chr(10) WHEN 4 THEN plain || ', 7'
+                 WHEN 5 THEN 'nan ' || vals || ', 8' ELSE plain END AS text FROM land WHERE reason IS NOT NULL)
+SELECT date || lpad(CAST(h AS VARCHAR), 2, '0') || CASE WHEN fault = 6 THEN '30' ELSE '00' END AS tm, var, date, CAST(h AS INTEGER) AS hour, 'ERROR' AS level, reason,
+  substr(replace(text, chr(10), ' '), 1, 500) AS preview, rtrim(text, chr(10)) AS head, '' AS tail, length(text) AS total_chars,
+  len(string_split(rtrim(text, chr(10)), chr(10))) AS total_lines
+FROM t
+UNION ALL
+SELECT date || '----', var, date, NULL, 'ERROR', 'missing_hours=' || array_to_string(miss, ','), NULL, NULL, NULL, NULL, NULL FROM mi WHERE len(miss) > 0"""
+
 # -- mapping / geometry ------------------------------------------------------
 
 MAP_SIDES = """hjd AS (
-  SELECT c_custkey AS grid_idx, 33.0::DOUBLE + (c_custkey % 100) * 0.05::DOUBLE AS lat,
+  SELECT CASE WHEN c_custkey % 3 = 0 THEN -c_custkey - 1 ELSE c_custkey END AS grid_idx, 33.0::DOUBLE + (c_custkey % 100) * 0.05::DOUBLE AS lat,
          124.0::DOUBLE + (c_custkey % 77) * 0.05::DOUBLE AS lon,
          CASE WHEN c_acctbal < 0 THEN NULL ELSE lpad(CAST(c_nationkey AS VARCHAR), 2, '0') END AS HJD_CD,
          c_name AS HJD_NM
-  FROM customer WHERE c_custkey % 3 <> 0),
+  FROM customer),
 bjd AS (
-  SELECT c_custkey AS grid_idx, c_mktsegment AS EMD_CD, lower(c_mktsegment) AS EMD_NM
-  FROM customer WHERE c_custkey % 4 <> 0),
+  SELECT CASE WHEN c_custkey % 4 = 0 THEN c_custkey + 1000000000 ELSE c_custkey END AS grid_idx, c_mktsegment AS EMD_CD, lower(c_mktsegment) AS EMD_NM
+  FROM customer),
 uni AS (
   SELECT coalesce(h.grid_idx, b.grid_idx) AS grid_idx, h.lat, h.lon, h.HJD_CD, h.HJD_NM, b.EMD_CD, b.EMD_NM
   FROM hjd h FULL OUTER JOIN bjd b ON h.grid_idx = b.grid_idx)"""
@@ -280,7 +310,12 @@ POLY_EDGES = """verts AS (
     (0, -0.2, -0.2), (1, -0.1, -0.2), (2, -0.1, -0.1), (3, -0.2, -0.1)) v(k, x, y)
   UNION ALL SELECT r_name, lower(r_name), 0, 0, r_regionkey * 0.1 - 0.25 - 0.1, -0.1 FROM region
   UNION ALL SELECT r_name, lower(r_name), 0, 1, r_regionkey * 0.1 - 0.25 + 0.1, -0.1 FROM region
-  UNION ALL SELECT r_name, lower(r_name), 0, 2, r_regionkey * 0.1 - 0.25, 0.15 FROM region),
+  UNION ALL SELECT r_name, lower(r_name), 0, 2, r_regionkey * 0.1 - 0.25, 0.15 FROM region
+  UNION ALL SELECT c, m, 0, i, -0.4::DOUBLE + 0.8::DOUBLE * i / n, CASE WHEN i % 2 = 0 THEN 0.11 ELSE 0.19 END
+    FROM (SELECT max(s_suppkey) * 5 AS n, unnest(range(0, max(s_suppkey) * 5 + 1)) AS i FROM supplier), (VALUES ('SAW', 'saw'), ('HOL', 'holed saw')) x(c, m)
+  UNION ALL SELECT c, m, 0, 1000000000 + k, px, -0.35 FROM (VALUES ('SAW', 'saw'), ('HOL', 'holed saw')) x(c, m), (VALUES (0, 0.4), (1, -0.4)) v(k, px)
+  UNION ALL SELECT 'HOL', 'holed saw', 1, v.* FROM (VALUES
+    (0, -0.38, -0.01), (1, 0.38, -0.01), (2, 0.38, 0.0123), (3, -0.38, 0.0123)) v(k, x, y)),
 edges AS (
   SELECT code, name, x AS x1, y AS y1,
     coalesce(lead(x) OVER w, first_value(x) OVER w) AS x2,
@@ -344,8 +379,8 @@ last AS (SELECT STN_ID, arg_max(LAW_ID, ord) AS LAW_ID FROM dim GROUP BY STN_ID)
 SELECT d.STN, d.TM, d.file_year, d.ord, l.LAW_ID FROM daily d LEFT JOIN last l ON d.STN = l.STN_ID"""
 
 KEYS = """k AS (
-  SELECT file_year AS year, STN AS stn, ord,
-         CASE WHEN regexp_matches(CAST(TM AS VARCHAR), '^[0-9]{8}$') THEN try_strptime(CAST(TM AS VARCHAR), '%Y%m%d')::DATE END AS tm
+  SELECT file_year AS year, CASE WHEN ord % 89 <> 0 THEN STN END AS stn, ord,
+         CASE WHEN ord % 83 <> 0 AND ord % 79 <> 0 THEN try_strptime(CAST(TM AS VARCHAR), '%Y%m%d')::DATE END AS tm
   FROM daily)"""
 
 PER_STATION = """pres AS (SELECT DISTINCT year, stn, tm FROM k WHERE stn IS NOT NULL AND tm IS NOT NULL),
@@ -402,8 +437,8 @@ ch AS (
 SELECT ch.stn AS STN, ch.year, ch.change, stn.LAW_ID, stn.LAW_NM FROM ch LEFT JOIN stn ON ch.stn = stn.STN_ID"""
 
 SQL_TOP = f"""WITH {DAILY}, {KEYS}, {DUPS}
-SELECT year, STN, strftime(TM, '%Y-%m-%d') AS TM FROM dup
-QUALIFY row_number() OVER (PARTITION BY year ORDER BY STN, TM) <= 100"""
+SELECT year, STN, strftime(TM, '%Y-%m-%d') AS TM, rank, rank <= 100 AS shown
+FROM (SELECT *, row_number() OVER (PARTITION BY year ORDER BY STN, TM) AS rank FROM dup)"""
 
 
 # -- summaries and report tables ----------------------------------------------
@@ -423,14 +458,13 @@ days AS ({_month_days('od')}),
 exp AS (SELECT date, var FROM days, {_vars_values()}),
 miss AS (SELECT date, var FROM exp EXCEPT SELECT date, var FROM od),
 per AS (SELECT date, array_to_string(list_sort(list(var)), ',') AS missing_vars FROM miss GROUP BY date)
-SELECT date, missing_vars, count(*) OVER () AS total_skipped FROM per
-QUALIFY row_number() OVER (ORDER BY date) <= 30"""
+SELECT date, missing_vars, count(*) OVER () AS total_skipped, row_number() OVER (ORDER BY date) AS rank,
+  row_number() OVER (ORDER BY date) <= 30 AS shown FROM per"""
 
 SQL_PER_STATION_REPORT = f"""WITH {DAILY}, {STN}, {KEYS}, {PER_STATION}
 SELECT year, STN, coalesce(LAW_ID, '') AS LAW_ID, coalesce(LAW_NM, '') AS LAW_NM,
-  days_present, days_expected, days_missing, missing_sample
-FROM psi
-QUALIFY row_number() OVER (PARTITION BY year ORDER BY days_missing, STN) <= 2000"""
+  days_present, days_expected, days_missing, missing_sample, rank, rank <= 2000 AS shown
+FROM (SELECT *, row_number() OVER (PARTITION BY year ORDER BY days_missing, STN) AS rank FROM psi)"""
 
 SQL_FILE_YEARS = f"""WITH {DAILY}
 SELECT DISTINCT printf('weather_data_stn%d_%d.csv', STN, file_year) AS name, file_year AS year FROM daily"""
@@ -468,6 +502,9 @@ def oracle() -> dict:
         "todo_days": SQL_TODO,
         "error_responses": SQL_ERRORS,
         "parse_tokens": SQL_PARSE_TOKENS,
+        "ingest_published": SQL_INGEST_PUBLISHED,
+        "ingest_status": SQL_INGEST_STATUS,
+        "ingest_quarantine": SQL_INGEST_QUARANTINE,
         "response_preview": SQL_PREVIEW,
         "mapping_profile": SQL_PROFILE,
         "region_density": SQL_DENSITY,

@@ -17,7 +17,6 @@ from ..functions import text as T
 from ..functions.values import clean_sentinel
 from ..functions.dates import year_from_filename
 from ..operators import coverage, gates, ingest, regional, spatial, stations
-from ..plans.hints import broadcast_if_small
 from ..sinks import writers
 from ..sources import adapters as A
 
@@ -79,7 +78,7 @@ def _named_mapping(spark: SparkSession, sf: str) -> DataFrame:
     so some codes carry two names (the lookup fans out)."""
     c = A.table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     n = A.table(spark, sf, "nation").select("n_nationkey", "n_name")
-    j = c.join(broadcast_if_small(n), c.c_nationkey == n.n_nationkey, "left")
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     return j.select(
         F.col("c_custkey").alias("grid_idx"),
         F.when(F.col("c_acctbal") < 0, F.lit(None))
@@ -160,6 +159,30 @@ def parse_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ingest.to_long(valid, extra=("resp_id",)).select("resp_id", "grid_idx", "value"))
 
 
+def _staged(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest.staged(ingest.validate(A.landed(spark, sf), F.col("expected_n")))
+
+
+def ingest_published(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings of complete days, as the ingest publishes them from staging."""
+    rows = _staged(spark, sf)
+    complete = ingest.staged_status(rows, ALL_VARS).where("complete").select("date", "var")
+    good = rows.where(F.col("grid_idx").isNotNull()).join(complete, ["date", "var"], "left_semi")
+    return rounded(good.select("grid_idx", "date", "var", "hour", "value"))
+
+
+def ingest_status(spark: SparkSession, sf: str) -> DataFrame:
+    """The manifest rows of an ingest: completeness and hours of every day."""
+    s = ingest.staged_status(_staged(spark, sf), ALL_VARS)
+    return s.select("date", "var", "complete", "missing_hours", F.concat_ws(",", F.transform("value_hours", lambda h: h.cast("string"))).alias("value_hours"))
+
+
+def ingest_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected responses of every kind, and the days they leave incomplete."""
+    rows = _staged(spark, sf)
+    return ingest.quarantine(rows, ingest.staged_status(rows, ALL_VARS)).drop("logged_at")
+
+
 def response_preview(spark: SparkSession, sf: str) -> DataFrame:
     p = A.table(spark, sf, "pages")
     lines = T.split_lines(F.col("html"))
@@ -177,13 +200,16 @@ def _map_sides(spark: SparkSession, sf: str):
     c = A.table(spark, sf, "customer")
     lat = (F.lit(33.0) + (F.col("c_custkey") % 100) * F.lit(0.05)).alias("lat")
     lon = (F.lit(124.0) + (F.col("c_custkey") % 77) * F.lit(0.05)).alias("lon")
-    hjd = c.where(F.col("c_custkey") % 3 != 0).select(
-        F.col("c_custkey").alias("grid_idx"), lat, lon,
+    # every customer is a cell on both sides; a third (quarter) of them has a
+    # cell id of its own on one side, so that some cells are in one system only
+    k = F.col("c_custkey")
+    hjd = c.select(
+        F.when(k % 3 == 0, -k - 1).otherwise(k).alias("grid_idx"), lat, lon,
         F.when(F.col("c_acctbal") < 0, F.lit(None))
          .otherwise(F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("HJD_CD"),
         F.col("c_name").alias("HJD_NM"))
-    bjd = c.where(F.col("c_custkey") % 4 != 0).select(
-        F.col("c_custkey").alias("grid_idx"), lat, lon,
+    bjd = c.select(
+        F.when(k % 4 == 0, k + 1_000_000_000).otherwise(k).alias("grid_idx"), lat, lon,
         F.col("c_mktsegment").alias("EMD_CD"), F.lower("c_mktsegment").alias("EMD_NM"))
     return hjd, bjd
 
@@ -231,7 +257,8 @@ def grid_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _test_polygons(spark: SparkSession, sf: str) -> DataFrame:
-    """A triangle, a square with a hole, and one triangle per region row."""
+    """A triangle, a square with a hole, one triangle per region row, and two
+    large overlapping polygons of 5 teeth per supplier, one with a hole."""
     def ring(pts):
         return F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in pts])
     base = spark.range(1).select(
@@ -249,13 +276,23 @@ def _test_polygons(spark: SparkSession, sf: str) -> DataFrame:
     tri = reg.select(F.col("r_name").alias("code"), F.lower("r_name").alias("name"),
                      F.array(F.array(pt(cx - F.lit(0.1), F.lit(-0.1)), pt(cx + F.lit(0.1), F.lit(-0.1)),
                                      pt(cx, F.lit(0.15)))).alias("rings"))
-    return spatial.union_layers([base, sq, tri])
+    # two large polygons that overlap all others: a saw of many teeth
+    # above, and the same with the band below its middle as a hole
+    sup = A.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"))
+    n = sup.agg(F.max("k").alias("n"))   # one row
+    teeth = n.withColumn("p", F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") * 5), lambda i: pt(
+        F.lit(-0.4) + F.lit(0.8) * i / (F.col("n") * 5), F.when(i % 2 == 0, F.lit(0.11)).otherwise(F.lit(0.19)))))
+    closing = F.array(pt(F.lit(0.4), F.lit(-0.35)), pt(F.lit(-0.4), F.lit(-0.35)))
+    hole = F.array(pt(F.lit(-0.38), F.lit(-0.01)), pt(F.lit(0.38), F.lit(-0.01)), pt(F.lit(0.38), F.lit(0.0123)), pt(F.lit(-0.38), F.lit(0.0123)))
+    saw = teeth.select(F.lit("SAW").alias("code"), F.lit("saw").alias("name"), F.array(F.concat("p", closing)).alias("rings"))
+    holed = teeth.select(F.lit("HOL").alias("code"), F.lit("holed saw").alias("name"), F.array(F.concat("p", closing), hole).alias("rings"))
+    return spatial.union_layers([base, sq, tri, saw, holed])
 
 
 def points_in_polygons(spark: SparkSession, sf: str) -> DataFrame:
     pts = A.points(spark, sf)
     polys = _test_polygons(spark, sf)
-    out = spatial.points_in_polygons(pts, polys, "code", "name", x_col="x", y_col="y", id_col="pid")
+    out = spatial.points_in_polygons(pts, polys, "code", "name", x_col="x", y_col="y")
     return rounded(out)
 
 
@@ -324,7 +361,11 @@ def station_law_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _keys(spark: SparkSession, sf: str) -> DataFrame:
-    return coverage.clean_keys(A.daily(spark, sf), "file_year")
+    """Station days with some stations unknown and some dates invalid."""
+    d = A.daily(spark, sf)
+    bad = d.withColumn("STN", F.when(F.col("ord") % 89 == 0, F.lit(None)).otherwise(F.col("STN"))) \
+           .withColumn("TM", F.when(F.col("ord") % 83 == 0, F.lit(None)).when(F.col("ord") % 79 == 0, F.lit(19950230)).otherwise(F.col("TM")))
+    return coverage.clean_keys(bad, "file_year")
 
 
 def _dates_as_text(df: DataFrame) -> DataFrame:
@@ -406,6 +447,9 @@ def registry() -> dict:
         "todo_days": todo_days,
         "error_responses": error_responses,
         "parse_tokens": parse_tokens,
+        "ingest_published": ingest_published,
+        "ingest_status": ingest_status,
+        "ingest_quarantine": ingest_quarantine,
         "response_preview": response_preview,
         "mapping_profile": mapping_profile,
         "region_density": region_density,

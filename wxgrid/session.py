@@ -35,6 +35,9 @@ DEFAULT_CONF = {
 CLUSTER_CONF = {
     **DEFAULT_CONF,
     "spark.sql.shuffle.partitions": "8000",
+    # the grid -> region mapping of mapped cells is about 15 MB: broadcast by
+    # its measured size, so that readings are never shuffled to meet it
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

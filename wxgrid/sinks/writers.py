@@ -91,23 +91,29 @@ def failure_summary(status: DataFrame) -> DataFrame:
         F.array_join(F.array_sort(F.collect_list(F.when(~F.col("complete"), F.col("var")))), ",").alias("failed"))
 
 
-def markdown_by_key(df: DataFrame, key: str, order, cap: int, title: str) -> DataFrame:
+def markdown_by_key(df: DataFrame, key: str, order, cap: int, title: str, labels: dict | None = None) -> DataFrame:
     """(key, text): one markdown table per key value, rendered in Spark.
 
-    Rows are capped per key first (the report's own limit), turned into
-    ``| a | b |`` lines, and joined in order -- a group holds at most
-    ``cap`` short lines, and nothing goes through the driver.
+    A table shows the first ``cap`` rows of its key and says how many of how
+    many those are; ``labels`` renames columns for display.  A group that is
+    joined to text holds at most ``cap`` short lines; rows beyond are only
+    counted, and nothing goes through the driver.
     """
-    cols = [c for c in df.columns if c != key]
-    w = Window.partitionBy(key).orderBy(*order)
+    cols = [c for c in df.columns if c not in (key, "rank", "shown")]
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
     line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
-    ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
-    header = "| " + " | ".join(cols) + " |\n| " + " | ".join("---" for _ in cols) + " |\n"
+    if "rank" in df.columns:
+        ranked = df.withColumnRenamed("rank", "_rn")
+    else:
+        ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    names = [(labels or {}).get(c, c) for c in cols]
+    header = "| " + " | ".join(names) + " |\n| " + " | ".join("---" for _ in cols) + " |\n"
+    shown = F.when(F.col("_rn") <= cap, F.struct("_rn", line.alias("l")))
     body = ranked.groupBy(key).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", line.alias("l")))),
-                                 lambda x: x["l"]), "\n").alias("_body"))
-    return body.select(key, F.concat(F.lit(f"## {title}\n\n{header}"), F.col("_body"), F.lit("\n")).alias("text"))
+        F.array_join(F.transform(F.array_sort(F.collect_list(shown)), lambda x: x["l"]), "\n").alias("_body"),
+        F.count(F.lit(1)).alias("_all"))
+    total = F.when(F.col("_all") > cap, F.concat(F.lit(f"\n{cap} of "), F.col("_all").cast("string"), F.lit(" rows\n"))).otherwise(F.lit(""))
+    return body.select(key, F.concat(F.lit(f"## {title}\n\n{header}"), F.col("_body"), F.lit("\n"), total).alias("text"))
 
 
 def write_reports(reports: DataFrame, root: str, key: str = "year") -> None:

@@ -11,6 +11,7 @@ formula on both sides.
 * STN   nation          -> station dimension (STN_ID, LAW_ID, LAW_NM)
 * POINTS embeddings     -> points (pid, x, y)
 * RESP  lineitem        -> raw grid responses, one text per order
+* LANDED RESP           -> responses of days, with every kind of fault
 """
 
 from __future__ import annotations
@@ -106,3 +107,25 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n").alias("expected_n"),
         F.concat(F.lit("# c\n"), F.col("n").cast("string"), F.lit(" 1\n"), body).alias("text"),
     )
+
+
+#: Responses per day of LANDED: the 24 hours and two that no day has.
+PER_DAY = 26
+
+
+def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(var, tm, text, expected_n): ``PER_DAY`` orders are a day of one
+    variable.  Two days of three hold faulty responses: an error page, a blank
+    one, one without numbers, too few values, a value too many, a header that
+    is not finite, a time between the hours.  Orders without lines leave gaps."""
+    r = responses(spark, sf_dir)
+    k, text = F.col("resp_id"), F.col("text")
+    day, hour = F.floor(k / PER_DAY), k % PER_DAY
+    fault = F.when(day % 3 != 0, k % 29).otherwise(F.lit(-1))
+    body = (F.when(fault == 0, F.concat(F.lit("<html>"), text)).when(fault == 1, F.lit(" \n")).when(fault == 2, F.lit("# c\n"))
+             .when(fault == 4, F.concat(text, F.lit(", 7"))).when(fault == 5, F.concat(F.lit("nan "), F.substring_index(text, "\n", -1), F.lit(", 8"))).otherwise(text))
+    return r.select(
+        F.when(day % 2 == 0, F.lit("ta")).otherwise(F.lit("rn_60m")).alias("var"),
+        F.concat(F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), day.cast("int")), "yyyyMMdd"), F.lpad(hour.cast("string"), 2, "0"),
+                 F.when(fault == 6, F.lit("30")).otherwise(F.lit("00"))).alias("tm"),
+        body.alias("text"), (F.col("expected_n") + F.when(fault == 3, 3).otherwise(0)).alias("expected_n"))
