@@ -316,9 +316,11 @@ def together(docs: DataFrame, text: str) -> DataFrame:
 def encode(docs: DataFrame, tokenizer: str, *, text: str = "text", keep: list[str] | None = None, ids: bool = False) -> DataFrame:
     """The columns ``keep`` of ``docs`` (default: all but the text) with
     ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked for, the
-    ``token_ids`` themselves.  ``tokenizer``: path of a tokenizers file."""
+    ``token_ids`` themselves; these take the place of columns of their names.
+    ``tokenizer``: path of a tokenizers file."""
     spark = docs.sparkSession
     keep = [c for c in docs.columns if c != text] if keep is None else keep
+    keep = [c for c in keep if c.lower() not in (*OUT, *["token_ids"] * ids)]
     with open(tokenizer, encoding="utf-8") as f:
         sent = spark.sparkContext.broadcast(f.read())  # one vocabulary file of fixed size
     rows = together(docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(keep)], F.col(text).alias("__text")), "__text")

@@ -347,10 +347,16 @@ def toxic_spans(tokens: Tokens, p: np.ndarray, offsets: np.ndarray) -> list[list
 
 def tag(docs: DataFrame, model: Model | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (default: all) with ``toxic_score`` and
-    ``toxic_spans``."""
+    ``toxic_spans``, which take the place of columns of these names."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("toxic_score", "toxic_spans")]
+    out = _tagged(docs, model, text, keep)
+    return out.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], "toxic_score", "toxic_spans")
+
+
+def _tagged(docs: DataFrame, model: Model | None, text: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` as ``__k0``, ``__k1`` ..., toxic_score, toxic_spans."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    keep = docs.columns if keep is None else keep
     rows = docs.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)], F.col(text).alias("__text"))
     sent = spark.sparkContext.broadcast(model)
     names = [f"__k{i}" for i in range(len(keep))]
@@ -372,8 +378,7 @@ def tag(docs: DataFrame, model: Model | None, text: str = "text", keep: list[str
                                                  names=names + ["toxic_score", "toxic_spans"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
-    out = rows.mapInArrow(run, schema + ", toxic_score double, toxic_spans array<struct<byte_from:int,byte_to:int>>")
-    return out.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], "toxic_score", "toxic_spans")
+    return rows.mapInArrow(run, schema + ", toxic_score double, toxic_spans array<struct<byte_from:int,byte_to:int>>")
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -384,5 +389,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents scored below one half, with their own columns."""
-    out = tag(docs, train(docs, labels))
-    return out.where(F.col("toxic_score") < 0.5).select(*docs.columns)
+    out = _tagged(docs, train(docs, labels), "text", docs.columns)
+    return out.where(F.col("toxic_score") < 0.5).select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(docs.columns)])
