@@ -19,7 +19,9 @@ per query.
 Defined cases: vectors that are null, zero, of another length than most, or
 hold null or non-finite components take no part, nor do rows without an id;
 rows that repeat id and vector count once; a query never finds its own id;
-equal scores go to the smaller id; other columns are not read.
+rows of one id with different vectors are all searched for and found under it,
+and their neighbours ranked together; scores beyond the double range are
+infinite; equal scores go to the smaller id; other columns are not read.
 """
 
 from __future__ import annotations
@@ -46,24 +48,28 @@ def directions(dim: int) -> np.ndarray:
 
 
 class Index:
-    """Sorted projections of one data block."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, most: float):
-        self.ids, self.x, self.most = ids, vectors, most
-        extra = np.sqrt(np.maximum(most * most - (vectors * vectors).sum(axis=1), 0))
-        unit = np.c_[vectors, extra] / most
+    """Sorted projections of one data block.  ``scale``: the largest component
+    of all vectors; the search works on vectors divided by it, so that no
+    square of a finite vector overflows.  ``most``: their largest norm."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, scale: float, most: float):
+        self.ids, self.raw, self.x, self.most = ids, vectors, vectors / scale, most
+        extra = np.sqrt(np.maximum(most * most - (self.x * self.x).sum(axis=1), 0))
+        unit = np.c_[self.x, extra] / most
         self.dirs = directions(unit.shape[1])
         p = unit @ self.dirs
         self.order = np.argsort(p, axis=0).T.copy()
         self.sorted = np.sort(p, axis=0).T.copy()
 
     def nearest(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        n, norm = len(self.ids), np.linalg.norm(q)
+        n = len(self.ids)
+        unit = q / np.abs(q).max()
+        unit /= np.linalg.norm(unit)
         own = self.ids == query_id
         wanted = min(k, n - int(own.sum()))
         if wanted == 0:
             return np.zeros(0, np.int64), np.zeros(0)
-        at = (np.append(q, 0.0) / norm) @ self.dirs
+        at = np.append(unit, 0.0) @ self.dirs
         need = int(np.ceil(SHARE * PROJECTIONS))
         sure = SHARE + MARGIN * np.sqrt(SHARE * (1 - SHARE) / PROJECTIONS)
         reach = NormalDist().inv_cdf((1 + sure) / 2)
@@ -83,7 +89,7 @@ class Index:
             counts += np.bincount(np.concatenate(fresh), minlength=n)
             todo = np.flatnonzero((counts >= need) & open_)
             if len(todo):
-                score[todo] = self.x[todo] @ q
+                score[todo] = self.x[todo] @ unit
                 open_[todo] = False
                 top = np.concatenate([top, score[todo]])
                 if len(top) > wanted:
@@ -91,13 +97,16 @@ class Index:
             all_in = not open_.any()
             if len(top) >= wanted:
                 kth = top.min()
-                distance = np.sqrt(max(0.0, 2 - 2 * kth / (norm * self.most)))
+                distance = np.sqrt(max(0.0, 2 - 2 * kth / self.most))
                 if all_in or distance <= width / reach:
                     break
             width *= GROWTH
         # equal vectors must get equal scores: the last sums row by row
-        best = np.flatnonzero(score >= kth - 1e-9 * norm * self.most)
-        exact = np.einsum("ij,j->i", self.x[best], q)
+        best = np.flatnonzero(score >= kth - 1e-9 * self.most)
+        with np.errstate(over="ignore", invalid="ignore"):
+            exact = np.einsum("ij,j->i", self.raw[best], q)
+        lost = np.isnan(exact)  # sums that overflow both ways: by their sign
+        exact[lost] = np.where(score[best][lost] > 0, np.inf, -np.inf)
         top = np.lexsort((self.ids[best], -exact))[:wanted]
         return self.ids[best[top]], exact[top]
 
@@ -105,7 +114,7 @@ class Index:
 RESULT = "query_id long, vec_id long, score double"
 
 
-def _search(most: float, k: int):
+def _search(scale: float, most: float, k: int):
     def run(group: pa.Table) -> pa.Table:
         ids = group["vec_id"].to_numpy()
         x = group["v"].combine_chunks()
@@ -113,7 +122,7 @@ def _search(most: float, k: int):
         query = group["is_query"].to_numpy()
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if query.any() and not query.all():
-            index = Index(ids[~query], x[~query], most)
+            index = Index(ids[~query], x[~query], scale, most)
             for q, v in zip(ids[query], x[query]):
                 found, score = index.nearest(int(q), v, k)
                 out.append((np.full(len(found), q), found, score))
@@ -137,8 +146,10 @@ def nearest(rows: DataFrame, is_query, k: int = 20, *, vec_id: str = "vec_id", v
     """(query_id, rank, vec_id, score): the k nearest found for every usable
     row that ``is_query`` (a condition on ``vec_id``) selects."""
     data = usable(rows, vec_id, vector)
-    n, n_query, most = data.agg(F.count("*"), F.count(F.when(is_query, 1)),
-                                F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    n, n_query, scale = data.agg(F.count("*"), F.count(F.when(is_query, 1)), F.max(largest)).first()
+    scale = float(scale or 1.0)
+    most = data.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / scale) * (x / scale))))).first()[0]
     blocks, query_blocks = max(1, -(-n // BLOCK_ROWS)), max(1, -(-n_query // QUERY_ROWS))
     deal = F.xxhash64("vec_id")
     base = data.withColumn("b", F.pmod(deal, F.lit(blocks)).cast("int"))
@@ -147,7 +158,7 @@ def nearest(rows: DataFrame, is_query, k: int = 20, *, vec_id: str = "vec_id", v
     side = base.select("vec_id", "v", F.lit(False).alias("is_query"), "b", every(query_blocks).alias("q"))
     queries = data.where(is_query).select("vec_id", "v", F.lit(True).alias("is_query"), every(blocks).alias("b"),
                                           F.pmod(deal, F.lit(query_blocks)).cast("int").alias("q"))
-    found = side.unionByName(queries).groupBy("b", "q").applyInArrow(_search(float(most or 1.0), k), RESULT)
+    found = side.unionByName(queries).groupBy("b", "q").applyInArrow(_search(scale, float(most or 1.0), k), RESULT)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
