@@ -157,3 +157,16 @@ def test_index_is_lazy_and_levels_agree(spark, monkeypatch):
     before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
     spatial.points_in_polygons(sdf, pdf, "code", "name", x_col="x", y_col="y")
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == len(before)   # planning starts no job
+
+
+def test_columns_found_by_candidate_name(spark, tmp_path):
+    import pytest
+
+    from wxgrid.catalogue import find_name
+    from wxgrid.sources.readers import read_polygons
+    assert find_name(["b", "Adm_Cd", "ADM_CD"], ["adm_nm", "ADM_CD"]) == "ADM_CD"
+    assert find_name(["b", "Adm_Cd"], ["adm_nm", "adm_cd"]) == "Adm_Cd" and find_name(["b"], ["a"]) is None
+    spark.createDataFrame([("1", [[(0.0, 0.0), (1.0, 0.0), (0.0, 1.0)]])], f"Adm_Cd string, rings {RING}").write.parquet(str(tmp_path / "layer"))
+    with pytest.warns(UserWarning, match="no column for NM"):
+        df = read_polygons(spark, str(tmp_path / "layer"), ["adm_cd"], ["adm_nm"], "CD", "NM")
+    assert [tuple(r) for r in df.select("CD", "NM").collect()] == [("1", None)]

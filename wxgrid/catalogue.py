@@ -89,13 +89,18 @@ def ordered_slot_columns(variables) -> list[str]:
     return ordered
 
 
+def find_name(columns, candidates) -> str | None:
+    """The first candidate among ``columns``: as it is written, else without
+    regard to case; ``None`` if there is none."""
+    exact = [c for c in candidates if c in columns]
+    lower = {c.lower(): c for c in reversed(list(columns))}
+    loose = [lower[c.lower()] for c in candidates if c.lower() in lower]
+    return next(iter([*exact, *loose]), None)
+
+
 def region_id_columns(columns) -> list[str]:
     """Region key columns of a mapping: both systems, or whichever exists."""
-    cols = set(columns)
-    if HJD_CD in cols and EMD_CD in cols:
-        return [HJD_CD, EMD_CD]
-    if HJD_CD in cols:
-        return [HJD_CD]
-    if EMD_CD in cols:
-        return [EMD_CD]
-    raise ValueError("mapping has no region code column (HJD_CD or EMD_CD)")
+    found = [c for c in (HJD_CD, EMD_CD) if c in columns]
+    if not found:
+        raise ValueError("mapping has no region code column (HJD_CD or EMD_CD)")
+    return found

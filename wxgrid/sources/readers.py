@@ -13,12 +13,14 @@ DataFrame; paths are directories or globs on the cluster's shared storage.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from ..catalogue import find_name
 from ..functions.dates import year_from_filename
 
 # ---------------------------------------------------------------------------
@@ -113,15 +115,18 @@ def read_polygons(spark: SparkSession, paths, code_candidates, name_candidates,
     """Union of polygon layers (parquet: code/name columns + ``rings``).
 
     The code and name columns are found by candidate names (first present
-    wins); a layer without one gets a NULL column.
+    wins, exact spelling before other case); a layer without one gets a NULL
+    column and a warning.
     """
     if isinstance(paths, str):
         paths = [paths]
     layers = []
     for p in paths:
         df = spark.read.parquet(p)
-        code = next((c for c in code_candidates if c in df.columns), None)
-        name = next((c for c in name_candidates if c in df.columns), None)
+        code, name = find_name(df.columns, code_candidates), find_name(df.columns, name_candidates)
+        for what, column, tried in ((code_out, code, code_candidates), (name_out, name, name_candidates)):
+            if column is None:
+                warnings.warn(f"{p}: no column for {what} (tried {', '.join(tried)}); it is NULL", stacklevel=2)
         layers.append(df.select(
             (F.col(code) if code else F.lit(None)).cast("string").alias(code_out),
             (F.col(name) if name else F.lit(None)).cast("string").alias(name_out),
