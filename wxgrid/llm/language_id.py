@@ -17,7 +17,7 @@ repeated rows are answered alike; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,7 @@ DIM = 1024
 SEED = 20_231
 GROUP_DOCS = 128
 GROUP_BYTES = 400_000
+GRAM_BLOCK = 16_384
 
 
 @cache
@@ -39,7 +40,7 @@ def letter_table() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-@cache
+@lru_cache(maxsize=GRAM_BLOCK)
 def letter_vector(code: int) -> np.ndarray:
     if code == 32:
         code = 0x110000
@@ -86,10 +87,25 @@ def bundles(raw: bytes, offsets: np.ndarray) -> np.ndarray:
         which = number[code]
     else:
         grams, which = np.unique(code, return_inverse=True)
-    vec = np.stack([letter_vector(int(x)) for x in letters])
-    bound = (np.roll(vec, 2, axis=1)[grams // (k * k)] * np.roll(vec, 1, axis=1)[grams // k % k] * vec[grams % k]).astype(np.float32)
-    counts = np.bincount(doc * len(grams) + which, minlength=n * len(grams)).reshape(n, len(grams))
-    return counts.astype(np.float32) @ bound
+    # a block of 3-grams at a time, as there may be as many as letters in a text;
+    # sums of whole numbers, so blocks change nothing
+    out = np.zeros((n, DIM), np.float32)
+    order = np.argsort(which, kind="stable") if len(grams) > GRAM_BLOCK else slice(None)
+    doc, which = doc[order].astype(np.int64), which[order]
+    for start in range(0, len(grams), GRAM_BLOCK):
+        some = grams[start:start + GRAM_BLOCK]
+        x, y = np.searchsorted(which, [start, start + len(some)]) if len(grams) > GRAM_BLOCK else (0, len(which))
+        counts = np.bincount(doc[x:y] * len(some) + which[x:y] - start, minlength=n * len(some)).reshape(n, len(some))
+        out += counts.astype(np.float32) @ _bound(some // (k * k), some // k % k, some % k, letters)
+    return out
+
+
+def _bound(first: np.ndarray, second: np.ndarray, third: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """Vectors of 3-grams given by the places of their letters."""
+    used, at = np.unique(np.concatenate([first, second, third]), return_inverse=True)
+    a, b, c = at.reshape(3, -1)
+    vec = np.stack([letter_vector(int(x)) for x in letters[used]])
+    return (np.roll(vec, 2, axis=1)[a] * np.roll(vec, 1, axis=1)[b] * vec[c]).astype(np.float32)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
