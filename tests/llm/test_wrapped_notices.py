@@ -28,3 +28,17 @@ def test_wrapped_headers(spark):
     got = {r.doc_id: r for r in license_scan.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {k: got[k].families for k in expect} == expect
     assert all(got[k].families == "" and got[k].n_paragraphs == 2 for k in range(100, 150))
+
+
+def test_any_width(spark):
+    """A notice is found whole however narrow it is wrapped, also when it starts
+    behind other words of its first line."""
+    rows, expect = [], {}
+    for family in ("GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL"):
+        for width in (8, 20, 24, 32, 40, 55, 80, 100, 120):
+            lines = textwrap.wrap(HEADERS[family], width, break_long_words=False)
+            expect[len(rows)] = family
+            rows.append((len(rows), "\n".join(["before", "", *lines, "", "behind"])))
+    rows += [(k, f"ordinary words number {k}\nand of the day\n\nwith more lines\nof words") for k in range(100, 150)]
+    got = {r.doc_id: r for r in license_scan.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got[k].families for k in expect} == expect

@@ -12,7 +12,8 @@ unit below that is ``unknown``.
 Scanning runs on DataFrame functions alone.  A paragraph is a run of lines with
 words.  One with no 2-gram of any notice holding a content word has only the
 score of other text; the rest, few, are scored by units: every line, and every
-window of up to ``MAX_LINES`` neighbouring lines, as notices are often wrapped.
+window of neighbouring lines that grows until ``COVER`` words follow its first
+line: a notice of the longest kind fits in one, at whatever width it is wrapped.
 Units are exploded into grams, joined with the weights and summed per class.
 Each prediction is compared with the family's notices by the Dice coefficient
 of 2-gram sets and confirmed from ``CONFIRM`` on, or when the unit contains
@@ -41,7 +42,6 @@ MAX_SAMPLE = 1000
 MAX_SAMPLE_BYTES = 20_000
 MAX_NEGATIVE = 4000
 CALIBRATION = 0.999
-MAX_LINES = 6
 CONFIRM = 0.5
 CONTAINED = 0.8
 FAMILIES = sorted(TEMPLATES)
@@ -58,6 +58,8 @@ def _grams(words: list[str], n: int) -> list[str]:
 
 
 NOTICES = [(f, k, _words(t.replace("#", ""))) for f in FAMILIES for k, t in enumerate(TEMPLATES[f])]
+#: Words of the longest notice, and a quarter for other wordings.
+COVER = max(len(w) for _, _, w in NOTICES) * 5 // 4
 VOCABULARY = sorted({g for _, _, w in NOTICES for n in (1, 2) for g in _grams(w, n)})
 ANCHORS = sorted(g for g in VOCABULARY if " " in g and not set(g.split()) <= STOP)
 
@@ -91,13 +93,22 @@ def paragraphs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("version"), F.posexplode(split_paragraphs(F.col(text))).alias("par", "lines"))
 
 
+def _reach(sizes: Column, i: Column) -> Column:
+    """Lines of the longest window from line i (from 1) on; every line has a
+    word, so it ends within ``COVER`` lines after the first."""
+    start = F.struct(F.lit(0).alias("words"), F.lit(1).alias("n"))
+    grown = lambda a, x: F.when(a["words"] < COVER, F.struct((a["words"] + x).alias("words"), (a["n"] + 1).alias("n"))).otherwise(a)
+    return F.aggregate(F.slice(sizes, i + 1, COVER), start, grown, lambda a: a["n"])
+
+
 def units(pars: DataFrame) -> DataFrame:
     """(id, version, par, line, n, w): the words of every window of n lines from
     ``line`` on."""
     lines = F.split("lines", "\n")
+    sizes = F.transform(lines, lambda x: F.size(words(x)))
     # a window's lines alone go on, not its paragraph
-    ahead = pars.select("id", "version", "par", F.posexplode(_once(lines, lambda x: F.transform(
-        F.sequence(F.lit(1), F.size(x)), lambda i: F.slice(x, i, MAX_LINES)))).alias("line", "ahead"))
+    ahead = pars.select("id", "version", "par", F.posexplode(_once(F.struct(lines.alias("x"), sizes.alias("s")), lambda p: F.transform(
+        F.sequence(F.lit(1), F.size(p["x"])), lambda i: F.slice(p["x"], i, _reach(p["s"], i))))).alias("line", "ahead"))
     each = ahead.select("id", "version", "par", "line", F.posexplode(F.transform(
         F.sequence(F.lit(1), F.size("ahead")), lambda k: F.array_join(F.slice("ahead", 1, k), "\n"))).alias("n", "unit"))
     return each.select("id", "version", "par", "line", (F.col("n") + 1).alias("n"), words(F.col("unit")).alias("w"))
