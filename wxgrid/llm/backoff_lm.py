@@ -31,7 +31,7 @@ from . import arrowtext as A
 from .common import bounded_batches, partitions
 from .decontaminate import words_of
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 PIECE_BYTES = 4_000_000
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -157,7 +157,7 @@ def _score(order: int, blocks: int):
             level = np.where(seen, n, level)
         backoff = level < np.minimum(at + 1, order)
         return pa.table({"doc_id": texts["doc_id"], "n_words": pa.array(n_words), "n_backoff": pa.array(np.bincount(doc[backoff], minlength=n_docs)),
-                         "log10_score": pa.array(np.bincount(doc, score, n_docs), mask=n_words == 0)})
+                         "log10_score": pa.array(np.bincount(doc, score, n_docs).astype(np.float64), mask=n_words == 0)})
 
     return run
 

@@ -29,18 +29,21 @@ FROM f GROUP BY doc_id
 
 OP7 = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-t AS (SELECT r, i, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
-u1 AS (SELECT b, count(*) AS c FROM t GROUP BY b), u2 AS (SELECT a, b, count(*) AS c FROM t WHERE a IS NOT NULL GROUP BY a, b),
-o1 AS (SELECT r, b, count(*) AS c FROM t GROUP BY r, b), o2 AS (SELECT r, a, b, count(*) AS c FROM t WHERE a IS NOT NULL GROUP BY r, a, b),
-total AS (SELECT count(*) AS n FROM t),
-x AS (SELECT t.r, t.a, u1.c - o1.c AS c1, u2.c - o2.c AS c2, p1.c - q1.c AS ca, greatest((SELECT n FROM total) - len(d.w), 1) AS rest
-      FROM t JOIN d USING (r) JOIN u1 ON u1.b = t.b JOIN o1 ON o1.r = t.r AND o1.b = t.b
-      LEFT JOIN u2 ON u2.a = t.a AND u2.b = t.b LEFT JOIN o2 ON o2.r = t.r AND o2.a = t.a AND o2.b = t.b
-      LEFT JOIN u1 p1 ON p1.b = t.a LEFT JOIN o1 q1 ON q1.r = t.r AND q1.b = t.a),
-s AS (SELECT r, count(*) FILTER (WHERE a IS NOT NULL AND c2 = 0) AS n_backoff,
-      sum(CASE WHEN a IS NOT NULL AND c2 > 0 THEN log10(c2 / greatest(ca, 1))
-          ELSE log10(CASE WHEN c1 > 0 THEN c1 ELSE 0.4 END / rest) + CASE WHEN a IS NULL THEN 0 ELSE log10(0.4) END END) AS z FROM x GROUP BY r)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_backoff, 0) AS n_backoff, round(z, 4) AS log10_score, round(z / len(w), 6) AS mean_log10
+t AS (SELECT r, i, w[i] AS g1, CASE WHEN i > 1 THEN w[i - 1] || ' ' || w[i] END AS g2, CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END AS g3
+      FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+c AS (SELECT t.r, i, g2 IS NOT NULL AS has2, g3 IS NOT NULL AS has3,
+      count(*) OVER (PARTITION BY g1) - count(*) OVER (PARTITION BY t.r, g1) AS c1,
+      count(*) OVER (PARTITION BY g2) - count(*) OVER (PARTITION BY t.r, g2) AS c2,
+      count(*) OVER (PARTITION BY g3) - count(*) OVER (PARTITION BY t.r, g3) AS c3,
+      greatest(count(*) OVER () - count(*) OVER (PARTITION BY t.r), 1) AS rest FROM t),
+x AS (SELECT *, greatest(lag(c1) OVER w, 1) AS p1, greatest(lag(c2) OVER w, 1) AS p2 FROM c WINDOW w AS (PARTITION BY r ORDER BY i)),
+y AS (SELECT r, CASE WHEN has3 AND c3 > 0 THEN 0 WHEN has2 AND c2 > 0 THEN CAST(has3 AS INT) ELSE CAST(has2 AS INT) END AS back,
+      CASE WHEN has3 AND c3 > 0 THEN log10(c3 / p2)
+           ELSE CASE WHEN has3 THEN log10(0.4) ELSE 0 END +
+                CASE WHEN has2 AND c2 > 0 THEN log10(c2 / p1)
+                     ELSE CASE WHEN has2 THEN log10(0.4) ELSE 0 END + log10(CASE WHEN c1 > 0 THEN c1 ELSE 0.4 END / rest) END END AS z FROM x),
+s AS (SELECT r, sum(back) AS n_backoff, sum(z) AS z FROM y GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_backoff, 0) AS BIGINT) AS n_backoff, round(z, 4) AS log10_score, round(z / len(w), 6) AS mean_log10
 FROM d LEFT JOIN s USING (r)
 """
 
