@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, split_blanks
+from ..functions.text import WS, blanks_to_space, split_blanks
 from ..functions.values import safe_double, safe_int
 
 # ---------------------------------------------------------------------------
@@ -77,6 +77,66 @@ def parse_daily(lines: DataFrame, columns=DAILY_COLUMNS, leading_only: bool = Fa
         for i, name in enumerate(columns)])
 
 
+#: Positions per bitmap word of a column-edge search: below 63, so that a word
+#: is a non-negative long.
+EDGE_WORD = 60
+
+
+def column_edges(lines: DataFrame) -> DataFrame:
+    """(path, spans): the columns of every file of fixed-width lines, as an
+    array of (start, len), start from 1.
+
+    A position that is blank in all lines of the file parts two columns.  Each
+    line becomes words of ``EDGE_WORD`` occupied / blank bits, the words of a
+    file are combined by bit-or -- partially before the shuffle, so a file sends
+    one row per task and word whatever its length -- and the runs of ones in
+    the file's bits are its columns.
+    """
+    bits = F.regexp_replace(F.regexp_replace(blanks_to_space(F.col("line")), "[^ ]", "1"), " ", "0")
+    n_words = F.ceil(F.length("line") / F.lit(EDGE_WORD)).cast("int")
+    at = lambda k: F.substring("_bits", k * EDGE_WORD + 1, F.lit(EDGE_WORD))
+    words = (lines.select("path", bits.alias("_bits"), n_words.alias("_n")).where("_n > 0")
+             .select("path", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), at)).alias("k", "word"))
+             .select("path", "k", F.conv(F.rpad("word", EDGE_WORD, "0"), 2, 10).cast("long").alias("word")))
+    whole = words.groupBy("path", "k").agg(F.bit_or("word").alias("word")).groupBy("path").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", F.lpad(F.bin("word"), EDGE_WORD, "0").alias("b")))),
+                                 lambda x: x["b"]), "").alias("_bits"))
+    # The runs of ones in turn; the end of one is where the search for the next begins.
+    runs = F.regexp_extract_all("_bits", F.lit("0*1+"), F.lit(0))
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,len:int>>").alias("spans"))
+
+    def add(a, run):
+        size, gap = F.length(run), F.length(run) - F.length(F.ltrim(run, F.lit("0")))
+        span = F.struct((a["end"] + gap + 1).alias("start"), (size - gap).alias("len"))
+        return F.struct((a["end"] + size).alias("end"), F.concat(a["spans"], F.array(span)).alias("spans"))
+
+    return whole.select("path", F.aggregate(runs, start, add, lambda a: a["spans"]).alias("spans"))
+
+
+def parse_daily_widths(lines: DataFrame, columns=DAILY_COLUMNS, leading_only: bool = False, spans=None) -> DataFrame:
+    """Like ``parse_daily`` for lines of fixed-width columns: a blank field is
+    NULL and the fields behind it stay where they are.
+
+    ``spans``: explicit (start, len) pairs, start from 1; by default each file's
+    own are inferred from all of its data lines (``column_edges``).  A field
+    beyond the columns of its file is NULL, columns beyond the names are
+    ignored; a column blank in a whole file cannot be told from a gap.
+    """
+    d = data_lines(lines, leading_only).where(~_is_end_marker(F.col("line")))
+    if spans is None:
+        d = d.join(column_edges(d), "path")
+    else:
+        d = d.withColumn("spans", F.array(*[F.struct(F.lit(a).alias("start"), F.lit(n).alias("len")) for a, n in spans]))
+    # generators keep the text and the fields from being computed once per field
+    d = d.select("path", "line_no", "spans", F.inline(F.array(F.struct(blanks_to_space(F.col("line")).alias("_text")))))
+    fields = F.transform("spans", lambda s: F.trim(F.substring("_text", s["start"], s["len"])))
+    d = d.select("path", "line_no", F.inline(F.array(F.struct(fields.alias("_f")))))
+    f = F.col("_f")
+    return d.select("path", "line_no", *[
+        (safe_int(F.get(f, i)) if name in ("TM", "STN") else safe_double(F.get(f, i))).alias(name)
+        for i, name in enumerate(columns)])
+
+
 def law_id_lookup(daily: DataFrame, station_info: DataFrame, order_col: str = "ord") -> DataFrame:
     """Add ``LAW_ID`` by station: unknown station -> NULL; when a station id
     appears twice in the dimension, the later row (by ``order_col``) wins;

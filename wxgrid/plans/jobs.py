@@ -277,12 +277,17 @@ def station_job(spark: SparkSession, raw_glob: str, station_info_path: str | Non
 
 def coverage_job(spark: SparkSession, tables_glob: str, station_info_path: str | None,
                  out_dir: str) -> dict:
-    """All yearly files in one job: five tables written as parquet plus the
-    markdown reports (rows capped as in the reference's reports)."""
+    """All yearly files in one job: five tables and the list of unusable files
+    (path, year, error) written as parquet, plus the markdown reports (rows
+    capped as in the reference's reports)."""
     configure(spark)
     if not _exists(spark, tables_glob):
         return {}          # nothing to analyse (the reference returns an empty list)
     raw = R.read_station_tables(spark, tables_glob)
+    failed = R.failed_tables(spark, tables_glob)
+    if not {"STN", "TM"} <= set(raw.columns):   # no file is usable
+        failed.write.mode("overwrite").parquet(os.path.join(out_dir, "failed_files"))
+        return {"failed_files": spark.read.parquet(os.path.join(out_dir, "failed_files"))}
     keys = coverage.clean_keys(raw)
     info = R.read_station_info(spark, station_info_path)
     has_info = station_info_path is not None
@@ -292,6 +297,7 @@ def coverage_job(spark: SparkSession, tables_glob: str, station_info_path: str |
         "duplicates": coverage.duplicate_keys(keys),
         "out_of_range": coverage.out_of_range(keys),
         "churn": coverage.station_churn(keys, info if has_info else None),
+        "failed_files": failed,
     }
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(os.path.join(out_dir, name))

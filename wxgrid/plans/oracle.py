@@ -8,6 +8,7 @@ rather than the fused plan.  Driver tables are pre-registered as views.
 from __future__ import annotations
 
 from ..catalogue import specs
+from ..operators.stations import DAILY_COLUMNS  # the fixed column names
 
 ALL_VARS = ("ta", "rn_60m", "sd_3hr")
 R = 6  # rounding digits, same as plans.registry.ROUND
@@ -368,6 +369,17 @@ SELECT printf('weather_data_stn%d_%d0101_%d1231.txt', STN, file_year, file_year)
   CAST(NULL AS DOUBLE) AS RN_DAY, CAST(NULL AS DOUBLE) AS TE_50
 FROM daily WHERE ord % 50 = 0"""
 
+def _station_widths_sql() -> str:
+    """Every field by name: four from the data, the others -9; a price has two digits in its line."""
+    value = {"TM": "TM", "STN": "STN", "TA_AVG": "CASE WHEN k % 2 = 1 THEN CAST((ord % 40) - 10 AS DOUBLE) END",
+             "RN_DAY": "CASE WHEN k % 3 = 1 THEN round(RN_DAY, 2) END"}
+    names = [value.get(c, "CAST(-9.0 AS DOUBLE)") + f" AS {c}" for c in DAILY_COLUMNS]
+    return f"""WITH {DAILY},
+numbered AS (SELECT *, row_number() OVER (PARTITION BY STN, file_year ORDER BY ord) AS k FROM daily)
+SELECT printf('weather_data_stn%d_%d0101_%d1231.txt', STN, file_year, file_year) AS path, {", ".join(names)}
+FROM numbered"""
+
+
 SQL_LAW_ID = f"""WITH {DAILY},
 dim AS (
   SELECT n_nationkey AS STN_ID, lpad(CAST(n_regionkey AS VARCHAR), 10, '0') AS LAW_ID, n_nationkey * 2 AS ord
@@ -516,6 +528,7 @@ def oracle() -> dict:
         "reproject": _reproject_sql(),
         "station_parse": SQL_STATION_PARSE,
         "station_parse_parity": SQL_STATION_PARSE_PARITY,
+        "station_parse_widths": _station_widths_sql(),
         "station_law_id": SQL_LAW_ID,
         "station_completeness": SQL_COMPLETENESS,
         "duplicate_keys": SQL_DUPS,

@@ -7,7 +7,7 @@ DuckDB oracle, which sums in a different order, hashes the same values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -343,6 +343,27 @@ def station_parse_parity(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(t.select("path", "TM", "STN", "TA_AVG", "RN_DAY", "TE_50"))
 
 
+def _station_width_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The same 56 fields as fixed-width lines: fields of nine characters and a
+    blank; every second line of a file leaves TA_AVG blank, every third but the
+    first RN_DAY."""
+    d = A.daily(spark, sf)
+    path = F.format_string("weather_data_stn%d_%d0101_%d1231.txt", F.col("STN"), F.col("file_year"), F.col("file_year"))
+    d = d.withColumn("k", F.row_number().over(Window.partitionBy("STN", "file_year").orderBy("ord")))
+    value = {"TM": F.col("TM").cast("string"), "STN": F.col("STN").cast("string"),
+             "TA_AVG": F.when(F.col("k") % 2 == 1, ((F.col("ord") % 40) - 10).cast("string")),
+             "RN_DAY": F.when(F.col("k") % 3 == 1, F.format_string("%.2f", "RN_DAY"))}
+    fields = [F.lpad(F.coalesce(value.get(c, F.lit("-9")), F.lit("")), 9, " ") for c in stations.DAILY_COLUMNS]
+    data = d.select(path.alias("path"), F.col("ord").alias("line_no"), F.concat_ws(" ", *fields).alias("line"))
+    head = data.select("path").distinct().select("path", F.lit(-1).cast("long").alias("line_no"), F.lit("#  TM STN ...").alias("line"))
+    return data.unionByName(head)
+
+
+def station_parse_widths(spark: SparkSession, sf: str) -> DataFrame:
+    """All 56 fields by the column edges inferred from each file's lines."""
+    return rounded(stations.parse_daily_widths(_station_width_lines(spark, sf)).drop("line_no"))
+
+
 def _station_dim_dups(spark: SparkSession, sf: str) -> DataFrame:
     n = A.table(spark, sf, "nation")
     first = n.select(F.col("n_nationkey").alias("STN_ID"),
@@ -461,6 +482,7 @@ def registry() -> dict:
         "reproject": reproject,
         "station_parse": station_parse,
         "station_parse_parity": station_parse_parity,
+        "station_parse_widths": station_parse_widths,
         "station_law_id": station_law_id,
         "station_completeness": station_completeness,
         "duplicate_keys": duplicate_keys,

@@ -13,6 +13,7 @@ DataFrame; paths are directories or globs on the cluster's shared storage.
 
 from __future__ import annotations
 
+import csv
 import warnings
 from functools import reduce
 
@@ -177,17 +178,89 @@ def read_station_info(spark: SparkSession, path: str | None) -> DataFrame:
                      cols["LAW_NM"].cast("string").alias("LAW_NM"))
 
 
-def read_station_tables(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path) -> DataFrame:
+    """(path) of the text files at ``path``, empty ones too, from the listing that
+    the file index keeps on the driver (scans leave empty files out)."""
+    return spark.createDataFrame([(f,) for f in spark.read.text(path).inputFiles()], "path string")
+
+
+def _table_lines(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
+    """(path, year, line) of CSV files, and (path, year, header) with the first
+    line of each.  Lines of a split come in order into one task, so the
+    smallest running id of the split at offset 0 is the first line."""
+    df = spark.read.text(path)
+    by_name = year_from_filename(_path())
+    year = F.coalesce(F.col("year").cast("string").try_cast("int"), by_name) if "year" in df.columns else by_name
+    rows = df.select(_path().alias("path"), year.alias("year"), F.regexp_replace("value", "^\\x{FEFF}|\r$", "").alias("line"),
+                     F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    first = rows.where("_block = 0").groupBy("path", "year").agg(F.min_by("line", "_id").alias("header"))
+    return rows.select("path", "year", "line"), first
+
+
+def _headers(first: DataFrame) -> list[str]:
+    """Distinct header lines of the files: as many as there are layouts."""
+    return sorted(r.header for r in first.where(F.col("year").isNotNull()).select("header").distinct().collect() if r.header)
+
+
+def read_station_tables(spark: SparkSession, path) -> DataFrame:
     """Yearly station CSVs (all columns as text) plus ``year``.
 
+    Every file is read by its own header: columns are placed by name, in the
+    order of their first appearance among the layouts, and are NULL where a
+    file lacks them, so files whose columns differ in order or number can be
+    read together.  One small job collects the distinct headers.  A quoted
+    field may hold commas, but no line break.
+
     ``year`` comes from a ``year=`` partition folder when the tables were
     written by ``plans.jobs.station_job``, else from the file name (first
-    four-digit part, as the reference names its CSVs); files without either
-    are dropped, like the reference skips them.
+    four-digit part, as the reference names its CSVs).  Files without a year
+    or without a line give no row; ``failed_tables`` lists them.
     """
-    df = spark.read.option("header", True).csv(path)
-    if "year" in df.columns:
-        year = F.col("year").cast("string").try_cast("int")
-    else:
-        year = year_from_filename(_path())
-    return df.withColumn("year", year).where(F.col("year").isNotNull())
+    lines, first = _table_lines(spark, path)
+    layouts = {h: next(csv.reader([h])) for h in _headers(first)}
+    columns = list(dict.fromkeys(c for names in layouts.values() for c in names if c != "year"))
+    per_file = lines.where(F.col("year").isNotNull() & (F.col("line") != "")).join(first.drop("year"), "path")
+    per_file = per_file.where(F.col("line") != F.col("header"))
+    n = max([len(names) for names in layouts.values()], default=1)
+    # each line parsed once, by the generator; then each column from its place in the line's layout
+    fields = F.from_csv("line", ", ".join(f"_c{i} string" for i in range(n)))
+    rows = per_file.select("path", "year", "header", F.inline(F.array(fields)))
+    out = []
+    for c in columns:
+        places: dict[int, list[str]] = {}
+        for h, names in layouts.items():
+            if c in names:
+                places.setdefault(names.index(c), []).append(h)
+        value = F.lit(None).cast("string")
+        for i, headers in places.items():
+            value = F.when(F.col("header").isin(headers), F.col(f"_c{i}")).otherwise(value)
+        out.append(value.alias(c))
+    return rows.select(*out, "year")
+
+
+def failed_tables(spark: SparkSession, path, needed=("STN", "TM")) -> DataFrame:
+    """(path, year, error) of the files that ``read_station_tables`` cannot use:
+    no year in the name, an empty file, a header without one of ``needed``.
+    One bad file neither stops a run nor vanishes."""
+    _, first = _table_lines(spark, path)
+    # the listing and the scan write local paths with one or three slashes
+    same = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    heads = first.select(same(F.col("path")).alias("_key"), "header")
+    files = list_files(spark, path).withColumn("_key", same(F.col("path"))).join(heads, "_key", "left").withColumn(
+        "year", F.coalesce(F.regexp_extract("path", "/year=([0-9]+)/", 1).try_cast("int"), year_from_filename(F.col("path"))))
+    usable = {h: set(next(csv.reader([h]))) for h in _headers(first)}
+    error = F.when(F.col("header").isNull() | (F.col("header") == ""), F.lit("empty file")).when(F.col("year").isNull(), F.lit("no year in the file name"))
+    for c in needed:
+        bad = [h for h, names in usable.items() if c not in names]
+        if bad:
+            error = error.when(F.col("header").isin(bad), F.lit(f"no column {c}"))
+    return files.select("path", "year", error.alias("error")).where("error is not null")
+
+
+def failed_stations(files: DataFrame, daily: DataFrame) -> DataFrame:
+    """(path, error) of the raw station files (``path``) without a single row
+    in ``daily`` whose date and station could be read."""
+    good = daily.where(F.col("TM").isNotNull() & F.col("STN").isNotNull()).select("path").distinct()
+    some = daily.select("path").distinct().withColumn("_some", F.lit(True))
+    return (files.select("path").distinct().join(good, "path", "left_anti").join(some, "path", "left")
+            .select("path", F.when(F.col("_some"), F.lit("no line with a date and a station")).otherwise(F.lit("no data line")).alias("error")))
