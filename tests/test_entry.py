@@ -17,9 +17,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    from wxgrid.plans.oracle import oracle
-    from wxgrid.plans.registry import registry
-    assert set(registry()) == set(oracle())
+    from wxgrid.plans import oracle, registry, stored, stored_oracle
+    assert set(registry.registry()) == set(oracle.oracle())
+    assert set(stored.registry()) == set(stored_oracle.oracle())
     assert set(E.oracle_sql()) <= set(E.queries())
 
 

@@ -71,7 +71,7 @@ def test_mean_rules(case):
 
 def test_sum_rules(case):
     obs, m = case
-    out = regional.region_day(obs, m, VARS, "sum")
+    out = regional.region_day(obs, m, VARS, "sum", grid_presence=False)
     r0 = _one(out, HJD_CD="R0")
     assert r0["t0001"] == 5.0 and r0["t0102"] == 6.0
     assert r0["t0203"] == 0.0            # region has ta readings, slot empty -> 0
@@ -186,7 +186,8 @@ def test_sum_slot_empty_on_whole_grid(spark):
     # t0001 has a reading only in an unmapped cell, t0102 nowhere at all
     obs = _obs(spark, [(1, d, "ta", 0, None, 1), (1, d, "ta", 2, 4.0, 2), (99, d, "ta", 0, 7.0, 3)])
     m = _map(spark, [(1, "R"), (99, None)])
-    plain = _one(regional.region_day(obs, m, ["ta"], "sum"), HJD_CD="R")
+    plain = _one(regional.region_day(obs, m, ["ta"], "sum", grid_presence=False), HJD_CD="R")
+    assert _one(regional.region_day(obs, m, ["ta"], "sum"), HJD_CD="R")["t0102"] is None
     pres = _one(regional.region_day(obs, m, ["ta"], "sum", presence=regional.hour_presence(obs, ["ta"])),
                 HJD_CD="R")
     assert (plain["t0001"], plain["t0102"], plain["t0203"]) == (0.0, 0.0, 4.0)

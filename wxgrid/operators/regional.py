@@ -38,6 +38,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from ..catalogue import (SNOW_OFF_MONTHS, SNOW_START_YEAR, SNOW_VAR, VARIABLES, VarSpec,
                          ordered_slot_columns, region_id_columns, specs)
@@ -65,6 +66,21 @@ def mapped_cells(mapping: DataFrame, id_cols=None) -> DataFrame:
     return m.groupBy("grid_idx", *id_cols).agg(F.count(F.lit(1)).alias("w"))
 
 
+def input_order(df: DataFrame, order_col: str | None, value_col: str) -> Column:
+    """A column that puts readings in the order they were given, whatever the
+    partitioning: ``order_col`` where the table has it, else file name and row
+    number within the file of a Parquet scan.  A table with neither has no
+    order; its smallest reading then comes first."""
+    if order_col and order_col in df.columns:
+        return F.col(order_col)
+    row = F.struct("_metadata.file_path", "_metadata.row_index")
+    try:
+        df.select(row)
+    except AnalysisException:
+        return F.col(value_col)
+    return row
+
+
 def cell_first_values(obs: DataFrame, mapping: DataFrame, variables,
                       id_cols=None, season_filter: bool = True,
                       dedupe: bool = True) -> tuple[DataFrame, list[str]]:
@@ -77,7 +93,7 @@ def cell_first_values(obs: DataFrame, mapping: DataFrame, variables,
     id_cols = id_cols or region_id_columns(mapping.columns)
     variables = list(variables)
     # NaN counts as missing (pandas skips it), like NULL.
-    o = obs.select("grid_idx", "date", "var", "hour", "value", "ord").where(
+    o = obs.select("grid_idx", "date", "var", "hour", "value", input_order(obs, "ord", "value").alias("ord")).where(
         F.col("value").isNotNull() & ~F.isnan("value") & F.col("var").isin(*variables))
     if season_filter:
         o = o.where(season_ok(F.col("var"), F.col("date")))
@@ -144,7 +160,8 @@ def _pivot_slots(per_slot: DataFrame, id_cols, variables, method: str,
 
 def region_day(obs: DataFrame, mapping: DataFrame, variables=("ta", "rn_60m"),
                method: str = "mean", id_cols=None, season_filter: bool = True,
-               dedupe: bool = True, presence: DataFrame | None = None) -> DataFrame:
+               dedupe: bool = True, presence: DataFrame | None = None,
+               grid_presence: bool = True) -> DataFrame:
     """Fused operator: pivot + map + aggregate + merge for all days at once.
 
     Output columns: ``date``, sorted t*, sorted p*, sorted s*, then the
@@ -157,13 +174,16 @@ def region_day(obs: DataFrame, mapping: DataFrame, variables=("ta", "rn_60m"),
     keeps one response per (var, time).  Then every shuffle left carries
     map-side partial aggregates.
 
-    ``presence`` (``hour_presence`` or the ingest manifest) makes ``sum``
-    leave a slot NULL on days when no cell of the grid has a reading for it,
-    as the reference's per-day pivot does; without it such a slot is 0.0.
+    ``sum`` leaves a slot NULL on days when no cell of the grid has a reading
+    for it, as the reference's per-day pivot does.  Which slots those are comes
+    from ``presence`` (the ingest manifest), else from the readings
+    (``hour_presence``); with ``grid_presence=False`` such a slot is 0.0.
     """
     if method not in METHODS:
         raise ValueError(f"Unknown method: {method}")
     variables = list(variables)
+    if method == "sum" and presence is None and grid_presence:
+        presence = hour_presence(obs, variables)
     cells, id_cols = cell_first_values(obs, mapping, variables, id_cols, season_filter, dedupe)
     keys = ["date", *id_cols, "var", "slot"]
     # Narrow aggregate per (date, codes, var, slot): two buffers, fully
@@ -222,10 +242,7 @@ def _pivot(df: DataFrame, spec: VarSpec, value_col: str, grid_col: str, order_co
     slot is a conditional ``min_by`` in a single aggregate."""
     v = F.col(value_col)
     o = df.where(v.isNotNull() & ~F.isnan(v))
-    # Without an explicit order column, the scan order of the input stands
-    # in for "input order" (stable for a given set of files).
-    order = F.col(order_col) if order_col and order_col in df.columns else F.monotonically_increasing_id()
-    o = o.select(grid_col, "date", v.alias("_v"), order.alias("_ord"),
+    o = o.select(grid_col, "date", v.alias("_v"), input_order(df, order_col, value_col).alias("_ord"),
                  slot_label_for(spec, F.col("hour")).alias("_slot"))
     aggs = [F.min_by("_v", F.when(F.col("_slot") == F.lit(n), F.col("_ord"))).alias(n)
             for n in spec.slot_names()]
@@ -271,10 +288,20 @@ def aggregate_to_region(wide: DataFrame, mapping: DataFrame, value_cols,
     elif method == "sum":
         aggs = [F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in value_cols]
     else:
-        aggs = [F.median(c).alias(c) for c in value_cols]
+        return _median_of_columns(j, keys, list(value_cols))
     return j.groupBy(*keys).agg(*aggs)
 
 
+def _median_of_columns(df: DataFrame, keys, value_cols) -> DataFrame:
+    """Median of every column per group, by selection: the columns become rows
+    and their medians columns again.  A group without a reading keeps its row."""
+    each = F.posexplode(F.array(*[F.col(c).cast("double") for c in value_cols])).alias("_slot", "v")
+    long = df.select(*keys, each).where(F.col("v").isNotNull() & ~F.isnan("v")).withColumn("w", F.lit(1))
+    groups = df.select(*keys, F.lit(None).cast("int").alias("_slot"), F.lit(None).cast("double").alias("val")).distinct()
+    medians = groups.unionByName(weighted_median(long, [*keys, "_slot"]))
+    return medians.groupBy(*keys).agg(*[F.max(F.when(F.col("_slot") == i, F.col("val"))).alias(c) for i, c in enumerate(value_cols)])
+
+
 def merge_variables(frames: dict, keys) -> DataFrame | None:
     """Full outer merge of per-variable region tables on ``keys``.
 

@@ -7,12 +7,44 @@ rather than the fused plan.  Driver tables are pre-registered as views.
 
 from __future__ import annotations
 
-from ..catalogue import specs
+import math
+from dataclasses import dataclass
+
 from ..operators.stations import DAILY_COLUMNS  # the fixed column names
 
 ALL_VARS = ("ta", "rn_60m", "sd_3hr")
 R = 6  # rounding digits, same as plans.registry.ROUND
 
+
+
+@dataclass(frozen=True)
+class Slots:
+    """One variable's wide columns, spelled out apart from the library's catalogue."""
+
+    name: str
+    prefix: str
+    hours: tuple
+    length: int
+
+    def label(self, hour: int) -> str:
+        end = hour + self.length
+        return self.prefix + f"{hour:02d}" + ("00" if self.length == 1 and end == 24 else f"{end:02d}")
+
+    def slot_names(self) -> list[str]:
+        return [self.label(h) for h in self.hours]
+
+
+SLOTS = {
+    "ta": Slots("ta", "t", tuple(range(24)), 1),
+    "rn_60m": Slots("rn_60m", "p", tuple(range(24)), 1),
+    "sd_3hr": Slots("sd_3hr", "s", (0, 3, 6, 9, 12, 15, 18, 21), 3),
+}
+
+
+def specs(variables) -> list[Slots]:
+    return [SLOTS[v] for v in variables]
+
+
 # -- adapter CTEs -----------------------------------------------------------
 
 OBS = """obs AS (
@@ -41,11 +73,8 @@ STN = """stn AS (
   FROM nation)"""
 
 
-def _slot_sql(s) -> str:
-    if s.three_hourly:
-        return (f"CASE WHEN hour IN ({', '.join(str(h) for h in s.slot_hours())}) "
-                f"THEN printf('{s.prefix}%02d%02d', hour, hour + 3) END")
-    return f"CASE WHEN hour BETWEEN 0 AND 23 THEN printf('{s.prefix}%02d%02d', hour, (hour + 1) % 24) END"
+def _slot_sql(s: Slots) -> str:
+    return "CASE hour " + " ".join(f"WHEN {h} THEN '{s.label(h)}'" for h in s.hours) + " END"
 
 
 def _season_sql() -> str:
@@ -127,10 +156,11 @@ def region_names_sql() -> str:
          CASE WHEN c_acctbal < 0 THEN NULL ELSE lpad(CAST(c_nationkey AS VARCHAR), 2, '0') END AS HJD_CD,
          CASE WHEN c_custkey % 50 = 0 THEN lower(n_name) ELSE n_name END AS HJD_NM
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)"""
-    ctes, frm, _ = _region_ctes("mean", ("HJD_CD",), ("ta",), "named")
+    ctes, frm, slots = _region_ctes("mean", ("HJD_CD",), ("ta",), "named")
+    cols = ", ".join(f"round(d.{c}, {R}) AS {c}" for c in slots)
     names = "names AS (SELECT DISTINCT HJD_CD, HJD_NM FROM named)"
     return ("WITH " + ",\n".join([OBS, named] + ctes + [names]) +
-            f"\nSELECT d.HJD_CD, d.date, round(d.t0001, {R}) AS t0001, round(d.t1213, {R}) AS t1213, n.HJD_NM"
+            f"\nSELECT d.HJD_CD, d.date, {cols}, n.HJD_NM"
             f"\nFROM {frm} d LEFT JOIN names n ON d.HJD_CD = n.HJD_CD")
 
 
@@ -339,35 +369,61 @@ SELECT p.pid, round(p.x, {R}) AS x, round(p.y, {R}) AS y, h.code, h.name
 FROM pts p LEFT JOIN hits h ON p.pid = h.pid"""
 
 
+# ---------------------------------------------------------------------------
+# Inverse transverse Mercator to the fourth order of the third
+# flattening n, as published: (numerator, denominator) of n, n^2, n^3, n^4.
+# ---------------------------------------------------------------------------
+RECTIFYING_TO_CONFORMAL = [
+    [(1, 2), (-2, 3), (37, 96), (-1, 360)],
+    [(0, 1), (1, 48), (1, 15), (-437, 1440)],
+    [(0, 1), (0, 1), (17, 480), (-37, 840)],
+    [(0, 1), (0, 1), (0, 1), (4397, 161280)],
+]
+CONFORMAL_TO_GEODETIC = [
+    [(2, 1), (-2, 3), (-2, 1), (116, 45)],
+    [(0, 1), (7, 3), (-8, 5), (-227, 45)],
+    [(0, 1), (0, 1), (56, 15), (-136, 35)],
+    [(0, 1), (0, 1), (0, 1), (4279, 630)],
+]
+
+
 def _reproject_sql() -> str:
-    from ..functions.geometry import GRS80_A, GRS80_F, TM_K0, TM_LAT0, TM_LON0, _series, rectifying_latitude
-    _, A1, beta, delta = _series(GRS80_F)
-    kA = TM_K0 * GRS80_A * A1
-    mu0 = rectifying_latitude(TM_LAT0)
-    xi_p = "xi" + "".join(f" - {b!r} * sin({2*j} * xi) * cosh({2*j} * eta)" for j, b in enumerate(beta, 1))
-    eta_p = "eta" + "".join(f" - {b!r} * cos({2*j} * xi) * sinh({2*j} * eta)" for j, b in enumerate(beta, 1))
-    lat = "chi" + "".join(f" + {d!r} * sin({2*j} * chi)" for j, d in enumerate(delta, 1))
+    """EPSG:5179 to degrees, written from the published series; the arc from
+    the equator to latitude 38 is integrated numerically instead of expanded."""
+    a, f = 6378137.0, 1 / 298.257222101
+    n, e2, lat0 = f / (2 - f), f * (2 - f), math.radians(38.0)
+    radius = a / (1 + n) * (1 + n * n / 4 + n ** 4 / 64)
+    steps = 2000   # Simpson's rule, exact to rounding at this step
+    curve = [a * (1 - e2) / (1 - e2 * math.sin(lat0 * i / steps) ** 2) ** 1.5 for i in range(steps + 1)]
+    arc = (curve[0] + curve[-1] + 4 * sum(curve[1:-1:2]) + 2 * sum(curve[2:-1:2])) * lat0 / steps / 3
+
+    def total(head: str, rows, term: str, sign: str) -> str:
+        sums = [sum(p / q * n ** k for k, (p, q) in enumerate(row, 1)) for row in rows]
+        return head + "".join(f" {sign} ({c!r}::DOUBLE) * {term.format(m=2 * j)}" for j, c in enumerate(sums, 1))
+
+    xi = total("xi", RECTIFYING_TO_CONFORMAL, "sin({m} * xi) * cosh({m} * eta)", "-")
+    eta = total("eta", RECTIFYING_TO_CONFORMAL, "cos({m} * xi) * sinh({m} * eta)", "-")
+    lat = total("chi", CONFORMAL_TO_GEODETIC, "sin({m} * chi)", "+")
     return f"""WITH p AS (SELECT vec_id AS pid, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
-a AS (SELECT pid, (2000000.0 + y * 1e6 - 2000000.0) / {kA!r} + {mu0!r} AS xi, (1000000.0 + x * 1e6 - 1000000.0) / {kA!r} AS eta FROM p),
-b AS (SELECT pid, {xi_p} AS xip, {eta_p} AS etap FROM a),
+a AS (SELECT pid, (y * 1e6 / 0.9996::DOUBLE + {arc!r}::DOUBLE) / {radius!r}::DOUBLE AS xi, x * 1e6 / {0.9996 * radius!r}::DOUBLE AS eta FROM p),
+b AS (SELECT pid, {xi} AS xip, {eta} AS etap FROM a),
 c AS (SELECT pid, xip, etap, asin(sin(xip) / cosh(etap)) AS chi FROM b)
-SELECT pid, round(degrees({TM_LON0 * 3.141592653589793 / 180.0!r} + atan2(sinh(etap), cos(xip))), {R}) AS lon,
-  round(degrees({lat}), {R}) AS lat FROM c"""
+SELECT pid, round(127.5::DOUBLE + degrees(atan2(sinh(etap), cos(xip))), {R}) AS lon, round(degrees({lat}), {R}) AS lat FROM c"""
 
 
 # -- stations ----------------------------------------------------------------
 
+_STN_FILE = "printf('weather_data_stn%d_%d0101_%d1231.txt', STN, file_year, file_year) AS path"
+_FIELDS = {"TM": "TM", "STN": "STN", "TA_AVG": "CAST((ord % 40) - 10 AS DOUBLE)", "RN_DAY": f"round(RN_DAY, {R})"}
+
 SQL_STATION_PARSE = f"""WITH {DAILY}
-SELECT printf('weather_data_stn%d_%d0101_%d1231.txt', STN, file_year, file_year) AS path,
-  TM, STN, CAST((ord % 40) - 10 AS DOUBLE) AS TA_AVG, round(RN_DAY, {R}) AS RN_DAY, CAST(-9.0 AS DOUBLE) AS TE_50
-FROM daily"""
+SELECT {_STN_FILE}, {", ".join(_FIELDS.get(c, "CAST(-9.0 AS DOUBLE)") + f" AS {c}" for c in DAILY_COLUMNS)} FROM daily"""
 
+# a note gives a row of NULL fields
 SQL_STATION_PARSE_PARITY = SQL_STATION_PARSE + f"""
 UNION ALL
-SELECT printf('weather_data_stn%d_%d0101_%d1231.txt', STN, file_year, file_year) AS path,
-  CAST(NULL AS INTEGER) AS TM, CAST(NULL AS INTEGER) AS STN, CAST(NULL AS DOUBLE) AS TA_AVG,
-  CAST(NULL AS DOUBLE) AS RN_DAY, CAST(NULL AS DOUBLE) AS TE_50
-FROM daily WHERE ord % 50 = 0"""
+SELECT {_STN_FILE}, {", ".join(f"NULL AS {c}" for c in DAILY_COLUMNS)} FROM daily WHERE ord % 50 = 0"""
+
 
 def _station_widths_sql() -> str:
     """Every field by name: four from the data, the others -9; a price has two digits in its line."""
@@ -482,12 +538,13 @@ SQL_FILE_YEARS = f"""WITH {DAILY}
 SELECT DISTINCT printf('weather_data_stn%d_%d.csv', STN, file_year) AS name, file_year AS year FROM daily"""
 
 SQL_FORMATTED_DATES = """WITH {obs}, {map}, {ctes}
-SELECT strftime(strptime(date, '%Y%m%d'), '%Y-%m-%d') AS date, HJD_CD, round(t0001, {r}) AS t0001 FROM agg_ta"""
+SELECT strftime(strptime(date, '%Y%m%d'), '%Y-%m-%d') AS date, HJD_CD, {cols} FROM agg_ta"""
 
 
 def _formatted_dates_sql() -> str:
-    ctes, _, _ = _region_ctes("mean", ("HJD_CD",), ("ta",), "map")
-    return SQL_FORMATTED_DATES.format(obs=OBS, map=MAP, ctes=",\n".join(ctes), r=R)
+    ctes, _, slots = _region_ctes("mean", ("HJD_CD",), ("ta",), "map")
+    cols = ", ".join(f"round({c}, {R}) AS {c}" for c in slots)
+    return SQL_FORMATTED_DATES.format(obs=OBS, map=MAP, ctes=",\n".join(ctes), cols=cols)
 
 
 SQL_SPRING = f"""WITH {ORDERS_DAYS},

@@ -41,9 +41,7 @@ def region_day_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def region_day_sum(spark: SparkSession, sf: str) -> DataFrame:
-    o = A.obs(spark, sf)
-    return rounded(regional.region_day(o, A.mapping_hjd(spark, sf), ALL_VARS, "sum",
-                                       presence=regional.hour_presence(o, ALL_VARS)))
+    return rounded(regional.region_day(A.obs(spark, sf), A.mapping_hjd(spark, sf), ALL_VARS, "sum"))
 
 
 def region_day_median(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,7 +88,7 @@ def _named_mapping(spark: SparkSession, sf: str) -> DataFrame:
 def region_names(spark: SparkSession, sf: str) -> DataFrame:
     named = _named_mapping(spark, sf)
     day = regional.region_day(A.obs(spark, sf), named.select("grid_idx", "HJD_CD"), ["ta"], "mean")
-    out = regional.add_region_name(day.select("date", "HJD_CD", "t0001", "t1213"), named, "HJD_CD", "HJD_NM")
+    out = regional.add_region_name(day, named, "HJD_CD", "HJD_NM")
     return rounded(out)
 
 
@@ -232,28 +230,34 @@ def region_count(spark: SparkSession, sf: str) -> DataFrame:
     return regional.count_regions(A.mapping(spark, sf))
 
 
-def grid_mesh(spark: SparkSession, sf: str) -> DataFrame:
+def _grid_axes(spark: SparkSession, sf: str) -> DataFrame:
     """One small grid per supplier: 3 latitudes x 2 longitudes from its key
     and nation (many axis records, so the work grows with the table)."""
     sup = A.table(spark, sf, "supplier")
     k, n = F.col("s_suppkey"), F.col("s_nationkey")
-    axes = sup.select(k.alias("gid"),
+    return sup.select(k.alias("gid"),
                       F.transform(F.sequence(F.lit(0), F.lit(2)),
                                   lambda i: F.lit(33.0) + k * F.lit(0.001) + i * F.lit(0.25)).alias("lat"),
                       F.transform(F.sequence(F.lit(0), F.lit(1)),
                                   lambda j: F.lit(124.0) + n * F.lit(0.1) + j * F.lit(0.5)).alias("lon"))
-    return rounded(spatial.grid_from_axes(axes, keys=("gid",)))
 
 
-def grid_rows(spark: SparkSession, sf: str) -> DataFrame:
+def grid_mesh(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(spatial.grid_from_axes(_grid_axes(spark, sf), keys=("gid",)))
+
+
+def _grid_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Grid rows from suppliers: row ``y = s_suppkey - 1`` with 4 cells."""
     sup = A.table(spark, sf, "supplier")
     xs = F.sequence(F.lit(0), F.lit(3))
     k, n = F.col("s_suppkey"), F.col("s_nationkey")
-    rows = sup.select((k - 1).alias("y"),
+    return sup.select((k - 1).alias("y"),
                       F.transform(xs, lambda j: F.lit(33.0) + k * F.lit(0.001) + j * F.lit(0.0001)).alias("lat"),
                       F.transform(xs, lambda j: F.lit(124.0) + j * F.lit(0.1) + n * F.lit(0.01)).alias("lon"))
-    return rounded(spatial.grid_from_rows(rows))
+
+
+def grid_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(spatial.grid_from_rows(_grid_rows(spark, sf)))
 
 
 def _test_polygons(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,14 +337,14 @@ def _station_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def station_parse(spark: SparkSession, sf: str) -> DataFrame:
     t = stations.parse_daily(_station_lines(spark, sf))
-    return rounded(t.select("path", "TM", "STN", "TA_AVG", "RN_DAY", "TE_50"))
+    return rounded(t.drop("line_no"))
 
 
 def station_parse_parity(spark: SparkSession, sf: str) -> DataFrame:
     """Reference parity mode: only the leading help block is skipped, so the
     '# note' lines in the middle come out as rows of NULL fields."""
     t = stations.parse_daily(_station_lines(spark, sf), leading_only=True)
-    return rounded(t.select("path", "TM", "STN", "TA_AVG", "RN_DAY", "TE_50"))
+    return rounded(t.drop("line_no"))
 
 
 def _station_width_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -443,7 +447,7 @@ def file_years(spark: SparkSession, sf: str) -> DataFrame:
 
 def formatted_dates(spark: SparkSession, sf: str) -> DataFrame:
     day = regional.region_day(A.obs(spark, sf), A.mapping_hjd(spark, sf), ["ta"], "mean")
-    return rounded(regional.format_date(day.select("date", "HJD_CD", "t0001"), "date"))
+    return rounded(regional.format_date(day, "date"))
 
 
 def spring_calendar(spark: SparkSession, sf: str) -> DataFrame:

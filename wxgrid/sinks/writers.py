@@ -50,37 +50,71 @@ def write_quarantine(quarantine: DataFrame, root: str) -> None:
     quarantine.write.mode("append").partitionBy("date", "var").parquet(root)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, key: str = "grid_idx", partition_by=()) -> DataFrame:
+    """``df`` as the table ``name`` at ``path``, dealt into ``buckets`` files by
+    ``key`` (in each partition folder), and read back.
+
+    Tables of equally many buckets meet on ``key`` without a shuffle, and an
+    aggregate whose keys contain it needs none either: with the readings and the
+    mapping bucketed by cell, ``regional.region_day`` shuffles only its partial
+    aggregates, first-wins stage included.  Rows are dealt once, here, and each
+    bucket is written by one task in the order of ``key``.
+    """
+    out = df.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        out = out.partitionBy(*partition_by)
+    out.format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_region_days(wide: DataFrame, root: str, region_type: str) -> None:
-    """Interim per-day regional table, partitioned by region type and date."""
+    """Interim per-day regional table, partitioned by region type and date.
+    A date is one row per region, so it goes to one task and is one file."""
     _dynamic(wide)
-    (wide.withColumn("region_type", F.lit(region_type))
+    (wide.repartition("date").withColumn("region_type", F.lit(region_type))
          .write.mode("overwrite").partitionBy("region_type", "date").parquet(root))
 
 
-def write_monthly_csv(wide: DataFrame, root: str) -> None:
-    """One CSV directory per (year, month), rows sorted by date and codes."""
-    _dynamic(wide)
-    keys = [c for c in wide.columns if c in ("HJD_CD", "EMD_CD")]
-    out = (wide.withColumn("year", F.substring("date", 1, 4)).withColumn("month", F.substring("date", 5, 2))
-               .repartition("year", "month").sortWithinPartitions("date", *keys))
-    out.write.mode("overwrite").option("header", True).partitionBy("year", "month").csv(root)
+#: Rows of one CSV file of the monthly and yearly tables.
+ROWS_PER_FILE = 200_000
+
 
+def _write_sorted_csv(wide: DataFrame, root: str, periods: dict, rows_per_file: int) -> None:
+    """CSV folders per period, sorted by date and codes across their files.
 
-def write_yearly_csv(wide: DataFrame, root: str) -> None:
-    """One CSV file per year (rows of a year go to one task, sorted)."""
+    Rows are dealt by ranges of (date, codes), so a long period is spread over
+    many tasks, and each range is sorted: the files of a folder, in the order of
+    their names, are the sorted table.  No file is longer than ``rows_per_file``.
+    """
     _dynamic(wide)
-    keys = [c for c in wide.columns if c in ("HJD_CD", "EMD_CD")]
-    out = (wide.withColumn("year", F.substring("date", 1, 4))
-               .repartition("year").sortWithinPartitions("date", *keys))
-    out.write.mode("overwrite").option("header", True).partitionBy("year").csv(root)
+    order = ["date", *[c for c in wide.columns if c in ("HJD_CD", "EMD_CD")]]
+    out = wide.repartitionByRange(*order)
+    for name, value in periods.items():
+        out = out.withColumn(name, value)
+    # the writer keeps an order that begins with its partition columns
+    out = out.sortWithinPartitions(*periods, *order)
+    (out.write.mode("overwrite").option("header", True).option("maxRecordsPerFile", rows_per_file)
+        .partitionBy(*periods).csv(root))
+
+
+def write_monthly_csv(wide: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """One CSV folder per (year, month), sorted across its files."""
+    periods = {"year": F.substring("date", 1, 4), "month": F.substring("date", 5, 2)}
+    _write_sorted_csv(wide, root, periods, rows_per_file)
+
+
+def write_yearly_csv(wide: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """One CSV folder per year, sorted across its files."""
+    _write_sorted_csv(wide, root, {"year": F.substring("date", 1, 4)}, rows_per_file)
 
 
 def write_station_tables(table: DataFrame, root: str, keys=("year",)) -> None:
     """Station tables as CSV folders per key (the job uses year and the
-    file's station, so a rerun replaces exactly its station-years)."""
+    file's station, so a rerun replaces exactly its station-years).  A
+    station-year is at most some hundred rows: one task, one file."""
     _dynamic(table)
     keys = [keys] if isinstance(keys, str) else list(keys)
-    table.write.mode("overwrite").option("header", True).partitionBy(*keys).csv(root)
+    table.repartition(*keys).write.mode("overwrite").option("header", True).partitionBy(*keys).csv(root)
 
 
 def failure_summary(status: DataFrame) -> DataFrame:
