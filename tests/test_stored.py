@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from scripts.check_oracle import TABLES, digest
 from wxgrid.operators import regional
 from wxgrid.plans import stored, stored_oracle
+from wxgrid.session import configure
 from wxgrid.sinks import writers as W
 
 from .conftest import SF0001
@@ -138,6 +139,14 @@ def test_median_of_columns_keeps_empty_groups(spark):
             assert got[f"R{k}"][c] == (statistics.median(vals) if vals else None)
 
 
+def test_settings_chosen_in_the_session_stay(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "12345")
+    configure(own)
+    assert own.conf.get("spark.sql.autoBroadcastJoinThreshold") == "12345"
+    assert own.conf.get("spark.sql.parquet.compression.codec") == "zstd"
+
+
 @pytest.mark.parametrize("name", sorted(stored.registry()))
 def test_matches_duckdb(spark, name):
     con = duckdb.connect()

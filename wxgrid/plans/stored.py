@@ -60,8 +60,10 @@ def regional_files(spark: SparkSession, sf: str) -> DataFrame:
     root = _folder(spark, "regional")
     W.write_observations(_one_per_slot(spark, sf), f"{root}/obs")
     W.write_mapping(A.mapping_hjd(spark, sf), f"{root}/mapping")
-    # a session of its own, as the job changes settings
-    jobs.regional_job(spark.newSession(), f"{root}/obs", f"{root}/mapping", f"{root}/out", Q.ALL_VARS)
+    # a session of its own, as the job changes settings; this one's partitions
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    jobs.regional_job(own, f"{root}/obs", f"{root}/mapping", f"{root}/out", Q.ALL_VARS)
     slots = ordered_slot_columns(Q.ALL_VARS)
 
     def rows(kind: str, df: DataFrame) -> DataFrame:

@@ -46,11 +46,12 @@ CLUSTER_CONF = {
 
 def configure(spark: SparkSession, conf: dict | None = None) -> SparkSession:
     """Apply ``conf`` (default: ``CLUSTER_CONF``) to a running session, but
-    only for settings the cluster did not set at launch."""
-    launched = spark.sparkContext.getConf()
+    only for settings that neither the cluster set at launch nor the caller in
+    this session (where it differs from a fresh one)."""
+    launched, fresh = spark.sparkContext.getConf(), spark.newSession()
     for k, v in (conf or CLUSTER_CONF).items():
-        if k == "spark.ui.enabled" or launched.contains(k):
-            continue  # static, or chosen by the cluster
+        if k == "spark.ui.enabled" or launched.contains(k) or spark.conf.get(k, None) != fresh.conf.get(k, None):
+            continue  # static, or chosen by the cluster or the caller
         spark.conf.set(k, v)
     return spark
 
