@@ -33,9 +33,11 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 
 def _one_per_slot(spark: SparkSession, sf: str) -> DataFrame:
-    """The first reading of every (cell, date, variable, hour), as a cache holds them."""
+    """The first reading of every (cell, date, variable, hour), as a cache holds
+    them: the readings of one response in one task."""
     o = A.obs(spark, sf).where("value IS NOT NULL")
-    return o.groupBy("grid_idx", "date", "var", "hour").agg(F.min_by("value", "ord").alias("value"), F.min("ord").alias("ord"))
+    first = o.groupBy("grid_idx", "date", "var", "hour").agg(F.min_by("value", "ord").alias("value"), F.min("ord").alias("ord"))
+    return first.repartition("var", "date", "hour")
 
 
 def observation_cache(spark: SparkSession, sf: str) -> DataFrame:
