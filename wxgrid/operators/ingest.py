@@ -80,14 +80,26 @@ def to_long(valid: DataFrame, extra=()) -> DataFrame:
         (F.col("hour").cast("long") * F.lit(1 << 32) + F.col("grid_idx")).alias("ord"))
 
 
+def _hour_bits(which: Column) -> Column:
+    """The hours of the rows that ``which`` selects, as bits of an int.  Accepted
+    responses are at a full hour from 0 to 23; unlike a set of hours, a number
+    is aggregated in place however many days there are."""
+    return F.coalesce(F.bit_or(F.when(which, F.call_function("shiftleft", F.lit(1), F.col("hour")))), F.lit(0))
+
+
+def _hours_of(bits: Column) -> Column:
+    """The hours of a bitmap, sorted."""
+    return F.filter(F.sequence(F.lit(0), F.lit(23)), lambda h: F.call_function("shiftright", bits, h) % 2 == 1)
+
+
 def _status(hours: DataFrame, variables) -> DataFrame:
-    """(date, var, complete, missing_hours, value_hours) from the accepted
-    (``ok_hours``) and the reporting hours of every (date, var)."""
-    miss = F.array_sort(F.array_except(expected_hours(F.col("var"), variables), F.col("ok_hours")))
+    """(date, var, complete, missing_hours, value_hours) from bitmaps of the
+    accepted (``ok``) and the reporting hours (``real``) of every (date, var)."""
+    miss = F.array_sort(F.array_except(expected_hours(F.col("var"), variables), _hours_of(F.col("ok"))))
     return hours.select("date", "var",
                         (F.size(miss) == 0).alias("complete"),
                         F.array_join(F.transform(miss, lambda h: h.cast("string")), ",").alias("missing_hours"),
-                        F.array_sort(F.col("value_hours")).alias("value_hours"))
+                        _hours_of(F.col("real")).alias("value_hours"))
 
 
 def day_status(valid: DataFrame, variables) -> DataFrame:
@@ -103,8 +115,7 @@ def day_status(valid: DataFrame, variables) -> DataFrame:
     has_value = F.exists(F.col("vals"), lambda x: clean_sentinel(x).isNotNull())
     ok = F.col("vals").isNotNull()
     return _status(valid.groupBy("date", "var").agg(
-        F.collect_set(F.when(ok, F.col("hour"))).alias("ok_hours"),
-        F.collect_set(F.when(ok & has_value, F.col("hour"))).alias("value_hours")), variables)
+        _hour_bits(ok).alias("ok"), _hour_bits(ok & has_value).alias("real")), variables)
 
 
 def staged(valid: DataFrame) -> DataFrame:
@@ -122,8 +133,7 @@ def staged_status(rows: DataFrame, variables) -> DataFrame:
     columns, nothing is parsed again."""
     ok = F.col("reason").isNull()
     return _status(rows.groupBy("date", "var").agg(
-        F.collect_set(F.when(ok, F.col("hour"))).alias("ok_hours"),
-        F.collect_set(F.when(ok & F.col("value").isNotNull(), F.col("hour"))).alias("value_hours")), variables)
+        _hour_bits(ok).alias("ok"), _hour_bits(ok & F.col("value").isNotNull()).alias("real")), variables)
 
 
 def rejected(valid: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ DuckDB oracle, which sums in a different order, hashes the same values.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -17,6 +19,7 @@ from ..functions import text as T
 from ..functions.values import clean_sentinel
 from ..functions.dates import year_from_filename
 from ..operators import coverage, gates, ingest, regional, spatial, stations
+from ..session import scratch_path
 from ..sinks import writers
 from ..sources import adapters as A
 
@@ -161,9 +164,17 @@ def _staged(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.staged(ingest.validate(A.landed(spark, sf), F.col("expected_n")))
 
 
+def _staging(spark: SparkSession, sf: str) -> DataFrame:
+    """The staged rows, written below the shared folder and read again, so that
+    every response is parsed once for all that is made of them."""
+    root, rows = scratch_path(spark, f"staging-{uuid.uuid4().hex}"), _staged(spark, sf)
+    rows.write.parquet(root)
+    return spark.read.schema(rows.schema).parquet(root)
+
+
 def ingest_published(spark: SparkSession, sf: str) -> DataFrame:
     """Readings of complete days, as the ingest publishes them from staging."""
-    rows = _staged(spark, sf)
+    rows = _staging(spark, sf)
     complete = ingest.staged_status(rows, ALL_VARS).where("complete").select("date", "var")
     good = rows.where(F.col("grid_idx").isNotNull()).join(complete, ["date", "var"], "left_semi")
     return rounded(good.select("grid_idx", "date", "var", "hour", "value"))
@@ -177,7 +188,7 @@ def ingest_status(spark: SparkSession, sf: str) -> DataFrame:
 
 def ingest_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Rejected responses of every kind, and the days they leave incomplete."""
-    rows = _staged(spark, sf)
+    rows = _staging(spark, sf)
     return ingest.quarantine(rows, ingest.staged_status(rows, ALL_VARS)).drop("logged_at")
 
 

@@ -160,13 +160,13 @@ def grid_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quarantine_log(spark: SparkSession, sf: str) -> DataFrame:
-    """The quarantine as its folder holds it, by date and variable (K7)."""
-    rows = Q._staged(spark, sf)
+    """The quarantine as its folder holds it, by variable and year (K7)."""
+    rows = Q._staging(spark, sf)
     root = _folder(spark, "quarantine")
     W.write_quarantine(ingest.quarantine(rows, ingest.staged_status(rows, Q.ALL_VARS)).drop("logged_at"), root)
     back = spark.read.schema("tm string, hour int, level string, reason string, preview string, head string, tail string, total_chars long, "
-                             "total_lines long, date string, var string").parquet(root)
-    return back
+                             "total_lines long, date string, var string, year string").parquet(root)
+    return back.drop("year")
 
 
 def report_text(spark: SparkSession, sf: str) -> DataFrame:

@@ -46,8 +46,17 @@ def write_mapping(mapping: DataFrame, path: str) -> None:
 
 
 def write_quarantine(quarantine: DataFrame, root: str) -> None:
-    """Validation log as a table: appended, partitioned by date and var."""
-    quarantine.write.mode("append").partitionBy("date", "var").parquet(root)
+    """Validation log as a table: appended, partitioned by variable and year.
+
+    A day has a few rejected responses, so folders by day would be as many as
+    the days of a run, each with a file of every task, renamed one by one when
+    the job commits.  Rows are dealt by variable and year (AQE joins small
+    shares and splits large ones) and sorted by date in every file, whose
+    statistics let a day be read without the others.
+    """
+    out = quarantine.withColumn("year", F.substring("date", 1, 4))
+    (out.hint("rebalance", "var", "year").sortWithinPartitions("var", "year", "date")
+        .write.mode("append").partitionBy("var", "year").parquet(root))
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, key: str = "grid_idx", partition_by=()) -> DataFrame:
