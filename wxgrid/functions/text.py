@@ -93,13 +93,11 @@ def is_error_response(text: Column) -> Column:
     """
     def with_lead(lead):
         def with_head(head):
-            marked = None
-            for m in ERROR_MARKERS:
-                hit = head.contains(m)
-                marked = hit if marked is None else (marked | hit)
-            return marked | (head.contains(ERROR_WORD) & ~head.contains("#"))
+            # the markers are ASCII, and no other letter's lower case is one of theirs
+            marked = head.rlike("(?i)" + "|".join(ERROR_MARKERS))
+            return marked | (head.rlike(f"(?i){ERROR_WORD}") & ~head.contains("#"))
         return F.when(F.length(text) == lead, F.lit(True)) \
-                .otherwise(let(F.lower(F.substring(text, lead + 1, ERROR_HEAD_CHARS)), with_head))
+                .otherwise(let(F.substring(text, lead + 1, ERROR_HEAD_CHARS), with_head))
     return F.when(text.isNull(), F.lit(True)) \
             .otherwise(let(F.length(F.regexp_extract(text, f"^{WS}*", 0)), with_lead))
 
