@@ -8,11 +8,15 @@ split into rows by Spark and parsed with native string functions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, blanks_to_space, split_blanks
-from ..functions.values import safe_double, safe_int
+from ..functions.text import WS, WS_CHARS, blanks_to_space, split_blanks
+from ..functions.values import safe_int
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's: the 56 column names of the
@@ -57,6 +61,20 @@ def data_lines(lines: DataFrame, leading_only: bool = False) -> DataFrame:
     return kept.where(~line.rlike(f"^{WS}*\\z"))
 
 
+def _typed(lines: DataFrame, fields: Column, columns) -> DataFrame:
+    """``fields`` (text without blanks around) of every line as named columns.
+
+    Generators keep Catalyst from computing the fields, and their numbers, once
+    per column.  Numbers are cast as one array: a cast per column makes a method
+    that is too long for the JVM to compile.
+    """
+    d = lines.select("path", "line_no", F.inline(F.array(F.struct(fields.alias("_f")))))
+    d = d.select("path", "line_no", "_f", F.inline(F.array(F.struct(F.col("_f").try_cast("array<double>").alias("_n")))))
+    return d.select("path", "line_no", *[
+        (safe_int(F.get("_f", F.lit(i))) if name in ("TM", "STN") else F.get("_n", F.lit(i))).alias(name)
+        for i, name in enumerate(columns)])
+
+
 def parse_daily(lines: DataFrame, columns=DAILY_COLUMNS, leading_only: bool = False) -> DataFrame:
     """Whitespace-split each data line into the named columns.
 
@@ -66,38 +84,65 @@ def parse_daily(lines: DataFrame, columns=DAILY_COLUMNS, leading_only: bool = Fa
     """
     d = data_lines(lines, leading_only)
     fields = split_blanks(F.col("line"))
-
-    # Materialise the split once per line through a generator (Catalyst
-    # would otherwise inline the split into each of the 56 field reads);
-    # the per-field casts then run in an ordinary code-generated projection.
-    d = d.select("path", "line_no", F.inline(F.array(F.struct(fields.alias("_f")))))
-    f = F.col("_f")
-    return d.select("path", "line_no", *[
-        (safe_int(F.get(f, i)) if name in ("TM", "STN") else safe_double(F.get(f, i))).alias(name)
-        for i, name in enumerate(columns)])
+    return _typed(d, fields, columns)
 
 
 #: Positions per bitmap word of a column-edge search: below 63, so that a word
 #: is a non-negative long.
 EDGE_WORD = 60
+#: Lines whose positions are looked at together.
+EDGE_LINES = 4096
+
+
+_BLANK = np.zeros(0x3002, bool)
+_BLANK[[ord(c) for c in WS_CHARS]] = True
+
+
+def _code_points(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, offsets) of lines, one after the other."""
+    lines = lines.cast(pa.large_binary())
+    off = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset:lines.offset + len(lines) + 1]
+    data = lines.buffers()[2]
+    buf = np.frombuffer(data, np.uint8)[off[0]:off[-1]] if data is not None else np.zeros(0, np.uint8)
+    if not len(buf) or buf.max() < 0x80:
+        return buf.astype("<u4"), off - off[0]
+    points = [np.frombuffer(line.decode("utf-8", "replace").encode("utf-32-le"), "<u4") for line in lines.to_pylist()]
+    return np.concatenate(points), np.r_[0, np.cumsum([len(p) for p in points])]
+
+
+def _edge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, k, word): per batch and file, word ``k`` of the positions that some
+    line occupies, the first position in the highest of ``EDGE_WORD`` bits."""
+    weight = np.int64(1) << np.arange(EDGE_WORD - 1, -1, -1, dtype=np.int64)
+    for batch in batches:
+        for at in range(0, batch.num_rows, EDGE_LINES):
+            part = batch.slice(at, EDGE_LINES)
+            part = part.filter(part.column("path").is_valid())
+            if not part.num_rows:
+                continue
+            points, off = _code_points(part.column("line"))
+            size = np.diff(off)
+            paths = part.column("path").dictionary_encode()
+            file, n = paths.indices.to_numpy(), int(-(-size.max() // EDGE_WORD))
+            place = np.arange(len(points)) - np.repeat(off[:-1], size) + np.repeat(file.astype(np.int64) * (n * EDGE_WORD), size)
+            seen = np.zeros(len(paths.dictionary) * n * EDGE_WORD, bool)
+            seen[place[~_BLANK[np.minimum(points, 0x3001)]]] = True
+            words = seen.reshape(-1, EDGE_WORD) @ weight
+            yield pa.RecordBatch.from_arrays([paths.dictionary.take(pa.array(np.repeat(np.arange(len(paths.dictionary)), n))),
+                                              pa.array(np.tile(np.arange(n, dtype=np.int32), len(paths.dictionary))), pa.array(words)], names=["path", "k", "word"])
 
 
 def column_edges(lines: DataFrame) -> DataFrame:
     """(path, spans): the columns of every file of fixed-width lines, as an
     array of (start, len), start from 1.
 
-    A position that is blank in all lines of the file parts two columns.  Each
-    line becomes words of ``EDGE_WORD`` occupied / blank bits, the words of a
-    file are combined by bit-or -- partially before the shuffle, so a file sends
-    one row per task and word whatever its length -- and the runs of ones in
-    the file's bits are its columns.
+    A position that is blank in all lines of the file parts two columns.  A
+    batch of lines becomes words of ``EDGE_WORD`` occupied / blank bits per file,
+    the words of a file are combined by bit-or -- partially before the shuffle,
+    so a file sends one row per task and word whatever its length -- and the
+    runs of ones in the file's bits are its columns.
     """
-    bits = F.regexp_replace(F.regexp_replace(blanks_to_space(F.col("line")), "[^ ]", "1"), " ", "0")
-    n_words = F.ceil(F.length("line") / F.lit(EDGE_WORD)).cast("int")
-    at = lambda k: F.substring("_bits", k * EDGE_WORD + 1, F.lit(EDGE_WORD))
-    words = (lines.select("path", bits.alias("_bits"), n_words.alias("_n")).where("_n > 0")
-             .select("path", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), at)).alias("k", "word"))
-             .select("path", "k", F.conv(F.rpad("word", EDGE_WORD, "0"), 2, 10).cast("long").alias("word")))
+    words = lines.select("path", F.col("line").alias("line")).mapInArrow(_edge_words, "path string, k int, word long")
     whole = words.groupBy("path", "k").agg(F.bit_or("word").alias("word")).groupBy("path").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", F.lpad(F.bin("word"), EDGE_WORD, "0").alias("b")))),
                                  lambda x: x["b"]), "").alias("_bits"))
@@ -130,11 +175,7 @@ def parse_daily_widths(lines: DataFrame, columns=DAILY_COLUMNS, leading_only: bo
     # generators keep the text and the fields from being computed once per field
     d = d.select("path", "line_no", "spans", F.inline(F.array(F.struct(blanks_to_space(F.col("line")).alias("_text")))))
     fields = F.transform("spans", lambda s: F.trim(F.substring("_text", s["start"], s["len"])))
-    d = d.select("path", "line_no", F.inline(F.array(F.struct(fields.alias("_f")))))
-    f = F.col("_f")
-    return d.select("path", "line_no", *[
-        (safe_int(F.get(f, i)) if name in ("TM", "STN") else safe_double(F.get(f, i))).alias(name)
-        for i, name in enumerate(columns)])
+    return _typed(d, fields, columns)
 
 
 def law_id_lookup(daily: DataFrame, station_info: DataFrame, order_col: str = "ord") -> DataFrame:
