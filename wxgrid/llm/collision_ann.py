@@ -11,6 +11,10 @@ the radius at which a vector would have reached that count with the confidence
 of ``MARGIN`` standard deviations, or when all vectors are verified.  Nothing
 caps windows or candidates.
 
+A window is a range of places in its sorted array, so collisions are counted
+on the places of the rows, array after array.  The round at which a query
+stops is looked for from the one at which the query before it did.
+
 Data rows are dealt into blocks of about ``BLOCK_ROWS``, queries into blocks of
 ``QUERY_ROWS``; every query block meets every data block, each pair in a task
 of its own that holds one block's index, and the k nearest of the blocks merge
@@ -39,7 +43,8 @@ MARGIN = 1.0
 GROWTH = 1.1
 FIRST_WINDOW = 0.8
 BLOCK_ROWS = 65_536
-QUERY_ROWS = 256
+QUERY_ROWS = 512
+CHUNK = 16_384
 SEED = 7
 
 
@@ -54,12 +59,43 @@ class Index:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, scale: float, most: float):
         self.ids, self.raw, self.x, self.most = ids, vectors, vectors / scale, most
+        self.rough = self.x.astype(np.float32)
         extra = np.sqrt(np.maximum(most * most - (self.x * self.x).sum(axis=1), 0))
         unit = np.c_[self.x, extra] / most
         self.dirs = directions(unit.shape[1])
-        p = unit @ self.dirs
-        self.order = np.argsort(p, axis=0).T.copy()
-        self.sorted = np.sort(p, axis=0).T.copy()
+        p = (unit @ self.dirs).T
+        order = np.argsort(p, axis=1)
+        self.sorted = np.take_along_axis(p, order, axis=1)
+        # place of every row in each sorted array
+        self.place = np.empty(p.shape, np.uint16 if len(ids) <= 1 << 16 else np.uint32)
+        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=self.place.dtype)[None, :], axis=1)
+        self.turn = 0  # the round in which the last query stopped
+
+    def colliding(self, at: np.ndarray, width: float, need: int) -> np.ndarray:
+        """Rows in the windows at -+ width of at least ``need`` arrays."""
+        kind = self.place.dtype.type
+        windows = []
+        for j, (s, a) in enumerate(zip(self.sorted, at)):
+            lo, hi = s.searchsorted(a - width, "left"), s.searchsorted(a + width, "right")
+            if hi > lo:
+                windows.append((j, kind(lo), kind(hi - 1 - lo)))
+        found = []
+        for a in range(0, len(self.ids), CHUNK):
+            place = self.place[:, a:a + CHUNK]
+            counts, after, hit = (np.zeros(place.shape[1], t) for t in (np.uint8, kind, bool))
+            for j, lo, size in windows:
+                np.subtract(place[j], lo, out=after)  # places before the window wrap round
+                np.less_equal(after, size, out=hit)
+                np.add(counts, hit.view(np.uint8), out=counts)
+            found.append(a + np.flatnonzero(counts >= need))
+        return np.concatenate(found)
+
+    def kth_score(self, rows: np.ndarray, unit: np.ndarray, rough: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, float]:
+        """(rows that may be among the k best, their scores, the k-th score)."""
+        least = np.partition(rough, len(rows) - k)[len(rows) - k]
+        best = rows[rough >= least - 1e-6 * len(unit) * self.most]
+        score = self.x[best] @ unit
+        return best, score, float(np.partition(score, len(best) - k)[len(best) - k])
 
     def nearest(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         n = len(self.ids)
@@ -73,40 +109,46 @@ class Index:
         need = int(np.ceil(SHARE * PROJECTIONS))
         sure = SHARE + MARGIN * np.sqrt(SHARE * (1 - SHARE) / PROJECTIONS)
         reach = NormalDist().inv_cdf((1 + sure) / 2)
-        counts, score = np.zeros(n, np.int64), np.full(n, -np.inf)
-        open_ = ~own
-        lo = hi = None
-        top = np.zeros(0)
-        width = FIRST_WINDOW
-        while True:
-            new_lo = np.array([np.searchsorted(s, a - width, "left") for s, a in zip(self.sorted, at)])
-            new_hi = np.array([np.searchsorted(s, a + width, "right") for s, a in zip(self.sorted, at)])
-            if lo is None:
-                fresh = [o[a:b] for o, a, b in zip(self.order, new_lo, new_hi)]
-            else:
-                fresh = [o[a:b] for o, a, b in zip(self.order, new_lo, lo)] + [o[a:b] for o, a, b in zip(self.order, hi, new_hi)]
-            lo, hi = new_lo, new_hi
-            counts += np.bincount(np.concatenate(fresh), minlength=n)
-            todo = np.flatnonzero((counts >= need) & open_)
-            if len(todo):
-                score[todo] = self.x[todo] @ unit
-                open_[todo] = False
-                top = np.concatenate([top, score[todo]])
-                if len(top) > wanted:
-                    top = np.partition(top, len(top) - wanted)[-wanted:]
-            all_in = not open_.any()
-            if len(top) >= wanted:
-                kth = top.min()
-                distance = np.sqrt(max(0.0, 2 - 2 * kth / self.most))
-                if all_in or distance <= width / reach:
-                    break
-            width *= GROWTH
+        q32 = unit.astype(np.float32)
+        rough, known = np.zeros(n, np.float32), own.copy()
+
+        def verified(turn: int):
+            """(rows that may be among the nearest, their scores, distance of
+            the k-th, all rows verified) of a round."""
+            rows = self.colliding(at, FIRST_WINDOW * GROWTH ** turn, need)
+            todo = rows[~known[rows]]
+            rough[todo] = self.rough[todo] @ q32
+            known[todo] = True
+            rows = rows[~own[rows]]
+            if len(rows) < wanted:
+                return rows, np.zeros(0), -np.inf, np.inf, False
+            best, score, kth = self.kth_score(rows, unit, rough[rows], wanted)
+            return best, score, kth, np.sqrt(max(0.0, 2 - 2 * kth / self.most)), len(rows) == n - int(own.sum())
+
+        def enough(turn: int, distance: float, all_in: bool) -> bool:
+            return all_in or distance <= FIRST_WINDOW * GROWTH ** turn / reach
+
+        # windows only grow and distances shrink, so after a round that may
+        # stop all may: the first is looked for from where the last query stopped
+        turn = self.turn
+        best, score, kth, distance, all_in = verified(turn)
+        up = not enough(turn, distance, all_in)
+        while up and not enough(turn, distance, all_in):
+            turn += 1
+            best, score, kth, distance, all_in = verified(turn)
+        while not up and turn > 0 and enough(turn - 1, distance, all_in):
+            *before, all_before = verified(turn - 1)
+            if not enough(turn - 1, before[3], all_before):
+                break
+            turn, (best, score, kth, distance), all_in = turn - 1, before, all_before
+        self.turn = turn
         # equal vectors must get equal scores: the last sums row by row
-        best = np.flatnonzero(score >= kth - 1e-9 * self.most)
+        keep = score >= kth - 1e-9 * self.most
+        best, score = best[keep], score[keep]
         with np.errstate(over="ignore", invalid="ignore"):
             exact = np.einsum("ij,j->i", self.raw[best], q)
         lost = np.isnan(exact)  # sums that overflow both ways: by their sign
-        exact[lost] = np.where(score[best][lost] > 0, np.inf, -np.inf)
+        exact[lost] = np.where(score[lost] > 0, np.inf, -np.inf)
         top = np.lexsort((self.ids[best], -exact))[:wanted]
         return self.ids[best[top]], exact[top]
 
