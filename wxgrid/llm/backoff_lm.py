@@ -7,6 +7,8 @@ one slice of the count tables: it adds up the counts of its n-grams and joins
 them back to the pieces that asked.  A piece then meets its counts and sums the
 scores of its documents.  What is gathered grows with the corpus, no table is
 ever whole in one place, and a frequent n-gram costs one entry per piece.
+Orders are counted in turn (``passes``) and only their counts are kept, so the
+shuffled n-grams of one pass are gone before the next.
 
 The score leaves the document's own counts out, so a text does not predict
 itself: S(w | context) is c(context w) / c(context) where that is seen in
@@ -21,6 +23,8 @@ counted like others; other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrowtext as A
-from .common import bounded_batches, partitions
+from .common import bounded_batches, partitions, written
 from .decontaminate import words_of
 
 ORDER = 3
@@ -37,9 +41,9 @@ PIECE_BYTES = 4_000_000
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
-def ngrams(col: pa.Array, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Words per document, and for each n the hash of the n-gram that ends at
-    each word (0 where the document has fewer words before it)."""
+def ngrams(col: pa.Array, orders) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words per document, and for each n of ``orders`` the hash of the n-gram
+    that ends at each word (0 where the document has fewer words before it)."""
     buf, off = A.byte_buffer(col)
     hashes, counts = [], []
     for a, b in A.pieces(off, 2_000_000):
@@ -50,9 +54,9 @@ def ngrams(col: pa.Array, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
     words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     n_words = np.concatenate(counts) if counts else np.zeros(0, np.int64)
     at = np.arange(len(words)) - np.repeat(np.cumsum(n_words) - n_words, n_words)
-    out, h = [], np.zeros(len(words), np.uint64)
+    out = []
     # hash of the last n words, from the oldest to the newest
-    for n in range(1, order + 1):
+    for n in orders:
         h = np.zeros(len(words), np.uint64)
         for k in range(n - 1, -1, -1):
             h = h * _K
@@ -63,34 +67,36 @@ def ngrams(col: pa.Array, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
     return n_words, out
 
 
-def _distinct(col: pa.Array, order: int, blocks: int):
-    """Per order: distinct hashes sorted by (block, hash), their counts, their
-    blocks' edges, and where each n-gram of the piece stands among them."""
-    n_words, grams = ngrams(col, order)
-    out = []
-    for h in grams:
-        real = h != 0
-        keys, inverse, n = np.unique(h[real], return_inverse=True, return_counts=True)
-        block = ((keys >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
-        deal = np.argsort(block, kind="stable")
-        place = np.empty(len(keys), np.int64)
-        place[deal] = np.arange(len(keys))
-        where = np.full(len(h), -1, np.int64)
-        where[real] = place[inverse]
-        out.append((keys[deal], n[deal], np.searchsorted(block[deal], np.arange(blocks + 1)), where))
-    return n_words, out
+def _distinct(h: np.ndarray, blocks: int):
+    """Distinct hashes sorted by (block, hash), their counts, their blocks'
+    edges, and where each n-gram of the piece stands among them."""
+    real = h != 0
+    keys, inverse, n = np.unique(h[real], return_inverse=True, return_counts=True)
+    block = ((keys >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
+    deal = np.argsort(block, kind="stable")
+    place = np.empty(len(keys), np.int64)
+    place[deal] = np.arange(len(keys))
+    where = np.full(len(h), -1, np.int64)
+    where[real] = place[inverse]
+    return keys[deal], n[deal], np.searchsorted(block[deal], np.arange(blocks + 1)), where
+
+
+def passes(order: int) -> list[list[int]]:
+    """Orders counted together: there are few words, so they go with the
+    pairs; each longer n-gram alone."""
+    return [list(range(1, min(order, 2) + 1)), *([n] for n in range(3, order + 1))]
 
 
 ASK = "block int, piece long, n int, h array<long>, c array<int>"
 GIVE = "block int, piece long, n int, c array<long>, words long"
 
 
-def _ask(order: int, blocks: int):
+def _ask(orders: list[int], blocks: int):
     def run(group: pa.Table) -> pa.Table:
         piece = group["piece"][0].as_py()
-        _, orders = _distinct(group["text"].combine_chunks(), order, blocks)
         parts = []
-        for n, (keys, counts, edge, _) in enumerate(orders, 1):
+        for n, h in zip(orders, ngrams(group["text"].combine_chunks(), orders)[1]):
+            keys, counts, edge, _ = _distinct(h, blocks)
             e = pa.array(edge.astype(np.int32))
             parts.append(pa.table({"block": pa.array(np.arange(blocks, dtype=np.int32)), "piece": pa.array(np.full(blocks, piece)),
                                    "n": pa.array(np.full(blocks, n, np.int32)), "h": pa.ListArray.from_arrays(e, pa.array(keys.view(np.int64))),
@@ -129,12 +135,13 @@ def _score(order: int, blocks: int):
         if texts.num_rows == 0:
             return pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_backoff": pa.array([], pa.int64()),
                              "log10_score": pa.array([], pa.float64())})
-        n_words, orders = _distinct(texts["text"].combine_chunks(), order, blocks)
+        n_words, grams = ngrams(texts["text"].combine_chunks(), range(1, order + 1))
         n_docs, doc = len(n_words), np.repeat(np.arange(len(n_words)), n_words)
         counts = counts.sort_by([("n", "ascending"), ("block", "ascending")]).combine_chunks()
         words = sum(counts.filter(pc.equal(counts["n"], 1))["words"].to_pylist())
         other = []  # per word and order: count of the n-gram that ends there, in other documents
-        for n, (keys, _, _, where) in enumerate(orders, 1):
+        for n, h in enumerate(grams, 1):
+            keys, _, _, where = _distinct(h, blocks)
             total = counts.filter(pc.equal(counts["n"], n))["c"].combine_chunks()
             total = (total if isinstance(total, pa.Array) else total.chunk(0)).flatten().to_numpy(zero_copy_only=False)
             real = np.flatnonzero(where >= 0)
@@ -170,8 +177,9 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", order:
     n_pieces, blocks = max(1, -(-size // PIECE_BYTES)), partitions(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                        F.pmod(F.xxhash64(doc_id, text), F.lit(n_pieces)).alias("piece"))
-    asked = rows.groupBy("piece").applyInArrow(_ask(order, blocks), ASK)
-    given = asked.groupBy("block").applyInArrow(_count, GIVE)
+    given = [written(rows.groupBy("piece").applyInArrow(_ask(orders, blocks), ASK).groupBy("block").applyInArrow(_count, GIVE), "backoff-counts")
+             for orders in passes(order)]
+    given = reduce(DataFrame.unionByName, given)
     return rows.groupBy("piece").cogroup(given.groupBy("piece")).applyInArrow(_score(order, blocks), SCORE)
 
 
