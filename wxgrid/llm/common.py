@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 #: Bytes of one Arrow batch sent to a Python worker (Spark's default is 256 MB).
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 8 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

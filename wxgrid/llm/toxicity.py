@@ -42,6 +42,7 @@ CHAIN = 64
 BITS = 19
 MAX_TOXIC, MAX_CLEAN = 1200, 2800
 MAX_FIT_BYTES = 32_000
+FIT_PIECE_BYTES = 500_000
 ROUNDS = 50
 _C4, _C5, _CW = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _SHIFT = np.uint64(64 - BITS)
@@ -97,18 +98,45 @@ class Tokens:
             out += np.where(last > self.a, total[np.maximum(last, self.a)] - total[self.a], 0.0)
         return out
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word of each token, feature list, word of each feature entry)."""
-        _, first, word = np.unique(self.hash, return_index=True, return_inverse=True)
-        feats, owner = [self.word_feature()[first]], [np.arange(len(first))]
+    def distinct(self) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Hashes of the distinct words, sorted, and for each kind of feature
+        (word, 4-grams, 5-grams) all words' features and their number by word."""
+        words, first = np.unique(self.hash, return_index=True)
+        kinds = [(self.word_feature()[first], np.ones(len(first), np.int64))]
         for n in (4, 5):
-            g = self.grams(n)
             size = np.maximum(self.b[first] - n + 1 - self.a[first], 0)
-            who = np.repeat(np.arange(len(first)), size)
-            at = np.repeat(self.a[first] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-            feats.append(g[at])
-            owner.append(who)
-        return word, np.concatenate(feats), np.concatenate(owner)
+            kinds.append((self.grams(n)[_ranges(self.a[first], size)], size))
+        return words, kinds
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All positions of the ranges, one range after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+class Sample:
+    """Words of the texts to learn from and their features, read a piece of
+    texts at a time: only hashes and the distinct words' features stay."""
+
+    def __init__(self, texts: list[str]):
+        self.buf, self.off = A.byte_buffer(pa.array(texts, pa.large_string()))
+        self.counts, self.hash = (np.concatenate(x) for x in zip(*((t.counts, t.hash) for t in self.pieces())))
+
+    def pieces(self) -> Iterator[Tokens]:
+        for a, b in list(A.pieces(self.off, FIT_PIECE_BYTES)) or [(0, 0)]:
+            yield Tokens(self.buf[self.off[a]:self.off[b]], self.off[a:b + 1] - self.off[a])
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word of each token, feature list, word of each feature entry)."""
+        words, kinds = zip(*(t.distinct() for t in self.pieces()))
+        words, first = np.unique(np.concatenate(words), return_index=True)
+        feats, owner = [], []
+        for kind in zip(*kinds):
+            values, size = (np.concatenate(x) for x in zip(*kind))
+            start, size = (np.cumsum(size) - size)[first], size[first]
+            feats.append(values[_ranges(start, size)])
+            owner.append(np.repeat(np.arange(len(words)), size))
+        return np.searchsorted(words, self.hash), np.concatenate(feats), np.concatenate(owner)
 
 
 class Chains:
@@ -163,9 +191,10 @@ def expected_transitions(parts, trans) -> np.ndarray:
     e, fwd, bwd, live = parts
     t01, t10, t11 = np.exp(trans)
     x = e[1:] * bwd[1:]
-    p00 = np.ones_like(x)
     w01, w10, w11 = t01 * x, fwd[:-1] * t10, fwd[:-1] * t11 * x
-    z = p00 + w01 + w10 + w11
+    z = 1 + w01
+    z += w10
+    z += w11
     m = live[1:]
     return np.array([(w01 / z)[m].sum(), (w10 / z)[m].sum(), (w11 / z)[m].sum()])
 
@@ -199,7 +228,7 @@ def document_features(log_clean: np.ndarray, expected: np.ndarray) -> np.ndarray
     return np.stack([any_toxic, np.log1p(expected)], axis=1)
 
 
-def token_labels(tokens: Tokens, word, feats, owner, toxic: np.ndarray) -> np.ndarray:
+def token_labels(tokens: Sample, word, feats, owner, toxic: np.ndarray) -> np.ndarray:
     """1 for tokens of toxic documents that carry a significant feature."""
     order = np.argsort(owner, kind="stable")
     feats, owner = feats[order], owner[order]
@@ -228,7 +257,7 @@ def token_labels(tokens: Tokens, word, feats, owner, toxic: np.ndarray) -> np.nd
 def one_of_each(texts: list[str]) -> np.ndarray:
     """Positions of the documents that share no min-hash of three-word
     shingles with an earlier one: copies would vote for their words many times."""
-    tokens = Tokens(*A.byte_buffer(pa.array(texts, pa.large_string())))
+    tokens = Sample(texts)
     h, edge, kept, seen = tokens.hash, np.r_[0, np.cumsum(tokens.counts)], [], set()
     for d in range(len(texts)):
         own = h[edge[d]:edge[d + 1]]
@@ -252,7 +281,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model | None:
     for y in (0, 1):  # every class in both parts, if it has two rows at least
         own = np.flatnonzero(toxic == y)
         parts[own] = np.arange(len(own)) % 5 == 4
-    tokens = Tokens(*A.byte_buffer(pa.array(texts, pa.large_string())))
+    tokens = Sample(texts)
     if len(tokens.hash) == 0:
         return None
     word, feats, owner = tokens.distinct()
@@ -270,8 +299,8 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model | None:
     for _ in range(ROUNDS):
         of_word = np.bincount(owner, weights[feats], n_words)
         odds, _, inner = messages(of_word[word] + bias, chains, trans)
-        p = odds / (1 + odds)
-        r = np.where(fit_token, y - p[chains.step, chains.chain], 0.0)
+        odds = odds[chains.step, chains.chain]
+        r = np.where(fit_token, y - odds / (1 + odds), 0.0)
         gw = np.bincount(feats, np.bincount(word, r, n_words)[owner], 1 << BITS) - 0.02 * weights
         e, f, b, live_ = inner
         gt = real - expected_transitions((e[:, fit_chain], f[:, fit_chain], b[:, fit_chain], live_[:, fit_chain]), trans) - 0.1 * trans
@@ -283,7 +312,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model | None:
         bias += 0.4 * gb / np.sqrt(g2b)
         trans = np.clip(trans + 0.2 * gt / np.sqrt(g2t), -6, 6)
     model = Model(weights.astype(np.float32), float(bias), trans, np.array([0.0, 1.0, 0.0]))
-    _, features = model.evidence(tokens)
+    features = np.concatenate([model.evidence(t)[1] for t in tokens.pieces()])
     held = parts if parts.any() and 0 < toxic[parts].sum() < parts.sum() else np.ones(len(toxic), bool)
     model.doc = _logistic(features[held], toxic[held])
     return model
