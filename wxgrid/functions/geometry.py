@@ -86,6 +86,12 @@ def ring_edges(ring: Column) -> Column:
     return F.when(n >= 2, F.transform(idx, edge))
 
 
+def chain_edges(points: Column) -> Column:
+    """Edges (x1, y1, x2, y2) between neighbours of an open chain of points."""
+    ends = F.arrays_zip(F.slice(points, F.lit(1), F.size(points) - 1).alias("p"), F.slice(points, F.lit(2), F.size(points) - 1).alias("q"))
+    return F.transform(ends, lambda e: F.struct(e["p"]["x"].alias("x1"), e["p"]["y"].alias("y1"), e["q"]["x"].alias("x2"), e["q"]["y"].alias("y2")))
+
+
 def polygon_edges(rings: Column) -> Column:
     """All edges of all rings (outer shells, holes, parts): even-odd over the
     union gives holes and multi-part polygons for free."""
